@@ -65,7 +65,7 @@ def mean_of_last_5(name: str = "amount_ma_5", column: str = "amount") -> list[Ro
 
 def volume_means() -> list[Rolling]:
     return [
-        Rolling(f"{prefix}_ma_{n}", column, "mean", n)
+        Rolling(f"{prefix}_avg_{n}", column, "mean", n)
         for n in (3, 5, 7, 14)
         for prefix, column in (("volume", "daily_volume"), ("amount", "amount"))
     ]

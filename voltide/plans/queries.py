@@ -2,6 +2,10 @@
 
 from voltide.plans import (  # noqa: F401
     q_clean,
+    q_evaluate,
+    q_features,
+    q_monitor,
+    q_select,
     q_windows,
 )
 from voltide.plans.catalog import ORACLES, QUERIES

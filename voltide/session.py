@@ -14,6 +14,7 @@ def local_session(cpus: int | str = "*", app: str = "voltide", **conf: str) -> S
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.adaptive.enabled": "true",
     }
