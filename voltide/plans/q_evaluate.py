@@ -84,7 +84,7 @@ QQ = ", ".join(f"({i / 100}, {normal_quantile(i / 100)!r})" for i in range(1, 10
 
 
 @query("qq_points", sql(f"""
-SELECT p, {r('theoretical', 'theoretical')}, {r('s', 'sample')} FROM (
+SELECT p, round(CAST(theoretical AS DOUBLE), 6) AS theoretical, {r('s', 'sample')} FROM (
   SELECT unnest(list_transform(range(1, 100), lambda i: i / 100)) AS p,
          unnest(quantile_cont(error, {[i / 100 for i in range(1, 100)]})) AS s FROM errors)
 JOIN (VALUES {QQ}) t(q, theoretical) ON p = q""", "scored_events", extra=ERRORS))

@@ -75,11 +75,11 @@ def _from_files(spark, sf):
 
 
 @query("metrics_flatten", sql(
-    f"SELECT {DAY}, section, name, {r('value', 'value')} FROM ({SERIES})",
+    f"SELECT {DAY}, section, name, {r('value', 'value', 8)} FROM ({SERIES})",
     "scored_events", extra=RECORDS))
 def metrics_flatten(spark, sf):
     long = monitor.flatten_metrics(_from_files(spark, sf))
-    return rounded(long.select(text_day("timestamp").alias("day"), "section", "name", "value"))
+    return rounded(long.select(text_day("timestamp").alias("day"), "section", "name", "value"), 8)
 
 
 @query("metrics_latest", sql(
@@ -97,12 +97,12 @@ LIMITS = {"rmse": 50.0, "mae": 35.0, "mape": 300.0, "drift": 0.05}
 
 def _alert_sql(records: str = "records") -> str:
     parts = [
-        f"SELECT {DAY}, '{m}' AS kind, '{m}' AS name, round({m}, 6) AS value, "
+        f"SELECT {DAY}, '{m}' AS kind, '{m}' AS name, round({m}, 8) AS value, "
         f"CAST({LIMITS[m]} AS DOUBLE) AS threshold, printf('{m.upper()} (%.2f{p}) excede el umbral "
         f"({LIMITS[m]}{p})', {m}) AS message FROM {records} WHERE {m} > {LIMITS[m]}"
         for m, p in (("rmse", ""), ("mae", ""), ("mape", "%%"))]
     parts.append(
-        f"SELECT {DAY}, 'drift', 'amount', round(mean_drift, 6), CAST({LIMITS['drift']} AS DOUBLE), "
+        f"SELECT {DAY}, 'drift', 'amount', round(mean_drift, 8), CAST({LIMITS['drift']} AS DOUBLE), "
         f"printf('Drift detectado en feature amount: %.2f', mean_drift) FROM {records} "
         f"WHERE mean_drift > {LIMITS['drift']}")
     return " UNION ALL ".join(parts)
@@ -111,7 +111,7 @@ def _alert_sql(records: str = "records") -> str:
 @query("metric_alerts", sql(_alert_sql(), "scored_events", extra=RECORDS))
 def metric_alerts(spark, sf):
     alerts = monitor.metric_alerts(event_metric_records(spark, sf), LIMITS)
-    return rounded(alerts.withColumn("day", text_day("timestamp")).drop("timestamp"))
+    return rounded(alerts.withColumn("day", text_day("timestamp")).drop("timestamp"), 8)
 
 
 @query("history_retention", sql(
@@ -135,4 +135,4 @@ def monitoring_run(spark, sf):
     now = F.lit(trades_from_events(spark, sf).agg(F.max("close_ts")).first()[0])
     alerts, _ = monitor.run_monitoring(
         records, scratch_path(spark, "history"), now, limits=LIMITS)
-    return rounded(alerts.withColumn("day", text_day("timestamp")).drop("timestamp"))
+    return rounded(alerts.withColumn("day", text_day("timestamp")).drop("timestamp"), 8)

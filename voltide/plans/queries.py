@@ -4,8 +4,12 @@ from voltide.plans import (  # noqa: F401
     q_clean,
     q_evaluate,
     q_features,
+    q_models,
     q_monitor,
+    q_privacy,
     q_select,
+    q_sources,
+    q_stream,
     q_windows,
 )
 from voltide.plans.catalog import ORACLES, QUERIES

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,32 +32,38 @@ def write_table(df: DataFrame, path: str, month_of: str | None = None) -> None:
     ).partitionBy("month_of").parquet(path)
 
 
-def read_two_header_export(spark: SparkSession, path: str, label: str) -> DataFrame:
-    """An export whose first line is junk and whose second line names the columns.
+def export_names(spark: SparkSession, path: str) -> list[str]:
+    """Column names of an export: its second line."""
+    line = spark.read.text(path).head(2)[1][0]
+    return [n or f"Unnamed: {i}" for i, n in enumerate(next(csv.reader([line])))]
 
-    Columns stay text. ``label`` is the name of a column that every row has: the
-    second line is the row whose value equals a column name. The names come from
-    that single line.
+
+def read_two_header_export(
+    spark: SparkSession, path: str, names: Sequence[str] | None = None
+) -> DataFrame:
+    """An export with a junk first line and the column names in the second.
+
+    Columns stay text, to be cast later. The reader skips the first line of
+    every file; the row of names is dropped wherever a split starts.
     """
-    raw = spark.read.option("header", False).csv(path)
-    named = raw.where(" OR ".join(f"`{c}` = '{label}'" for c in raw.columns)).first()
-    if named is None:
-        raise ValueError(f"no header line with {label}")
-    at = list(named).index(label)
-    names = [v if v is not None else f"Unnamed: {i}" for i, v in enumerate(named)]
-    junk = spark.read.text(path).first()[0].split(",")[0]
-    first = F.col(raw.columns[0])
-    rows = raw.where(
-        (F.col(raw.columns[at]) != label) & (first.isNull() | (first != junk))
-    )
-    return rows.toDF(*names)
-
-
-def write_two_header_export(df: DataFrame, path: str, junk: str) -> None:
-    """The same layout: a junk line, a line of names, then the rows."""
-    df.select(
-        *[F.col(c).cast("string").alias(junk if i == 0 else f"_{i}")
-          for i, c in enumerate(df.columns)]
+    names = list(names or export_names(spark, path))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    is_label = F.lit(True)
+    for n in names:
+        if not n.startswith("Unnamed"):
+            is_label = is_label & F.col(f"`{n}`").eqNullSafe(F.lit(n))
+    return rows.where(~is_label)
+
+
+def write_two_header_export(df: DataFrame, path: str, junk: str = "OPES") -> None:
+    """The same layout: every file gets a junk line and a row of names."""
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    labels = text.sparkSession.createDataFrame([tuple(df.columns)], text.schema)
+    headed = labels.coalesce(1).union(text)
+    first, rest = df.columns[0], df.columns[1:]
+    headed.select(
+        F.col(f"`{first}`").alias(junk), *[F.col(f"`{c}`").alias(f"_{c}") for c in rest]
     ).write.option("header", True).csv(path)
 
 
