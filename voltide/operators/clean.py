@@ -137,11 +137,20 @@ def clip(x: Column, lo: float, hi: float) -> Column:
     return F.when(x < lo, F.lit(lo)).when(x > hi, F.lit(hi)).otherwise(x)
 
 
+def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if counts[c]]
+
+
 def impute_median(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
-    medians = quantiles(df, columns, [0.5], **limits)
+    """Missing values become the column median; complete columns are left alone."""
+    gaps = columns_with_nulls(df, columns)
+    if not gaps:
+        return df
+    medians = quantiles(df, gaps, [0.5], **limits)
     return df.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0]).cast("double"))
-         for c in columns}
+         for c in gaps}
     )
 
 
@@ -158,6 +167,9 @@ def impute_group_median(
     df: DataFrame, columns: Sequence[str], by: Sequence[str], **limits
 ) -> DataFrame:
     """Missing values become the median of their group."""
+    columns = columns_with_nulls(df, columns)
+    if not columns:
+        return df
     medians = grouped_quantiles(df, columns, [0.5], by, **limits).select(
         *by, *[F.col(c)[0].alias(f"_median_{c}") for c in columns]
     )

@@ -148,9 +148,9 @@ def _dot(columns: dict[str, Column], weights: dict[str, float]) -> Column:
 
 
 def _ridge(df: DataFrame, columns: dict[str, Column], label: str, ridge: float) -> dict:
-    # a column that never changes makes the normal equations singular; it gets no weight
+    # a column that (nearly) never changes makes the normal equations singular: no weight
     ranges = df.agg(*[F.max(c) - F.min(c) for c in columns]).first()
-    names = [c for c, span in zip(columns, ranges) if span]
+    names = [c for c, span in zip(columns, ranges) if span and span > 1e-8]
     weights = dict.fromkeys(columns, 0.0)
     if not names:
         return {"intercept": float(df.agg(F.avg(label)).first()[0] or 0.0), **weights}

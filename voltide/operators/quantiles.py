@@ -1,7 +1,7 @@
 """Exact interpolated quantiles that never gather a large group in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer.
-That is fine for ordinary groups. For large ones a small sample guesses two
+An ordinary group is sorted in one buffer, which its row limit bounds. For
+larger groups a small sample guesses two
 values around each wanted rank, a count over all rows proves where the rank
 lies, and only values between the proven bounds are ranked. The sample steers
 the search; results do not depend on it.
@@ -13,7 +13,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -36,9 +36,9 @@ def quantiles(
     small = [c for c in columns if counts[c] <= group_rows]
     found: dict[str, list[float | None]] = {}
     if small:
-        grid = F.array(*[F.lit(float(p)) for p in probs])
-        row = narrow.agg(*[F.percentile(c, grid).alias(c) for c in small]).first()
-        found = {c: row[c] if row[c] is not None else [None] * len(probs) for c in small}
+        ordered = narrow.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in small])
+        row = ordered.select(*[_interpolated(c, probs).alias(c) for c in small]).first()
+        found = {c: list(row[c]) for c in small}
     large = {(c,): counts[c] for c in columns if counts[c] > group_rows}
     if large:
         long = _long(narrow, [c for (c,) in large], ())
@@ -59,8 +59,10 @@ def grouped_quantiles(
     narrow = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns if c not in by])
     sizes = sizes or group_sizes(narrow, by, group_rows)
     ordinary, large = sizes.split(narrow.where(~any_null(by)), by)
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    out = ordinary.groupBy(*by).agg(*[F.percentile(c, grid).alias(c) for c in columns])
+    ordered = ordinary.groupBy(*by).agg(
+        *[F.sort_array(F.collect_list(c)).alias(c) for c in columns]
+    )
+    out = ordered.select(*by, *[_interpolated(c, probs).alias(c) for c in columns])
     if large is None:
         return out
     counts = large.groupBy(*by).agg(*[F.count(c).alias(c) for c in columns]).collect()
@@ -68,13 +70,29 @@ def grouped_quantiles(
         (*[r[k] for k in by], c): r[c] for r in counts for c in columns if r[c] > 0
     }
     values = _search(_long(large, columns, by), by, targets, probs)
+    none = [None] * len(probs)
     rows = [
-        (*[r[k] for k in by], *[values.get((*[r[k] for k in by], c)) for c in columns])
+        (*[r[k] for k in by], *[values.get((*[r[k] for k in by], c), none) for c in columns])
         for r in counts
     ]
     return out.unionByName(df.sparkSession.createDataFrame(rows, out.schema))
 
 
+def _interpolated(ordered: str, probs: Sequence[float]) -> Column:
+    """Quantiles of a sorted array, as an array; nulls if it is empty."""
+    n = F.size(ordered)
+    grid = F.array(*[F.lit(float(p)) for p in probs])
+
+    def one(p: Column) -> Column:
+        at = p * (n - 1)
+        low, high = F.floor(at).cast("int"), F.ceil(at).cast("int")
+        a, b = F.get(ordered, low), F.get(ordered, high)
+        return F.when(a == b, a).otherwise((high - at) * a + (at - low) * b)
+
+    empty = F.array_repeat(F.lit(None).cast("double"), len(probs))
+    return F.when(n > 0, F.transform(grid, one)).otherwise(empty)
+
+
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in columns]
@@ -136,8 +154,10 @@ def _search(
         values = []
         for p in probs:
             at = p * (target.rows - 1)
-            lo, hi = target.spans[math.floor(at)].value, target.spans[math.ceil(at)].value
-            values.append(lo if lo == hi else lo + (hi - lo) * (at - math.floor(at)))
+            low, high = math.floor(at), math.ceil(at)
+            lo, hi = target.spans[low].value, target.spans[high].value
+            # weighted as _interpolated does, to the last bit
+            values.append(lo if lo == hi else (high - at) * lo + (at - low) * hi)
         out[key] = values
     return out
 

@@ -55,9 +55,9 @@ def clean_g2(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     require_columns(df, ["close_ts", "amount"])
     df = clean.drop_duplicate_rows(drop_unused(df))
     df = clean.null_if_not_finite(clean.cast_lenient(df, ["amount"]))
-    if df.where(F.col("amount").isNull()).limit(1).count():
-        df = clean.impute_weekday_median(df, group_rows=group_rows)
-    df = clean.iqr_filter(materialize(df, "deduplicated"), group_rows=group_rows)
+    df = materialize(df, "deduplicated")
+    df = clean.impute_weekday_median(df, group_rows=group_rows).drop("weekday")
+    df = clean.iqr_filter(df, group_rows=group_rows)
     rates = [c for c in RATE_COLUMNS if c in df.columns]
     if rates:
         df = clean.impute_median(clean.cast_lenient(df, rates), rates, group_rows=group_rows)

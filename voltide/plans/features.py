@@ -108,10 +108,10 @@ def features_g2(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
         calendar(), "year", "month", "day", "weekday", "day_name",
         "is_weekend", "is_month_start", "is_month_end",
     )
-    df = days_since_start(df.withColumns(parts))
+    # levels and the first date come from the input, before it is windowed
+    df = one_hot(days_since_start(df), CATEGORICAL_COLUMNS).withColumns(parts)
     df = rolling(df, client_amount_stats(), group_rows=group_rows)
     df = rolling(df, table_rate_stats(), by=())
-    df = one_hot(df, CATEGORICAL_COLUMNS)
     return df.withColumns(ratios.rate_interactions())
 
 

@@ -7,7 +7,12 @@ from voltide.operators.scale import RobustScale, StandardScale
 from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.cleaning import clean_g1, clean_g2, load_trades
 from voltide.plans.oracle import r, rs, sql
-from voltide.sources.tables import read_table, trades_from_events, trades_from_orders
+from voltide.sources.tables import (
+    read_table,
+    stored_trades,
+    trades_from_events,
+    trades_from_orders,
+)
 
 FENCES = """
 fences AS (
@@ -76,7 +81,8 @@ FROM ops_v""",
 def validate_batch(spark, sf):
     from voltide.functions.ratios import signed_amount
 
-    t = trades_from_orders(spark, sf).withColumn("signed_amount", signed_amount())
+    t = stored_trades(spark, sf, ["op_id", "amount", "op_type", "spread", "category"])
+    t = t.withColumn("signed_amount", signed_amount())
     return clean.validate_batch(t, ["amount", "signed_amount", "spread", "category"])
 
 
@@ -87,7 +93,7 @@ SELECT op_id, round(coalesce(spread, m, median(coalesce(spread, m)) OVER ()), 10
 FROM (SELECT *, median(spread) OVER (PARTITION BY client_id) AS m,
              median(closed_rate) OVER (PARTITION BY client_id) AS mr FROM ops_orders)"""))
 def impute_client_median(spark, sf):
-    t = trades_from_orders(spark, sf, ["op_id", "client_id", "spread", "closed_rate"])
+    t = stored_trades(spark, sf, ["op_id", "client_id", "spread", "closed_rate"])
     out = clean.impute_client_median(t, ["spread", "closed_rate"])
     return rounded(out.select("op_id", "spread", "closed_rate"), 10)
 
@@ -97,7 +103,7 @@ SELECT op_id, round(coalesce(spread, median(spread) OVER (PARTITION BY isodow(cl
   AS spread
 FROM ops_orders"""))
 def impute_weekday_median(spark, sf):
-    t = trades_from_orders(spark, sf, ["op_id", "close_ts", "spread"])
+    t = stored_trades(spark, sf, ["op_id", "close_ts", "spread"])
     return rounded(clean.impute_weekday_median(t, "spread").select("op_id", "spread"), 10)
 
 
@@ -106,7 +112,7 @@ SELECT op_id, round(coalesce(spread, (SELECT median(spread) FROM ops_orders)), 1
   round(coalesce(closed_rate, (SELECT median(closed_rate) FROM ops_orders)), 10) AS closed_rate
 FROM ops_orders"""))
 def impute_median(spark, sf):
-    t = trades_from_orders(spark, sf, ["op_id", "spread", "closed_rate"])
+    t = stored_trades(spark, sf, ["op_id", "spread", "closed_rate"])
     return rounded(clean.impute_median(t, ["spread", "closed_rate"]), 10)
 
 
@@ -213,7 +219,7 @@ def column_summary(spark, sf):
     for c in ("amount", "spread", "closed_rate"))))
 def describe_features(spark, sf):
     columns = ["amount", "spread", "closed_rate"]
-    return rounded(stats.describe_features(trades_from_orders(spark, sf, columns), columns))
+    return rounded(stats.describe_features(stored_trades(spark, sf, columns), columns))
 
 
 @query("missing_counts", sql(" UNION ALL ".join(

@@ -6,6 +6,7 @@ from voltide.operators import select, split
 from voltide.plans.catalog import query, rounded, text_day
 from voltide.plans.cleaning import load_trades
 from voltide.plans.oracle import r, sql
+from voltide.session import materialize
 from voltide.sources.tables import trades_from_events, trades_from_orders
 
 FEATURES = ("spread", "closed_rate", "amount_ma_5", "client_mean_amount", "daily_volume")
@@ -36,7 +37,12 @@ mi AS (SELECT feature, sum(n / total * ln(CAST(n AS DOUBLE) * total / (na * nb))
 
 
 def loaded(spark, sf):
-    return load_trades(trades_from_orders(spark, sf))
+    return load_trades(trades_from_orders(spark, sf)).select("op_id", "amount", *FEATURES)
+
+
+def stored(spark, sf):
+    """Read several times by the operators that fit quantiles first."""
+    return materialize(loaded(spark, sf), "loaded")
 
 
 @query("f_scores", sql(f"SELECT feature, {r('score', 'score', 4)} FROM ({_f_sql()})", "loaded"))
@@ -47,7 +53,7 @@ def f_scores(spark, sf):
 @query("mi_scores", sql(f"SELECT feature, {r('score', 'score')} FROM mi", "loaded",
                         extra=_mi_sql()))
 def mi_scores(spark, sf):
-    return rounded(select.mutual_information(loaded(spark, sf), FEATURES))
+    return rounded(select.mutual_information(stored(spark, sf), FEATURES))
 
 
 @query("feature_ranking", sql(f"""
@@ -56,7 +62,7 @@ SELECT feature, {r('f.score', 'score_f', 4)}, {r('mi.score', 'score_mi')},
   (rank() OVER (ORDER BY f.score DESC) + rank() OVER (ORDER BY mi.score DESC)) / 2 AS rank_mean
 FROM ({_f_sql()}) f JOIN mi USING (feature)""", "loaded", extra=_mi_sql()))
 def feature_ranking(spark, sf):
-    out = select.rank_features(loaded(spark, sf), FEATURES)
+    out = select.rank_features(stored(spark, sf), FEATURES)
     return rounded(out, score_f=4, score_mean=4)
 
 
@@ -83,7 +89,7 @@ SELECT op_id, amount, feature, {r('z', 'z')} FROM ({values}) WHERE feature IN (
 
 @query("selected_matrix", _matrix_sql())
 def selected_matrix(spark, sf):
-    matrix, _ = select.selected_matrix(loaded(spark, sf), FEATURES, k=3)
+    matrix, _ = select.selected_matrix(stored(spark, sf), FEATURES, k=3)
     names = [c for c in matrix.columns if c not in ("op_id", "amount")]
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("z")) for c in names])
     long = matrix.select("op_id", "amount", F.explode(pairs).alias("p"))
@@ -98,7 +104,7 @@ def selected_matrix(spark, sf):
           + ", ".join(f"coalesce({c}, median({c}) OVER ()) AS {c}" for c in FEATURES)
           + " FROM loaded)"))
 def selection_report(spark, sf):
-    _, report = select.selected_matrix(loaded(spark, sf), FEATURES, k=3)
+    _, report = select.selected_matrix(stored(spark, sf), FEATURES, k=3)
     return rounded(report, 4)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltide.session import materialize
+
 MARKET = ("spread", "closed_rate")
 
 
@@ -56,6 +58,11 @@ def trades_from_orders(
     return df.select(*names)
 
 
+def stored_trades(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """``trades_from_orders`` written once, for operators that read it several times."""
+    return materialize(trades_from_orders(spark, sf_dir, columns), "trades")
+
+
 def trades_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trade per event."""
     return event_trades(read_table(spark, sf_dir, "events"))
