@@ -61,7 +61,7 @@ def ratio_features(spark, sf):
 
 
 @query("interaction_features", sql(f"""
-SELECT op_id, {r('amount * client_mean_amount', 'amount_x_mean', 0)},
+SELECT op_id, {r('amount * client_mean_amount', 'amount_x_mean', -3)},
   {r('amount * spread', 'amount_x_spread', 8)}, {r('amount_ma_5 * spread', 'ma5_x_spread', 10)},
   {r('daily_volume / nullif(amount, 0)', 'volume_amount_ratio')},
   {r('spread / nullif(daily_volume, 0)', 'spread_volume_ratio', 12)},
@@ -71,7 +71,7 @@ def interaction_features(spark, sf):
     t = load_trades(trades_from_orders(spark, sf))
     new = {**ratios.interactions(), "amount_x_rate": ratios.rate_interactions()["amount_x_rate"]}
     return rounded(t.select("op_id", *[c.alias(n) for n, c in new.items()]),
-                   amount_x_mean=0, amount_x_spread=8, ma5_x_spread=10, amount_x_rate=8,
+                   amount_x_mean=-3, amount_x_spread=8, ma5_x_spread=10, amount_x_rate=8,
                    spread_volume_ratio=12)
 
 
@@ -264,7 +264,8 @@ G2_LEVELS = {
 
 
 def _g2_sql() -> str:
-    rolled = ", ".join(r(over_client(FN[s.how], s.column, s.rows), s.name) for s in G2_ROLLING)
+    rolled = ", ".join(r(over_client(FN[s.how], s.column, s.rows), s.name, 4 if s.how == "std" else 6)
+        for s in G2_ROLLING)
     rates = ", ".join(r(over_table(FN[s.how], s.column, s.rows), s.name, 10) for s in G2_RATE)
     hot = ", ".join(
         f"CAST(coalesce({c} = '{v}', FALSE) AS INT) AS \"{c}_{v}\""
@@ -284,4 +285,5 @@ def features_g2_query(spark, sf):
     t = features_g2(trades_from_orders(spark, sf)).withColumn("quarter", F.quarter("close_ts"))
     t = t.drop("client_id", "close_ts", "amount", "category", "product", "op_type", "spread",
                "closed_rate")
-    return rounded(t, amount_x_rate=8, spread_x_amount=8, **{s.name: 10 for s in G2_RATE})
+    return rounded(t, amount_x_rate=8, spread_x_amount=8, **{s.name: 10 for s in G2_RATE},
+                   **{s.name: 4 for s in G2_ROLLING if s.how == "std"})

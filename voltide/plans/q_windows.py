@@ -18,7 +18,8 @@ FN = {"mean": "avg", "std": "stddev_samp", "max": "max", "min": "min"}
 
 def client_sql(specs, source="loaded", *views) -> str:
     columns = ", ".join(
-        r(over_client(FN[s.how], s.column, s.rows), s.name) for s in specs)
+        r(over_client(FN[s.how], s.column, s.rows), s.name, 4 if s.how == "std" else 6)
+        for s in specs)
     return sql(f"SELECT op_id, {columns} FROM {source}", *views)
 
 
@@ -26,6 +27,10 @@ def spec_names(specs):
     return [s.name for s in specs]
 
 
+def std_digits(specs):
+    return {s.name: 4 for s in specs if s.how == "std"}
+
+
 @query("daily_volume", sql(
     "SELECT op_id, round(sum(amount) OVER (PARTITION BY client_id, close_ts), 2) "
     "AS daily_volume FROM ops_orders"))
@@ -51,14 +56,14 @@ def rolling_means(spark, sf):
 def rolling_std(spark, sf):
     specs = windows.volume_stds()
     t = windows.rolling(with_daily_volume(trades_from_orders(spark, sf, BASIC)), specs)
-    return rounded(t.select("op_id", *spec_names(specs)))
+    return rounded(t.select("op_id", *spec_names(specs)), **std_digits(specs))
 
 
 @query("rolling_client_stats", client_sql(windows.client_amount_stats(), "ops_orders"))
 def rolling_client_stats(spark, sf):
     specs = windows.client_amount_stats()
     t = windows.rolling(trades_from_orders(spark, sf, BASIC), specs)
-    return rounded(t.select("op_id", *spec_names(specs)))
+    return rounded(t.select("op_id", *spec_names(specs)), **std_digits(specs))
 
 
 @query("rolling_global_rate", sql(
