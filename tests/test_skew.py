@@ -129,7 +129,9 @@ def test_search_when_one_value_dominates(spark, monkeypatch):
     xs = [7.0] * 500 + [float(i) for i in range(100)] + [float("inf")]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = q.quantiles(df, ["x"], [0.0, 0.02, 0.5, 0.9, 1.0], group_rows=1)["x"]
-    assert got == pytest.approx(list(pd.Series(xs).quantile([0, 0.02, 0.5, 0.9, 1.0])))
+    finite = pd.Series(xs[:-1] + [1e9])  # numpy cannot interpolate at an infinity
+    assert got[:4] == pytest.approx(list(finite.quantile([0, 0.02, 0.5, 0.9])))
+    assert got[4] == float("inf")
 
 
 def test_group_stats_leave_null_keys_null(trades, frame):

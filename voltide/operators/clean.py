@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voltide.operators.quantiles import grouped_quantiles, quantiles
 from voltide.operators.skew import GroupSizes
-from voltide.operators.stats import collect_stats, iqr_fences
+from voltide.operators.stats import attach, collect_stats, iqr_fences
 from voltide.schema import (
     DECLARED_TYPES,
     LEGAL_RANGES,
@@ -174,7 +174,7 @@ def impute_group_median(
         *by, *[F.col(c)[0].alias(f"_median_{c}") for c in columns]
     )
     names = df.columns
-    out = df.join(medians, list(by), "left")
+    out = attach(df, medians, by)
     filled = {
         c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")).alias(c) for c in columns
     }

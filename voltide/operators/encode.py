@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from voltide.operators.ordering import with_row_index
 
 MAX_LEVELS = 1_000
-SMALL_VALUES = 1_000_000
+SMALL_VALUES = 100_000  # values numbered in one task and broadcast
 
 
 def category_codes(
@@ -22,7 +22,7 @@ def category_codes(
     name = name or f"{column}_code"
     if values.count() <= small_values:
         place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1
-        codes = values.withColumn("_code", place.cast("bigint"))
+        codes = F.broadcast(values.withColumn("_code", place.cast("bigint")))
     else:
         codes = with_row_index(values, [column], "_code")
     joined = df.join(codes, column, "left")

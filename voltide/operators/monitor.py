@@ -70,16 +70,22 @@ def drift_columns(prefix_now: str = "current_", prefix_then: str = "train_", lim
 
 
 def drift_report(
-    train: DataFrame, current: DataFrame, features: Sequence[str], limit: float = ALERT_LIMITS["drift"]
+    train: DataFrame,
+    current: DataFrame,
+    features: Sequence[str],
+    limit: float = ALERT_LIMITS["drift"],
 ) -> DataFrame:
     """Relative change of mean and std per feature, flagged above ``limit``."""
-    then = training_stats(train, features).withColumnsRenamed(
-        {"mean": "train_mean", "std": "train_std"}
-    )
-    now = training_stats(current, features).withColumnsRenamed(
-        {"mean": "current_mean", "std": "current_std"}
-    )
-    return then.join(now, "feature").withColumns(drift_columns(limit=limit))
+    return compare_stats(training_stats(train, features), training_stats(current, features), limit)
+
+
+def compare_stats(
+    then: DataFrame, now: DataFrame, limit: float = ALERT_LIMITS["drift"]
+) -> DataFrame:
+    """The same from two statistics tables of one row per feature."""
+    base = then.withColumnsRenamed({"mean": "train_mean", "std": "train_std"})
+    current = now.withColumnsRenamed({"mean": "current_mean", "std": "current_std"})
+    return base.join(current, "feature").withColumns(drift_columns(limit=limit))
 
 
 def daily_metric_records(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voltide.operators.quantiles import grouped_quantiles, quantiles
 from voltide.schema import numeric_columns
+from voltide.session import materialize
 
 ONE_VALUE = {
     "count": F.count,
@@ -154,13 +155,19 @@ def client_stats(df: DataFrame, by: str = "client_id") -> DataFrame:
     return df.where(F.col(by).isNotNull()).groupBy(by).agg(*aggs)
 
 
-def with_client_stats(df: DataFrame) -> DataFrame:
-    """Left join of trades to their client's statistics.
+def attach(df: DataFrame, table: DataFrame, by: Sequence[str], label: str = "groups") -> DataFrame:
+    """Left join of rows to one row per group.
 
-    Spark broadcasts the statistics if their measured size allows, and otherwise
-    splits hot clients in the sort-merge join.
+    The group table is written first, so that Spark plans with its true size: it
+    is broadcast under the session's threshold, and rows then stay where they
+    are. Above it the rows are shuffled, and AQE splits hot keys.
     """
-    return df.join(client_stats(df), "client_id", "left")
+    return df.join(materialize(table, label), list(by), "left")
+
+
+def with_client_stats(df: DataFrame) -> DataFrame:
+    """Trades with their client's statistics."""
+    return attach(df, client_stats(df), ["client_id"])
 
 
 def with_group_stats(
@@ -168,24 +175,25 @@ def with_group_stats(
     by: Sequence[str],
     aggregates: dict[str, Column],
     medians: dict[str, str] | None = None,
+    store: bool = True,
     **limits,
 ) -> DataFrame:
     """Attach group aggregates (and medians) to rows; null groups get nulls.
 
     Aggregates combine before the shuffle, so a hot group is no hot task as it
-    would be with a window.
+    would be with a window. ``store=False`` skips writing the group table, for
+    groups nearly as many as the rows.
     """
     keyed = df
     for name in by:
         keyed = keyed.where(F.col(name).isNotNull())
-    out = df
+    table = None
     if aggregates:
-        out = out.join(
-            keyed.groupBy(*by).agg(*[c.alias(n) for n, c in aggregates.items()]), list(by), "left"
-        )
+        table = keyed.groupBy(*by).agg(*[c.alias(n) for n, c in aggregates.items()])
     if medians:
         found = grouped_quantiles(df, list(medians.values()), [0.5], by, **limits)
         named = found.select(*by, *[F.col(c)[0].alias(n) for n, c in medians.items()])
-        out = out.join(named, list(by), "left")
-    return out
-
+        table = named if table is None else table.join(named, list(by))
+    if table is None:
+        return df
+    return attach(df, table, by) if store else df.join(table, list(by), "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltide.operators import clean
 from voltide.operators.skew import GROUP_ROWS, GroupSizes, group_sizes
-from voltide.operators.stats import with_group_stats
+from voltide.operators.stats import data_profile, profile_issues, with_group_stats
 from voltide.operators.windows import mean_of_last_5, rolling
 from voltide.schema import RATE_COLUMNS, drop_unused, numeric_columns, rename_raw, require_columns
 from voltide.session import materialize
@@ -15,7 +15,9 @@ from voltide.session import materialize
 
 def with_daily_volume(df: DataFrame) -> DataFrame:
     """Sum of the client's amounts at the same closing date, on every trade."""
-    return with_group_stats(df, ["client_id", "close_ts"], {"daily_volume": F.sum("amount")})
+    return with_group_stats(
+        df, ["client_id", "close_ts"], {"daily_volume": F.sum("amount")}, store=False
+    )
 
 
 def load_trades(
@@ -66,7 +68,5 @@ def clean_g2(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 
 def validation_report(df: DataFrame) -> DataFrame:
     """Rows, nulls, distinct values and type per column, plus missing columns."""
-    from voltide.operators.stats import data_profile, profile_issues
-
     issues = F.array(*[F.lit(i) for i in profile_issues(df)]).cast("array<string>")
     return data_profile(df).withColumn("issues", issues)

@@ -9,6 +9,7 @@ from voltide.operators.windows import Rolling, rolling
 from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.cleaning import load_trades
 from voltide.plans.oracle import r, sql
+from voltide.plans.production import evaluate_against
 from voltide.plans.report import performance_report
 from voltide.plans.views import event_errors, scored_events, scored_orders
 from voltide.sources.tables import trades_from_events, trades_from_orders
@@ -27,6 +28,15 @@ def eval_metrics(spark, sf):
     return rounded(ev.evaluate(scored_orders(spark, sf)))
 
 
+@query("eval_joined", sql(f"""
+SELECT {METRICS}, count(*) FILTER (amount = 0) AS zero_actuals,
+  CAST(sqrt(avg({E} * {E})) > 100 AS INT) AS rmse_alert, CAST(avg(abs{E}) > 50 AS INT) AS mae_alert
+FROM scored_events""", "scored_events"))
+def eval_joined(spark, sf):
+    predictions = scored_events(spark, sf).select("op_id", "predicted_amount")
+    return rounded(evaluate_against(predictions, trades_from_events(spark, sf)))
+
+
 @query("eval_by_client", sql(f"""
 SELECT client_id, {METRICS}, count(*) FILTER (amount = 0) AS zero_actuals,
   CAST(sqrt(avg({E} * {E})) > 100 AS INT) AS rmse_alert, CAST(avg(abs{E}) > 50 AS INT) AS mae_alert

@@ -1,16 +1,21 @@
 """Queries: boosted trees, stacking, scoring, forecasts. Models have no SQL."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from voltide.operators import forecast, models
 from voltide.operators.clean import impute_median
 from voltide.operators.evaluate import compare_models
+from voltide.operators.monitor import flatten_metrics, training_stats
 from voltide.operators.scale import RobustScale
 from voltide.operators.split import hash_split, temporal_split
 from voltide.plans.catalog import query, rounded, text_day
 from voltide.plans.cleaning import load_trades
 from voltide.plans.oracle import r, sql
+from voltide.plans.production import production_run, train_chain
 from voltide.session import materialize, scratch_path
+from voltide.sources.files import read_metric_records
 from voltide.sources.tables import trades_from_events, trades_from_orders
 
 FEATURES = ("client_mean_amount", "amount_ma_5", "daily_volume", "spread", "closed_rate")
@@ -133,3 +138,15 @@ def client_trend(spark, sf):
 def forecast_client(spark, sf):
     t = forecast.forecast_clients(trades_from_events(spark, sf), periods=7)
     return rounded(t.withColumn("ds", text_day("ds")))
+
+
+@query("production_run")
+def production_run_query(spark, sf):
+    t = load_trades(trades_from_orders(spark, sf))
+    t = materialize(t.select("op_id", "close_ts", "amount", *FEATURES), "trades")
+    train, batch = parts(temporal_split(t))
+    scorer, _ = train_chain(train, FEATURES, SETTINGS, k=3)
+    out = scratch_path(spark, "production")
+    run_ts = dt.datetime(2024, 1, 1)
+    production_run(batch, scorer, training_stats(train, scorer.features), out, run_ts)
+    return rounded(flatten_metrics(read_metric_records(spark, f"{out}/metrics")).drop("timestamp"))
