@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltide.operators import forecast, models
+from voltide.operators.monitor import training_stats
 from voltide.operators.split import id_bucket
+from voltide.plans.production import evaluate_against, production_run, train_chain
+from voltide.sources.files import read_metric_records
 from voltide.streaming import streams
 
 FAST = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
@@ -70,6 +73,23 @@ def test_scorer_round_trip_and_refusal(spark, lines, tmp_path):
         scorer.score(batch.withColumn("a", -F.col("a")), now)
 
 
+def test_production_run_stores_predictions_and_record(spark, lines, tmp_path):
+    train, batch = halves(lines)
+    scorer, ranking = train_chain(train, ["a", "b"], FAST, k=1)
+    assert scorer.features == ("a",) and ranking.count() == 2
+    out = str(tmp_path / "p")
+    base = training_stats(train, scorer.features)
+    batch = batch.withColumn("a", F.col("a") + 3)
+    scored, record = production_run(batch, scorer, base, out, dt.datetime(2024, 5, 1))
+    stored = spark.read.parquet(f"{out}/predictions")
+    assert stored.count() == scored.count() == batch.count()
+    back = read_metric_records(spark, f"{out}/metrics").first()
+    assert back["metrics"] == record.first()["metrics"]
+    assert back["drift_results"]["a"]["has_drift"] == 1
+    again = evaluate_against(stored, batch).first()
+    assert again["rmse"] == pytest.approx(back["metrics"]["rmse"])
+
+
 def test_forecaster_follows_trend_and_week(spark):
     rows = []
     for i in range(400):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voltide.operators.ordering import with_row_index
+from voltide.session import materialize
 
 MAX_LEVELS = 1_000
 SMALL_VALUES = 100_000  # values numbered in one task and broadcast
@@ -18,7 +19,7 @@ def category_codes(
     df: DataFrame, column: str, name: str | None = None, small_values: int = SMALL_VALUES
 ) -> DataFrame:
     """Position of each value among the sorted distinct values; missing is -1."""
-    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    values = materialize(df.select(column).where(F.col(column).isNotNull()).distinct(), "values")
     name = name or f"{column}_code"
     if values.count() <= small_values:
         place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1

@@ -101,7 +101,7 @@ def _chunked(
     names = df.columns
     rows = with_row_index(df, [*by, *order], "_row")
     at = F.col("_row") % chunk_rows
-    chunk = F.floor(F.col("_row") / chunk_rows)
+    chunk = F.expr(f"_row div {chunk_rows}")
     homes = [F.array(chunk)]
     if back:
         homes.append(F.when(at >= chunk_rows - back, F.array(chunk + 1)))
@@ -135,7 +135,7 @@ def fill_missing(
     """
     names = df.columns
     rows = with_row_index(df, [*by, *order], "_row").withColumn(
-        "_chunk", F.floor(F.col("_row") / chunk_rows)
+        "_chunk", F.expr(f"_row div {chunk_rows}")
     )
     keys = ["_chunk", *by]
     past = (Window.unboundedPreceding, 0)

@@ -54,15 +54,15 @@ SERIES = " UNION ALL ".join(
 
 
 @query("metric_records", sql(
-    f"SELECT {DAY}, {r('rmse', 'rmse')}, {r('mae', 'mae')}, {r('r2', 'r2')}, {r('mape', 'mape')}, "
-    f"{r('mean_drift', 'mean_drift')}, {r('std_drift', 'std_drift')} FROM records",
+    f"SELECT {DAY}, {r('rmse', 'rmse', 8)}, {r('mae', 'mae', 8)}, {r('r2', 'r2', 8)}, {r('mape', 'mape', 8)}, "
+    f"{r('mean_drift', 'mean_drift', 8)}, {r('std_drift', 'std_drift', 8)} FROM records",
     "scored_events", extra=RECORDS))
 def metric_records(spark, sf):
     t = event_metric_records(spark, sf)
     return rounded(t.select(
         text_day("timestamp").alias("day"),
         *[F.col("metrics")[m].alias(m) for m in ("rmse", "mae", "r2", "mape")],
-        *[F.col("drift_results")["amount"][d].alias(d) for d in ("mean_drift", "std_drift")]))
+        *[F.col("drift_results")["amount"][d].alias(d) for d in ("mean_drift", "std_drift")]), 8)
 
 
 def _from_files(spark, sf):
