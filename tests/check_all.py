@@ -7,6 +7,8 @@ import traceback
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from tests.compare import connect, differences  # noqa: E402
 from voltide.plans.queries import ORACLES, QUERIES  # noqa: E402
 from voltide.session import local_session  # noqa: E402
@@ -15,7 +17,10 @@ from voltide.session import local_session  # noqa: E402
 def main() -> int:
     sf = sys.argv[1]
     names = sys.argv[2:] or list(QUERIES)
-    spark = local_session(8)
+    if os.environ.get("PLAIN"):  # a session without this library's settings
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = local_session(8)
     con = connect(sf)
     bad = 0
     for name in names:

@@ -152,14 +152,16 @@ def test_metric_record_round_trip(spark, tmp_path):
     assert files.read_metric_records(spark, str(pretty), pretty=True).first()["metrics"] == {"rmse": 1.0}
 
 
-def test_history_keeps_recent_days_and_replaces_reruns(spark, tmp_path):
+def test_history_keeps_every_run_once_and_prunes_old_days(spark, tmp_path):
     path = str(tmp_path / "h")
     for day in (1, 15, 30, 30):
         monitor.append_history(
             files.metric_record(spark, dt.datetime(2024, 1, day), {"rmse": 1.0}, {}), path)
+    noon = dt.datetime(2024, 1, 30, 12)
+    monitor.append_history(files.metric_record(spark, noon, {"rmse": 2.0}, {}), path)
     now = F.lit(dt.datetime(2024, 1, 31))
-    assert monitor.read_history(spark, path).count() == 3
-    assert monitor.read_history(spark, path, now, days=20).count() == 2
+    assert monitor.read_history(spark, path).count() == 4
+    assert monitor.read_history(spark, path, now, days=20).count() == 3
 
 
 def test_one_hot_refuses_too_many_levels(spark):

@@ -187,26 +187,24 @@ def keep_recent(history: DataFrame, now: Column, days: int = 30, ts: str = "time
 
 
 def append_history(records: DataFrame, path: str) -> None:
-    """Add records to the history, one folder per day; same days are replaced."""
-    (
-        records.withColumn("day", F.to_date("timestamp"))
-        .repartition("day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(path)
-    )
+    """Add records to the history, one folder per day."""
+    records.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy(
+        "day"
+    ).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str, now=None, days: int | None = None) -> DataFrame:
-    """The history table; old days are pruned by folder, then by timestamp."""
+    """The history table; old days are pruned by folder, then by timestamp.
+
+    A run that was repeated has written its record twice; one is kept.
+    """
     history = spark.read.schema(
         T.StructType([*RECORD.fields, T.StructField("day", T.DateType())])
     ).parquet(path)
-    if days is None:
-        return history.drop("day")
-    oldest = F.to_date(now - F.make_dt_interval(F.lit(days)))
-    return keep_recent(history.where(F.col("day") >= oldest), now, days).drop("day")
+    if days is not None:
+        oldest = F.to_date(now - F.make_dt_interval(F.lit(days)))
+        history = keep_recent(history.where(F.col("day") >= oldest), now, days)
+    return history.drop("day").dropDuplicates(["timestamp"])
 
 
 def run_monitoring(
