@@ -81,9 +81,9 @@ def features_g1a(
         calendar(), "year", "month", "day", "weekday", "quarter",
         "is_weekend", "is_month_start", "is_month_end",
     )
-    df = df.withColumns(parts).withColumns(cyclic())
-    df = volume_features(df, sizes)
+    # codes and client statistics come from the input, before it is windowed
     df = category_codes(with_client_stats(df), "category")
+    df = volume_features(df.withColumns(parts).withColumns(cyclic()), sizes)
     if not scale:
         return df, None
     df = materialize(df, "features")

@@ -7,6 +7,7 @@ from voltide.operators.scale import RobustScale, StandardScale
 from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.cleaning import clean_g1, clean_g2, load_trades
 from voltide.plans.oracle import r, rs, sql
+from voltide.session import materialize
 from voltide.sources.tables import (
     read_table,
     stored_trades,
@@ -260,7 +261,7 @@ def _clean_g1_sql() -> str:
 
 @query("clean_g1", _clean_g1_sql())
 def clean_g1_query(spark, sf):
-    out = clean_g1(load_trades(trades_from_orders(spark, sf)))
+    out = clean_g1(materialize(load_trades(trades_from_orders(spark, sf)), "loaded"))
     return rounded(out.select(
         "op_id", "client_id", "category", "day_name", "month",
         text_time("next_ts").alias("next_ts"), *[c for c in CLEAN_G1 if c != "month"]), **DIGITS)

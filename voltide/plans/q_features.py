@@ -10,6 +10,7 @@ from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.cleaning import load_trades, with_daily_volume
 from voltide.plans.features import features_g1a, features_g1b, features_g2, statistical_features
 from voltide.plans.oracle import over_client, over_table, r, sql
+from voltide.session import materialize
 from voltide.sources.tables import trades_from_events, trades_from_orders
 
 CALENDAR_SQL = """
@@ -179,6 +180,12 @@ def holiday_flag(spark, sf):
 
 # ---- feature chains
 
+
+def stored_loaded(spark, sf):
+    """Chains read their input several times, so it is written once."""
+    return materialize(load_trades(trades_from_orders(spark, sf)), "loaded")
+
+
 G1A_INT = ("year", "month", "day", "weekday", "quarter",
            "is_weekend", "is_month_start", "is_month_end")
 G1A_RAW = ("amount", "spread", "closed_rate", "amount_ma_5", "client_mean_amount", "daily_volume")
@@ -212,7 +219,7 @@ def _g1a_sql() -> str:
 
 @query("features_g1a", _g1a_sql())
 def features_g1a_query(spark, sf):
-    t, _ = features_g1a(load_trades(trades_from_orders(spark, sf)))
+    t, _ = features_g1a(stored_loaded(spark, sf))
     numeric = [n for n, k in t.dtypes if k == "double"]
     return rounded(t.select("op_id", "client_id", *numeric))
 
@@ -242,7 +249,7 @@ def _g1b_sql() -> str:
 
 @query("features_g1b", _g1b_sql())
 def features_g1b_query(spark, sf):
-    t = features_g1b(load_trades(trades_from_orders(spark, sf)))
+    t = features_g1b(stored_loaded(spark, sf))
     t = t.withColumns({
         **{c: F.col(c) + 1 for c in CYCLIC},
         **{c: calendar()[c] for c in ("is_month_start", "is_month_end")},
@@ -282,7 +289,7 @@ def _g2_sql() -> str:
 
 @query("features_g2", _g2_sql())
 def features_g2_query(spark, sf):
-    t = features_g2(trades_from_orders(spark, sf)).withColumn("quarter", F.quarter("close_ts"))
+    t = features_g2(materialize(trades_from_orders(spark, sf), "trades")).withColumn("quarter", F.quarter("close_ts"))
     t = t.drop("client_id", "close_ts", "amount", "category", "product", "op_type", "spread",
                "closed_rate")
     return rounded(t, amount_x_rate=8, spread_x_amount=8, **{s.name: 10 for s in G2_RATE},
