@@ -14,7 +14,7 @@ from voltide.operators.encode import one_hot
 from voltide.operators.privacy import decrypt_columns, encrypt_columns
 from voltide.operators.scale import RobustScale, StandardScale
 from voltide.plans.cleaning import clean_g1, clean_g2, load_trades
-from voltide.plans.features import feature_report, features_g1a
+from voltide.plans.features import feature_report, features_g1a, features_g1b
 from voltide.schema import MissingColumns, drop_unused, numeric_columns, rename_raw
 from voltide.sources import files
 
@@ -42,6 +42,15 @@ def test_clean_keeps_rows_and_leaves_no_gaps(raw):
     assert sum(bad.first()) == 0
 
 
+def test_chains_join_up(raw):
+    cleaned = clean_g1(load_trades(raw))
+    scaled, scaler = features_g1a(cleaned)
+    assert scaled.count() == raw.count()
+    means = scaled.agg(*[F.avg(c).alias(c) for c in scaler.parameters]).first()
+    assert all(v is None or abs(v) < 1e-9 for v in means)
+    assert features_g1b(cleaned).count() == raw.count()
+
+
 def test_clean_by_class_drops_outliers_and_duplicates(raw):
     out = clean_g2(raw.union(raw)).toPandas()
     assert len(out) < 60 and out["op_id"].is_unique

@@ -271,7 +271,8 @@ G2_LEVELS = {
 
 
 def _g2_sql() -> str:
-    rolled = ", ".join(r(over_client(FN[s.how], s.column, s.rows), s.name, 4 if s.how == "std" else 6)
+    rolled = ", ".join(
+        r(over_client(FN[s.how], s.column, s.rows), s.name, 4 if s.how == "std" else 6)
         for s in G2_ROLLING)
     rates = ", ".join(r(over_table(FN[s.how], s.column, s.rows), s.name, 10) for s in G2_RATE)
     hot = ", ".join(

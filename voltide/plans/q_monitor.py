@@ -54,7 +54,8 @@ SERIES = " UNION ALL ".join(
 
 
 @query("metric_records", sql(
-    f"SELECT {DAY}, {r('rmse', 'rmse', 8)}, {r('mae', 'mae', 8)}, {r('r2', 'r2', 8)}, {r('mape', 'mape', 8)}, "
+    f"SELECT {DAY}, {r('rmse', 'rmse', 8)}, {r('mae', 'mae', 8)}, {r('r2', 'r2', 8)}, "
+    f"{r('mape', 'mape', 8)}, "
     f"{r('mean_drift', 'mean_drift', 8)}, {r('std_drift', 'std_drift', 8)} FROM records",
     "scored_events", extra=RECORDS))
 def metric_records(spark, sf):
