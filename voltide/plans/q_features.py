@@ -290,7 +290,8 @@ def _g2_sql() -> str:
 
 @query("features_g2", _g2_sql())
 def features_g2_query(spark, sf):
-    t = features_g2(materialize(trades_from_orders(spark, sf), "trades")).withColumn("quarter", F.quarter("close_ts"))
+    t = features_g2(materialize(trades_from_orders(spark, sf), "trades"))
+    t = t.withColumn("quarter", F.quarter("close_ts"))
     t = t.drop("client_id", "close_ts", "amount", "category", "product", "op_type", "spread",
                "closed_rate")
     return rounded(t, amount_x_rate=8, spread_x_amount=8, **{s.name: 10 for s in G2_RATE},
