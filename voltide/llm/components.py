@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltide.llm.common import materialize
 
 
+def forest(pairs: np.ndarray) -> np.ndarray:
+    """One link from each node but one of each connected part to its smallest node."""
+    nodes, ends = np.unique(pairs.view(np.int64), return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
+        new = root.copy()
+        np.minimum.at(new, root[ends[:, 0]], low)
+        np.minimum.at(new, root[ends[:, 1]], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    far = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.stack([nodes[far], nodes[root[far]]], axis=1)
+
+
 def _downward(edges: DataFrame) -> DataFrame:
     """Each edge once, from its larger to its smaller end."""
     return (

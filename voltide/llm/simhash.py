@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltide.llm.common import materialize, shuffle_parts, text_or_empty, words_of
-from voltide.llm.components import components
+from voltide.llm.components import components, forest
 
 SHINGLE = 4
 BITS = 4
@@ -140,24 +140,6 @@ def _links(keys: np.ndarray, fps: np.ndarray, bits: int, pivots: np.ndarray) ->
     return np.concatenate(found)
 
 
-def _forest(pairs: np.ndarray) -> np.ndarray:
-    """One link from each node but one of each connected part to its smallest node."""
-    nodes, ends = np.unique(pairs.view(np.int64), return_inverse=True)
-    ends = ends.reshape(-1, 2)
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
-        new = root.copy()
-        np.minimum.at(new, root[ends[:, 0]], low)
-        np.minimum.at(new, root[ends[:, 1]], low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    far = np.flatnonzero(root != np.arange(len(nodes)))
-    return np.stack([nodes[far], nodes[root[far]]], axis=1)
-
-
 def _block_keys(bits: int) -> list:
     """A key column for each choice of blocks that may be the ones that agree."""
     count = bits + AGREE
@@ -189,7 +171,7 @@ def linked(nodes: DataFrame, bits: int = BITS, group: int = GROUP, pivots: int =
 
         def made(keys, fps):
             pairs = _links(keys, fps.view(np.uint64), bits, refs)
-            tree = _forest(pairs) if len(pairs) else np.zeros((0, 2), np.int64)
+            tree = forest(pairs) if len(pairs) else np.zeros((0, 2), np.int64)
             return pd.DataFrame({"a": tree[:, 0], "b": pd.array(tree[:, 1], "Int64"), "size": 0})
 
         def told(key, size):
@@ -254,7 +236,7 @@ def linked(nodes: DataFrame, bits: int = BITS, group: int = GROUP, pivots: int =
             if end:
                 pairs = _links(keys[:end], fps[:end].view(np.uint64), bits, refs)
                 if len(pairs):
-                    tree = _forest(pairs)
+                    tree = forest(pairs)
                     yield pd.DataFrame({"a": tree[:, 0], "b": tree[:, 1]})
                 keys, fps = keys[end:], fps[end:]
 
