@@ -1,6 +1,14 @@
 """All queries of the subpackage: importing a module registers its queries."""
 
-from voltide.llm import q_divergence, q_page_text, q_simhash, q_tokens, q_tree_forest, q_url_filter  # noqa: F401
+from voltide.llm import (  # noqa: F401
+    q_chaining,
+    q_divergence,
+    q_page_text,
+    q_simhash,
+    q_tokens,
+    q_tree_forest,
+    q_url_filter,
+)
 from voltide.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -6,12 +6,14 @@ therefore gets a table row of its distances to many fixed references; a pair
 whose largest coordinate difference is above ``bits`` is discarded and only
 survivors are compared bit by bit.
 
-Pairs come from groups that share enough of the bits: the 64 bits are cut into
-``bits + 3`` blocks, and a linked pair must agree on three of them. Equal
-fingerprints are one node, and a group gives at most one link a node: links
-inside it are followed from node to node, so a group of thousands of near copies
-costs little more than its size. Groups above ``GROUP`` nodes are compared in
-pairs of chunks, each in its own task.
+Pairs come from groups that share enough of the bits. :func:`block_keys` cuts 64
+bits into ``bits + 3`` blocks; a linked pair agrees on three of them, so nothing
+is missed. :func:`band_keys` draws bits of a wider fingerprint, for distances too
+large for that; what it misses follows from its numbers. Equal fingerprints are
+one node, and a group gives at most one link a node: links inside it are followed
+from node to node, so a group of thousands of near copies costs little more than
+its size. Groups above ``GROUP`` nodes are compared in pairs of chunks, each in its
+own task.
 
 Cases: a null text counts as empty; a text without words has fingerprint zero,
 linked like any other. Equal rows get equal results. A null id takes part, but the
@@ -21,7 +23,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, combinations
 
 import numpy as np
@@ -44,11 +46,21 @@ GROUP = 50_000
 #: Groups up to this size are compared together, a shift at a time.
 SMALL = 48
 
+#: For documents whose sets of five-word shingles have a Jaccard similarity of 0.8
+#: or more: bits of 256 differ at a rate of acos(2 J / (1 + J)) / pi, 0.15 at 0.8.
+#: 46 bits leave room for chance; 48 draws of 14 bits meet 19 of 20 such pairs at
+#: the edge and nearly all closer ones.
+SIMILAR_SHINGLE, SIMILAR_WIDTH, SIMILAR_BITS = 5, 4, 46
+DRAWS, DRAWN = 48, 14
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+Keys = Callable[[np.ndarray], np.ndarray]
+
+
+def fingerprint(text: str, shingle: int = SHINGLE, width: int = 1) -> np.ndarray:
+    """``width`` numbers of 64 bits; a bit is 1 if it is set in over half the hashes."""
     words = words_of(text)
     if not words:
-        return 0
+        return np.zeros(width, np.uint64)
     if len(words) <= shingle:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
     else:
@@ -57,209 +69,271 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
         starts = [0, *(e + 1 for e in ends[: -shingle])]
         hash_of = xxhash.xxh64_intdigest
         hashes = [hash_of(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :])]
-    bits = np.unpackbits(
-        np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
-    )
-    ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(ones, bitorder="little").view("<u8")[0])
+    base = np.array(hashes, np.uint64)
+    out = np.empty(width, np.uint64)
+    for no in range(width):
+        bits = np.unpackbits(
+            _stirred(base, no).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+        )
+        ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+        out[no] = np.packbits(ones, bitorder="little").view("<u8")[0]
+    return out
+
+
+def _stirred(hashes: np.ndarray, no: int) -> np.ndarray:
+    """Further hashes from given ones; number 0 leaves them as they are."""
+    if not no:
+        return hashes
+    x = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * no)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, width: int = 1) -> DataFrame:
+    """``doc_id, node, fp``: ``fp`` as bytes; ``node`` names it: itself at width 1, else a hash."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            fps = np.array([fingerprint(t, shingle) for t in frame["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": fps.view(np.int64)})
+            fps = [fingerprint(t, shingle, width) for t in frame["text"]]
+            nodes = [f[0] if width == 1 else np.uint64(xxhash.xxh64_intdigest(f.tobytes())) for f in fps]
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"], "node": np.array(nodes, np.uint64).view(np.int64),
+                "fp": [f.astype("<u8").tobytes() for f in fps],
+            })
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(
-        of, f"doc_id {id_type}, fp long"
+        of, f"doc_id {id_type}, node long, fp binary"
     )
 
 
-def references(count: int = PIVOTS) -> np.ndarray:
-    """Fixed reference fingerprints."""
-    return np.random.default_rng(7).integers(0, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def references(count: int = PIVOTS, width: int = 1) -> np.ndarray:
+    """Fixed reference fingerprints, a row each."""
+    return np.random.default_rng(7).integers(0, 2**64, (count, width), dtype=np.uint64)
+
+
+def distance(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(one ^ two).sum(axis=-1, dtype=np.int16)
 
 
 def pivot_table(fps: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Row i: distances of all fingerprints to reference i."""
-    return np.bitwise_count(fps[None, :] ^ pivots[:, None]).astype(np.int8)
+    return np.stack([distance(fps, p) for p in pivots])
 
 
 def near(one: np.ndarray, two: np.ndarray, table_one, table_two, bits: int) -> np.ndarray:
-    """Positions where ``one`` and ``two`` differ in at most ``bits`` places."""
-    alive = np.arange(max(len(one), len(two)))
-    at = lambda x, i: x[i] if len(x) > 1 else x
+    """Positions where ``one`` and ``two`` differ in at most ``bits`` places; ``two`` may be one row."""
+    alive = np.arange(len(one))
+    single = len(two) == 1
     for a, b in zip(table_one, table_two):
-        alive = alive[np.abs(at(a, alive) - at(b, alive)) <= bits]
+        alive = alive[np.abs(a[alive] - (b if single else b[alive])) <= bits]
         if not len(alive):
             return alive
-    return alive[np.bitwise_count(at(one, alive) ^ at(two, alive)) <= bits]
+    return alive[distance(one[alive], two if single else two[alive]) <= bits]
 
 
 def _follow(fps: np.ndarray, bits: int, pivots: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is connected in one group; each node is reached once."""
-    links, table = [], pivot_table(fps, pivots)
-    while len(fps) > 1:
-        waiting = [(fps[0], table[:, 0])]
-        fps, table = fps[1:], table[:, 1:]
-        while waiting and len(fps):
-            node, row = waiting.pop()
-            found = near(fps, np.array([node]), table, row[:, None], bits)
+    """Positions of links that connect what is connected in one group."""
+    links, table, left = [], pivot_table(fps, pivots), np.arange(len(fps))
+    while len(left) > 1:
+        waiting, left = [left[0]], left[1:]
+        while waiting and len(left):
+            node = waiting.pop()
+            found = near(fps[left], fps[node : node + 1], table[:, left], table[:, node : node + 1], bits)
             if len(found):
-                links += [(node, f) for f in fps[found]]
-                waiting += [(fps[i], table[:, i]) for i in found]
-                keep = np.ones(len(fps), bool)
-                keep[found] = False
-                fps, table = fps[keep], table[:, keep]
+                links += [(node, i) for i in left[found]]
+                waiting += left[found].tolist()
+                left = np.delete(left, found)
     return links
 
 
-def _links(keys: np.ndarray, fps: np.ndarray, bits: int, pivots: np.ndarray) -> np.ndarray:
-    """Links within the groups of sorted ``keys``, as an array of pairs."""
+def _links(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, bits: int, pivots: np.ndarray) -> np.ndarray:
+    """Ties of nodes that are linked within the groups of sorted ``keys``."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sizes = np.diff(np.r_[starts, len(keys)])
-    found = [np.zeros((0, 2), np.uint64)]
+    found = [np.zeros((0, 2), np.int64)]
     small = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
-    k, f = keys[small], fps[small]
+    k, n, f = keys[small], nodes[small], fps[small]
     if len(k):
         table = pivot_table(f, pivots)
-        for shift in range(1, int(sizes[sizes <= SMALL].max())):
+        for shift in range(1, SMALL):
             same = np.flatnonzero(k[shift:] == k[:-shift])
             if not len(same):
                 break
             ahead = same + shift
-            hit = same[near(f[same], f[ahead], table[:, same], table[:, ahead], bits)]
-            found.append(np.stack([f[hit], f[hit + shift]], axis=1))
+            hit = same[near(f[same], f[ahead], table[:, same], table[:, ahead], bits)] if len(same) > 1 else (
+                same[distance(f[same], f[ahead]) <= bits]
+            )
+            found.append(np.stack([n[hit], n[hit + shift]], axis=1))
     for at in np.flatnonzero(sizes > SMALL):
-        pairs = _follow(fps[starts[at] : starts[at] + sizes[at]], bits, pivots)
+        own = slice(starts[at], starts[at] + sizes[at])
+        pairs = _follow(fps[own], bits, pivots)
         if pairs:
-            found.append(np.array(pairs, np.uint64))
-    return np.concatenate(found)
+            found.append(nodes[own][np.array(pairs)])
+    pairs = np.concatenate(found)
+    return forest(pairs) if len(pairs) else pairs
 
 
-def _block_keys(bits: int) -> list:
-    """A key column for each choice of blocks that may be the ones that agree."""
+def block_keys(bits: int = BITS) -> Keys:
+    """A key for each choice of blocks of 64 bits that may be the ones that agree."""
     count = bits + AGREE
     edges = [64 * i // count for i in range(count + 1)]
-    blocks = [
-        F.shiftrightunsigned("fp", low).bitwiseAND((1 << (high - low)) - 1)
-        for low, high in zip(edges, edges[1:])
-    ]
-    keys = []
-    for no, chosen in enumerate(combinations(range(count), AGREE)):
-        key = F.lit(no).cast("long")
-        for c in chosen:
-            key = F.shiftleft(key, edges[c + 1] - edges[c]).bitwiseOR(blocks[c])
-        keys.append(key)
+
+    def keys(fps: np.ndarray) -> np.ndarray:
+        blocks = [
+            (fps[:, 0] >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+            for low, high in zip(edges, edges[1:])
+        ]
+        out = []
+        for no, chosen in enumerate(combinations(range(count), AGREE)):
+            key = np.full(len(fps), no, np.uint64)
+            for c in chosen:
+                key = (key << np.uint64(edges[c + 1] - edges[c])) | blocks[c]
+            out.append(key.view(np.int64))
+        return np.stack(out, axis=1)
+
     return keys
 
 
-def linked(nodes: DataFrame, bits: int = BITS, group: int = GROUP, pivots: int = PIVOTS) -> DataFrame:
-    """``a, b``: links that connect all ``nodes`` (column ``fp``) within ``bits`` of each other.
+def band_keys(draws: int = DRAWS, drawn: int = DRAWN, width: int = SIMILAR_WIDTH) -> Keys:
+    """A key for each of ``draws`` random draws of ``drawn`` bits."""
+    rng = np.random.default_rng(11)
+    chosen = [rng.choice(64 * width, drawn, replace=False) for _ in range(draws)]
+    weights = 1 << np.arange(drawn)
 
-    No connection is lost, but not every pair is listed.
-    """
-    spark = nodes.sparkSession
-    refs = references(pivots)
-    keyed = nodes.select("fp", F.explode(F.array(*_block_keys(bits))).alias("key"))
+    def keys(fps: np.ndarray) -> np.ndarray:
+        bits = np.unpackbits(fps.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        return np.stack([
+            (no << drawn) + bits[:, c].astype(np.int64) @ weights for no, c in enumerate(chosen)
+        ], axis=1)
 
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Links of whole groups; of a larger group only its key and size, as ``b`` null."""
+    return keys
 
-        def made(keys, fps):
-            pairs = _links(keys, fps.view(np.uint64), bits, refs)
-            tree = forest(pairs) if len(pairs) else np.zeros((0, 2), np.int64)
-            return pd.DataFrame({"a": tree[:, 0], "b": pd.array(tree[:, 1], "Int64"), "size": 0})
 
-        def told(key, size):
-            return pd.DataFrame({"a": [key], "b": pd.array([None], "Int64"), "size": [size]})
+def linked(
+    nodes: DataFrame, keys_of: Keys, bits: int = BITS, width: int = 1, group: int = GROUP, pivots: int = PIVOTS
+) -> DataFrame:
+    """``a, b``: ties of the ``node`` s whose ``fp`` s differ in at most ``bits`` places.
 
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        too_large, size = None, 0
+    What links connect stays connected, but not every pair is listed.
+    """
+    spark = nodes.sparkSession
+    refs = references(pivots, width)
+
+    def unpack(fps) -> np.ndarray:
+        return np.frombuffer(b"".join(fps), "<u8").reshape(-1, width)
+
+    def key(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            k, f = frame["key"].to_numpy(), frame["fp"].to_numpy()
-            if too_large is not None:
-                more = int(np.count_nonzero(k == too_large))
-                size, k, f = size + more, k[more:], f[more:]
-                if not len(k):
-                    continue
-                yield told(too_large, size)
-                too_large = None
-            keys, fps = np.concatenate([keys, k]), np.concatenate([fps, f])
-            last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
-            if last:
-                yield made(keys[:last], fps[:last])
-                keys, fps = keys[last:], fps[last:]
-            if len(keys) > group:
-                too_large, size = keys[0], len(keys)
-                keys, fps = keys[:0], fps[:0]
+            for at in range(0, len(frame), 2000):
+                part = frame.iloc[at : at + 2000]
+                keys = keys_of(unpack(part["fp"]))
+                times = keys.shape[1]
+                yield pd.DataFrame({
+                    "key": keys.ravel(), "node": np.repeat(part["node"].to_numpy(), times),
+                    "fp": np.repeat(part["fp"].to_numpy(), times),
+                })
+
+    keyed = nodes.select("node", "fp").mapInPandas(key, "key long, node long, fp binary")
+
+    def made(keys, members, fps) -> pd.DataFrame:
+        tree = _links(keys, members, unpack(fps), bits, refs)
+        return pd.DataFrame({"a": tree[:, 0], "b": pd.array(tree[:, 1], "Int64"), "size": 0})
+
+    def told(key, size) -> pd.DataFrame:
+        return pd.DataFrame({"a": [key], "b": pd.array([None], "Int64"), "size": [size]})
+
+    def compare(frames: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+        """Ties of whole groups; of a group above ``most`` only key and size, with ``b`` null."""
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object))
+        too_large, size = None, 0
+        for frame in chain(frames, [None]):
+            if frame is not None and len(frame):
+                new = [frame[c].to_numpy() for c in ("key", "node", "fp")]
+                if too_large is not None:
+                    more = int(np.count_nonzero(new[0] == too_large))
+                    size, new = size + more, [x[more:] for x in new]
+                    if not len(new[0]):
+                        continue
+                    yield told(too_large, size)
+                    too_large = None
+                held = tuple(np.concatenate([x, y]) for x, y in zip(held, new))
+            elif frame is not None:
+                continue
+            end = len(held[0])
+            if frame is not None and end:
+                end = int(np.searchsorted(held[0], held[0][-1]))  # the last group may go on
+            if end:
+                yield made(*(x[:end] for x in held))
+                held = tuple(x[end:] for x in held)
+            if len(held[0]) > most:
+                too_large, size = held[0][0], len(held[0])
+                held = tuple(x[:0] for x in held)
         if too_large is not None:
             yield told(too_large, size)
-        elif len(keys):
-            yield made(keys, fps)
-
-    found = materialize(
-        keyed.repartition(shuffle_parts(spark), "key")
-        .sortWithinPartitions("key")
-        .mapInPandas(compare, "a long, b long, size long"),
-        "near",
-    )
-    links = found.where("b IS NOT NULL").select("a", "b")
+
+    def over(rows: DataFrame, most: int) -> DataFrame:
+        return (
+            rows.repartition(shuffle_parts(spark), "key").sortWithinPartitions("key")
+            .mapInPandas(lambda frames: compare(frames, most), "a long, b long, size long")
+        )
+
+    found = materialize(over(keyed, group), "near")
+    ties = found.where("b IS NOT NULL").select("a", "b")
     large = found.where("b IS NULL").select(
         F.col("a").alias("key"), F.expr(f"cast(ceil(2.0D * size / {group}) as int)").alias("chunks")
     )
     if large.isEmpty():
-        return links
-    chunk = F.expr("cast(pmod(xxhash64(fp), chunks) as int)")
+        return ties
     meets = (
         keyed.join(large, "key")
-        .withColumn("mine", chunk)
+        .withColumn("mine", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
         .select(
-            "fp",
+            "node", "fp",
             F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"),
         )
     )
+    return ties.unionByName(over(meets, 2**62).select("a", "b"))
 
-    def across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for frame in chain(frames, [None]):
-            if frame is not None:
-                keys = np.concatenate([keys, frame["key"].to_numpy()])
-                fps = np.concatenate([fps, frame["fp"].to_numpy()])
-            end = len(keys)
-            if frame is not None and end:
-                end = int(np.searchsorted(keys, keys[-1]))
-            if end:
-                pairs = _links(keys[:end], fps[:end].view(np.uint64), bits, refs)
-                if len(pairs):
-                    tree = forest(pairs)
-                    yield pd.DataFrame({"a": tree[:, 0], "b": tree[:, 1]})
-                keys, fps = keys[end:], fps[end:]
-
-    more = (
-        meets.repartition(shuffle_parts(spark), "key")
-        .sortWithinPartitions("key")
-        .mapInPandas(across, "a long, b long")
+
+def _classes(found: DataFrame, ties: DataFrame) -> DataFrame:
+    """``node, component_id`` for stored fingerprints and the ties between them."""
+    nodes = found.groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    roots = components(ties).withColumnRenamed("node", "tied")
+    rooted = nodes.join(roots, F.col("node") == F.col("tied"), "left").select(
+        "node", "first_id", F.coalesce("root", "node").alias("root")
     )
-    return links.unionByName(more)
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rooted.join(smallest, "root").select("node", "component_id")
+
+
+def _nodes(found: DataFrame) -> DataFrame:
+    return found.groupBy("node").agg(F.first("fp").alias("fp"))
 
 
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, group: int = GROUP
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
+    """``doc_id, fingerprint, component_id`` of every row; 64 bits, every link found."""
     found = materialize(fingerprints(docs, shingle), "fingerprints")
-    nodes = found.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(linked(nodes.select("fp"), bits, group))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return found.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    classes = _classes(found, linked(_nodes(found), block_keys(bits), bits, 1, group))
+    return found.join(classes, "node").select(
+        "doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = SIMILAR_SHINGLE, bits: int = SIMILAR_BITS, width: int = SIMILAR_WIDTH,
+    draws: int = DRAWS, drawn: int = DRAWN, group: int = GROUP,
+) -> DataFrame:
+    """The row with the smallest id of each group of similar documents, columns as they came.
+
+    Of rows that share that id one stays. Rows without an id stay.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    found = materialize(fingerprints(named, shingle, width), "fingerprints")
+    ties = linked(_nodes(found), band_keys(draws, drawn, width), bits, width, group)
+    keep = _classes(found, ties).select(F.col("component_id").alias("keep_")).distinct()
+    kept = named.join(keep, F.col("doc_id") == F.col("keep_"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
