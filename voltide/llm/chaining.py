@@ -21,6 +21,7 @@ own text. Repeats within a document do not count. Other columns are kept by
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -49,6 +50,7 @@ GAIN, GAP_COST = 8.0, 0.25
 AROUND = 48
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
 def seeds_of(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -77,18 +79,18 @@ def chain(matches: np.ndarray, gain: float = GAIN, cost: float = GAP_COST) -> li
     of places there, kept in a Fenwick tree while places here are swept.
     """
     matches = np.unique(matches, axis=0)
-    here, there = matches[:, 0], matches[:, 1]
-    places, rank = np.unique(there, return_inverse=True)
+    places, rank = np.unique(matches[:, 1], return_inverse=True)
+    here, there, rank = matches[:, 0].tolist(), matches[:, 1].tolist(), rank.tolist()
     size = len(places)
-    best, who = [-np.inf] * (size + 1), [-1] * (size + 1)
-    score, before = np.zeros(len(matches)), np.full(len(matches), -1)
+    best, who = [-math.inf] * (size + 1), [-1] * (size + 1)
+    score, before = [0.0] * len(matches), [-1] * len(matches)
     at = 0
     while at < len(matches):
         end = at
         while end < len(matches) and here[end] == here[at]:
             end += 1
         for i in range(at, end):
-            value, found, r = -np.inf, -1, int(rank[i])  # ranks below r + 1: places before
+            value, found, r = -math.inf, -1, rank[i]  # ranks below r + 1: places before
             while r > 0:
                 if best[r] > value:
                     value, found = best[r], who[r]
@@ -98,15 +100,15 @@ def chain(matches: np.ndarray, gain: float = GAIN, cost: float = GAP_COST) -> li
                 score[i] += value - cost * (here[i] + there[i])
                 before[i] = found
         for i in range(at, end):
-            value, r = score[i] + cost * (here[i] + there[i]), int(rank[i]) + 1
+            value, r = score[i] + cost * (here[i] + there[i]), rank[i] + 1
             while r <= size:
                 if value > best[r]:
                     best[r], who[r] = value, i
                 r += r & -r
         at = end
-    used = np.zeros(len(matches), bool)
+    used = [False] * len(matches)
     out = []
-    for i in np.argsort(-score, kind="stable"):
+    for i in sorted(range(len(matches)), key=lambda i: -score[i]):
         path = []
         while i >= 0 and not used[i]:
             used[i] = True
@@ -211,7 +213,8 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
-    """``doc, source, path``: chains of a document with a source, as packed places."""
+    """``doc, source, path, begin, size``: chains of a document with a source, as packed
+    places, and the words of the source about them."""
 
     def seed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -225,7 +228,7 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            doc, source, path = [], [], []
+            doc, source, path, begin, size = [], [], [], [], []
             for d, s, packed in zip(frame["doc"], frame["source"], frame["matches"]):
                 packed = np.asarray(packed, np.int64)
                 for whole in chain(np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)):
@@ -234,7 +237,9 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
                             doc.append(d)
                             source.append(s)
                             path.append(part.astype("<i4").tobytes())
-            yield pd.DataFrame({"doc": doc, "source": source, "path": path})
+                            begin.append(max(0, int(part[0, 1]) - AROUND))
+                            size.append(int(part[-1, 1]) + k + AROUND - begin[-1])
+            yield pd.DataFrame({"doc": doc, "source": source, "path": path, "begin": begin, "size": size})
 
     seeds = materialize(
         named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int"), "seeds"
@@ -250,7 +255,8 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
     )
     # a document's matches are at most its seeds
     paired = matches.groupBy("doc", "source").agg(F.collect_list("m").alias("matches")).where("size(matches) > 1")
-    return materialize(paired.mapInPandas(link, "doc long, source long, path binary"), "chains")
+    schema = "doc long, source long, path binary, begin int, size int"
+    return materialize(paired.mapInPandas(link, schema), "chains")
 
 
 def passages(
@@ -270,30 +276,18 @@ def passages(
     sources = _filter_of(chains.select(F.col("source").alias("id")).distinct())
     owners = _filter_of(chains.select(F.col("doc").alias("id")).distinct())
 
-    def slice_source(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, codes = None, np.zeros(0, np.uint32)
-        for frame in frames:
-            begin, theirs = [], []
-            for text, path in zip(frame["text"], frame["path"]):
-                if text is not last:
-                    last, codes = text, _codes(words_of(text))
-                there = np.frombuffer(path, "<i4").reshape(-1, 2)[:, 1]
-                low = max(0, int(there[0]) - AROUND)
-                begin.append(low)
-                theirs.append(codes[low : int(there[-1]) + k + AROUND].astype("<u4").tobytes())
-            yield pd.DataFrame({
-                "doc": frame["doc"], "source": frame["source"], "path": frame["path"],
-                "begin": begin, "theirs": theirs,
-            })
-
-    texts_of_sources = named.where(_named_in(sources, spark))
-    sliced = chains.join(
-        texts_of_sources.withColumnRenamed("doc_id", "source"), "source"
-    ).mapInPandas(slice_source, "doc long, source long, path binary, begin int, theirs binary")
+    texts_of_sources = named.where(_named_in(sources, spark)).select(
+        F.col("doc_id").alias("source"), F.filter(F.split("text", SPACE_RUN), lambda w: w != "").alias("words")
+    )
+    # only the passage goes on, not the whole text of the source for each of its chains
+    sliced = chains.join(texts_of_sources, "source").select(
+        "doc", "source", "path", "begin",
+        F.array_join(F.slice("words", F.col("begin") + 1, F.col("size")), " ").alias("passage"),
+    )
     # a document's chains are at most its seeds
     gathered = sliced.groupBy("doc").agg(
-        F.collect_list("source").alias("n_"), F.collect_list(F.struct("source", "path", "begin", "theirs")).alias("chains")
-    ).drop("n_")
+        F.collect_list(F.struct("source", "path", "begin", "passage")).alias("chains")
+    )
 
     def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -303,7 +297,7 @@ def passages(
                 spans = []
                 for c in found:
                     path = np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64) - [0, c["begin"]]
-                    span = align(mine, np.frombuffer(c["theirs"], "<u4"), path, k)
+                    span = align(mine, _codes(words_of(c["passage"])), path, k)
                     if span:
                         s, e, s2, e2, same = span
                         spans.append((s, e, s2 + c["begin"], e2 + c["begin"], same, c["source"]))
