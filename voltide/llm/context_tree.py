@@ -88,7 +88,7 @@ def runs_of(text: bytes, depth: int = DEPTH) -> np.ndarray:
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """For x > 0, by Stirling's series at x + 8."""
     y = x + 8.0
-    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3)
+    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
     product = x.copy()
     for k in range(1, 8):
         product *= x + k
