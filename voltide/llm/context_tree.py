@@ -225,32 +225,33 @@ def _ranged(values: np.ndarray, parts: int, kind: int, depth: int) -> np.ndarray
     return ((context * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
 
 
-def _different(texts: list[bytes], parts: int, kind: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different words or runs of a block in the order in which ranges list them."""
-    if kind == WORDS:
-        found = np.unique(np.array([h for t in texts for h in word_hashes(t)], np.uint64))
-    else:
-        found = np.unique(np.concatenate(
-            [np.unique(runs) for _, runs in _run_slices(texts, depth)] or [np.zeros(0, np.uint64)]
-        ))
+def _slices(texts: list[bytes], kind: int, depth: int):
+    """``(document, word hash or run)`` of each position, a bounded number at a time."""
+    if kind == RUNS:
+        yield from _run_slices(texts, depth)
+        return
+    found = [np.array(word_hashes(t), np.uint64) for t in texts]
+    if found:
+        yield np.repeat(np.arange(len(found)), [len(f) for f in found]), np.concatenate(found)
+
+
+def _in_ranges(found: np.ndarray, parts: int, kind: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which ranges list sorted values, and the range of each in that order."""
     part = _ranged(found, parts, kind, depth)
     order = np.argsort(part, kind="stable")
-    return found[order], part[order]
+    return order, part[order]
 
 
-def _counted(texts, held, found: np.ndarray, kind: int, depth: int) -> np.ndarray:
-    """How often each of the sorted ``found`` is in the training texts."""
-    train = [t for t, h in zip(texts, held) if not h]
-    total = np.zeros(len(found), np.int64)
-    if kind == WORDS:
-        values = np.array([h for t in train for h in word_hashes(t)], np.uint64)
-        slices = [values] if len(values) else []
-    else:
-        slices = (runs for _, runs in _run_slices(train, depth))
-    for values in slices:
-        names, n = np.unique(values, return_counts=True)
-        total[np.searchsorted(found, names)] += n
-    return total
+def _counted(texts: list[bytes], held, kind: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different words or runs of a block and how often training texts have each."""
+    names, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for out in (False, True):
+        for _, values in _slices([t for t, h in zip(texts, held) if h == out], kind, depth):
+            found, n = np.unique(values, return_counts=True)
+            names.append(found)
+            counts.append(np.zeros(len(n), np.int64) if out else n)
+    found, own = np.unique(np.concatenate(names), return_inverse=True)
+    return found, np.bincount(own, np.concatenate(counts), len(found)).astype(np.int64)
 
 
 def _blocks(docs: DataFrame, block: int) -> DataFrame:
@@ -311,10 +312,9 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block: int = BLOCK) ->
             for name, held, lens, payload in zip(frame["block"], frame["held"], frame["lens"], frame["payload"]):
                 texts = _texts(lens, payload)
                 for kind in (WORDS, RUNS):
-                    found, part = _different(texts, parts, kind, depth)
-                    order = np.argsort(found)
-                    counts = np.empty(len(found), np.int64)
-                    counts[order] = _counted(texts, held, found[order], kind, depth)
+                    found, counts = _counted(texts, held, kind, depth)
+                    order, part = _in_ranges(found, parts, kind, depth)
+                    found, counts = found[order], counts[order]
                     edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else [0]
                     yield pd.DataFrame({
                         "kind": kind, "block": name, "part": [int(part[a]) for a in edges[:-1]],
@@ -386,27 +386,33 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block: int = BLOCK) ->
         row = own.iloc[0]
         texts = _texts(row["lens"], row["payload"])
         n = len(texts)
-        totals = {}
-        for kind, dtype in ((WORDS, np.uint32), (RUNS, np.float32)):
-            found, _ = _different(texts, parts, kind, depth)
-            order = np.argsort(found)
-            values = np.concatenate(
+
+        def answered(kind: int, dtype):
+            """``(document, answer)`` of each position; every position is sorted once."""
+            slices = []
+            for owner, values in _slices(texts, kind, depth):
+                names, at = np.unique(values, return_inverse=True)
+                slices.append((owner.astype(np.int32), names, at.astype(np.int32)))
+            found = np.unique(np.concatenate([names for _, names, _ in slices]))
+            order, _ = _in_ranges(found, parts, kind, depth)
+            values = np.empty(len(found))
+            values[order] = np.concatenate(
                 [unpack(a, dtype) for a in replied[replied["kind"] == kind].sort_values("part")["answer"]]
             )
-            totals[kind] = found[order], values[order].astype(np.float64)
-        hashes, counts = totals[WORDS]
-        base, known, tokens = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for i, text in enumerate(texts):
-            at = np.searchsorted(hashes, np.array(word_hashes(text), np.uint64))
-            base[i] = np.log10(counts[at] + 1).sum()
-            known[i], tokens[i] = (counts[at] > 0).sum(), len(at)
-        names, logs = totals[RUNS]
-        total = np.zeros(n)
-        for owner, found in _run_slices(texts, depth):
-            different_runs, at = np.unique(found, return_inverse=True)
-            total += np.bincount(owner, logs[np.searchsorted(names, different_runs)][at], n)
+            for owner, names, at in slices:
+                yield owner, values[np.searchsorted(found, names)][at]
+
+        base, total = np.zeros(n), np.zeros(n)
+        known, tokens = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for owner, counts in answered(WORDS, np.uint32):
+            base += np.bincount(owner, np.log10(counts + 1), n)
+            known += np.bincount(owner[counts > 0], minlength=n)
+            tokens += np.bincount(owner, minlength=n)
+        for owner, logs in answered(RUNS, np.float32):
+            total += np.bincount(owner, logs, n)
         return pd.DataFrame({
-            "doc_id": pd.Series(list(row["doc_ids"]), dtype=object), "held_out": list(row["held"]), "n_tokens": tokens, "n_known": known,
+            "doc_id": pd.Series(list(row["doc_ids"]), dtype=object), "held_out": list(row["held"]),
+            "n_tokens": tokens, "n_known": known,
             "train_tokens": train_tokens, "base_score": base - tokens * unit, "score": total,
             "bits_per_byte": -total * math.log2(10) / (np.array(row["lens"]) + 1),
         })
