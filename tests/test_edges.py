@@ -173,10 +173,13 @@ def test_history_keeps_every_run_once_and_prunes_old_days(spark, tmp_path):
     assert monitor.read_history(spark, path, now, days=20).count() == 3
 
 
-def test_one_hot_refuses_too_many_levels(spark):
-    df = spark.createDataFrame([(str(i),) for i in range(5)], "v string")
-    with pytest.raises(ValueError, match="more than 3"):
-        one_hot(df, ["v"], max_levels=3)
+def test_one_hot_takes_any_number_of_levels(spark):
+    df = spark.createDataFrame([(f"{i:04d}", "x") for i in range(1200)] + [(None, None)], "v string, w string")
+    out = one_hot(df, ["v", "w"])
+    assert len(out.columns) == 2 + 1200 + 1
+    row = out.where("v = '0007'").first()
+    assert row["v_0007"] == 1 and row["v_0008"] == 0 and row["w_x"] == 1
+    assert one_hot(df, ["w"], {"w": ["x", "y"]}).columns == ["v", "w", "w_x", "w_y"]
 
 
 def test_raw_names(spark):
@@ -217,6 +220,10 @@ def test_encryption_hides_and_restores(spark, raw):
 def test_error_helpers():
     assert t_quantile(0.975, 9) == pytest.approx(2.262157, abs=1e-5)
     assert t_quantile(0.975, 10**6) == pytest.approx(1.959964, abs=1e-5)
+    normal = 1.959963984540054
+    for dof in (99_999, 100_000, 100_001, 10**9, 10**13):
+        want = normal + (normal**3 + normal) / (4 * dof)
+        assert t_quantile(0.975, dof) == pytest.approx(want, abs=1e-8)
     assert 0.04 < lilliefors_p(0.0886, 100) < 0.06
     assert math.isfinite(lilliefors_p(0.5, 10**6))
 

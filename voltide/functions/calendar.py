@@ -54,41 +54,52 @@ def days_since_start(df: DataFrame, ts: str = "close_ts", name: str = "days_sinc
     return df.withColumn(name, F.floor(elapsed / 86_400_000_000))
 
 
-def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """US federal holidays by rule, with the observed day of fixed dates."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
+def _holiday_dates(year: Column) -> list[tuple[str, Column]]:
+    """Names and dates of the US federal holidays of a year, observed days included."""
 
     def on(month: int, day: int) -> Column:
-        return F.make_date("y", F.lit(month), F.lit(day))
+        return F.make_date(year, F.lit(month), F.lit(day))
 
-    def nth_monday_based(month: int, weekday: int, nth: int) -> Column:
+    def nth(month: int, weekday: int, which: int) -> Column:
         first = on(month, 1)
         skip = F.pmod(F.lit(weekday) - F.weekday(first), F.lit(7))
-        return F.date_add(first, skip + 7 * (nth - 1))
+        return F.date_add(first, skip + 7 * (which - 1))
 
     last_may = on(5, 31)
     # Holiday names and their dates.
     fixed = [
         ("New Year's Day", on(1, 1)),
-        ("Juneteenth National Independence Day", F.when(F.col("y") >= 2021, on(6, 19))),
+        ("Juneteenth National Independence Day", F.when(year >= 2021, on(6, 19))),
         ("Independence Day", on(7, 4)),
         ("Veterans Day", on(11, 11)),
         ("Christmas Day", on(12, 25)),
     ]
     floating = [
-        ("Martin Luther King Jr. Day", nth_monday_based(1, 0, 3)),
-        ("Washington's Birthday", nth_monday_based(2, 0, 3)),
+        ("Martin Luther King Jr. Day", nth(1, 0, 3)),
+        ("Washington's Birthday", nth(2, 0, 3)),
         ("Memorial Day", F.date_sub(last_may, F.weekday(last_may))),
-        ("Labor Day", nth_monday_based(9, 0, 1)),
-        ("Columbus Day", nth_monday_based(10, 0, 2)),
-        ("Thanksgiving", nth_monday_based(11, 3, 4)),
+        ("Labor Day", nth(9, 0, 1)),
+        ("Columbus Day", nth(10, 0, 2)),
+        ("Thanksgiving", nth(11, 3, 4)),
     ]
-    rows = [F.struct(F.lit(n).alias("holiday"), d.alias("day")) for n, d in fixed + floating]
-    for name, day in fixed:
-        moved = F.when(F.weekday(day) == 5, F.date_sub(day, 1)).when(
-            F.weekday(day) == 6, F.date_add(day, 1)
+    observed = [
+        (
+            f"{name} (observed)",
+            F.when(F.weekday(day) == 5, F.date_sub(day, 1)).when(
+                F.weekday(day) == 6, F.date_add(day, 1)
+            ),
         )
-        rows.append(F.struct(F.lit(f"{name} (observed)").alias("holiday"), moved.alias("day")))
+        for name, day in fixed
+    ]
+    return fixed + floating + observed
+
+
+def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """US federal holidays by rule, with the observed day of fixed dates."""
+    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
+    rows = [
+        F.struct(F.lit(n).alias("holiday"), d.alias("day")) for n, d in _holiday_dates(F.col("y"))
+    ]
     return (
         years.select(F.explode(F.array(*rows)).alias("h"))
         .select("h.day", "h.holiday")
@@ -96,6 +107,19 @@ def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFra
     )
 
 
+def is_us_holiday(ts: str = "close_ts") -> Column:
+    """True on a US federal holiday of any year, from the date alone."""
+    day = F.to_date(ts)
+    own = [d for _, d in _holiday_dates(F.year(day))]
+    # New Year's Day on a Saturday is observed in the year before
+    following = F.make_date(F.year(day) + 1, F.lit(1), F.lit(1))
+    own.append(F.when(F.weekday(following) == 5, F.date_sub(following, 1)))
+    hit = F.lit(False)
+    for d in own:
+        hit = hit | F.coalesce(day == d, F.lit(False))
+    return hit
+
+
 def with_holidays(df: DataFrame, ts: str = "close_ts") -> DataFrame:
     """Flag trades on US federal holidays: about 16 calendar rows per year."""
     first, last = df.agg(F.min(F.year(ts)), F.max(F.year(ts))).first()

@@ -26,15 +26,19 @@ def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
-def t_quantile(p: float, dof: int) -> float:
-    """Student t quantile; from 1e5 degrees of freedom on the normal one."""
-    if dof >= 100_000:
-        return normal_quantile(p)
-    scale = math.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2))
-    scale /= math.sqrt(dof * math.pi)
+def _gamma_ratio_log(z: float) -> float:
+    """log(gamma(z + 1/2) / gamma(z)), by its series 20 steps further up."""
+    far = z + 20
+    series = 0.5 * math.log(far) - 1 / (8 * far) + 1 / (192 * far**3) - 1 / (640 * far**5)
+    return series + sum(math.log1p(-0.5 / (z + k + 0.5)) for k in range(20))
+
+
+def t_quantile(p: float, dof: float) -> float:
+    """Student t quantile, one formula for every number of degrees of freedom."""
+    scale = math.exp(_gamma_ratio_log(dof / 2)) / math.sqrt(dof * math.pi)
 
     def density(x: float) -> float:
-        return scale * (1 + x * x / dof) ** (-(dof + 1) / 2)
+        return scale * math.exp(-(dof + 1) / 2 * math.log1p(x * x / dof))
 
     def mass(x: float, steps: int = 2_000) -> float:
         # Simpson's rule from 0 to x
@@ -54,7 +58,10 @@ def t_quantile(p: float, dof: int) -> float:
 
 
 def lilliefors_p(d: float, n: int) -> float:
-    """Published Dallal-Wilkinson approximation of the Lilliefors p-value."""
+    """Published Dallal-Wilkinson approximation of the Lilliefors p-value.
+
+    The rescaling above 100 values belongs to it; it holds for p up to 0.1.
+    """
     if n > 100:
         d, n = d * (n / 100) ** 0.49, 100
     # Coefficients of the published approximation.

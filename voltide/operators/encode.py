@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +11,7 @@ from pyspark.sql.window import Window
 from voltide.operators.ordering import with_row_index
 from voltide.session import materialize
 
-MAX_LEVELS = 1_000
-SMALL_VALUES = 100_000  # values numbered in one task and broadcast
+SMALL_VALUES = 100_000  # values numbered in one task
 
 
 def category_codes(
@@ -23,33 +22,39 @@ def category_codes(
     name = name or f"{column}_code"
     if values.count() <= small_values:
         place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1
-        codes = F.broadcast(values.withColumn("_code", place.cast("bigint")))
+        codes = values.withColumn("_code", place.cast("bigint"))
     else:
         codes = with_row_index(values, [column], "_code")
     joined = df.join(codes, column, "left")
     return joined.withColumn(name, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code")
 
 
-def levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct values; an error if there are too many for columns."""
-    found = (
-        df.select(F.col(column).cast("string").alias("v"))
-        .where("v is not null")
-        .distinct()
-        .limit(max_levels + 1)
-        .collect()
+def levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values of each column, all from one pass."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
     )
-    if len(found) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} values; use category_codes")
-    return sorted(r["v"] for r in found)
-
-
-def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
-    """A 0/1 column ``column_value`` per value; missing values are 0 everywhere."""
-    new = {}
-    for c in columns:
-        if c in df.columns:
-            for value in levels(df, c, max_levels):
-                hit = F.coalesce(F.col(c).cast("string") == value, F.lit(False))
-                new[f"{c}_{value}"] = hit.cast("int")
+    found = df.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct()
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for r in found.collect():  # one row per new column
+        out[r["c"]].append(r["v"])
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def one_hot(
+    df: DataFrame, columns: Sequence[str], values: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """A 0/1 column ``column_value`` per value; missing values are 0 everywhere.
+
+    ``values`` gives the values of a column; without it they are read from ``df``.
+    """
+    present = [c for c in columns if c in df.columns]
+    values = values or {}
+    unknown = [c for c in present if c not in values]
+    found = {**(levels(df, unknown) if unknown else {}), **values}
+    new = {
+        f"{c}_{v}": F.coalesce(F.col(c).cast("string") == v, F.lit(False)).cast("int")
+        for c in present
+        for v in found[c]
+    }
     return df.withColumns(new) if new else df

@@ -137,9 +137,11 @@ def normality_ks(df: DataFrame, column: str = "error") -> DataFrame:
 
     x = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
     n, mean, std = x.agg(F.count("x"), F.avg("x"), F.stddev_samp("x")).first()
-    d = KolmogorovSmirnovTest.test(x, "x", "norm", mean, std).first()["statistic"]
-    p = lilliefors_p(d, n)
-    row = [(n, float(d), p, p > 0.05)]
+    row = [(n, None, None, False)]
+    if std:  # errors that do not vary, or none, have no distance
+        d = KolmogorovSmirnovTest.test(x, "x", "norm", mean, std).first()["statistic"]
+        p = lilliefors_p(d, n)
+        row = [(n, float(d), p, p > 0.05)]
     return df.sparkSession.createDataFrame(
         row, "n bigint, statistic double, p_value double, is_normal boolean"
     )
@@ -207,6 +209,8 @@ def with_quantile_bin(
     """Right-closed quantile bins; equal edges are merged."""
     grid = [i / bins for i in range(bins + 1)]
     edges = sorted({e for e in quantiles(df, [column], grid, **limits)[column] if e is not None})
+    if len(edges) == 1:
+        edges = edges * 2  # one value is one bin
     return df.withColumn(name, _ladder(F.col(column), edges, "right")), edges
 
 

@@ -13,7 +13,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltide.functions.calendar import us_holidays
+from voltide.functions.calendar import is_us_holiday
 from voltide.functions.errors import normal_quantile
 from voltide.session import materialize
 
@@ -114,15 +114,8 @@ class Forecaster:
         return out
 
     def with_holiday(self, df: DataFrame) -> DataFrame:
-        """Join the holiday calendar: some 16 rows per year around the fitted span."""
-        years = [1970 + int(s // (365.2425 * DAY)) for s in
-                 (self.start, self.start + 3 * self.length)]
-        days = us_holidays(df.sparkSession, years[0] - 1, years[1] + 2).select("day").distinct()
-        marked = df.withColumn("_day", F.to_date("ds")).join(
-            F.broadcast(days.select(F.col("day").alias("_day"), F.lit(1).alias("_is"))),
-            "_day", "left",
-        )
-        return marked.withColumn("_is_holiday", F.coalesce("_is", F.lit(0))).drop("_day", "_is")
+        """Mark holidays; the rule covers every year."""
+        return df.withColumn("_is_holiday", is_us_holiday("ds").cast("int"))
 
     def predict(self, df: DataFrame, interval: float = INTERVAL) -> DataFrame:
         names = df.columns
@@ -216,7 +209,7 @@ def client_daily(df: DataFrame) -> DataFrame:
 def client_trend(df: DataFrame) -> DataFrame:
     """Slope per day and intercept of each client's amounts."""
     at = F.unix_seconds("close_ts") / 86_400
-    return df.groupBy("client_id").agg(
+    return df.where(F.col("client_id").isNotNull()).groupBy("client_id").agg(
         F.regr_slope("amount", at).alias("slope"),
         F.regr_intercept("amount", at).alias("intercept"),
         F.count(F.lit(1)).alias("rows"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import product
 from math import prod
 
@@ -15,8 +15,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.operators.clean import check_batch, impute_median
+from voltide.operators.clean import check_batch, impute_median, null_if_not_finite
 from voltide.operators.evaluate import evaluate
+from voltide.operators.quantiles import quantiles
 from voltide.operators.scale import StandardScale
 from voltide.operators.split import id_bucket
 from voltide.session import materialize
@@ -212,6 +213,7 @@ class Scorer:
     features: tuple[str, ...]
     scaler: StandardScale
     model: PipelineModel
+    medians: dict[str, float | None] = field(default_factory=dict)
 
     @classmethod
     def train(
@@ -222,29 +224,35 @@ class Scorer:
         rows = materialize(df.select(label, *features), "train")
         filled = impute_median(rows, features, **limits)
         scaler = StandardScale.fit(filled, features)
-        return cls(tuple(features), scaler, fit(scaler.transform(filled), features, settings, label))
+        found = quantiles(null_if_not_finite(rows), features, [0.5], **limits)
+        model = fit(scaler.transform(filled), features, settings, label)
+        return cls(tuple(features), scaler, model, {f: found[f][0] for f in features})
 
-    def prepare(self, batch: DataFrame, **limits) -> DataFrame:
-        """Impute with batch medians, then scale; the raw columns keep their values."""
+    def prepare(self, batch: DataFrame) -> DataFrame:
+        """Impute with the training medians, then scale; the raw columns keep their values.
+
+        A batch and a stream of the same rows are prepared alike.
+        """
         names = {f: f"_raw_{f}" for f in self.features}
         kept = batch.withColumns({raw: F.col(f) for f, raw in names.items()})
-        return self.scaler.transform(impute_median(kept, self.features, **limits))
+        doubles = kept.withColumns({f: F.col(f).cast("double") for f in self.features})
+        filled = null_if_not_finite(doubles, self.features).withColumns(
+            {f: F.coalesce(F.col(f), F.lit(m).cast("double")) for f, m in self.medians.items()}
+        )
+        return self.scaler.transform(filled)
 
-    def score(self, batch: DataFrame, run_ts, nulls_fail: bool = False, **limits) -> DataFrame:
+    def score(self, batch: DataFrame, run_ts, nulls_fail: bool = False) -> DataFrame:
         problems = check_batch(batch, self.features, nulls_fail)
         if problems:
             raise InvalidBatch("; ".join(problems))
-        return self._predict(self.prepare(batch, **limits), batch.columns, run_ts)
+        return self._predict(self.prepare(batch), batch.columns, run_ts)
 
     def score_stream(self, batch: DataFrame, run_ts) -> DataFrame:
-        """Score a stream: no batch medians exist, nulls take the training mean."""
-        names = {f: f"_raw_{f}" for f in self.features}
-        kept = batch.withColumns({raw: F.col(f) for f, raw in names.items()})
-        means = {f: self.scaler.parameters[f][0] for f in self.features}
-        filled = kept.withColumns(
-            {f: F.coalesce(F.col(f).cast("double"), F.lit(m)) for f, m in means.items()}
-        )
-        return self._predict(self.scaler.transform(filled), batch.columns, run_ts)
+        """Score a stream; columns are checked before it starts."""
+        missing = [f for f in self.features if f not in batch.columns]
+        if missing:
+            raise InvalidBatch(f"missing columns: {', '.join(missing)}")
+        return self._predict(self.prepare(batch), batch.columns, run_ts)
 
     def _predict(self, prepared: DataFrame, columns: Sequence[str], run_ts) -> DataFrame:
         scored = self.model.transform(prepared)
@@ -256,8 +264,8 @@ class Scorer:
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         self.scaler.save(spark, f"{path}/scaler")
-        order = [(i, f) for i, f in enumerate(self.features)]
-        spark.createDataFrame(order, "position int, feature string").coalesce(1).write.mode(
+        order = [(i, f, self.medians.get(f)) for i, f in enumerate(self.features)]
+        spark.createDataFrame(order, "position int, feature string, median double").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{path}/features")
 
@@ -268,4 +276,5 @@ class Scorer:
             tuple(r["feature"] for r in rows),
             StandardScale.load(spark, f"{path}/scaler"),
             PipelineModel.load(f"{path}/model"),
+            {r["feature"]: r["median"] for r in rows},
         )

@@ -186,9 +186,14 @@ def keep_recent(history: DataFrame, now: Column, days: int = 30, ts: str = "time
     return history.where(F.col(ts) > now - F.make_dt_interval(F.lit(days)))
 
 
+def run_id() -> Column:
+    """A record's name: the digest of what it says."""
+    return F.sha2(F.to_json(F.struct("timestamp", "metrics", "drift_results")), 256)
+
+
 def append_history(records: DataFrame, path: str) -> None:
     """Add records to the history, one folder per day."""
-    records.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy(
+    records.withColumn("run_id", run_id()).withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy(
         "day"
     ).parquet(path)
 
@@ -196,15 +201,15 @@ def append_history(records: DataFrame, path: str) -> None:
 def read_history(spark: SparkSession, path: str, now=None, days: int | None = None) -> DataFrame:
     """The history table; old days are pruned by folder, then by timestamp.
 
-    A run that was repeated has written its record twice; one is kept.
+    A run that was repeated has written its record twice; one is kept. Different
+    records of one time are all kept.
     """
-    history = spark.read.schema(
-        T.StructType([*RECORD.fields, T.StructField("day", T.DateType())])
-    ).parquet(path)
+    added = [T.StructField("run_id", T.StringType()), T.StructField("day", T.DateType())]
+    history = spark.read.schema(T.StructType([*RECORD.fields, *added])).parquet(path)
     if days is not None:
         oldest = F.to_date(now - F.make_dt_interval(F.lit(days)))
         history = keep_recent(history.where(F.col("day") >= oldest), now, days)
-    return history.drop("day").dropDuplicates(["timestamp"])
+    return history.drop("day").dropDuplicates(["run_id"]).drop("run_id")
 
 
 def run_monitoring(

@@ -33,13 +33,19 @@ def quantiles(
     wanted = [F.col(c).cast("double").alias(c) for c in columns]
     narrow = df.select(*wanted)
     counts = narrow.agg(*[F.count(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if counts[c] <= group_rows]
+    # the values of all these columns share one row of one task
+    small, held = [], 0
+    for c in sorted(dict.fromkeys(columns), key=lambda c: counts[c]):
+        if held + counts[c] > group_rows:
+            break
+        small.append(c)
+        held += counts[c]
     found: dict[str, list[float | None]] = {}
     if small:
         ordered = narrow.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in small])
         row = ordered.select(*[_interpolated(c, probs).alias(c) for c in small]).first()
         found = {c: list(row[c]) for c in small}
-    large = {(c,): counts[c] for c in columns if counts[c] > group_rows}
+    large = {(c,): counts[c] for c in columns if c not in small}
     if large:
         long = _long(narrow, [c for (c,) in large], ())
         for (c,), values in _search(long, (), large, probs).items():

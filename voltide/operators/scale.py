@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.operators.clean import clip
+from voltide.operators.clean import clip, null_if_not_finite
 from voltide.operators.quantiles import quantiles
 from voltide.operators.stats import collect_stats, iqr_fences
 
@@ -21,7 +21,7 @@ class StandardScale:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> StandardScale:
-        stats = collect_stats(df, columns, ["mean", "std_pop"])
+        stats = collect_stats(null_if_not_finite(df.select(*columns)), columns, ["mean", "std_pop"])
         return cls({c: (stats[c]["mean"], stats[c]["std_pop"]) for c in columns})
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ class StandardScale:
                 out[c] = F.lit(None).cast("double")
             else:
                 out[c] = (F.col(c).cast("double") - F.lit(mean)) / F.lit(std or 1.0)
-        return df.withColumns(out)
+        return null_if_not_finite(df, list(out)).withColumns(out)
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, m, s) for c, (m, s) in self.parameters.items()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
@@ -13,6 +14,7 @@ from pyspark.sql.window import Window
 from voltide.operators.clean import impute_median
 from voltide.operators.quantiles import quantiles
 from voltide.operators.scale import StandardScale
+from voltide.operators.stats import correlation
 from voltide.schema import numeric_columns
 
 Score = Callable[[Column, Column], Column]
@@ -29,10 +31,14 @@ def candidate_features(df: DataFrame, target: str = "amount", exclude=UNRANKED)
 
 
 def f_regression(x: Column, y: Column) -> Column:
-    """F statistic of the univariate linear regression of y on x."""
+    """F statistic of the univariate linear regression of y on x.
+
+    A column that does not vary scores 0, a perfect one the largest double.
+    """
     both = x.isNotNull() & y.isNotNull()
-    r2 = F.pow(F.corr(F.when(both, x), F.when(both, y)), 2)
-    return F.try_divide(r2 * (F.count_if(both) - 2), 1 - r2)
+    r2 = F.coalesce(F.pow(correlation(x, y), 2), F.lit(0.0))
+    score = F.try_divide(r2 * F.greatest(F.count_if(both) - 2, F.lit(0)), 1 - r2)
+    return F.coalesce(score, F.lit(sys.float_info.max))
 
 
 def score_features(

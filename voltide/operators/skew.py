@@ -8,11 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltide.session import materialize
+
 # A group of up to this many rows is handled whole by one task.
 GROUP_ROWS = 1_000_000
-# The list of larger groups is broadcast; the threshold rises with the table
-# so that the list never has more entries than this.
-MAX_LARGE_GROUPS = 100_000
 
 
 @dataclass(frozen=True)
@@ -26,7 +25,7 @@ class GroupSizes:
         """Rows of ordinary groups (null keys included) and of large groups."""
         if self.large is None:
             return df, None
-        keys = F.broadcast(self.large.select(*by))
+        keys = self.large.select(*by)
         return df.join(keys, list(by), "left_anti"), df.join(keys, list(by), "left_semi")
 
 
@@ -46,11 +45,8 @@ def group_sizes(df: DataFrame, by: Sequence[str], group_rows: int = GROUP_ROWS)
         F.coalesce(F.sum(F.when(null_key, F.col("rows"))), F.lit(0)),
         F.coalesce(F.max(F.when(~null_key, F.col("rows"))), F.lit(0)),
     ).first()
-    limit = max(group_rows, total // MAX_LARGE_GROUPS)
-    if largest <= limit:
+    if largest <= group_rows:
         return GroupSizes(total, nulls, 0, None)
-    spark = df.sparkSession
-    large = counts.where(~null_key & (F.col("rows") > limit))
-    rows = large.collect()  # at most MAX_LARGE_GROUPS, each above total / MAX_LARGE_GROUPS
-    listed = spark.createDataFrame(rows, large.schema)
-    return GroupSizes(total, nulls, sum(r["rows"] for r in rows), listed)
+    # stored, so that joins are planned by its true size; nothing is broadcast unchecked
+    large = materialize(counts.where(~null_key & (F.col("rows") > group_rows)), "large-groups")
+    return GroupSizes(total, nulls, large.agg(F.sum("rows")).first()[0], large)

@@ -14,10 +14,10 @@ from voltide.schema import ORDER
 
 
 def id_bucket(buckets: int, key: str = "op_id") -> Column:
-    """A fixed pseudo-random bucket per id."""
-    # The multiplier and moduli of the id hash.
-    mixed = F.pmod(F.pmod(F.col(key), F.lit(1_000_003)) * 7919, F.lit(1009))
-    return F.pmod(mixed, F.lit(buckets)).cast("int")
+    """A fixed pseudo-random bucket per id, from the id's digest; no id is one id."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    number = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(buckets)).cast("int")
 
 
 def hash_split(df: DataFrame, test_share: float = 0.2, key: str = "op_id") -> DataFrame:

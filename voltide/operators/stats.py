@@ -107,10 +107,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _corr(a: str, b: str) -> Column:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    return F.corr(
-        F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-    )
+    return correlation(F.col(a).cast("double"), F.col(b).cast("double"))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation of complete pairs; null if either does not vary."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    # rounding may lead past 1
+    return F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
 
 
 def correlations_with(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

@@ -40,11 +40,12 @@ def calendar_features(spark, sf):
 
 # shifted by 1: a value that rounds to zero may carry either sign
 @query("cyclic_features", sql(
-    "SELECT op_id, " + ", ".join(r(f"{e} + 1", n) for n, e in CYCLIC.items())
+    "SELECT op_id, " + ", ".join(f"round({e}, 6) + 0.0 AS {n}" for n, e in CYCLIC.items())
     + " FROM ops_events"))
 def cyclic_features(spark, sf):
     t = trades_from_events(spark, sf).select("op_id", "close_ts").withColumns(cyclic())
-    return rounded(t.select("op_id", *[(F.col(c) + 1).alias(c) for c in CYCLIC]))
+    # adding zero turns a negative zero into zero
+    return t.select("op_id", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in CYCLIC])
 
 
 @query("ratio_features", sql(f"""

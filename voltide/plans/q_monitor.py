@@ -13,22 +13,22 @@ DRIFTED = ("amount", "spread", "closed_rate")
 
 
 @query("drift_report", sql(" UNION ALL ".join(f"""
-SELECT '{c}' AS feature, {r('tm', 'train_mean', 8)}, {r('ts', 'train_std', 8)},
-  {r('cm', 'current_mean', 8)}, {r('cs', 'current_std', 8)},
+SELECT '{c}' AS feature, {r('tm', 'train_mean')}, {r('ts', 'train_std')},
+  {r('cm', 'current_mean')}, {r('cs', 'current_std')},
   {r('abs(cm - tm) / nullif(abs(tm), 0)', 'mean_drift')},
   {r('abs(cs - ts) / nullif(abs(ts), 0)', 'std_drift')},
   CAST(abs(cm - tm) / abs(tm) > 0.1 OR abs(cs - ts) / abs(ts) > 0.1 AS INT) AS has_drift
 FROM (SELECT avg({c}) FILTER (s) AS tm, stddev_samp({c}) FILTER (s) AS ts,
              avg({c}) FILTER (NOT s) AS cm, stddev_samp({c}) FILTER (NOT s) AS cs FROM marked)"""
     for c in DRIFTED), extra="""
-marked AS (SELECT amount / 1000 AS amount, spread, closed_rate, epoch_us(close_ts) <= (
+marked AS (SELECT amount, spread, closed_rate, epoch_us(close_ts) <= (
   SELECT quantile_cont(CAST(epoch_us(close_ts) AS DOUBLE), 0.8) FROM ops_orders) AS s
   FROM ops_orders)"""))
 def drift_report(spark, sf):
     t = trades_from_orders(spark, sf, ["close_ts", "amount", "spread", "closed_rate"])
-    train, current = train_and_current(t.withColumn("amount", F.col("amount") / 1000))
+    train, current = train_and_current(t)
     out = monitor.drift_report(train, current, DRIFTED)
-    return rounded(out, 8, mean_drift=6, std_drift=6)
+    return rounded(out)
 
 
 E = "(amount - predicted_amount)"

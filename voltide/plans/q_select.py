@@ -108,7 +108,8 @@ def selection_report(spark, sf):
     return rounded(report, 4)
 
 
-BUCKET = "(((op_id % 1000003) * 7919) % 1009)"
+_DIGIT = "(strpos('0123456789abcdef', substr(md5(CAST(op_id AS VARCHAR)), {0}, 1)) - 1)"
+BUCKET = "(" + " + ".join(f"{_DIGIT.format(i)} * {16 ** (12 - i)}" for i in range(1, 13)) + ")"
 
 
 @query("hash_split", sql(

@@ -142,10 +142,10 @@ def rolling_days(spark, sf):
 
 # means of short decimals meet rounding ties, their logarithms do not
 @query("rolling_days_rate", sql(
-    "SELECT strftime(day, '%Y-%m-%d') AS day, round(ln(daily_rate), 10) AS daily_rate, "
+    "SELECT strftime(day, '%Y-%m-%d') AS day, round(daily_rate, 10) AS daily_rate, "
     + ", ".join(
-        [r(f"ln(avg(daily_rate) OVER (ORDER BY n RANGE BETWEEN {d - 1} PRECEDING "
-           "AND CURRENT ROW))", f"rate_{d}d_mean", 10) for d in (7, 14, 30)]
+        [r(f"avg(daily_rate) OVER (ORDER BY n RANGE BETWEEN {d - 1} PRECEDING "
+           "AND CURRENT ROW)", f"rate_{d}d_mean", 10) for d in (7, 14, 30)]
         + [r(f"stddev_samp(daily_rate) OVER (ORDER BY n RANGE BETWEEN {d - 1} PRECEDING "
              "AND CURRENT ROW)", f"rate_{d}d_std", 8) for d in (7, 14, 30)])
     + """ FROM (SELECT CAST(close_ts AS DATE) AS day, avg(closed_rate) AS daily_rate,
@@ -153,10 +153,10 @@ def rolling_days(spark, sf):
     FROM ops_orders GROUP BY ALL)"""))
 def rolling_days_rate(spark, sf):
     t = windows.rolling_days_rate(trades_from_orders(spark, sf, ["close_ts", "closed_rate"]))
-    logs = ["daily_rate", *[f"rate_{d}d_mean" for d in (7, 14, 30)]]
+    means = ["daily_rate", *[f"rate_{d}d_mean" for d in (7, 14, 30)]]
     stds = [f"rate_{d}d_std" for d in (7, 14, 30)]
     return rounded(
-        t.select(text_day("day").alias("day"), *[F.ln(c).alias(c) for c in logs], *stds),
+        t.select(text_day("day").alias("day"), *means, *stds),
         10, **{c: 8 for c in stds})
 
 

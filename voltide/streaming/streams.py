@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,8 @@ EVENT = T.StructType(
 
 
 def trade_stream(spark: SparkSession, folder: str, pattern: str = "events*.parquet") -> DataFrame:
-    """New event files of a folder as a stream of trades."""
-    events = spark.readStream.schema(EVENT).option("pathGlobFilter", pattern).parquet(folder)
+    """Event tables of a folder as a stream of trades; a table is a file or a folder of files."""
+    events = spark.readStream.schema(EVENT).parquet(f"{folder}/{pattern}")
     return event_trades(events)
 
 
@@ -121,7 +122,10 @@ def upsert_to(
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Newest version of every group that ``upsert_to`` wrote."""
-    table = spark.read.parquet(path)
+    return newest_of(spark.read.parquet(path), keys)
+
+
+def newest_of(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     values = [c for c in table.columns if c not in (*keys, "batch_id")]
     newest = F.max_by(F.struct(*values), "batch_id").alias("v")
     return table.groupBy(*keys).agg(newest).select(*keys, "v.*")
@@ -136,4 +140,13 @@ def run_to_table(
     """Process what is there, then return the sink as a batch table."""
     path = scratch_path(spark, "stream-out")
     sink(stream, path, scratch_path(spark, "stream-state")).awaitTermination()
-    return read_latest(spark, path, keys) if keys else spark.read.parquet(path)
+    schema = T.StructType(
+        [*stream.schema.fields, *([T.StructField("batch_id", T.LongType())] if keys else [])]
+    )
+    try:
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        table = spark.createDataFrame([], schema)  # no row ever came
+    return newest_of(table, keys) if keys else table
