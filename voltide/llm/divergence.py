@@ -204,4 +204,6 @@ def keep_documents(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.struct("*").alias("row_"), F.coalesce(F.col("text"), F.lit("")).alias("t_")
     )
-    return _measured(rows).where("kept").select("row_.*")
+    # a filter would be pushed below the figures and work them out again and again
+    kept = F.when(F.col("kept"), F.array("row_"))
+    return _measured(rows).select(F.explode(kept).alias("row_")).select("row_.*")
