@@ -112,3 +112,52 @@ def test_an_empty_stream_is_an_empty_table(spark, sf, tmp_path):
         spark, streams.daily_volume_stream(trades), streams.upsert_to, keys=("client_id", "day_start")
     )
     assert volumes.count() == 0
+
+
+def test_old_days_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "h")
+    rows = [(dt.datetime(2024, 1, d, 12), {"rmse": 1.0 * d}, {}) for d in (1, 10, 20, 30)]
+    monitor.append_history(spark.createDataFrame(rows, monitor.RECORD), path)
+    assert monitor.remove_old_days(spark, path, dt.datetime(2024, 2, 5), 20) == ["day=2024-01-01", "day=2024-01-10"]
+    assert monitor.read_history(spark, path).count() == 2
+    assert monitor.remove_old_days(spark, str(tmp_path / "none"), dt.datetime(2024, 2, 5)) == []
+
+
+def test_a_jobs_stored_tables_go_at_its_end(spark):
+    from voltide import session
+
+    with session.job(spark):
+        stored = session.materialize(spark.range(5), "five")
+        path = stored.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert stored.count() == 5 and os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_cross_validation_and_future_forecast(spark, odd):
+    from voltide.operators import models
+
+    rows = models.cross_validate(odd, ["copy", "noise"], {"n_estimators": 3, "max_depth": 3}, folds=3).collect()
+    assert len(rows) == 3 and sum(r["rows"] for r in rows) == 400
+    assert rows[0]["rmse_mean"] == pytest.approx(sum(r["rmse"] for r in rows) / 3)
+    assert rows[0]["rmse_mean"] < 5  # the target varies by 10 about its mean
+    days = [(dt.datetime(2023, 1, 1) + dt.timedelta(days=k), 100.0 + k) for k in range(200)]
+    df = spark.createDataFrame(days, "ds timestamp, y double")
+    free = forecast.Forecaster.fit(df)
+    tight = forecast.Forecaster.fit(df, changepoint_prior=1e-6, seasonality_prior=1e-6, holidays_prior=1e-6)
+    knots = lambda m: sum(abs(w) for c, w in m.trend.items() if c.startswith("_knot"))
+    assert knots(tight) <= knots(free) + 1e-9
+    out = forecast.forecast_future(tight, df, 30)
+    assert out.groupBy("part").count().collect() and out.where("part = 'future'").count() == 30
+    last = out.orderBy(F.desc("ds")).first()
+    assert last["yhat"] == pytest.approx(329, abs=8)
+
+
+def test_batch_and_stream_are_prepared_alike(spark, odd):
+    from voltide.operators import models
+
+    scorer = models.Scorer.train(odd, ["noise", "holed"], {"n_estimators": 2, "max_depth": 2})
+    gaps = odd.withColumn("noise", F.when(F.col("op_id") % 5 == 0, None).otherwise(F.col("noise")))
+    at = F.lit("2024-01-01").cast("timestamp")
+    batch = scorer.score(gaps, at).select("op_id", "predicted_amount").orderBy("op_id").collect()
+    stream = scorer.score_stream(gaps, at).select("op_id", "predicted_amount").orderBy("op_id").collect()
+    assert batch == stream

@@ -64,11 +64,27 @@ class Forecaster:
         y: str = "y",
         regressors: Sequence[str] = (),
         ridge: float = 1e-4,
+        changepoint_prior: float | None = None,
+        seasonality_prior: float | None = None,
+        holidays_prior: float | None = None,
         changepoints: int = CHANGEPOINTS,
         changepoint_range: float = CHANGEPOINT_RANGE,
         seasons: dict[str, tuple[float, int]] | None = None,
     ) -> Forecaster:
+        """Fit trend, then the relative rest.
+
+        A component's prior scale sets its penalty, 1 / scale squared a row; without
+        one it takes ``ridge``.
+        """
         seasons = dict(SEASONS if seasons is None else seasons)
+        priors = {"_knot": changepoint_prior, "_holiday": holidays_prior}
+        priors.update({f"_{name}": seasonality_prior for name in seasons})
+
+        def scales(columns) -> dict[str, float]:
+            return {
+                c: s for c in columns for prefix, s in priors.items() if s and c.startswith(prefix)
+            }
+
         rows = materialize(
             df.select(
                 F.col(ts).alias("ds"),
@@ -82,7 +98,8 @@ class Forecaster:
         step = changepoint_range / (changepoints + 1)
         knots = tuple(step * (k + 1) for k in range(changepoints))
         shape = cls(lo, length, knots, tuple(regressors), {}, {}, 0.0, seasons)
-        trend = _ridge(rows.withColumns(shape.trend_columns()), shape.trend_columns(), "y", ridge)
+        trend = _ridge(rows.withColumns(shape.trend_columns()), shape.trend_columns(), "y", ridge,
+                       scales(shape.trend_columns()))
         shape = cls(lo, length, knots, tuple(regressors), trend, {}, 0.0, seasons)
         base = shape.trend_value()
         relative = shape.with_holiday(rows).withColumn(
@@ -90,7 +107,8 @@ class Forecaster:
         )
         columns = shape.rest_columns()
         rest = _ridge(
-            relative.withColumns(columns).where("_rel is not null"), columns, "_rel", ridge
+            relative.withColumns(columns).where("_rel is not null"), columns, "_rel", ridge,
+            scales(columns),
         )
         model = cls(lo, length, knots, tuple(regressors), trend, rest, 0.0, seasons)
         std = model.predict(rows).agg(F.stddev_samp(F.col("y") - F.col("yhat"))).first()[0]
@@ -140,7 +158,20 @@ def _dot(columns: dict[str, Column], weights: dict[str, float]) -> Column:
     return total
 
 
-def _ridge(df: DataFrame, columns: dict[str, Column], label: str, ridge: float) -> dict:
+def _ridge(
+    df: DataFrame, columns: dict[str, Column], label: str, ridge: float,
+    scales: dict[str, float] | None = None,
+) -> dict:
+    """Ridge weights; a column with a scale s is penalised by 1 / (rows * s * s).
+
+    That is the common penalty for the column times s * sqrt(rows * ridge).
+    """
+    if scales:
+        rows = max(df.count(), 1)
+        factor = {c: s * math.sqrt(rows * ridge) for c, s in scales.items()}
+        df = df.withColumns({c: F.col(c) * F.lit(f) for c, f in factor.items()})
+        found = _ridge(df, columns, label, ridge)
+        return {c: w * factor.get(c, 1.0) for c, w in found.items()}
     # a column that (nearly) never changes makes the normal equations singular: no weight
     ranges = df.agg(*[F.max(c) - F.min(c) for c in columns]).first()
     names = [c for c, span in zip(columns, ranges) if span and span > 1e-8]
@@ -167,6 +198,16 @@ def forecast_input(df: DataFrame, regressors: Sequence[str] = REGRESSORS) -> Dat
     return df.select(F.col("close_ts").alias("ds"), F.col("daily_volume").alias("y"), *present)
 
 
+def forecast_future(model: Forecaster, history: DataFrame, periods: int = 30) -> DataFrame:
+    """Forecast of the rows of ``history`` (``ds`` and regressors) and the days after it.
+
+    ``part`` says which; regressors keep their last known value in the future.
+    """
+    known = history.select("ds", *model.regressors).withColumn("part", F.lit("history"))
+    ahead = future_frame(history, periods, "ds", model.regressors).withColumn("part", F.lit("future"))
+    return model.predict(known.unionByName(ahead.select(*known.columns)))
+
+
 def future_frame(
     df: DataFrame, periods: int = 30, ts: str = "close_ts", regressors: Sequence[str] = ()
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voltide.operators.clean import check_batch, impute_median, null_if_not_finite
 from voltide.operators.evaluate import evaluate
@@ -79,6 +80,10 @@ def _param_map(model: GBTRegressor, settings: Mapping[str, float]) -> dict:
     return out
 
 
+# Penalties of the blend that are tried.
+BLEND_ALPHAS = (0.1, 1.0, 10.0)
+
+
 def grid_size(grid: Mapping[str, Sequence]) -> int:
     return prod(len(v) for v in grid.values())
 
@@ -128,6 +133,29 @@ def search(
     return PipelineModel([assembled(features), cv.bestModel]), results
 
 
+def cross_validate(
+    df: DataFrame,
+    features: Sequence[str],
+    settings: Mapping[str, float],
+    label: str = "amount",
+    folds: int = 5,
+) -> DataFrame:
+    """RMSE of one setting on each fold held out, with mean and spread over the folds."""
+    rows = materialize(df.select("op_id", label, *features), "folds").withColumn("fold", id_bucket(folds))
+    found = []
+    for k in range(folds):
+        model = fit(rows.where(F.col("fold") != k), features, settings, label)
+        held = model.transform(rows.where(F.col("fold") == k))
+        square = F.pow(F.col(label) - F.col("predicted_amount"), 2)
+        found.append((k, *held.agg(F.count(F.lit(1)), F.sqrt(F.avg(square))).first()))
+    table = df.sparkSession.createDataFrame(found, "fold int, rows bigint, rmse double")
+    # one row per fold
+    every = Window.partitionBy(F.lit(0))
+    return table.withColumns(
+        {"rmse_mean": F.avg("rmse").over(every), "rmse_std": F.stddev_pop("rmse").over(every)}
+    )
+
+
 def fit(
     df: DataFrame,
     features: Sequence[str],
@@ -176,9 +204,12 @@ def stack(
     label: str = "amount",
     bases: Sequence[Mapping[str, float]] = STACKED_BASES,
     folds: int = 3,
-    alpha: float = 1.0,
+    alphas: Sequence[float] = BLEND_ALPHAS,
 ) -> Stacked:
-    """Fit on all rows but one fold, predict that fold, then blend and refit."""
+    """Fit on all rows but one fold, predict that fold, then blend and refit.
+
+    The blend's penalty is the one of ``alphas`` with the least error over folds.
+    """
     rows = materialize(df.select("op_id", label, *features), "stack").withColumn(
         "fold", id_bucket(folds)
     )
@@ -188,16 +219,26 @@ def stack(
         for i, settings in enumerate(bases):
             held = fit(train, features, settings, label, f"base_{i}").transform(held)
             held = held.drop("features")
-        parts.append(held.select(label, *[f"base_{i}" for i in range(len(bases))]))
+        parts.append(held.select("fold", label, *[f"base_{i}" for i in range(len(bases))]))
     out_of_fold = parts[0]
     for p in parts[1:]:
         out_of_fold = out_of_fold.unionByName(p)
     out_of_fold = materialize(out_of_fold, "out-of-fold")
     n = max(out_of_fold.count(), 1)
-    blend = LinearRegression(
-        featuresCol="features", labelCol=label, regParam=alpha / n, elasticNetParam=0.0,
-        standardization=False,
-    ).fit(assembled([f"base_{i}" for i in range(len(bases))]).transform(out_of_fold))
+    ready = assembled([f"base_{i}" for i in range(len(bases))]).transform(out_of_fold)
+    ridge = LinearRegression(
+        featuresCol="features", labelCol=label, elasticNetParam=0.0, standardization=False
+    )
+    if len(alphas) > 1:
+        blend = CrossValidator(
+            estimator=ridge,
+            estimatorParamMaps=[{ridge.regParam: a / n} for a in alphas],
+            evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
+            numFolds=folds,
+            foldCol="fold",
+        ).fit(ready).bestModel
+    else:
+        blend = ridge.copy({ridge.regParam: alphas[0] / n}).fit(ready)
     refit = [fit(rows, features, s, label, f"base_{i}") for i, s in enumerate(bases)]
     return Stacked(refit, [float(w) for w in blend.coefficients], float(blend.intercept))
 
@@ -221,10 +262,10 @@ class Scorer:
         label: str = "amount", **limits,
     ) -> Scorer:
         """Scaler and model see training rows only."""
-        rows = materialize(df.select(label, *features), "train")
+        rows = null_if_not_finite(materialize(df.select(label, *features), "train"))
         filled = impute_median(rows, features, **limits)
         scaler = StandardScale.fit(filled, features)
-        found = quantiles(null_if_not_finite(rows), features, [0.5], **limits)
+        found = quantiles(rows, features, [0.5], **limits)
         model = fit(scaler.transform(filled), features, settings, label)
         return cls(tuple(features), scaler, model, {f: found[f][0] for f in features})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from voltide.operators.evaluate import ALERT_LIMITS, metric_columns
 from voltide.operators.stats import collect_stats
+from voltide.session import remove_path
 
 DRIFT = T.StructType(
     [
@@ -198,6 +200,20 @@ def append_history(records: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def remove_old_days(spark: SparkSession, path: str, now, days: int = 30) -> list[str]:
+    """Delete the day folders that lie wholly more than ``days`` days before ``now``."""
+    oldest = now.date() - dt.timedelta(days=days)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []
+    # at most one name a day
+    gone = [n for n in names if n.startswith("day=") and n[4:] < oldest.isoformat()]
+    for name in gone:
+        remove_path(spark, f"{path}/{name}")
+    return sorted(gone)
+
+
 def read_history(spark: SparkSession, path: str, now=None, days: int | None = None) -> DataFrame:
     """The history table; old days are pruned by folder, then by timestamp.
 

@@ -44,6 +44,15 @@ def temporal_split(
     return df.withColumn("split", F.when(train, "train").otherwise("test"))
 
 
+def split_report(marked: DataFrame, ts: str = "close_ts") -> DataFrame:
+    """Rows, share and date range of each part of a split."""
+    parts = marked.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+    )
+    # one row per part
+    return parts.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy(F.lit(0))))
+
+
 def positional_split(
     df: DataFrame, share: float = 0.8, order: Sequence[str] = ORDER
 ) -> DataFrame:

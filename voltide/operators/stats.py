@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,18 +74,25 @@ def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def data_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Per column: type, rows, nulls, distinct non-null values."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    """Per column: type, rows, nulls, distinct non-null values.
+
+    Exact distinct counts reduce each column by itself before the shuffle, so
+    rows are not multiplied by the number of columns; ``approximate`` takes all
+    columns from one pass.
+    """
     types = dict(df.dtypes)
-    out = _one_pass(
-        df,
-        df.columns,
-        {
-            "rows": lambda c: F.count(F.lit(1)),
-            "nulls": ONE_VALUE["nulls"],
-            "distinct_values": distinct,
-        },
-    )
+    wanted = {"rows": lambda c: F.count(F.lit(1)), "nulls": ONE_VALUE["nulls"]}
+    if approximate:
+        wanted["distinct_values"] = F.approx_count_distinct
+    out = _one_pass(df, df.columns, wanted)
+    if not approximate:
+        each = [
+            df.select(c).where(F.col(c).isNotNull()).distinct().agg(
+                F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("distinct_values")
+            )
+            for c in df.columns
+        ]
+        out = out.join(reduce(DataFrame.unionAll, each), "column_name")
     names = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     return out.withColumn("data_type", F.element_at(names, F.col("column_name")))
 

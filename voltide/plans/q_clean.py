@@ -170,26 +170,28 @@ def robust_scale(spark, sf):
     return rounded(RobustScale.fit(t, ["amount"]).transform(t))
 
 
-@query("dedup_rows", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+LINE_DAY = "strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
+
+
+@query("dedup_rows", f"SELECT DISTINCT * REPLACE ({LINE_DAY}) FROM lineitem")
 def dedup_rows(spark, sf):
-    t = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return clean.drop_duplicate_rows(t)
+    t = clean.drop_duplicate_rows(read_table(spark, sf, "lineitem"))
+    return t.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 @query("dedup_report", """
 SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after,
        CAST(sum(n) AS BIGINT) - count(*) AS removed
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""")
 def dedup_report(spark, sf):
-    t = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return clean.duplicate_report(t)
+    return clean.duplicate_report(read_table(spark, sf, "lineitem"))
 
 
 @query("mad", sql("SELECT median(amount) AS median, mad(amount) AS mad FROM ops_events"))
 def mad(spark, sf):
-    t = trades_from_events(spark, sf)
-    median, spread = stats.mad(t, "amount")
-    return t.limit(1).select(F.lit(median).alias("median"), F.lit(spread).alias("mad"))
+    median, spread = stats.mad(trades_from_events(spark, sf), "amount")
+    return spark.createDataFrame([(median, spread)], "median double, mad double")
 
 
 PROFILED = ("op_id", "client_id", "amount", "category", "op_type", "spread")

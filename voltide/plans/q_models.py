@@ -96,6 +96,23 @@ def forecast_global(spark, sf):
     return rounded(model.predict(test).select("ds", "y", "yhat", "yhat_lower", "yhat_upper"))
 
 
+@query("forecast_future")
+def forecast_future(spark, sf):
+    """History and the 30 days after it, with penalties for each component."""
+    train, _ = _forecast_rows(spark, sf)
+    model = forecast.Forecaster.fit(
+        train, regressors=forecast.REGRESSORS, changepoint_prior=0.05, seasonality_prior=10.0,
+        holidays_prior=10.0)
+    out = forecast.forecast_future(model, train, 30)
+    return rounded(out.select("ds", "part", "yhat", "yhat_lower", "yhat_upper"))
+
+
+@query("cross_validation")
+def cross_validation(spark, sf):
+    train, _ = parts(prepared(spark, sf))
+    return rounded(models.cross_validate(train, FEATURES, SETTINGS))
+
+
 @query("model_comparison_fitted")
 def model_comparison_fitted(spark, sf):
     t = load_trades(trades_from_orders(spark, sf))
@@ -105,7 +122,8 @@ def model_comparison_fitted(spark, sf):
     names = [f for f in FEATURES if f != "daily_volume"]
     boosted = models.fit(train, names, SETTINGS, "daily_volume", "boosted")
     stacked = models.stack(train, names, "daily_volume",
-                           bases=[{"n_estimators": 2, "max_depth": 3}] * 2, folds=3)
+                           bases=[{"n_estimators": 2, "max_depth": 3, "seed": 42},
+                                  {"n_estimators": 3, "max_depth": 2, "seed": 43}], folds=3)
     additive = forecast.Forecaster.fit(
         train.withColumns({"ds": F.col("close_ts"), "y": F.col("daily_volume")}),
         regressors=("client_mean_amount", "amount_ma_5"))

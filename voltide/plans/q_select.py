@@ -6,7 +6,8 @@ from voltide.operators import select, split
 from voltide.plans.catalog import query, rounded, text_day
 from voltide.plans.cleaning import load_trades
 from voltide.plans.oracle import r, sql
-from voltide.session import materialize
+from voltide.session import materialize, scratch_path
+from voltide.sources import files
 from voltide.sources.tables import trades_from_events, trades_from_orders
 
 FEATURES = ("spread", "closed_rate", "amount_ma_5", "client_mean_amount", "daily_volume")
@@ -133,6 +134,31 @@ def temporal_split(spark, sf):
     return split.temporal_split(t).select("op_id", "split")
 
 
+@query("split_report", sql("""
+SELECT split, count(*) AS rows, strftime(min(close_ts), '%Y-%m-%d %H:%M:%S') AS first_ts,
+  strftime(max(close_ts), '%Y-%m-%d %H:%M:%S') AS last_ts, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM (SELECT close_ts, CASE WHEN epoch_us(close_ts) <= (
+  SELECT quantile_cont(CAST(epoch_us(close_ts) AS DOUBLE), 0.8) FROM ops_events)
+  THEN 'train' ELSE 'test' END AS split FROM ops_events) GROUP BY split"""))
+def split_report(spark, sf):
+    t = trades_from_events(spark, sf).select("op_id", "close_ts")
+    out = split.split_report(split.temporal_split(t))
+    at = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("first_ts", "last_ts")}
+    return rounded(out.withColumns(at))
+
+
+@query("artifact_roundtrip", sql(
+    f"SELECT feature, {r('score', 'importance', 4)} FROM ({_f_sql()})", "loaded"))
+def artifact_roundtrip(spark, sf):
+    """Scores to an importance file and a feature list, then back and joined."""
+    scores = rounded(select.score_features(loaded(spark, sf), FEATURES), 4)
+    path = scratch_path(spark, "artifacts")
+    files.write_csv(scores.select("feature", F.col("score").alias("importance")), f"{path}/importance")
+    scores.select("feature").write.text(f"{path}/features")
+    listed = files.read_feature_list(spark, f"{path}/features")
+    return listed.join(files.read_importance(spark, f"{path}/importance"), "feature")
+
+
 @query("positional_split", sql("""
 SELECT op_id, row_index, CASE WHEN row_index < floor(n * 0.8) THEN 'train' ELSE 'test' END
   AS split

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,33 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_OPEN: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/voltide/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/voltide/{label}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in any store that Spark can reach."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end; write what shall stay elsewhere before."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            remove_path(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
