@@ -42,6 +42,24 @@ def test_no_row_window_in_one_task(spark, sf, name):
                 assert "_chunk" in line, line
 
 
+def test_client_columns_share_one_shuffle(spark, sf):
+    from voltide.plans.cleaning import load_trades
+    from voltide.session import materialize
+
+    t = materialize(trades_from_orders(spark, sf), "trades")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(load_trades(t))
+        raw = plan(load_trades(trades_from_orders(spark, sf)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert text.count("Exchange") == 1 and "Join" not in text
+    assert text.count("FileScan") == 1
+    # orders, customers and summed lines are joined by their keys, then one shuffle by client
+    assert raw.count("Exchange") <= 6 and raw.count("FileScan") == 3
+
+
 def test_no_cross_joins(spark, sf):
     for name in ("iqr_filter", "winsorize", "standard_scale", "error_by_quintile", "drift_report"):
         text = plan(QUERIES[name](spark, sf))

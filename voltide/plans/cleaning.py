@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voltide.operators import clean
 from voltide.operators.skew import GROUP_ROWS, GroupSizes, group_sizes
 from voltide.operators.stats import data_profile, profile_issues, with_group_stats
 from voltide.operators.windows import mean_of_last_5, rolling
-from voltide.schema import RATE_COLUMNS, drop_unused, numeric_columns, rename_raw, require_columns
+from voltide.schema import ORDER, RATE_COLUMNS, drop_unused, numeric_columns, rename_raw, require_columns
 from voltide.session import materialize
 
 
@@ -20,15 +21,44 @@ def with_daily_volume(df: DataFrame) -> DataFrame:
     )
 
 
+def _client_columns(df: DataFrame, nulls: bool) -> DataFrame:
+    """Rolling mean, client mean and daily volume of ordinary clients from one shuffle.
+
+    All three windows partition by the client, so they share its clustering and
+    sort. Rows without a client are spread and get nulls.
+    """
+    names, keys = df.columns, ["client_id"]
+    if nulls:
+        spread = F.pmod(F.xxhash64(*ORDER), F.lit(4096))
+        df = df.withColumn("_spread", F.when(F.col("client_id").isNull(), spread))
+        keys.append("_spread")
+    by_client = Window.partitionBy(*keys)
+    known = F.col("client_id").isNotNull()
+    frame = {s.name: s.over(by_client.orderBy(*ORDER)) for s in mean_of_last_5()}
+    frame["client_mean_amount"] = F.avg("amount").over(by_client)
+    dated = known & F.col("close_ts").isNotNull()
+    day = F.sum("amount").over(Window.partitionBy(*keys, "close_ts"))
+    new = {n: F.when(known, c) for n, c in frame.items()} if nulls else frame
+    return df.select(
+        *names, *[c.alias(n) for n, c in new.items()], F.when(dated, day).alias("daily_volume")
+    )
+
+
 def load_trades(
     df: DataFrame, sizes: GroupSizes | None = None, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Derived columns every later stage of the script chain expects."""
     df = rename_raw(drop_unused(df))
     require_columns(df, ["client_id", "close_ts", "amount", "op_id"])
-    df = rolling(df, mean_of_last_5(), sizes=sizes, group_rows=group_rows)
-    df = with_group_stats(df, ["client_id"], {"client_mean_amount": F.avg("amount")})
-    return with_daily_volume(df).withColumns(
+    sizes = sizes or group_sizes(df, ["client_id"], group_rows)
+    ordinary, large = sizes.split(df, ["client_id"])
+    out = _client_columns(ordinary, bool(sizes.null_rows))
+    if large is not None:
+        # a client too large for one task: chunks, and combined sums joined back
+        more = rolling(large, mean_of_last_5(), group_rows=group_rows)
+        more = with_group_stats(more, ["client_id"], {"client_mean_amount": F.avg("amount")})
+        out = out.unionByName(with_daily_volume(more))
+    return out.withColumns(
         {
             "month": F.month("close_ts"),
             "day_name": F.date_format("close_ts", "EEEE"),
