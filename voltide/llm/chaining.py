@@ -244,11 +244,13 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
     seeds = materialize(
         named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int"), "seeds"
     )
-    first = (
+    # stored, so that the join reads plain shuffles on both sides and hot seeds are split
+    first = materialize(
         seeds.groupBy("h")
         .agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("other"))
         .where("first.doc <> other")
-        .select("h", F.col("first.doc").alias("source"), F.col("first.at").alias("there"))
+        .select("h", F.col("first.doc").alias("source"), F.col("first.at").alias("there")),
+        "first-seeds",
     )
     matches = seeds.join(first, "h").where("doc <> source").select(
         "doc", "source", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long")).alias("m")
