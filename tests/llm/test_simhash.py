@@ -102,6 +102,32 @@ def test_dropping_keeps_one_of_each_group(spark):
     assert simhash.drop_near_duplicates(docs(spark, [])).collect() == []
 
 
+def jaccard(one, two):
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (one, two))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("most", [simhash.MOST_SHINGLES, 2000])
+def test_documents_below_the_similarity_stay(spark, most):
+    """Spread changes: five shingles each. Below 0.8 all stay, also where others of the group go."""
+    rows, want = [], []
+    for k in range(30):
+        base = words(300, 8000 + k)
+        rows.append((10 * k, " ".join(base)))
+        want.append(10 * k)
+        for j, count in enumerate((3, 4, 8, 10, 13), 1):
+            other = list(base)
+            for c in range(count):
+                other[5 + 20 * c + j] = f"z{k}x{j}x{c}"
+            rows.append((10 * k + j, " ".join(other)))
+            now = jaccard(rows[-1][1], rows[-1 - j][1])
+            assert now >= 0.8 if count <= 4 else 0.6 < now < 0.8
+            if count > 4:
+                want.append(10 * k + j)
+    kept = simhash.drop_near_duplicates(docs(spark, rows), most=most).collect()
+    assert sorted(r["doc_id"] for r in kept) == want
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     pairs = [(k, k + 1) for k in range(1, 40)] + [(1000, k) for k in range(1001, 1100)] + [(7, 7), (2, 1)]
     edges = spark.createDataFrame(pd.DataFrame(pairs, columns=["a", "b"]))

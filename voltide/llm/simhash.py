@@ -52,15 +52,19 @@ SMALL = 48
 #: the edge and nearly all closer ones.
 SIMILAR_SHINGLE, SIMILAR_WIDTH, SIMILAR_BITS = 5, 4, 46
 DRAWS, DRAWN = 48, 14
+#: Fingerprints only propose: a tie counts if the sets of shingles are so similar.
+SIMILAR = 0.8
+#: Shingles of the documents that one task compares exactly.
+MOST_SHINGLES = 2_000_000
 
 Keys = Callable[[np.ndarray], np.ndarray]
 
 
-def fingerprint(text: str, shingle: int = SHINGLE, width: int = 1) -> np.ndarray:
-    """``width`` numbers of 64 bits; a bit is 1 if it is set in over half the hashes."""
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all runs of ``shingle`` words, or of a shorter text as a whole."""
     words = words_of(text)
     if not words:
-        return np.zeros(width, np.uint64)
+        return np.zeros(0, np.uint64)
     if len(words) <= shingle:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
     else:
@@ -69,13 +73,24 @@ def fingerprint(text: str, shingle: int = SHINGLE, width: int = 1) -> np.ndarray
         starts = [0, *(e + 1 for e in ends[: -shingle])]
         hash_of = xxhash.xxh64_intdigest
         hashes = [hash_of(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :])]
-    base = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def fingerprint(text: str, shingle: int = SHINGLE, width: int = 1) -> np.ndarray:
+    """``width`` numbers of 64 bits; a bit is 1 if it is set in over half the hashes."""
+    return fold(shingles(text, shingle), width)
+
+
+def fold(base: np.ndarray, width: int = 1) -> np.ndarray:
+    """The fingerprint of shingles."""
+    if not len(base):
+        return np.zeros(width, np.uint64)
     out = np.empty(width, np.uint64)
     for no in range(width):
         bits = np.unpackbits(
             _stirred(base, no).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
         )
-        ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+        ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(base)
         out[no] = np.packbits(ones, bitorder="little").view("<u8")[0]
     return out
 
@@ -309,7 +324,7 @@ def _classes(found: DataFrame, ties: DataFrame) -> DataFrame:
 
 
 def _nodes(found: DataFrame) -> DataFrame:
-    return found.groupBy("node").agg(F.first("fp").alias("fp"))
+    return found.groupBy("node").agg(F.min("fp").alias("fp"))
 
 
 def near_duplicates(
@@ -323,17 +338,119 @@ def near_duplicates(
     )
 
 
+def _set_of(base: np.ndarray) -> tuple[np.ndarray, int]:
+    """The set of shingles and a hash that names it."""
+    own = np.unique(base)
+    return own, np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)).astype(np.int64)
+
+
+def set_fingerprints(docs: DataFrame, shingle: int, width: int) -> DataFrame:
+    """``doc_id, node, fp``: ``node`` names the set of shingles."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            bases = [shingles(t, shingle) for t in frame["text"]]
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"], "node": np.array([_set_of(b)[1] for b in bases], np.int64),
+                "fp": [fold(b, width).astype("<u8").tobytes() for b in bases],
+            })
+
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(
+        of, f"doc_id {id_type}, node long, fp binary"
+    )
+
+
+def similar(nodes: np.ndarray, sets: list[np.ndarray], least: float = SIMILAR) -> np.ndarray:
+    """Ties that connect what sets with a Jaccard similarity of ``least`` or more connect."""
+    sizes = np.array([len(x) for x in sets])
+    order = np.argsort(sizes, kind="stable")
+    sizes, nodes = sizes[order], nodes[order]
+    codes = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1]
+    starts = np.r_[0, np.cumsum(sizes)]
+    mark = np.zeros(int(codes.max()) + 1 if len(codes) else 1, np.int32)
+    left, links = np.ones(len(nodes), bool), []
+    for first in range(len(nodes)):
+        waiting = [first] if left[first] else []
+        left[first] = False
+        while waiting:
+            node = waiting.pop()
+            # sets that are similar enough have sizes within this range
+            low = int(np.searchsorted(sizes, least * sizes[node] - 1e-6))
+            high = int(np.searchsorted(sizes, sizes[node] / least + 1e-6, "right"))
+            there = low + np.flatnonzero(left[low:high])
+            if not len(there) or not sizes[node]:
+                continue
+            mine = codes[starts[node] : starts[node + 1]]
+            mark[mine] = 1
+            # a running sum, so that sets that are tied already may lie in between
+            total = np.r_[0, np.cumsum(mark[codes[starts[low] : starts[high]]])]
+            mark[mine] = 0
+            both = total[starts[there + 1] - starts[low]] - total[starts[there] - starts[low]]
+            found = there[both >= least * (sizes[node] + sizes[there] - both) - 1e-9]
+            links += [(nodes[node], nodes[i]) for i in found]
+            left[found] = False
+            waiting += found.tolist()
+    return np.array(links, np.int64).reshape(-1, 2)
+
+
+def verified(
+    docs: DataFrame, found: DataFrame, ties: DataFrame, shingle: int = SIMILAR_SHINGLE,
+    least: float = SIMILAR, most: int = MOST_SHINGLES,
+) -> DataFrame:
+    """``a, b``: ties between nodes whose sets of shingles are similar enough.
+
+    All sets that ``ties`` connect are compared with each other, so a node whose tie
+    fails is tried with all its other candidates. More than ``most`` shingles are
+    compared in pairs of chunks, each pair in its own task.
+    """
+    roots = materialize(components(ties), "proposed")
+    tied = found.join(roots, "node").select(F.col("doc_id").alias("tied_")).distinct()
+
+    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            made = [_set_of(shingles(t, shingle)) for t in frame["text"]]
+            yield pd.DataFrame({
+                "node": np.array([n for _, n in made], np.int64), "size": [len(x) for x, _ in made],
+                "set": [x.astype("<u8").tobytes() for x, _ in made],
+            })
+
+    texts = docs.join(tied, F.col("doc_id") == F.col("tied_"), "left_semi").select(text_or_empty().alias("text"))
+    sets = texts.mapInPandas(of, "node long, size long, set binary").dropDuplicates(["node"])
+    sets = materialize(sets.join(roots, "node"), "shingle-sets")
+    chunks = sets.groupBy("root").agg(F.expr(f"cast(ceil(2.0D * sum(size) / {most}) as int)").alias("chunks"))
+    meets = (
+        sets.join(chunks, "root")
+        .withColumn("chunks", F.expr("if(chunks <= 2, 1, chunks)"))
+        .withColumn("mine", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+        .select(
+            "node", "set",
+            F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"),
+        )
+    )
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        pairs = similar(frame["node"].to_numpy(), [np.frombuffer(x, "<u8") for x in frame["set"]], least)
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    return meets.groupBy("key").applyInPandas(compare, "a long, b long")
+
+
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = SIMILAR_SHINGLE, bits: int = SIMILAR_BITS, width: int = SIMILAR_WIDTH,
-    draws: int = DRAWS, drawn: int = DRAWN, group: int = GROUP,
+    draws: int = DRAWS, drawn: int = DRAWN, group: int = GROUP, least: float = SIMILAR, most: int = MOST_SHINGLES,
 ) -> DataFrame:
     """The row with the smallest id of each group of similar documents, columns as they came.
 
-    Of rows that share that id one stays. Rows without an id stay.
+    Fingerprints propose pairs; those count whose sets of shingles have a Jaccard
+    similarity of ``least`` or more. Of rows that share that id one stays. Rows
+    without an id stay.
     """
     named = docs.where("doc_id IS NOT NULL")
-    found = materialize(fingerprints(named, shingle, width), "fingerprints")
-    ties = linked(_nodes(found), band_keys(draws, drawn, width), bits, width, group)
+    found = materialize(set_fingerprints(named, shingle, width), "fingerprints")
+    proposed = linked(_nodes(found), band_keys(draws, drawn, width), bits, width, group)
+    ties = materialize(verified(named, found, proposed, shingle, least, most), "ties")
     keep = _classes(found, ties).select(F.col("component_id").alias("keep_")).distinct()
     kept = named.join(keep, F.col("doc_id") == F.col("keep_"), "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
