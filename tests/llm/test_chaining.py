@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import docs, prose, words
 from voltide.llm import chaining
@@ -63,6 +64,24 @@ def test_hot_passage_and_common_line(spark):
     assert {r["source_id"] for r in found} == {0}
 
 
+@pytest.mark.parametrize(("rate", "least"), [(0.05, 0.99), (0.1, 0.9), (0.2, 0.6)])
+def test_passages_with_changed_words(spark, rate, least):
+    rng, rows, count, n = random.Random(5), [], 100, 60
+    for k in range(count):
+        passage = words(n, 10_000 + k)
+        changed = list(passage)
+        for at in rng.sample(range(n), int(rate * n)):
+            changed[at] = f"changed{k}x{at}"
+        rows.append((k, f"{prose(90, 20_000 + k)} {' '.join(passage)} {prose(90, 30_000 + k)}"))
+        rows.append((count + k, f"{prose(90, 40_000 + k)} {' '.join(changed)} {prose(90, 50_000 + k)}"))
+    found = chaining.passages(docs(spark, rows)).collect()
+    got = {(r["doc_id"], r["source_id"]) for r in found}
+    assert got <= {(count + k, k) for k in range(count)}
+    assert len(got) >= least * count
+    for r in found:
+        assert 80 <= r["start"] and r["end"] <= 90 + n + 10
+
+
 def test_empty_tables(spark):
     assert chaining.passages(docs(spark, [])).collect() == []
     assert chaining.passages(docs(spark, [(1, prose(80, 1)), (2, prose(80, 2))])).collect() == []

@@ -7,7 +7,8 @@ documents share costs one row a seed, never a pair of documents. Matches of a
 document with one source are chained in order, with a cost for gaps, through a
 Fenwick tree of best scores. Chains are then aligned word by word: seeds are
 extended at both ends and the gaps between them are aligned, which finds passages
-with small changes inside.
+with small changes inside. A single match is aligned too, for a passage with many changes
+may have no other.
 
 A passage counts if it, with passages that touch it, has ``LEAST_WORDS`` words or
 more and ``LEAST_SAME`` of its words stand in the source too.
@@ -36,8 +37,8 @@ from pyspark.sql.types import StringType
 from voltide.llm.common import materialize, words_of
 from voltide.llm.url_filter import build_filter, maybe_listed
 
-K = 8
-WINDOW = 16
+K = 6
+WINDOW = 6
 LEAST_WORDS = 50
 LEAST_SAME = 0.8
 #: Words of the shortest part that may join with a neighbour to reach the least.
@@ -47,7 +48,9 @@ MOST_GAP = 40
 #: Gain of a match and cost of a word skipped on either side.
 GAIN, GAP_COST = 8.0, 0.25
 #: Words to either side of a chain in which it may be extended.
-AROUND = 48
+AROUND = 96
+#: An extension ends where it has lost so much from its best: a changed word loses 3.
+MOST_LOST = 15
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -142,7 +145,7 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     n = min(len(a), len(b))
     same = a[:n] == b[:n]
     total = np.cumsum(np.where(same, 1, -3))
-    fallen = np.flatnonzero(np.maximum.accumulate(np.r_[0, total])[1:] - total > 6)
+    fallen = np.flatnonzero(np.maximum.accumulate(np.r_[0, total])[1:] - total > MOST_LOST)
     total = total[: fallen[0]] if len(fallen) else total
     if not len(total) or total.max() <= 0:
         return 0, 0
@@ -150,10 +153,32 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return far, int(same[:far].sum())
 
 
-def align(mine: np.ndarray, theirs: np.ndarray, path: np.ndarray, k: int = K) -> tuple[int, int, int, int, int] | None:
+def _ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths at which two lists may stop agreeing, each after two equal words, and the equal words up to there."""
+    n = min(len(a), len(b), AROUND)
+    same = a[:n] == b[:n]
+    at = np.r_[0, np.flatnonzero(same[1:] & same[:-1]) + 2]
+    return at, np.r_[0, np.cumsum(same)][at]
+
+
+def _longest(left: tuple, right: tuple, size: int, same: int, share: float) -> tuple[int, int, int, int]:
+    """The longest extension to both sides with which ``share`` of all words is equal:
+    words to the left and equal ones of them, words to the right and equal ones."""
+    words = left[0][:, None] + right[0][None, :] + size
+    equal = left[1][:, None] + right[1][None, :] + same
+    i, j = np.unravel_index(np.where(equal >= share * words, words, 0).argmax(), words.shape)
+    return int(left[0][i]), int(left[1][i]), int(right[0][j]), int(right[1][j])
+
+
+def align(
+    mine: np.ndarray, theirs: np.ndarray, path: np.ndarray, k: int = K,
+    least: int = LEAST_WORDS, share: float = LEAST_SAME,
+) -> tuple[int, int, int, int, int] | None:
     """``(start, end, source start, source end, equal words)`` of an aligned chain.
 
-    None if a match of the chain does not stand in these texts.
+    A chain is extended as far as that gains; if it is too short then, as far as
+    ``share`` of its words allows. None if a match of the chain does not stand in
+    these texts.
     """
     first, last = path[0], path[-1]
     for p, q in path:
@@ -168,6 +193,14 @@ def align(mine: np.ndarray, theirs: np.ndarray, path: np.ndarray, k: int = K) ->
             same += k - overlap + _common(mine[p + k : p2], theirs[q + k : q2])
     left, left_same = _extend(mine[: first[0]][::-1], theirs[: first[1]][::-1])
     right, right_same = _extend(mine[last[0] + k :], theirs[last[1] + k :])
+    size = int(last[0] + k - first[0])
+    if left + size + right < least or same + left_same + right_same < share * (left + size + right):
+        before = _ends(mine[: first[0]][::-1], theirs[: first[1]][::-1])
+        after = _ends(mine[last[0] + k :], theirs[last[1] + k :])
+        if same + before[1][-1] + after[1][-1] >= share * least:
+            far = _longest(before, after, size, same, share)
+            if far[0] + size + far[2] >= least:
+                left, left_same, right, right_same = far
     return (
         int(first[0] - left), int(last[0] + k + right), int(first[1] - left),
         int(last[1] + k + right), int(same + left_same + right_same),
@@ -233,12 +266,12 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
                 packed = np.asarray(packed, np.int64)
                 for whole in chain(np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)):
                     for part in parts_of(whole, k=k):
-                        if len(part) > 1:
-                            doc.append(d)
-                            source.append(s)
-                            path.append(part.astype("<i4").tobytes())
-                            begin.append(max(0, int(part[0, 1]) - AROUND))
-                            size.append(int(part[-1, 1]) + k + AROUND - begin[-1])
+                        # a part of one match too: aligning it tells whether it is a passage
+                        doc.append(d)
+                        source.append(s)
+                        path.append(part.astype("<i4").tobytes())
+                        begin.append(max(0, int(part[0, 1]) - AROUND))
+                        size.append(int(part[-1, 1]) + k + AROUND - begin[-1])
             yield pd.DataFrame({"doc": doc, "source": source, "path": path, "begin": begin, "size": size})
 
     seeds = materialize(
@@ -256,7 +289,7 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
         "doc", "source", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long")).alias("m")
     )
     # a document's matches are at most its seeds
-    paired = matches.groupBy("doc", "source").agg(F.collect_list("m").alias("matches")).where("size(matches) > 1")
+    paired = matches.groupBy("doc", "source").agg(F.collect_list("m").alias("matches"))
     schema = "doc long, source long, path binary, begin int, size int"
     return materialize(paired.mapInPandas(link, schema), "chains")
 
@@ -299,7 +332,7 @@ def passages(
                 spans = []
                 for c in found:
                     path = np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64) - [0, c["begin"]]
-                    span = align(mine, _codes(words_of(c["passage"])), path, k)
+                    span = align(mine, _codes(words_of(c["passage"])), path, k, least, share)
                     if span:
                         s, e, s2, e2, same = span
                         spans.append((s, e, s2 + c["begin"], e2 + c["begin"], same, c["source"]))
