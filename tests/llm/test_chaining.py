@@ -82,6 +82,23 @@ def test_passages_with_changed_words(spark, rate, least):
         assert 80 <= r["start"] and r["end"] <= 90 + n + 10
 
 
+def test_passages_of_repeated_units(spark):
+    rows, want = [], {}
+    for k, unit in enumerate((1, 2, 6, 10, 12, 16, 20)):
+        passage = (words(unit, 60_000 + k) * 240)[:240]
+        longer = (words(unit, 60_000 + k) * 600)[:600]
+        rows.append((k, f"{prose(90, 61_000 + k)} {' '.join(passage)} {prose(90, 62_000 + k)}"))
+        rows.append((100 + k, f"{prose(70, 63_000 + k)} {' '.join(passage)} {prose(90, 64_000 + k)}"))
+        rows.append((200 + k, f"{prose(70, 65_000 + k)} {' '.join(longer)} {prose(90, 66_000 + k)}"))
+        want |= {100 + k: set(range(70, 310)), 200 + k: set(range(70, 670))}
+    got: dict[int, set] = {}
+    for r in chaining.passages(docs(spark, rows)).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    assert set(got) == set(want)
+    for k, whole in want.items():
+        assert len(got[k] & whole) >= 0.98 * len(whole) and len(got[k] - whole) <= 10, k
+
+
 def test_empty_tables(spark):
     assert chaining.passages(docs(spark, [])).collect() == []
     assert chaining.passages(docs(spark, [(1, prose(80, 1)), (2, prose(80, 2))])).collect() == []

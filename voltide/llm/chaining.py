@@ -1,8 +1,8 @@
 """Substring dedup by collinear chaining of shared k-mers.
 
 Each document is reduced to seeds: of every ``WINDOW`` successive runs of ``K``
-words the one with the least hash. Seeds with one hash are joined to the place of
-that hash in the document with the smallest id, so a passage that a third of all
+words the one with the least hash. Seeds with one hash are joined to the places
+of that hash in the document with the smallest id, so a passage that a third of all
 documents share costs one row a seed, never a pair of documents. Matches of a
 document with one source are chained in order, with a cost for gaps, through a
 Fenwick tree of best scores. Chains are then aligned word by word: seeds are
@@ -51,6 +51,8 @@ GAIN, GAP_COST = 8.0, 0.25
 AROUND = 96
 #: An extension ends where it has lost so much from its best: a changed word loses 3.
 MOST_LOST = 15
+#: A seed's places here and there are all paired up to so many pairs; beyond, runs are aligned.
+MOST_PAIRS = 64
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -74,6 +76,48 @@ def seeds_of(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, n
     return hashes[at].view(np.int64), at
 
 
+def _runs(places: np.ndarray) -> list[np.ndarray]:
+    """Places cut into runs of one step."""
+    out, at = [], 0
+    steps = np.diff(places)
+    while at < len(places):
+        end = at + 1
+        if end < len(places):
+            other = np.flatnonzero(steps[at:] != steps[at])
+            end = at + int(other[0]) + 1 if len(other) else len(places)
+        out.append(places[at:end])
+        at = end
+    return out
+
+
+def pairs_of(here: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Matches of a seed that stands at several places here or there.
+
+    Many places are those of a repeated unit. Each run of one step here is then laid
+    along the longest run of that step there, again and again while it is longer, and
+    along its end; without one, the n-th place here meets the n-th there, from both ends.
+    """
+    if len(here) * len(there) <= MOST_PAIRS:
+        return np.stack([np.repeat(here, len(there)), np.tile(there, len(here))], axis=1)
+    longest: dict[int, np.ndarray] = {}
+    for run in _runs(there):
+        step = int(run[1] - run[0]) if len(run) > 1 else 0
+        if len(run) > len(longest.get(step, ())):
+            longest[step] = run
+    n = min(len(here), len(there))
+    out = [
+        np.stack([here, np.full(len(here), there[0])], axis=1),
+        np.stack([here[:n], there[:n]], axis=1), np.stack([here[-n:], there[-n:]], axis=1),
+    ]
+    for run in _runs(here):
+        other = longest.get(int(run[1] - run[0])) if len(run) > 1 else None
+        if other is not None:
+            n = min(len(run), len(other))
+            out.append(np.stack([run, other[np.arange(len(run)) % len(other)]], axis=1))
+            out.append(np.stack([run[-n:], other[-n:]], axis=1))
+    return np.concatenate(out)
+
+
 def chain(matches: np.ndarray, gain: float = GAIN, cost: float = GAP_COST) -> list[np.ndarray]:
     """Best chains of matches ``(place here, place there)``, each used once.
 
@@ -225,6 +269,21 @@ def accepted(spans: list[tuple], least: int, share: float) -> list[tuple]:
     return out
 
 
+def _adding(single: list[tuple], known: list[tuple]) -> list[tuple]:
+    """Spans of single matches, less those of which all but a few words are in a known or longer one."""
+    out: list[tuple] = []
+    if not single:
+        return out
+    seen = np.zeros(max(s[1] for s in [*single, *known]), bool)
+    for span in known:
+        seen[span[0] : span[1]] = True
+    for span in sorted(single, key=lambda s: (s[0] - s[1], s)):
+        if np.count_nonzero(~seen[span[0] : span[1]]) >= LEAST_PART:
+            out.append(span)
+            seen[span[0] : span[1]] = True
+    return out
+
+
 def _codes(words: list[bytes]) -> np.ndarray:
     return np.array([zlib.crc32(w) for w in words], np.uint32)
 
@@ -252,20 +311,44 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
     def seed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [seeds_of(t, k, window) for t in frame["text"]]
-            n = [len(h) for h, _ in found]
+            once, n, more = [], [], []
+            for h, p in found:
+                own, at, count = np.unique(h, return_index=True, return_counts=True)
+                rest: list = [None] * len(own)
+                for i in np.flatnonzero(count > 1):
+                    rest[i] = p[h == own[i]].astype("<i4").tobytes()
+                once.append((own, p[at]))
+                n.append(len(own))
+                more += rest
             yield pd.DataFrame({
-                "h": np.concatenate([h for h, _ in found]) if found else [],
+                "h": np.concatenate([h for h, _ in once]) if once else [],
                 "doc": np.repeat(frame["doc_id"].to_numpy(), n),
-                "at": np.concatenate([p for _, p in found]).astype(np.int32) if found else [],
+                "at": np.concatenate([p for _, p in once]).astype(np.int32) if once else [],
+                "places": pd.Series(more, dtype=object),
             })
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             doc, source, path, begin, size = [], [], [], [], []
-            for d, s, packed in zip(frame["doc"], frame["source"], frame["matches"]):
+            for d, s, packed, repeated in zip(frame["doc"], frame["source"], frame["matches"], frame["repeated"]):
                 packed = np.asarray(packed, np.int64)
-                for whole in chain(np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)):
+                found = [np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)]
+                for r in repeated:
+                    here, there = (
+                        np.frombuffer(x, "<i4").astype(np.int64) if x is not None else np.array([at], np.int64)
+                        for x, at in ((r["places"], r["at"]), (r["theirs"], r["there"]))
+                    )
+                    found.append(pairs_of(here, there))
+                sure: list[tuple[int, int]] = []
+                for whole in chain(np.concatenate(found)):
                     for part in parts_of(whole, k=k):
+                        start, end = int(part[0, 0]), int(part[-1, 0]) + k
+                        # a better chain has these words as an exact passage already
+                        if any(a <= start and end <= b for a, b in sure):
+                            continue
+                        step = np.diff(part, axis=0)
+                        if end - start >= LEAST_WORDS and (step[:, 0] == step[:, 1]).all() and step.max() <= k:
+                            sure.append((start, end))
                         # a part of one match too: aligning it tells whether it is a passage
                         doc.append(d)
                         source.append(s)
@@ -275,21 +358,31 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
             yield pd.DataFrame({"doc": doc, "source": source, "path": path, "begin": begin, "size": size})
 
     seeds = materialize(
-        named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int"), "seeds"
+        named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int, places binary"), "seeds"
     )
     # stored, so that the join reads plain shuffles on both sides and hot seeds are split
     first = materialize(
         seeds.groupBy("h")
-        .agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("other"))
+        .agg(F.min(F.struct("doc", "at", "places")).alias("first"), F.max("doc").alias("other"))
         .where("first.doc <> other")
-        .select("h", F.col("first.doc").alias("source"), F.col("first.at").alias("there")),
+        .select(
+            "h", F.col("first.doc").alias("source"), F.col("first.at").alias("there"),
+            F.col("first.places").alias("theirs"),
+        ),
         "first-seeds",
     )
+    several = F.col("places").isNotNull() | F.col("theirs").isNotNull()
     matches = seeds.join(first, "h").where("doc <> source").select(
-        "doc", "source", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long")).alias("m")
+        "doc", "source",
+        F.when(
+            ~several, F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long"))
+        ).alias("m"),
+        F.when(several, F.struct("at", "places", "there", "theirs")).alias("r"),
     )
     # a document's matches are at most its seeds
-    paired = matches.groupBy("doc", "source").agg(F.collect_list("m").alias("matches"))
+    paired = matches.groupBy("doc", "source").agg(
+        F.collect_list("m").alias("matches"), F.collect_list("r").alias("repeated")
+    )
     schema = "doc long, source long, path binary, begin int, size int"
     return materialize(paired.mapInPandas(link, schema), "chains")
 
@@ -329,14 +422,17 @@ def passages(
             rows = []
             for doc_id, text, key, found in zip(frame["doc_id"], frame["text"], frame["text_key"], frame["chains"]):
                 mine = _codes(words_of(text))
-                spans = []
+                spans, single = [], []
                 for c in found:
                     path = np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64) - [0, c["begin"]]
                     span = align(mine, _codes(words_of(c["passage"])), path, k, least, share)
                     if span:
                         s, e, s2, e2, same = span
-                        spans.append((s, e, s2 + c["begin"], e2 + c["begin"], same, c["source"]))
-                kept = accepted(spans, least, share)
+                        (spans if len(path) > 1 else single).append(
+                            (s, e, s2 + c["begin"], e2 + c["begin"], same, c["source"])
+                        )
+                single = [x for x in single if x[4] >= share * (x[1] - x[0])]
+                kept = accepted([*spans, *_adding(single, accepted(spans, least, share))], least, share)
                 if kept:
                     edges = [m.span() for m in _WORD.finditer(text)]
                     rows += [
