@@ -6,6 +6,7 @@ from voltide.llm import (  # noqa: F401
     q_divergence,
     q_page_text,
     q_simhash,
+    q_source_audit,
     q_tokens,
     q_tree_forest,
     q_url_filter,
