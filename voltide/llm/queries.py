@@ -10,6 +10,7 @@ from voltide.llm import (  # noqa: F401
     q_tokens,
     q_tree_forest,
     q_url_filter,
+    q_whitening,
 )
 from voltide.llm.catalog import ORACLES, QUERIES
 
