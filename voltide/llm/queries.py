@@ -4,6 +4,7 @@ from voltide.llm import (  # noqa: F401
     q_chaining,
     q_context_tree,
     q_divergence,
+    q_language,
     q_page_text,
     q_simhash,
     q_source_audit,
