@@ -8,7 +8,7 @@ from voltide.plans.catalog import query, rounded
 from voltide.plans.oracle import r, sql
 from voltide.plans.views import scored_events
 from voltide.schema import rename_raw
-from voltide.session import scratch_path
+from voltide.session import materialize, scratch_path
 from voltide.sources import files
 from voltide.sources.tables import read_table, trades_from_events, trades_from_orders
 
@@ -57,6 +57,26 @@ def src_multi_file(spark, sf):
     return rounded(back.withColumn("has_file", has_file).drop("file_name"), 8, amount=6)
 
 
+@query("src_csv_by_name", sql(f"""
+SELECT op_id, CASE WHEN op_id % 3 <> 1 THEN client_id END AS client_id, amount,
+  {r('predicted_amount', 'predicted_amount', 8)}, CASE WHEN op_id % 3 = 2 THEN 'late' END AS note,
+  op_id % 3 AS batch FROM scored_events""", "scored_events"))
+def src_csv_by_name(spark, sf):
+    """Three batches of files: one in order, one shuffled and short of a column, one with more."""
+    t = materialize(
+        scored_events(spark, sf).select("op_id", "client_id", "amount", "predicted_amount"), "scored")
+    root = scratch_path(spark, "by-name")
+    batches = (["op_id", "client_id", "amount", "predicted_amount"],
+               ["predicted_amount", "amount", "op_id"],
+               ["client_id", "note", "op_id", "predicted_amount", "amount"])
+    for k, names in enumerate(batches):
+        part = t.where(F.col("op_id") % 3 == k).withColumn("note", F.lit("late"))
+        part.select(*names).repartition(2, "op_id").write.option("header", True).csv(f"{root}/batch={k}")
+    back = files.read_prediction_files(spark, f"{root}/batch=*", t.schema).drop("file_name")
+    parts = back.withColumn("batch", F.col("op_id") % 3)
+    return rounded(parts, 8, amount=6)
+
+
 @query("union_batches", sql("""
 SELECT op_id, amount, category, NULL::DOUBLE AS spread FROM ops_events
 UNION ALL SELECT op_id, amount, NULL, spread FROM ops_orders"""))

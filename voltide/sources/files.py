@@ -11,15 +11,20 @@ from pyspark.sql import types as T
 
 from voltide.operators.monitor import RECORD, keep_recent
 from voltide.schema import missing_columns
+from voltide.sources.by_name import read_csv_by_name
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with one header line and declared types; a bad value fails the job."""
-    return spark.read.schema(schema).options(header=True, mode="FAILFAST").csv(path)
+    """CSV with one header line and declared types, columns in any order.
+
+    A bad value fails the job, a file without one of the columns is an error, further
+    columns are left out.
+    """
+    return read_csv_by_name(spark, path, schema, extra=False, missing=False)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_table(df: DataFrame, path: str, month_of: str | None = None) -> None:
@@ -57,7 +62,7 @@ def read_two_header_export(
 
 
 def write_two_header_export(df: DataFrame, path: str, junk: str = "OPES") -> None:
-    """The same layout: every file gets a junk line and a row of names."""
+    """The same layout: every file gets a junk line, the first one the row of names."""
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     labels = text.sparkSession.createDataFrame([tuple(df.columns)], text.schema)
     headed = labels.coalesce(1).union(text)
@@ -68,11 +73,8 @@ def write_two_header_export(df: DataFrame, path: str, junk: str = "OPES") -> Non
 
 
 def read_prediction_files(spark: SparkSession, pattern: str, schema=None) -> DataFrame:
-    """All prediction files of a pattern with the file each row came from."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(pattern)
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    """All prediction files of a pattern, by column name, with the file each row came from."""
+    return read_csv_by_name(spark, pattern, schema, file_name="file_name")
 
 
 def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
