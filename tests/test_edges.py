@@ -148,7 +148,7 @@ def test_metric_record_round_trip(spark, tmp_path):
     record = files.metric_record(
         spark, ts, {"rmse": 120.0, "mae": 80.0, "mape": 1.0, "r2": 0.95},
         {"amount": {"mean_drift": 0.5, "std_drift": 0.0, "has_drift": True}})
-    files.write_metric_records(record, str(tmp_path / "m"))
+    files.write_metric_records(record, str(tmp_path / "m"), "r1")
     back = files.read_metric_records(spark, str(tmp_path / "m"))
     alerts = [r["message"] for r in monitor.metric_alerts(back).collect()]
     assert alerts == ["RMSE (120.00) excede el umbral (100.0)", "MAE (80.00) excede el umbral (50.0)",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from voltide.functions.calendar import is_us_holiday
 from voltide.operators import evaluate, forecast, monitor, select, split, stats
 from voltide.operators.quantiles import quantiles
+from voltide.sources.sinks import remove_old_days
 from voltide.operators.scale import StandardScale
 from voltide.plans.q_stream import stream_dedup
 from voltide.streaming import streams
@@ -118,9 +119,9 @@ def test_old_days_are_deleted(spark, tmp_path):
     path = str(tmp_path / "h")
     rows = [(dt.datetime(2024, 1, d, 12), {"rmse": 1.0 * d}, {}) for d in (1, 10, 20, 30)]
     monitor.append_history(spark.createDataFrame(rows, monitor.RECORD), path)
-    assert monitor.remove_old_days(spark, path, dt.datetime(2024, 2, 5), 20) == ["day=2024-01-01", "day=2024-01-10"]
+    assert remove_old_days(spark, path, dt.datetime(2024, 2, 5), 20) == ["day=2024-01-01", "day=2024-01-10"]
     assert monitor.read_history(spark, path).count() == 2
-    assert monitor.remove_old_days(spark, str(tmp_path / "none"), dt.datetime(2024, 2, 5)) == []
+    assert remove_old_days(spark, str(tmp_path / "none"), dt.datetime(2024, 2, 5)) == []
 
 
 def test_a_jobs_stored_tables_go_at_its_end(spark):

@@ -78,3 +78,67 @@ def test_only_wanted_columns_are_read(spark, tmp_path):
     plan = read_csv_by_name(spark, path, SCHEMA).where(F.col("a") > 1).select("b")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "c:string" not in text and text.count("GreaterThan(a,1)") >= 2
+
+
+PREDICTIONS = "op_id long, prediction_timestamp timestamp"
+
+
+def predictions(spark, *pairs):
+    import datetime as dt
+
+    return spark.createDataFrame(
+        [(i, d and dt.datetime.fromisoformat(d)) for i, d in pairs], PREDICTIONS)
+
+
+def test_a_run_replaces_its_own_rows_only(spark, tmp_path):
+    path = str(tmp_path / "p")
+    first = predictions(spark, (1, "2024-01-01T10:00:00"), (2, "2024-01-02T10:00:00"), (3, None))
+    other = predictions(spark, (9, "2024-01-01T11:00:00"))
+    for df, run in ((first, "a"), (other, "b"), (first, "a")):
+        files.append_predictions(df, path, run)
+    stored = spark.read.parquet(path)
+    assert rows(stored, "op_id", "run_id") == [(1, "a"), (2, "a"), (3, "a"), (9, "b")]
+    # fewer days: what the run said before is gone, the other run stays
+    files.append_predictions(predictions(spark, (2, "2024-01-02T10:00:00")), path, "a")
+    assert rows(spark.read.parquet(path), "op_id") == [(2,), (9,)]
+    files.append_predictions(predictions(spark), path, "a")
+    assert rows(spark.read.parquet(path), "op_id") == [(9,)]
+    with pytest.raises(ValueError, match="a run is named by"):
+        files.append_predictions(other, path, "../b")
+
+
+def test_records_and_events_of_a_repeated_run(spark, tmp_path):
+    import datetime as dt
+
+    record = files.metric_record(spark, dt.datetime(2024, 3, 1), {"rmse": 1.0}, {})
+    later = files.metric_record(spark, dt.datetime(2024, 3, 1), {"rmse": 2.0}, {})
+    for df, run in ((record, "a"), (record, "a"), (later, "b")):
+        files.write_metric_records(df, str(tmp_path / "m"), run)
+    back = files.read_metric_records(spark, str(tmp_path / "m"))
+    assert back.columns == record.columns and sorted(r["metrics"]["rmse"] for r in back.collect()) == [1.0, 2.0]
+
+    events = spark.createDataFrame(
+        [(dt.datetime(2024, m, 1), "login", "ok", None) for m in (1, 2, 3)],
+        "timestamp timestamp, event_type string, status string, details string")
+    now = F.lit(dt.datetime(2024, 3, 10))
+    for _ in range(2):
+        files.append_audit_events(events, str(tmp_path / "e"), "a", now)
+    import os
+
+    assert [d for d in sorted(os.listdir(tmp_path / "e")) if d.startswith("day")] == ["day=2024-03-01"]
+    assert files.read_audit_events(spark, str(tmp_path / "e"), now).count() == 1
+
+
+def test_monitoring_run_twice(spark, tmp_path):
+    import datetime as dt
+
+    from voltide.operators import monitor
+
+    path = str(tmp_path / "h")
+    records = spark.createDataFrame(
+        [(dt.datetime(2024, 1, d, 12), {"rmse": 200.0}, {}) for d in (1, 20, 31)], monitor.RECORD)
+    monitor.append_history(records, path)
+    for _ in range(2):
+        alerts, recent = monitor.run_monitoring(records, path, F.lit(dt.datetime(2024, 1, 31, 13)), days=15)
+        assert recent.count() == 2 and alerts.count() == 1
+    assert spark.read.parquet(path).count() == 2

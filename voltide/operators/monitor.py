@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 from voltide.operators.evaluate import ALERT_LIMITS, metric_columns
 from voltide.operators.stats import collect_stats
-from voltide.session import remove_path
+from voltide.sources.sinks import remove_old_days
 
 DRIFT = T.StructType(
     [
@@ -194,38 +193,23 @@ def run_id() -> Column:
 
 
 def append_history(records: DataFrame, path: str) -> None:
-    """Add records to the history, one folder per day."""
-    records.withColumn("run_id", run_id()).withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy(
-        "day"
-    ).parquet(path)
-
-
-def remove_old_days(spark: SparkSession, path: str, now, days: int = 30) -> list[str]:
-    """Delete the day folders that lie wholly more than ``days`` days before ``now``."""
-    oldest = now.date() - dt.timedelta(days=days)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []
-    # at most one name a day
-    gone = [n for n in names if n.startswith("day=") and n[4:] < oldest.isoformat()]
-    for name in gone:
-        remove_path(spark, f"{path}/{name}")
-    return sorted(gone)
+    """Add records to the history, one folder per day and record; a record that is there stays one."""
+    records.withColumns({"day": F.to_date("timestamp"), "run_id": run_id()}).dropDuplicates(["run_id"]).write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy("day", "run_id").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str, now=None, days: int | None = None) -> DataFrame:
     """The history table; old days are pruned by folder, then by timestamp.
 
-    A run that was repeated has written its record twice; one is kept. Different
-    records of one time are all kept.
+    Different records of one time are all kept.
     """
-    added = [T.StructField("run_id", T.StringType()), T.StructField("day", T.DateType())]
+    added = [T.StructField("day", T.DateType()), T.StructField("run_id", T.StringType())]
     history = spark.read.schema(T.StructType([*RECORD.fields, *added])).parquet(path)
     if days is not None:
         oldest = F.to_date(now - F.make_dt_interval(F.lit(days)))
         history = keep_recent(history.where(F.col("day") >= oldest), now, days)
-    return history.drop("day").dropDuplicates(["run_id"]).drop("run_id")
+    return history.drop("day", "run_id")
 
 
 def run_monitoring(
@@ -235,8 +219,12 @@ def run_monitoring(
     days: int = 30,
     limits: Mapping[str, float] = ALERT_LIMITS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Latest record -> alerts; the record joins the history; recent history."""
+    """Latest record -> alerts; it joins the history, old days go; recent history.
+
+    Run again, it leaves the same history.
+    """
+    spark = records.sparkSession
     latest = latest_record(records)
     append_history(latest, history_path)
-    spark = records.sparkSession
+    remove_old_days(spark, history_path, now, days)
     return metric_alerts(latest, limits), read_history(spark, history_path, now, days)

@@ -52,12 +52,13 @@ def production_run(
 ) -> tuple[DataFrame, DataFrame]:
     """Score a batch, measure drift and error, store predictions and the record.
 
-    ``training`` holds the training mean and std per feature. Returns the scored
+    A run is named by its time: run again, it replaces what it stored. ``training`` holds the training mean and std per feature. Returns the scored
     rows as stored and the metric record.
     """
     spark = batch.sparkSession
     scored = materialize(scorer.score(batch, F.lit(run_ts).cast("timestamp")), "scored")
-    append_predictions(scored, f"{out}/predictions")
+    run = run_ts.strftime("%Y%m%dT%H%M%S.%f")
+    append_predictions(scored, f"{out}/predictions", run)
     base = training.where(F.col("feature").isin(list(scorer.features)))
     now = monitor.training_stats(scored, scorer.features)
     drift = monitor.compare_stats(base, now, limits["drift"]).collect()  # one row per feature
@@ -69,6 +70,6 @@ def production_run(
         {m: metrics[m] for m in wanted if metrics[m] is not None},
         {r["feature"]: r.asDict() for r in drift},
     )
-    write_metric_records(record, f"{out}/metrics")
+    write_metric_records(record, f"{out}/metrics", run)
     return scored, record
 

@@ -71,7 +71,7 @@ def _from_files(spark, sf):
     from voltide.sources.files import read_metric_records, write_metric_records
 
     path = scratch_path(spark, "metrics")
-    write_metric_records(event_metric_records(spark, sf), path)
+    write_metric_records(event_metric_records(spark, sf), path, "daily")
     return read_metric_records(spark, path)
 
 
@@ -137,3 +137,18 @@ def monitoring_run(spark, sf):
     alerts, _ = monitor.run_monitoring(
         records, scratch_path(spark, "history"), now, limits=LIMITS)
     return rounded(alerts.withColumn("day", text_day("timestamp")).drop("timestamp"), 8)
+
+
+@query("history_reruns", sql(
+    f"SELECT {DAY}, count(*) AS records FROM records WHERE records.day >= "
+    "(SELECT CAST(max(close_ts) AS DATE) FROM ops_events) - 10 GROUP BY ALL", "scored_events", extra=RECORDS))
+def history_reruns(spark, sf):
+    """What the history's folders hold after every step was run twice."""
+    path = scratch_path(spark, "history")
+    records = event_metric_records(spark, sf)
+    now = F.lit(trades_from_events(spark, sf).agg(F.max("close_ts")).first()[0])
+    for _ in range(2):
+        monitor.append_history(records, path)
+        monitor.run_monitoring(records, path, now, days=10, limits=LIMITS)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(text_day("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("records"))

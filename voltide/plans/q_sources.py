@@ -93,9 +93,28 @@ SELECT strftime(CAST(close_ts AS DATE), '%Y-%m-%d') AS prediction_date, count(*)
 def prediction_table(spark, sf):
     t = scored_events(spark, sf).withColumns(error_columns())
     path = scratch_path(spark, "prediction-table")
-    files.append_predictions(t, path, ts="close_ts")
+    files.append_predictions(t, path, "first", ts="close_ts")
     stored = spark.read.parquet(path)
     daily = stored.groupBy("prediction_date").agg(
         F.count(F.lit(1)).alias("rows"), F.avg("abs_error").alias("mae"))
     return rounded(
         daily.withColumn("prediction_date", F.col("prediction_date").cast("string")), 8)
+
+
+@query("prediction_reruns", sql("""
+SELECT strftime(CAST(close_ts AS DATE), '%Y-%m-%d') AS prediction_date, 'daily' AS run_id, count(*) AS rows
+FROM scored_events GROUP BY ALL
+UNION ALL SELECT strftime(CAST(close_ts AS DATE), '%Y-%m-%d'), 'late', count(*)
+FROM scored_events, (SELECT min(CAST(close_ts AS DATE)) + 5 AS d FROM scored_events)
+WHERE CAST(close_ts AS DATE) > d GROUP BY ALL""", "scored_events"))
+def prediction_reruns(spark, sf):
+    """A run that is repeated, and one that is repeated with fewer days."""
+    t = materialize(scored_events(spark, sf), "scored")
+    path = scratch_path(spark, "prediction-table")
+    first = t.agg(F.date_add(F.to_date(F.min("close_ts")), 5)).first()[0]
+    late = t.where(F.to_date("close_ts") > F.lit(first))
+    for run, rows in (("daily", t), ("late", t), ("daily", t), ("late", late)):
+        files.append_predictions(rows, path, run, ts="close_ts")
+    stored = spark.read.parquet(path).groupBy("prediction_date", "run_id")
+    return stored.agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "prediction_date", F.col("prediction_date").cast("string"))

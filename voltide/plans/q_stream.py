@@ -60,7 +60,7 @@ def stream_drift(spark, sf):
 @query("stream_alerts", sql(_alert_sql(), "scored_events", extra=RECORDS))
 def stream_alerts(spark, sf):
     path = scratch_path(spark, "metrics")
-    write_metric_records(event_metric_records(spark, sf), path)
+    write_metric_records(event_metric_records(spark, sf), path, "daily")
     alerts = streams.alert_stream(streams.metric_stream(spark, path), LIMITS)
     out = streams.run_to_table(spark, alerts, streams.append_to)
     return rounded(out.withColumn("day", text_day("timestamp")).drop("timestamp"), 8)

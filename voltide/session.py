@@ -67,6 +67,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []
+
+
 @contextmanager
 def job(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside are deleted at the end; write what shall stay elsewhere before."""

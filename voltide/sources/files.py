@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from voltide.operators.monitor import RECORD, keep_recent
 from voltide.schema import missing_columns
 from voltide.sources.by_name import read_csv_by_name
+from voltide.sources.sinks import remove_old_days, replace_run
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -87,20 +88,21 @@ def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def append_predictions(df: DataFrame, path: str, ts: str = "prediction_timestamp") -> None:
-    """Add scored rows to the prediction table, one folder per day."""
-    df.withColumn("prediction_date", F.to_date(ts)).write.mode("append").partitionBy(
-        "prediction_date"
-    ).parquet(path)
+def append_predictions(
+    df: DataFrame, path: str, run: str, ts: str = "prediction_timestamp"
+) -> None:
+    """Add the scored rows of a run to the prediction table; the same run replaces its own."""
+    replace_run(df, path, run, ts, day="prediction_date")
 
 
-def write_metric_records(records: DataFrame, path: str) -> None:
-    records.write.mode("append").json(path)
+def write_metric_records(records: DataFrame, path: str, run: str) -> None:
+    """Add the metric records of a run as JSON; the same run replaces its own."""
+    replace_run(records, path, run, "timestamp", kind="json")
 
 
 def read_metric_records(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
     """Metric records, one object per line, or ``pretty`` with one object per file."""
-    return spark.read.schema(RECORD).option("multiLine", pretty).json(path)
+    return spark.read.schema(RECORD).option("multiLine", pretty).json(path).select(*RECORD.names)
 
 
 def metric_record(
@@ -138,19 +140,24 @@ def read_importance(spark: SparkSession, path: str) -> DataFrame:
 EVENT_COLUMNS = ("timestamp", "event_type", "status", "details")
 
 
-def append_audit_events(events: DataFrame, path: str) -> None:
-    """Audit events as JSON lines, one folder per day."""
+def append_audit_events(
+    events: DataFrame, path: str, run: str, now: Column | None = None, days: int = 30
+) -> None:
+    """Audit events of a run as JSON lines; the same run replaces its own.
+
+    With ``now``, days more than ``days`` days before it are deleted.
+    """
     gone = missing_columns(events, EVENT_COLUMNS)
     if gone:
         raise ValueError(f"audit events lack {gone}")
-    events.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy(
-        "day"
-    ).json(path)
+    replace_run(events, path, run, "timestamp", kind="json")
+    if now is not None:
+        remove_old_days(events.sparkSession, path, now, days)
 
 
 def read_audit_events(spark: SparkSession, path: str, now: Column, days: int = 30) -> DataFrame:
     """Audit events of the last days; older folders are not read."""
-    schema = "timestamp timestamp, event_type string, status string, details string, day date"
+    schema = "timestamp timestamp, event_type string, status string, details string, day date, run_id string"
     events = spark.read.schema(schema).json(path)
     oldest = F.to_date(now - F.make_dt_interval(F.lit(days)))
-    return keep_recent(events.where(F.col("day") >= oldest), now, days).drop("day")
+    return keep_recent(events.where(F.col("day") >= oldest), now, days).drop("day", "run_id")
