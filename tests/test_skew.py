@@ -102,10 +102,9 @@ def test_fill_missing_matches_pandas(trades, frame, chunk_rows):
     assert got.sort_index().astype(float).tolist() == v.sort_index().tolist()
 
 
-@pytest.mark.parametrize("ranked,sample", [(5, 2_000), (10**6, 2_000)])
-def test_searched_quantiles_match_pandas(trades, frame, monkeypatch, ranked, sample):
-    monkeypatch.setattr(q, "RANKED_ROWS", ranked)
-    monkeypatch.setattr(q, "SAMPLE_ROWS", sample)
+@pytest.mark.parametrize("bits", [13, 16, 64])
+def test_searched_quantiles_match_pandas(trades, frame, monkeypatch, bits):
+    monkeypatch.setattr(q, "DIGIT_BITS", bits)
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
     got = q.quantiles(trades, ["amount", "op_id"], probs, group_rows=1)
     for c in ("amount", "op_id"):
@@ -114,8 +113,7 @@ def test_searched_quantiles_match_pandas(trades, frame, monkeypatch, ranked, sam
 
 
 @pytest.mark.parametrize("group_rows", [1, 10, 50, 10_000])
-def test_grouped_quantiles_match_pandas(trades, frame, monkeypatch, group_rows):
-    monkeypatch.setattr(q, "RANKED_ROWS", 20)
+def test_grouped_quantiles_match_pandas(trades, frame, group_rows):
     found = q.grouped_quantiles(trades, ["amount"], [0.25, 0.5], ["client_id"], group_rows)
     got = {r["client_id"]: r["amount"] for r in found.collect()}
     want = frame.groupby("client_id")["amount"].quantile([0.25, 0.5]).unstack()
@@ -124,8 +122,7 @@ def test_grouped_quantiles_match_pandas(trades, frame, monkeypatch, group_rows):
         np.testing.assert_allclose(got[int(k)], row.to_numpy(), rtol=1e-12)
 
 
-def test_search_when_one_value_dominates(spark, monkeypatch):
-    monkeypatch.setattr(q, "RANKED_ROWS", 3)
+def test_search_when_one_value_dominates(spark):
     xs = [7.0] * 500 + [float(i) for i in range(100)] + [float("inf")]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = q.quantiles(df, ["x"], [0.0, 0.02, 0.5, 0.9, 1.0], group_rows=1)["x"]
@@ -158,3 +155,49 @@ def test_autocorrelation_over_chunks(trades, frame):
     d = x - x.mean()
     want = [np.sum(d[: len(d) - k] * d[k:]) / np.sum(d * d) for k in range(4)]
     np.testing.assert_allclose([r["acf"] for r in got], want, atol=1e-12)
+
+
+def test_codes_sort_as_doubles_do(spark):
+    import struct
+
+    rng = np.random.default_rng(2)
+    bits = rng.integers(0, 2**63, 3000, dtype=np.int64)
+    xs = [struct.unpack("<d", struct.pack("<q", int(b)))[0] for b in bits]
+    powers = [2.0**e for e in range(-1074, 1024, 7)] + [2.0**-1022, 2.0**1023]
+    xs += powers + [np.nextafter(p, 0) for p in powers] + [np.nextafter(p, np.inf) for p in powers]
+    xs += [0.0, 1.0, 0.1, 0.2, 1.7976931348623157e308, 5e-324, 2.2250738585072009e-308, float("inf")]
+    xs = [x for x in xs if x == x]
+    xs += [-x for x in xs] + [float("nan")]
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    got = {struct.pack("<d", r[0]): r[1] for r in df.select("x", q.value_code(F.col("x"))).collect()}
+
+    def want(x):
+        if x != x:
+            return (2048 << 52) - 1
+        code = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        return -code if x < 0 else code
+
+    assert all(got[struct.pack("<d", float(x))] == want(float(x)) for x in xs)
+
+
+def test_many_large_groups(spark):
+    """10,000 groups above the limit: state is a table, results equal those of one buffer."""
+    df = spark.range(60_000).selectExpr(
+        "id % 10000 AS g", "CASE WHEN id % 7 > 0 THEN (hash(id) % 1000) / 8.0D END AS x",
+        "CASE WHEN id % 10000 <> 5 THEN double(id) END AS y")
+    small = q.grouped_quantiles(df, ["x", "y"], [0.25, 0.5], ["g"])
+    large = q.grouped_quantiles(df, ["x", "y"], [0.25, 0.5], ["g"], group_rows=1)
+    both = small.exceptAll(large).count(), large.exceptAll(small).count(), large.count()
+    assert both == (0, 0, 10_000)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "SinglePartition" not in plan
+
+
+def test_searched_quantiles_of_one_table_take_four_passes(spark, monkeypatch):
+    stored = []
+    real = q.materialize
+    monkeypatch.setattr(q, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    df = spark.range(5000).selectExpr("double(hash(id)) * 1e-3 AS x")
+    probs = [k / 100 for k in range(101)]
+    assert q.quantiles(df, ["x"], probs, group_rows=1) == q.quantiles(df, ["x"], probs)
+    assert stored.count("ranks") <= 4

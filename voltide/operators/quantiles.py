@@ -1,29 +1,26 @@
 """Exact interpolated quantiles that never gather a large group in one task.
 
-An ordinary group is sorted in one buffer, which its row limit bounds. For
-larger groups a small sample guesses two
-values around each wanted rank, a count over all rows proves where the rank
-lies, and only values between the proven bounds are ranked. The sample steers
-the search; results do not depend on it.
+An ordinary group is sorted in one buffer, which its row limit bounds. The ranks of
+larger groups are found digit by digit in the order-preserving code of the values:
+every pass is a count over the rows that share the digits known so far.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from voltide.operators.skew import GROUP_ROWS, GroupSizes, any_null, group_sizes
+from voltide.session import materialize
 
-SAMPLE_ROWS = 200_000  # per searched group, fewer when many are searched
-ALL_SAMPLE_ROWS = 20_000_000
-RANKED_ROWS = 2_000_000  # rows between proven bounds that are ranked at once
-MARGIN = 6.0  # sample error bound in standard deviations
+#: Bits of a value's code that one pass counts by: four passes at most.
+DIGIT_BITS = 16
+#: Exponent of the smallest doubles.
+LEAST_EXPONENT = -1022
 
 
 def quantiles(
@@ -45,11 +42,11 @@ def quantiles(
         ordered = narrow.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in small])
         row = ordered.select(*[_interpolated(c, probs).alias(c) for c in small]).first()
         found = {c: list(row[c]) for c in small}
-    large = {(c,): counts[c] for c in columns if c not in small}
+    large = [c for c in dict.fromkeys(columns) if c not in small]
     if large:
-        long = _long(narrow, [c for (c,) in large], ())
-        for (c,), values in _search(long, (), large, probs).items():
-            found[c] = values
+        long = _long(narrow, large, ())
+        for row in _select(long, (), probs).collect():  # one row per column
+            found[row["_column"]] = list(row["_found"])
     return {c: found[c] for c in columns}
 
 
@@ -71,17 +68,18 @@ def grouped_quantiles(
     out = ordered.select(*by, *[_interpolated(c, probs).alias(c) for c in columns])
     if large is None:
         return out
-    counts = large.groupBy(*by).agg(*[F.count(c).alias(c) for c in columns]).collect()
-    targets = {
-        (*[r[k] for k in by], c): r[c] for r in counts for c in columns if r[c] > 0
-    }
-    values = _search(_long(large, columns, by), by, targets, probs)
-    none = [None] * len(probs)
-    rows = [
-        (*[r[k] for k in by], *[values.get((*[r[k] for k in by], c), none) for c in columns])
-        for r in counts
-    ]
-    return out.unionByName(df.sparkSession.createDataFrame(rows, out.schema))
+    selected = _select(_long(large, columns, by), by, probs)
+    empty = F.array_repeat(F.lit(None).cast("double"), len(probs))
+    wide = selected.groupBy(*by).agg(
+        *[F.first(F.when(F.col("_column") == c, F.col("_found")), ignorenulls=True).alias(c) for c in columns]
+    )
+    # groups without any value have a row too
+    whole = sizes.large.select(*by).join(wide, list(by), "left")
+    return out.unionByName(whole.select(*by, *[F.coalesce(c, empty).alias(c) for c in columns]))
+
+
+def _between(at: Column, low: Column, high: Column, a: Column, b: Column) -> Column:
+    return F.when(a == b, a).otherwise((high - at) * a + (at - low) * b)
 
 
 def _interpolated(ordered: str, probs: Sequence[float]) -> Column:
@@ -92,8 +90,7 @@ def _interpolated(ordered: str, probs: Sequence[float]) -> Column:
     def one(p: Column) -> Column:
         at = p * (n - 1)
         low, high = F.floor(at).cast("int"), F.ceil(at).cast("int")
-        a, b = F.get(ordered, low), F.get(ordered, high)
-        return F.when(a == b, a).otherwise((high - at) * a + (at - low) * b)
+        return _between(at, low, high, F.get(ordered, low), F.get(ordered, high))
 
     empty = F.array_repeat(F.lit(None).cast("double"), len(probs))
     return F.when(n > 0, F.transform(grid, one)).otherwise(empty)
@@ -106,195 +103,94 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
     return df.select(*by, F.explode(pairs).alias("p")).select(*by, "p.*").where("x is not null")
 
 
-@dataclass
-class _Span:
-    """What is proven about one rank: it lies strictly between two values."""
-
-    rank: int
-    below: int = 0  # rows before the span
-    inside: int = 0
-    lo: float = -math.inf
-    hi: float = math.inf
-    value: float | None = None
-
-
-@dataclass
-class _Target:
-    rows: int
-    spans: dict[int, _Span] = field(default_factory=dict)
+def value_code(x: Column) -> Column:
+    """A whole number per double that sorts as the doubles do; -0.0 as 0.0, NaN last.
+
+    It is the number's exponent and fraction: ``|x| = f * 2^e`` with ``f`` below 2 and
+    not below 1, but for numbers too small for that, which have the least exponent.
+    """
+    a = F.when(F.abs(x) < math.inf, F.abs(x))
+    guess = F.floor(F.log2(a))
+    # the logarithm of a number next to a power of two may round to the other side
+    scaled = a * F.pow(F.lit(2.0), -F.greatest(guess, F.lit(LEAST_EXPONENT)))
+    fixed = guess + F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    e = F.greatest(fixed, F.lit(LEAST_EXPONENT))
+    fraction = (a * F.pow(F.lit(2.0), -e) * F.lit(2.0**52)).cast("bigint")
+    size = (e - LEAST_EXPONENT) * F.lit(1 << 52) + fraction
+    code = (
+        F.when(F.isnan(x), F.lit((2048 << 52) - 1))
+        .when(F.abs(x) == math.inf, F.lit(2047 << 52))
+        .when(a == 0, F.lit(0))
+        .otherwise(size)
+    )
+    return F.when((x < 0) & ~F.isnan(x), -code).otherwise(code).cast("bigint")
 
-    def open_spans(self) -> list[_Span]:
-        return [s for s in self.spans.values() if s.value is None]
 
+def _select(long: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``by, _column, _found``: the quantiles of each group and column of ``long``.
 
-def _search(
-    long: DataFrame, by: Sequence[str], counts: Mapping[tuple, int], probs: Sequence[float]
-) -> dict[tuple, list[float]]:
-    """Quantiles of the groups in ``counts``, keyed by group and column name."""
-    long = long.withColumnRenamed("column", "_column")
+    Ranks are found digit by digit of the values' codes. A pass counts rows by the
+    next ``DIGIT_BITS`` bits, combined before the shuffle, and keeps for each wanted
+    rank the digits it has so far. These tables are stored and joined by key, so
+    neither the driver nor a task holds more than one group's counts of one digit.
+    """
     keys = [*by, "_column"]
-    targets: dict[tuple, _Target] = {}
-    for key, n in counts.items():
-        target = _Target(n)
-        for p in probs:
-            at = p * (n - 1)
-            for rank in (math.floor(at), math.ceil(at)):
-                target.spans.setdefault(rank, _Span(rank, inside=n))
-        targets[key] = target
-    schema = T.StructType([f for f in long.schema.fields if f.name in keys])
-
-    while True:
-        wide = {
-            key: [s for s in t.open_spans() if s.inside > RANKED_ROWS]
-            for key, t in targets.items()
-        }
-        wide = {key: spans for key, spans in wide.items() if spans}
-        if not wide:
-            break
-        edges = _guess(long, keys, schema, wide)
-        _prove(long, keys, schema, targets, edges)
-    _rank(long, keys, schema, targets)
-
-    out = {}
-    for key, target in targets.items():
-        values = []
-        for p in probs:
-            at = p * (target.rows - 1)
-            low, high = math.floor(at), math.ceil(at)
-            lo, hi = target.spans[low].value, target.spans[high].value
-            # weighted as _interpolated does, to the last bit
-            values.append(lo if lo == hi else (high - at) * lo + (at - low) * hi)
-        out[key] = values
-    return out
-
-
-def _listed(long: DataFrame, keys, schema: T.StructType, rows, extra: str) -> DataFrame:
-    """Join search state, a few rows per searched group, to the values."""
-    table = T.StructType(
-        [T.StructField(f"_k{i}", schema[k].dataType) for i, k in enumerate(keys)]
-        + T._parse_datatype_string(extra).fields
-    )
-    state = long.sparkSession.createDataFrame(rows, table)
-    on = [long[k] == state[f"_k{i}"] for i, k in enumerate(keys)]
-    return long.join(F.broadcast(state), on)
-
-
-def _guess(long, keys, schema, wide) -> dict[tuple, list[float]]:
-    """Two sample values around every wanted rank."""
-    spans = {(key, s.lo, s.hi): s.inside for key, group in wide.items() for s in group}
-    size = max(2_000, min(SAMPLE_ROWS, ALL_SAMPLE_ROWS // len(spans)))
-    rows = [
-        (*key, lo, hi, min(1.0, size / inside)) for (key, lo, hi), inside in spans.items()
-    ]
-    picked = (
-        _listed(long, keys, schema, rows, "_lo double, _hi double, _share double")
-        .where(_inside())
-        .where(F.rand(11) < F.col("_share"))
-        .groupBy(*keys, "_lo", "_hi")
-        .agg(F.sort_array(F.collect_list("x")).alias("_sample"))
-    )
-    marks: dict[tuple, list[float]] = {}
-    for key, group in wide.items():
-        for s in group:
-            r = (s.rank - s.below + 0.5) / s.inside
-            slack = MARGIN * math.sqrt(r * (1 - r) / size) + MARGIN / size
-            marks.setdefault((*key, s.lo, s.hi), []).extend([r - slack, r + slack])
-    wanted = T.StructType(
-        [T.StructField(f"_m{i}", schema[k].dataType) for i, k in enumerate(keys)]
-        + T._parse_datatype_string("_ml double, _mh double, _at array<double>").fields
+    rows = materialize(
+        long.withColumnRenamed("column", "_column").withColumn("_code", value_code(F.col("x"))), "values"
     )
-    at = long.sparkSession.createDataFrame([(*k, v) for k, v in marks.items()], wanted)
-    on = [picked[k] == at[f"_m{i}"] for i, k in enumerate(keys)]
-    on += [picked["_lo"] == at["_ml"], picked["_hi"] == at["_mh"]]
-    n = F.size("_sample")
-    values = picked.join(F.broadcast(at), on).select(
-        *keys,
-        F.transform(
-            "_at",
-            lambda p: F.element_at(
-                "_sample",
-                F.greatest(F.lit(1), F.least(n, F.ceil(p * n).cast("int"))),
+    grid = ", ".join(f"{float(p)!r}D" for p in probs)
+    state, found, bits = None, [], 0
+    while bits < 64:
+        bits = min(64, bits + DIGIT_BITS)
+        digits = F.shiftright("_code", 64 - bits)
+        if state is None:
+            counted = rows.groupBy(*keys, digits.alias("_at"))
+            within = keys
+        else:
+            known = F.shiftright("_code", 64 - state[1])
+            counted = rows.withColumn("_known", known).join(state[0], [*keys, "_known"]).groupBy(
+                *keys, "_known", "_n", "_wanted", digits.alias("_at")
+            )
+            within = [*keys, "_known"]
+        counted = counted.agg(F.count(F.lit(1)).alias("_rows"), F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+        if state is None:
+            counted = counted.withColumn("_n", F.sum("_rows").over(Window.partitionBy(*within))).withColumn(
+                "_wanted",
+                F.expr(
+                    "transform(array_distinct(flatten(transform("
+                    f"array({grid}), p -> array(floor(p * (_n - 1)), ceil(p * (_n - 1)))))),"
+                    " r -> named_struct('rank', r, 'rest', r))"
+                ),
+            )
+        upto = F.sum("_rows").over(Window.partitionBy(*within).orderBy("_at"))
+        hits = counted.withColumn("_upto", upto).withColumn(
+            "_wanted",
+            F.expr(
+                "transform(filter(_wanted, w -> w.rest < _upto AND w.rest >= _upto - _rows),"
+                " w -> named_struct('rank', w.rank, 'rest', w.rest - (_upto - _rows)))"
             ),
-        ).alias("_edges"),
-    )
-    edges: dict[tuple, set] = {}
-    for row in values.collect():  # two numbers per wanted rank
-        edges.setdefault(tuple(row[k] for k in keys), set()).update(row["_edges"])
-    return {key: sorted(v) for key, v in edges.items()}
-
-
-def _inside():
-    # an infinite bound stands for none, so infinite values are kept
-    above = (F.col("x") > F.col("_lo")) | (F.col("_lo") == -math.inf)
-    return above & ((F.col("x") < F.col("_hi")) | (F.col("_hi") == math.inf))
-
-
-def _slot():
-    # 2k: strictly between edges k-1 and k; 2k+1: equal to edge k
-    below = F.size(F.filter("_edges", lambda e: e < F.col("x")))
-    upto = F.size(F.filter("_edges", lambda e: e <= F.col("x")))
-    return below + upto
-
-
-def _prove(long, keys, schema, targets, edges) -> None:
-    """Count all rows around the edges and narrow the spans."""
-    rows = [(*key, e) for key, e in edges.items()]
-    counted = (
-        _listed(long, keys, schema, rows, "_edges array<double>")
-        .groupBy(*keys, _slot().alias("_slot"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()  # at most 4 per wanted rank
+        ).where(F.size("_wanted") > 0)
+        hits = materialize(
+            hits.select(*keys, F.col("_at").alias("_known"), "_n", "_wanted", "_lo", "_hi"), "ranks"
+        )
+        same = (F.col("_lo") == F.col("_hi")) if bits < 64 else F.lit(True)
+        found.append(hits.where(same).select(*keys, "_n", F.explode("_wanted.rank").alias("_rank"), "_lo"))
+        rest = hits.where(~same).select(*keys, "_known", "_n", "_wanted")
+        if rest.isEmpty():
+            break
+        state = (rest, bits)
+
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    # two ranks at most for each probability
+    ranked = every.groupBy(*keys).agg(
+        F.first("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_ranked")
     )
-    found: dict[tuple, dict[int, int]] = {}
-    for row in counted:
-        found.setdefault(tuple(row[k] for k in keys), {})[row["_slot"]] = row["n"]
-    for key, slots in found.items():
-        cuts = edges[key]
-        for span in targets[key].open_spans():
-            before = 0
-            for slot in range(2 * len(cuts) + 1):
-                n = slots.get(slot, 0)
-                if before <= span.rank < before + n:
-                    k = slot // 2
-                    if slot % 2:
-                        span.value = cuts[k]
-                    elif n < span.inside:
-                        lo = cuts[k - 1] if k else -math.inf
-                        hi = cuts[k] if k < len(cuts) else math.inf
-                        span.below, span.inside, span.lo, span.hi = before, n, lo, hi
-                    break
-                before += n
 
+    def one(p: Column) -> Column:
+        at = p * (F.col("_n") - 1)
+        low, high = F.floor(at), F.ceil(at)
+        return _between(at, low, high, F.col("_ranked")[low], F.col("_ranked")[high])
 
-def _rank(long, keys, schema, targets) -> None:
-    """Rank the values between proven bounds; equal values are counted together."""
-    rows = []
-    for key, target in targets.items():
-        spans = {(s.lo, s.hi, s.below) for s in target.open_spans()}
-        for lo, hi, below in spans:
-            wanted = sorted(s.rank for s in target.open_spans() if (s.lo, s.hi) == (lo, hi))
-            rows.append((*key, lo, hi, below, wanted))
-    if not rows:
-        return
-    extra = "_lo double, _hi double, _below bigint, _ranks array<bigint>"
-    counted = (
-        _listed(long, keys, schema, rows, extra)
-        .where(_inside())
-        .groupBy(*keys, "_lo", "_below", "_ranks", "x")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = F.sum("n").over(Window.partitionBy(*keys, "_lo").orderBy("x"))
-    hits = (
-        counted.withColumn("_end", F.col("_below") + upto)
-        .withColumn(
-            "_hit",
-            F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("n"))),
-        )
-        .where(F.size("_hit") > 0)
-        .select(*keys, "x", "_hit")
-        .collect()  # one row per wanted rank at most
-    )
-    for row in hits:
-        target = targets[tuple(row[k] for k in keys)]
-        for rank in row["_hit"]:
-            target.spans[rank].value = row["x"]
+    return ranked.select(*keys, F.transform(F.array(*[F.lit(float(p)) for p in probs]), one).alias("_found"))
