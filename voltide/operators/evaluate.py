@@ -17,6 +17,7 @@ from voltide.operators.ordering import windowed
 from voltide.operators.quantiles import grouped_quantiles, quantiles
 from voltide.operators.stats import correlations_with
 from voltide.schema import ORDER, numeric_columns
+from voltide.session import materialize
 
 # Default alert limits.
 ALERT_LIMITS = {"rmse": 100.0, "mae": 50.0, "mape": 5.0, "drift": 0.1}
@@ -52,15 +53,25 @@ def evaluate(
     )
 
 
+def _once(df: DataFrame, columns: Sequence[str], store: bool) -> DataFrame:
+    """The columns of an input that is read several times, written once.
+
+    ``store=False`` is for a table that is stored already.
+    """
+    narrow = df.select(*dict.fromkeys(columns))
+    return materialize(narrow, "evaluated") if store else narrow
+
+
 def evaluate_extended(
     df: DataFrame,
     actual: str = "amount",
     predicted: str = "predicted_amount",
     t: float | None = None,
+    store: bool = True,
     **limits,
 ) -> DataFrame:
     """Adds MSE, extremes, median error, population std and the mean's interval."""
-    errors = df.withColumns(error_columns(actual, predicted))
+    errors = _once(df, [actual, predicted], store).withColumns(error_columns(actual, predicted))
     median = quantiles(errors, ["abs_error"], [0.5], **limits)["abs_error"][0]
     base = metric_columns(actual, predicted)
     out = errors.agg(
@@ -92,8 +103,11 @@ def error_moments_biased(df: DataFrame, column: str = "error") -> DataFrame:
     )
 
 
-def error_moments(df: DataFrame, column: str = "error", **limits) -> DataFrame:
+def error_moments(
+    df: DataFrame, column: str = "error", store: bool = True, **limits
+) -> DataFrame:
     """Sample std, bias-corrected skewness and kurtosis, median and quartiles."""
+    df = _once(df, [column], store)
     q1, q2, q3 = quantiles(df, [column], [0.25, 0.5, 0.75], **limits)[column]
     n = F.col("n").cast("double")
     return (
@@ -147,8 +161,11 @@ def normality_ks(df: DataFrame, column: str = "error") -> DataFrame:
     )
 
 
-def qq_points(df: DataFrame, column: str = "error", points: int = 99, **limits) -> DataFrame:
+def qq_points(
+    df: DataFrame, column: str = "error", points: int = 99, store: bool = True, **limits
+) -> DataFrame:
     """Sample quantiles against normal quantiles at i / (points + 1)."""
+    df = _once(df, [column], store)
     probs = [(i + 1) / (points + 1) for i in range(points)]
     found = quantiles(df, [column], probs, **limits)[column]
     rows = [(p, normal_quantile(p), v) for p, v in zip(probs, found)]
@@ -182,12 +199,14 @@ def bias_by_range(
     actual: str = "amount",
     predicted: str = "predicted_amount",
     include_max: bool = True,
+    store: bool = True,
     **limits,
 ) -> DataFrame:
     """Mean of prediction minus actual per quartile range of the actual.
 
     ``include_max=False`` leaves the largest actual out of every range.
     """
+    df = _once(df, [actual, predicted], store)
     edges = quantiles(df, [actual], [0.0, 0.25, 0.5, 0.75, 1.0], **limits)[actual]
     closed = "left+max" if include_max else "left"
     return (
@@ -215,11 +234,15 @@ def with_quantile_bin(
 
 
 def error_by_quintile(
-    df: DataFrame, actual: str = "amount", predicted: str = "predicted_amount", **limits
+    df: DataFrame,
+    actual: str = "amount",
+    predicted: str = "predicted_amount",
+    store: bool = True,
+    **limits,
 ) -> DataFrame:
     """Mean, std and count of the absolute error per fifth of the actuals."""
     binned, edges = with_quantile_bin(
-        df.withColumns(error_columns(actual, predicted)), actual, **limits
+        _once(df, [actual, predicted], store).withColumns(error_columns(actual, predicted)), actual, **limits
     )
     return (
         binned.where("bin is not null")
@@ -234,11 +257,15 @@ def error_by_quintile(
 
 
 def error_box(
-    df: DataFrame, actual: str = "amount", predicted: str = "predicted_amount", **limits
+    df: DataFrame,
+    actual: str = "amount",
+    predicted: str = "predicted_amount",
+    store: bool = True,
+    **limits,
 ) -> DataFrame:
     """Five-number summary of the error per fifth of the actuals."""
     binned, edges = with_quantile_bin(
-        df.withColumns(error_columns(actual, predicted)), actual, **limits
+        _once(df, [actual, predicted], store).withColumns(error_columns(actual, predicted)), actual, **limits
     )
     five = grouped_quantiles(binned, ["error"], [0.0, 0.25, 0.5, 0.75, 1.0], ["bin"], **limits)
     names = ("low", "q1", "median", "q3", "high")

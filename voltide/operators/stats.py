@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltide.operators.quantiles import grouped_quantiles, quantiles
 from voltide.schema import numeric_columns
@@ -73,28 +73,49 @@ def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return base.withColumns({"p25": of(0), "p50": of(1), "p75": of(2)})
 
 
+def value_text(df: DataFrame, column: str) -> Column:
+    """A column's value as text that differs if the values differ; null if it is null."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (c + F.lit(0).cast(kind)).cast("string")  # -0.0 is 0.0
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # local times may come twice
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    return c.cast("string")
+
+
 def data_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Per column: type, rows, nulls, distinct non-null values.
+    """Per column: type, rows, nulls, distinct non-null values, from one pass over the rows.
 
-    Exact distinct counts reduce each column by itself before the shuffle, so
-    rows are not multiplied by the number of columns; ``approximate`` takes all
-    columns from one pass.
+    Exact counts turn rows into (column, value) pairs that are counted before the
+    shuffle, so what moves is each task's different values; pairs meet by hash, so a
+    column of any number of values is spread over all tasks. ``approximate`` moves one
+    sketch a column instead.
     """
-    types = dict(df.dtypes)
-    wanted = {"rows": lambda c: F.count(F.lit(1)), "nulls": ONE_VALUE["nulls"]}
+    names = df.columns
     if approximate:
-        wanted["distinct_values"] = F.approx_count_distinct
-    out = _one_pass(df, df.columns, wanted)
-    if not approximate:
-        each = [
-            df.select(c).where(F.col(c).isNotNull()).distinct().agg(
-                F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("distinct_values")
-            )
-            for c in df.columns
-        ]
-        out = out.join(reduce(DataFrame.unionAll, each), "column_name")
-    names = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
-    return out.withColumn("data_type", F.element_at(names, F.col("column_name")))
+        wanted = {"rows": lambda c: F.count(F.lit(1)), "nulls": ONE_VALUE["nulls"],
+                  "distinct_values": F.approx_count_distinct}
+        out = _one_pass(df, names, wanted)
+    else:
+        pairs = [F.struct(F.lit(i).alias("i"), value_text(df, c).alias("v")) for i, c in enumerate(names)]
+        counted = (
+            df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").groupBy("i", "v")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        found = counted.groupBy("i").agg(
+            F.sum("n").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("v").alias("distinct_values"),
+        )
+        # one row per column; an empty table has no pairs
+        every = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, column_name string")
+        out = every.join(found, "i", "left").drop("i").na.fill(0, ["rows", "nulls", "distinct_values"])
+    types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+    return out.withColumn("data_type", F.element_at(types, F.col("column_name")))
 
 
 def profile_issues(df: DataFrame, required: Sequence[str] = ("amount", "close_ts")) -> list[str]:

@@ -194,15 +194,17 @@ def mad(spark, sf):
     return spark.createDataFrame([(median, spread)], "median double, mad double")
 
 
-PROFILED = ("op_id", "client_id", "amount", "category", "op_type", "spread")
+PROFILED = {"op_id": "bigint", "client_id": "bigint", "close_ts": "timestamp", "amount": "double",
+            "category": "string", "product": "string", "op_type": "string", "spread": "double",
+            "closed_rate": "double"}
 
 
 @query("data_profile", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
     f"count(DISTINCT {c}) AS distinct_values, '{t}' AS data_type FROM ops_orders"
-    for c, t in zip(PROFILED, ("bigint", "bigint", "double", "string", "string", "double")))))
+    for c, t in PROFILED.items())))
 def data_profile(spark, sf):
-    return stats.data_profile(trades_from_orders(spark, sf, PROFILED))
+    return stats.data_profile(trades_from_orders(spark, sf))
 
 
 @query("column_summary", sql(" UNION ALL ".join(

@@ -38,13 +38,12 @@ def calendar_features(spark, sf):
     return t.withColumn("next_ts", text_time("next_ts")).drop("close_ts")
 
 
-# shifted by 1: a value that rounds to zero may carry either sign
+# a value that rounds to zero may carry either sign: adding zero takes it away
 @query("cyclic_features", sql(
     "SELECT op_id, " + ", ".join(f"round({e}, 6) + 0.0 AS {n}" for n, e in CYCLIC.items())
     + " FROM ops_events"))
 def cyclic_features(spark, sf):
     t = trades_from_events(spark, sf).select("op_id", "close_ts").withColumns(cyclic())
-    # adding zero turns a negative zero into zero
     return t.select("op_id", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in CYCLIC])
 
 
@@ -238,7 +237,7 @@ def _g1b_sql() -> str:
         r(f"coalesce({n}, median({n}) OVER ())", n, G1B_DIGITS.get(n, 6)) for n in names)
     return sql(
         f"""SELECT op_id, {CALENDAR_SQL},
-        {', '.join(r(f'{e} + 1', n) for n, e in CYCLIC.items())}, {stat},
+        {', '.join(f'round({e}, 6) + 0.0 AS {n}' for n, e in CYCLIC.items())}, {stat},
         count(amount) OVER (PARTITION BY client_id) AS client_trades,
         {r('volume_trend', 'volume_trend', 8)}, {filled} FROM (
         SELECT *, daily_volume / nullif(client_mean_amount, 0) AS daily_to_mean_ratio,
@@ -252,14 +251,15 @@ def _g1b_sql() -> str:
 def features_g1b_query(spark, sf):
     t = features_g1b(stored_loaded(spark, sf))
     t = t.withColumns({
-        **{c: F.col(c) + 1 for c in CYCLIC},
+        **{c: F.round(c, 6) + F.lit(0.0) for c in CYCLIC},
         **{c: calendar()[c] for c in ("is_month_start", "is_month_end")},
         "next_ts": text_time("next_ts")})
     keep = ("op_id", "year", "month", "day", "quarter", "weekday", "day_name", "is_weekend",
             "is_month_start", "is_month_end", "is_last_day", "next_ts", "epoch_seconds", *CYCLIC,
             *TRANSFORM, "client_trades", "volume_trend", "daily_to_mean_ratio",
             "ma5_to_mean_ratio", "spread_times_amount", "trend_to_mean_ratio")
-    return rounded(t.select(*keep), volume_trend=8, **TRANSFORM_DIGITS, **G1B_DIGITS)
+    out = rounded(t.select(*keep), volume_trend=8, **TRANSFORM_DIGITS, **G1B_DIGITS)
+    return out.withColumns({c: F.col(c) + F.lit(0.0) for c in CYCLIC})
 
 
 G2_ROLLING = windows.client_amount_stats()

@@ -140,12 +140,15 @@ def rolling_days(spark, sf):
         6, daily_volume=2, **digits)
 
 
-# means of short decimals meet rounding ties, their logarithms do not
+#: Means of short decimals lie half way between two roundings; this much more rounds them up.
+UP = 1e-13
+
+
 @query("rolling_days_rate", sql(
-    "SELECT strftime(day, '%Y-%m-%d') AS day, round(daily_rate, 10) AS daily_rate, "
+    f"SELECT strftime(day, '%Y-%m-%d') AS day, round(daily_rate + {UP}, 10) AS daily_rate, "
     + ", ".join(
         [r(f"avg(daily_rate) OVER (ORDER BY n RANGE BETWEEN {d - 1} PRECEDING "
-           "AND CURRENT ROW)", f"rate_{d}d_mean", 10) for d in (7, 14, 30)]
+           f"AND CURRENT ROW) + {UP}", f"rate_{d}d_mean", 10) for d in (7, 14, 30)]
         + [r(f"stddev_samp(daily_rate) OVER (ORDER BY n RANGE BETWEEN {d - 1} PRECEDING "
              "AND CURRENT ROW)", f"rate_{d}d_std", 8) for d in (7, 14, 30)])
     + """ FROM (SELECT CAST(close_ts AS DATE) AS day, avg(closed_rate) AS daily_rate,
@@ -155,9 +158,8 @@ def rolling_days_rate(spark, sf):
     t = windows.rolling_days_rate(trades_from_orders(spark, sf, ["close_ts", "closed_rate"]))
     means = ["daily_rate", *[f"rate_{d}d_mean" for d in (7, 14, 30)]]
     stds = [f"rate_{d}d_std" for d in (7, 14, 30)]
-    return rounded(
-        t.select(text_day("day").alias("day"), *means, *stds),
-        10, **{c: 8 for c in stds})
+    up = [(F.col(c) + F.lit(UP)).alias(c) for c in means]
+    return rounded(t.select(text_day("day").alias("day"), *up, *stds), 10, **{c: 8 for c in stds})
 
 
 @query("daily_rate_stats", sql(f"""

@@ -44,9 +44,9 @@ def performance_report(scored: DataFrame, ts: str = "prediction_timestamp") -> D
     correlation = ev.feature_error_correlation(scored, features)
     parts = [
         _long(summary, "data_summary"),
-        _long(ev.error_moments(errors).drop("n"), "error_distribution"),
+        _long(ev.error_moments(errors, store=False).drop("n"), "error_distribution"),
         _long(
-            ev.error_by_quintile(scored).select("bin", "mean", "std", "count"),
+            ev.error_by_quintile(scored, store=False).select("bin", "mean", "std", "count"),
             "error_by_range",
             "bin",
         ),
