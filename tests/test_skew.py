@@ -201,3 +201,65 @@ def test_searched_quantiles_of_one_table_take_four_passes(spark, monkeypatch):
     probs = [k / 100 for k in range(101)]
     assert q.quantiles(df, ["x"], probs, group_rows=1) == q.quantiles(df, ["x"], probs)
     assert stored.count("ranks") <= 4
+
+
+@pytest.mark.parametrize("fan", [2, 3, 1000])
+def test_chunks_of_chunks(spark, trades, frame, fan):
+    sparse = trades.withColumn("v", F.when(F.col("op_id") % 40 == 17, F.col("op_id")))
+    got = fill_missing(sparse, ["v"], chunk_rows=5, fan=fan).toPandas().set_index("op_id")["v"]
+    v = frame["op_id"].where(frame["op_id"] % 40 == 17).ffill().bfill()
+    v.index = frame["op_id"]
+    assert got.sort_index().astype(float).tolist() == v.sort_index().tolist()
+    by = fill_missing(sparse, ["v"], ["client_id"], chunk_rows=4, fan=fan).toPandas().set_index("op_id")["v"]
+    whole = fill_missing(sparse, ["v"], ["client_id"]).toPandas().set_index("op_id")["v"]
+    pd.testing.assert_series_equal(by.sort_index(), whole.sort_index())
+
+
+@pytest.mark.parametrize("fan", [2, 1000])
+def test_running_counts(spark, fan):
+    from voltide.operators.ordering import running_count
+
+    df = spark.range(500).selectExpr("id * 7 % 500 AS x", "id % 5 + 1 AS k")
+    got = {r["x"]: r["c"] for r in running_count(df, "x", "k", "c", chunk_rows=9, fan=fan).collect()}
+    want = df.toPandas().sort_values("x").set_index("x")["k"].cumsum()
+    assert got == want.to_dict()
+
+
+def test_fill_has_no_window_over_one_partition(spark, trades, monkeypatch):
+    from voltide.operators import ordering
+
+    plans = []
+    real = ordering.materialize
+
+    def stored(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(ordering, "materialize", stored)
+    out = fill_missing(trades, ["amount"], chunk_rows=5, fan=3)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    for text in plans:
+        assert "Exchange SinglePartition" not in text
+
+
+def test_distance_to_the_normal(spark):
+    import math
+
+    from statistics import NormalDist
+
+    from voltide.functions.errors import normal_cdf_sql
+    from voltide.operators.evaluate import normality_ks
+
+    zs = [k / 8 for k in range(-320, 321)] + [0.0, 7.0710678, 7.0711, 1e-9]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    for z, f in df.selectExpr("z", f"{normal_cdf_sql('z')} AS f").collect():
+        assert f == pytest.approx(0.5 * math.erfc(-z / math.sqrt(2)), abs=1e-14)
+    rng = np.random.default_rng(8)
+    x = np.round(rng.gamma(3, size=700), 2)  # with ties
+    values, counts = np.unique(x, return_counts=True)
+    upto = np.cumsum(counts)
+    f = np.array([NormalDist(x.mean(), x.std(ddof=1)).cdf(v) for v in values])
+    want = max((upto / len(x) - f).max(), (f - (upto - counts) / len(x)).max())
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "error double")
+    got = normality_ks(df, chunk_rows=11, fan=3).first()
+    assert got["n"] == 700 and got["statistic"] == pytest.approx(want, abs=1e-12)

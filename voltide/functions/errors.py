@@ -26,6 +26,34 @@ def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
+# Hart's rational approximation of the normal distribution function.
+NORMAL_ABOVE = (3.52624965998911e-2, 0.700383064443688, 6.37396220353165, 33.912866078383,
+                112.079291497871, 221.213596169931, 220.206867912376)
+NORMAL_BELOW = (8.83883476483184e-2, 1.75566716318264, 16.064177579207, 86.7807322029461,
+                296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)
+NORMAL_FAR = 7.07106781186547
+
+
+def normal_cdf_sql(x: str) -> str:
+    """The normal distribution function of an expression, in any SQL, good to 1e-14."""
+    a = f"abs({x})"
+
+    def poly(coefficients) -> str:
+        out = repr(coefficients[0])
+        for c in coefficients[1:]:
+            out = f"({out} * {a} + {c!r})"
+        return out
+
+    far = f"({a} + 0.65)"
+    for k in (4, 3, 2, 1):
+        far = f"({a} + {k} / {far})"
+    tail = (
+        f"CASE WHEN {a} < {NORMAL_FAR} THEN exp(-{a} * {a} / 2) * {poly(NORMAL_ABOVE)} / {poly(NORMAL_BELOW)}"
+        f" WHEN {a} < 37 THEN exp(-{a} * {a} / 2) / {far} / 2.506628274631 ELSE 0.0 END"
+    )
+    return f"(CASE WHEN {x} > 0 THEN 1 - {tail} ELSE {tail} END)"
+
+
 def _gamma_ratio_log(z: float) -> float:
     """log(gamma(z + 1/2) / gamma(z)), by its series 20 steps further up."""
     far = z + 20

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from voltide.functions.errors import (
     error_columns,
     lilliefors_p,
+    normal_cdf_sql,
     normal_quantile,
     t_quantile,
 )
-from voltide.operators.ordering import windowed
+from voltide.operators.ordering import running_count, windowed
 from voltide.operators.quantiles import grouped_quantiles, quantiles
 from voltide.operators.stats import correlations_with
 from voltide.schema import ORDER, numeric_columns
@@ -145,15 +147,26 @@ def normality_jb(df: DataFrame, column: str = "error", level: float = 0.05) -> D
     )
 
 
-def normality_ks(df: DataFrame, column: str = "error") -> DataFrame:
-    """Kolmogorov-Smirnov distance to the fitted normal, with Lilliefors p-value."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
+def normality_ks(df: DataFrame, column: str = "error", **limits) -> DataFrame:
+    """Kolmogorov-Smirnov distance to the fitted normal, with Lilliefors p-value.
 
-    x = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
-    n, mean, std = x.agg(F.count("x"), F.avg("x"), F.stddev_samp("x")).first()
+    Different values are counted, put in order and given their running counts chunk by
+    chunk; the distance is the largest gap at a value, from above or below.
+    """
+    x = df.select((F.col(column).cast("double") + F.lit(0.0)).alias("x")).where("x is not null")
+    counted = materialize(x.groupBy("x").agg(F.count(F.lit(1)).alias("rows")), "counted")
+    n, mean, std = _once(x, ["x"], True).agg(F.count("x"), F.avg("x"), F.stddev_samp("x")).first()
     row = [(n, None, None, False)]
-    if std:  # errors that do not vary, or none, have no distance
-        d = KolmogorovSmirnovTest.test(x, "x", "norm", mean, std).first()["statistic"]
+    if std and math.isfinite(std):  # errors that do not vary, or none, have no distance
+        upto = running_count(counted, "x", "rows", "upto", **limits).withColumn(
+            "z", (F.col("x") - F.lit(mean)) / F.lit(std)
+        )
+        share = upto.withColumn("share", F.expr(normal_cdf_sql("z")))
+        d = share.agg(
+            F.max(F.greatest(
+                F.col("upto") / n - F.col("share"), F.col("share") - (F.col("upto") - F.col("rows")) / n
+            ))
+        ).first()[0]
         p = lilliefors_p(d, n)
         row = [(n, float(d), p, p > 0.05)]
     return df.sparkSession.createDataFrame(

@@ -1,7 +1,7 @@
 """Queries: metrics, error distribution, error patterns, reports."""
 
 
-from voltide.functions.errors import normal_quantile
+from voltide.functions.errors import normal_cdf_sql, normal_quantile
 from voltide.operators import evaluate as ev
 from voltide.operators.split import temporal_cut
 from voltide.operators.stats import correlation_matrix
@@ -94,9 +94,20 @@ def normality_jb(spark, sf):
     return rounded(ev.normality_jb(event_errors(spark, sf)), statistic=4)
 
 
-@query("normality_ks")
+@query("normality_ks", sql(f"""
+SELECT n, {r('d', 'statistic')}, {r('least(1.0, p)', 'p_value', 9)}, least(1.0, p) > 0.05 AS is_normal
+FROM (SELECT *, exp(-7.01256 * dd * dd * (m + 2.78019) + 2.99587 * dd * sqrt(m + 2.78019)
+        - 0.122119 + 0.974598 / sqrt(m) + 1.67997 / m) AS p
+  FROM (SELECT *, CASE WHEN n > 100 THEN 100 ELSE n END AS m,
+               CASE WHEN n > 100 THEN d * power(n / 100, 0.49) ELSE d END AS dd
+    FROM (SELECT any_value(n) AS n, max(greatest(c / n - f, f - (c - k) / n)) AS d
+      FROM (SELECT *, {normal_cdf_sql('z')} AS f
+        FROM (SELECT error, k, n, sum(k) OVER (ORDER BY error) AS c, (error - m) / s AS z
+          FROM (SELECT error, count(*) AS k FROM errors GROUP BY error),
+               (SELECT count(error) AS n, avg(error) AS m, stddev_samp(error) AS s FROM errors))))))""",
+    "scored_events", extra=ERRORS))
 def normality_ks(spark, sf):
-    return rounded(ev.normality_ks(event_errors(spark, sf)))
+    return rounded(ev.normality_ks(event_errors(spark, sf)), p_value=9)
 
 
 QQ = ", ".join(f"({i / 100}, {normal_quantile(i / 100)!r})" for i in range(1, 100))
