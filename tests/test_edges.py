@@ -10,7 +10,7 @@ from voltide.functions import ratios
 from voltide.functions.calendar import us_holidays
 from voltide.functions.errors import lilliefors_p, t_quantile
 from voltide.operators import clean, evaluate, monitor, split, stats
-from voltide.operators.encode import one_hot
+from voltide.operators.encode import OneHotVectors, one_hot
 from voltide.operators.privacy import decrypt_columns, encrypt_columns
 from voltide.operators.scale import RobustScale, StandardScale
 from voltide.plans.cleaning import clean_g1, clean_g2, load_trades
@@ -182,6 +182,40 @@ def test_one_hot_takes_any_number_of_levels(spark):
     assert one_hot(df, ["w"], {"w": ["x", "y"]}).columns == ["v", "w", "w_x", "w_y"]
 
 
+def test_vectors_equal_the_dense_columns(spark, tmp_path):
+    rows = [("b", "x", 1), ("a", None, 2), (None, "y", 3), ("b", "y", None), (None, None, 4), ("a b", "x", 1)]
+    df = spark.createDataFrame(rows, "v string, w string, n int").withColumn("none", F.lit(None).cast("string"))
+    encoder = OneHotVectors.fit(df, ["w", "v", "none", "n", "gone"])
+    assert encoder.columns == ("w", "v", "none", "n") and encoder.sizes == (2, 3, 0, 4)
+    encoder.save(str(tmp_path / "e"))
+    out = OneHotVectors.load(spark, str(tmp_path / "e")).transform(df)
+    dense = one_hot(df, ["w", "v", "n"])
+    names = ["w_x", "w_y", "v_a", "v_a b", "v_b", "n_1", "n_2", "n_3", "n_4"]
+
+    def key(r):
+        return str((r["v"], r["w"], r["n"]))
+
+    got = sorted(((key(r), [int(x) for x in r["one_hot"].toArray()]) for r in out.collect()))
+    assert got == sorted((key(r), [r[n] for n in names]) for r in dense.collect())
+    # values that the dictionary does not hold are 0 everywhere
+    new = encoder.transform(spark.createDataFrame([("z", "x", 9, None)], df.schema)).first()["one_hot"]
+    assert new.indices.tolist() == [0]
+    with pytest.raises(ValueError, match="no column has a value"):
+        OneHotVectors.fit(df, ["none"]).transform(df)
+
+
+def test_a_million_values(spark):
+    n = 1_000_000
+    df = spark.range(n).selectExpr("id", "lpad(string(id), 7, '0') AS v", "string(id % 3) AS w")
+    encoder = OneHotVectors.fit(df, ["w", "v"])
+    assert encoder.sizes == (3, n)
+    out = encoder.transform(df)
+    assert out.schema["one_hot"].dataType.typeName() == "vectorudt"
+    # the place of a value is its rank; every row has two ones
+    text = F.regexp_extract(F.col("one_hot").cast("string"), r"^\((\d+),\[(\d+),(\d+)\],\[1.0,1.0\]\)$", 3)
+    assert out.where(text.cast("bigint") == F.col("id") + 3).count() == n
+
+
 def test_raw_names(spark):
     df = spark.createDataFrame([(1, 2.0, 3, 4)], "`Unnamed: 49` int, `Importe FX` double, bbva int, x int")
     assert rename_raw(drop_unused(df)).columns == ["amount", "x"]
@@ -209,6 +243,21 @@ def test_observed_holidays(spark):
     assert {"2021-07-04", "2021-07-05", "2021-11-25", "2021-12-24", "2022-05-30"} <= days
 
 
+def test_keys_stay_in_their_table(spark):
+    from voltide.operators import privacy
+
+    keys = privacy.new_keys(spark, ["2023", "2024"]).cache()
+    df = spark.createDataFrame([(1, "A", "2023"), (2, "A", "2024"), (3, None, "2024")], "id int, c string, key_id string")
+    hidden = privacy.encrypt_by_key_id(df, ["c"], keys).cache()
+    assert hidden.columns == df.columns and hidden.where("c = 'A'").count() == 0
+    plan = hidden._jdf.queryExecution().toString()
+    assert not any(bytes(k["key"]).hex() in plan.lower() for k in keys.collect())
+    back = privacy.decrypt_by_key_id(hidden, ["c"], keys)
+    assert sorted(back.collect()) == sorted(df.collect())
+    with pytest.raises(Exception, match="no key 2025"):
+        privacy.encrypt_by_key_id(df.withColumn("key_id", F.lit("2025")), ["c"], keys).collect()
+
+
 def test_encryption_hides_and_restores(spark, raw):
     key = F.lit("0123456789abcdef")
     hidden = encrypt_columns(raw, ["category"], key)

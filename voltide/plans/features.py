@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voltide.functions import ratios
 from voltide.functions.calendar import calendar, cyclic, days_since_start
 from voltide.operators.clean import impute_median
-from voltide.operators.encode import category_codes, one_hot
+from voltide.operators.encode import OneHotVectors, category_codes, one_hot
 from voltide.operators.ordering import windowed
 from voltide.operators.scale import StandardScale
 from voltide.operators.skew import GROUP_ROWS, GroupSizes, group_sizes
@@ -102,14 +102,22 @@ def features_g1b(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     return ratio_features(df, group_rows)
 
 
-def features_g2(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Calendar, rolling, one-hot and interaction features."""
+def features_g2(
+    df: DataFrame, group_rows: int = GROUP_ROWS, vectors: OneHotVectors | None = None
+) -> DataFrame:
+    """Calendar, rolling, one-hot and interaction features.
+
+    Categories become a 0/1 column per value, or with ``vectors`` one sparse vector, for
+    columns of many values.
+    """
     parts = pick(
         calendar(), "year", "month", "day", "weekday", "day_name",
         "is_weekend", "is_month_start", "is_month_end",
     )
     # levels and the first date come from the input, before it is windowed
-    df = one_hot(days_since_start(df), CATEGORICAL_COLUMNS).withColumns(parts)
+    df = days_since_start(df)
+    df = vectors.transform(df) if vectors else one_hot(df, CATEGORICAL_COLUMNS)
+    df = df.withColumns(parts)
     df = rolling(df, client_amount_stats(), group_rows=group_rows)
     df = rolling(df, table_rate_stats(), by=())
     return df.withColumns(ratios.rate_interactions())

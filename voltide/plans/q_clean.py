@@ -7,7 +7,8 @@ from voltide.operators.scale import RobustScale, StandardScale
 from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.cleaning import clean_g1, clean_g2, load_trades
 from voltide.plans.oracle import r, rs, sql
-from voltide.session import materialize
+from voltide.session import materialize, scratch_path
+from voltide.sources import files
 from voltide.sources.tables import (
     read_table,
     stored_trades,
@@ -207,6 +208,22 @@ def data_profile(spark, sf):
     return stats.data_profile(trades_from_orders(spark, sf))
 
 
+@query("validation_file", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS distinct_values, '{t}' AS data_type, "
+    "'column ''close_ts'' not found' AS issues FROM ops_orders"
+    for c, t in PROFILED.items() if c != "close_ts")))
+def validation_file(spark, sf):
+    """The validation report of trades without a date, written and read again."""
+    from voltide.plans.cleaning import validation_report
+
+    report = validation_report(trades_from_orders(spark, sf, [c for c in PROFILED if c != "close_ts"]))
+    path = scratch_path(spark, "report")
+    files.write_report(report, path)
+    back = files.read_report(spark, path, report.schema)
+    return back.withColumn("issues", F.array_join("issues", "; "))
+
+
 @query("column_summary", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')}, "
     f"count(*) - count({c}) AS nulls FROM ops_orders"

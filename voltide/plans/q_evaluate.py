@@ -12,6 +12,8 @@ from voltide.plans.oracle import r, sql
 from voltide.plans.production import evaluate_against
 from voltide.plans.report import performance_report
 from voltide.plans.views import event_errors, scored_events, scored_orders
+from voltide.session import scratch_path
+from voltide.sources import files
 from voltide.sources.tables import trades_from_events, trades_from_orders
 
 E = "(amount - predicted_amount)"
@@ -295,3 +297,10 @@ def performance_report_query(spark, sf):
     return rounded(performance_report(scored_events(spark, sf), ts="close_ts"))
 
 
+@query("report_file", _report_sql())
+def report_file(spark, sf):
+    """The performance report, written and read again."""
+    report = performance_report(scored_events(spark, sf), ts="close_ts")
+    path = scratch_path(spark, "report")
+    files.write_report(report, path)
+    return rounded(files.read_report(spark, path, report.schema))

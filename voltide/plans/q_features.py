@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from voltide.functions import ratios
 from voltide.functions.calendar import calendar, cyclic, with_holidays
 from voltide.operators import stats, windows
-from voltide.operators.encode import one_hot
+from voltide.operators.encode import OneHotVectors, one_hot
 from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.cleaning import load_trades, with_daily_volume
 from voltide.plans.features import features_g1a, features_g1b, features_g2, statistical_features
 from voltide.plans.oracle import over_client, over_table, r, sql
-from voltide.session import materialize
+from voltide.session import materialize, scratch_path
 from voltide.sources.tables import trades_from_events, trades_from_orders
 
 CALENDAR_SQL = """
@@ -94,6 +94,29 @@ def one_hot_query(spark, sf):
     return one_hot(t, ["op_type", "category"]).drop("op_type", "category")
 
 
+HOT = ("client_id", "category", "product", "op_type")
+
+
+@query("one_hot_vectors", sql(f"""
+SELECT op_id, array_to_string(list_sort([{', '.join(
+    f"CASE WHEN {c} IS NOT NULL THEN p{i} END" for i, c in enumerate(HOT))}]
+    .list_filter(lambda x: x IS NOT NULL)), ',') AS hot
+FROM ops_orders """ + " ".join(
+    f"LEFT JOIN (SELECT v AS v{i}, s + row_number() OVER (ORDER BY v) - 1 AS p{i} FROM "
+    f"(SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM ops_orders WHERE {c} IS NOT NULL), (SELECT "
+    + " + ".join(["0 * count(*)", *[f"count(DISTINCT {b})" for b in HOT[:i]]])
+    + f" AS s FROM ops_orders)) t{i} ON CAST({c} AS VARCHAR) = v{i}" for i, c in enumerate(HOT))))
+def one_hot_vectors(spark, sf):
+    """The places of the ones: clients, categories, products and sides in one sparse vector."""
+    t = materialize(trades_from_orders(spark, sf, ["op_id", *HOT]), "trades")
+    encoder = OneHotVectors.fit(t, HOT)
+    path = scratch_path(spark, "one-hot")
+    encoder.save(path)
+    out = OneHotVectors.load(spark, path).transform(t)
+    text = F.regexp_extract(F.col("one_hot").cast("string"), r",\[([0-9,]*)\],", 1)
+    return out.select("op_id", text.alias("hot"))
+
+
 STATS = {
     f"client_{n}_{how}": f"{fn}({c})"
     for n, c, hows in (("volume", "daily_volume", "mean std max min"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from voltide.operators import privacy
 from voltide.plans.catalog import query, text_day
 from voltide.plans.oracle import sql
-from voltide.session import scratch_path
+from voltide.session import materialize, scratch_path
 from voltide.sources import files
 from voltide.sources.tables import read_table, trades_from_orders
 
@@ -15,12 +15,15 @@ SALT = "voltide"
 @query("mask_roundtrip", sql("SELECT op_id, CAST(client_id AS VARCHAR) AS client_id, category, "
                              "TRUE AS was_masked FROM ops_orders"))
 def mask_roundtrip(spark, sf):
-    key = F.lit("0123456789abcdef")
-    t = trades_from_orders(spark, sf, ["op_id", "client_id", "category"])
-    t = t.withColumn("plain", F.col("category"))
-    hidden = privacy.encrypt_columns(t, ["client_id", "category"], key)
-    hidden = hidden.withColumn("was_masked", F.col("category") != F.col("plain"))
-    return privacy.decrypt_columns(hidden, ["client_id", "category"], key).drop("plain")
+    """Every year's trades have a key of their own, kept in a table."""
+    t = trades_from_orders(spark, sf, ["op_id", "client_id", "category", "close_ts"])
+    t = t.withColumns({"plain": F.col("category"), "key_id": F.coalesce(F.date_format("close_ts", "yyyy"), F.lit("none"))})
+    years = [r[0] for r in t.select("key_id").distinct().collect()]
+    keys = materialize(privacy.new_keys(spark, years), "keys")
+    hidden = privacy.encrypt_by_key_id(t, ["client_id", "category"], keys)
+    hidden = materialize(hidden.withColumn("was_masked", F.col("category") != F.col("plain")), "hidden")
+    shown = privacy.decrypt_by_key_id(hidden, ["client_id", "category"], keys)
+    return shown.drop("plain", "key_id", "close_ts")
 
 
 @query("pseudonymize", sql(f"SELECT op_id, sha256(concat('{SALT}', client_id)) AS client FROM ops_orders"))

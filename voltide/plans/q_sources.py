@@ -118,3 +118,17 @@ def prediction_reruns(spark, sf):
     stored = spark.read.parquet(path).groupBy("prediction_date", "run_id")
     return stored.agg(F.count(F.lit(1)).alias("rows")).withColumn(
         "prediction_date", F.col("prediction_date").cast("string"))
+
+
+@query("month_table", sql("""
+SELECT strftime(close_ts, '%Y-%m') AS month_of, count(*) AS rows, round(sum(amount), 2) AS amount
+FROM ops_orders WHERE close_ts >= TIMESTAMP '1998-01-01' GROUP BY ALL"""))
+def month_table(spark, sf):
+    """A table split by month; whole months are left out by folder."""
+    path = scratch_path(spark, "months")
+    trades = trades_from_orders(spark, sf, ["op_id", "close_ts", "amount"])
+    files.write_table(trades, path, month_of="close_ts")
+    recent = spark.read.parquet(path).where(F.col("month_of").cast("string") >= "1998-01")
+    out = recent.groupBy(F.col("month_of").cast("string").alias("month_of")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount"))
+    return rounded(out, 2)

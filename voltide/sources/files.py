@@ -125,7 +125,12 @@ def metric_record(
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """A report as JSON lines in one file; a report has few rows, whatever it is made from."""
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_feature_list(spark: SparkSession, path: str) -> DataFrame:
