@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voltide.operators import forecast, models
+from voltide.operators import forecast, models, temporal
 from voltide.operators.monitor import training_stats
 from voltide.operators.split import id_bucket
 from voltide.plans.production import evaluate_against, production_run, train_chain
@@ -54,6 +54,70 @@ def test_search_lists_every_setting(lines):
     assert model.transform(lines).count() == 400
 
 
+def test_one_fit_serves_all_numbers_of_trees(lines):
+    grid = {"max_depth": [1, 2], "n_estimators": [2, 5, 3], "learning_rate": [0.3]}
+    _, results = models.search(lines, ["a", "b"], grid=grid, folds=3)
+    rows = {(r["settings"]["max_depth"], r["settings"]["n_estimators"]): r for r in results.collect()}
+    assert len(rows) == 6 == models.grid_size(grid)
+    for depth, trees in ((1, 2), (2, 3), (2, 5)):
+        settings = {"max_depth": depth, "n_estimators": trees, "learning_rate": 0.3}
+        found = models.cross_validate(lines, ["a", "b"], settings, folds=3).first()
+        assert rows[depth, trees]["rmse"] == pytest.approx(found["rmse_mean"], rel=1e-9)
+        assert rows[depth, trees]["std"] == pytest.approx(found["rmse_std"], rel=1e-6, abs=1e-9)
+
+
+def test_stages_equal_separate_fits_of_sampled_rows(lines):
+    train, held = (models.assembled(["a", "b"]).transform(x).cache() for x in halves(lines))
+    settings = {"max_depth": 2, "learning_rate": 0.3, "subsample": 0.7, "colsample_bytree": 0.5}
+    staged = models.staged_errors(train, held, settings, [1, 3, 4], "amount")
+    for n, rmse in zip((1, 3, 4), staged):
+        alone = models.boosted_trees({**settings, "n_estimators": n}).fit(train).transform(held)
+        want = alone.selectExpr("sqrt(avg(pow(amount - predicted_amount, 2)))").first()[0]
+        assert rmse == pytest.approx(want, rel=1e-9)
+
+
+def test_full_grids_are_listed_by_a_third_of_the_fits():
+    staged = models.staged_settings(models.TRAINING_GRID)
+    assert len(staged) == 324 and sum(len(t) for _, t in staged) == 972
+    staged = models.staged_settings(models.COMPARISON_GRID)
+    assert len(staged) == 64 and sum(len(t) for _, t in staged) == 128
+
+
+@pytest.mark.parametrize("penalty", [0.0, 0.5])
+def test_validation_in_time_equals_separate_fits(spark, penalty):
+    rng = np.random.default_rng(4)
+    n = 900
+    day = rng.integers(0, 400, n)
+    x = rng.normal(size=(n, 3)) * [1, 100, 0.01] + [0, 5000, 1]
+    y = x @ [2.0, 0.3, -40.0] + rng.normal(size=n) + day / 50
+    start = dt.datetime(2023, 11, 5)
+    rows = [(start + dt.timedelta(days=int(d)), *map(float, v), 7.0, float(t)) for d, v, t in zip(day, x, y)]
+    rows += [(start, None, 1.0, 1.0, 7.0, 5.0), (start, 1.0, 1.0, 1.0, 7.0, None), (None, 1.0, 1.0, 1.0, 7.0, 1.0)]
+    df = spark.createDataFrame(rows, "close_ts timestamp, a double, b double, c double, flat double, amount double")
+    got = {(r["fold"], r["horizon"]): r for r in
+           temporal.validate_in_time(df, ["a", "b", "c", "flat"], penalty=penalty, horizons=2).collect()}
+    month = np.array([(start + dt.timedelta(days=int(d))).year * 12 + (start + dt.timedelta(days=int(d))).month for d in day])
+    months = sorted(set(month))
+    want = 0
+    for fold, first in enumerate(months[1:]):
+        train = month < first
+        mean = x[train].mean(axis=0)
+        centred = x[train] - mean
+        left = centred.T @ centred
+        w = np.linalg.solve(left + penalty * np.diag(np.diag(left)), centred.T @ (y[train] - y[train].mean()))
+        for horizon in (1, 2):
+            test = month == first - 1 + horizon
+            if test.any():
+                error = y[test] - y[train].mean() - (x[test] - mean) @ w
+                row = got[fold, horizon]
+                assert (row["train_rows"], row["n"]) == (train.sum(), test.sum())
+                assert row["rmse"] == pytest.approx(np.sqrt((error**2).mean()), rel=1e-6)
+                assert row["mae"] == pytest.approx(np.abs(error).mean(), rel=1e-6)
+                want += 1
+    assert len(got) == want
+    assert temporal.validate_in_time(df.limit(0), ["a"]).collect() == []
+
+
 def test_grid_sizes():
     assert models.grid_size(models.TRAINING_GRID) == 972
     assert models.grid_size(models.COMPARISON_GRID) == 128

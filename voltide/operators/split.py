@@ -87,11 +87,3 @@ def temporal_folds(df: DataFrame, ts: str = "close_ts") -> DataFrame:
         )
         .where("train_rows is not null")
     )
-
-
-def fold_rows(df: DataFrame, test_month: int, ts: str = "close_ts") -> DataFrame:
-    """Rows of one temporal fold, marked train or test."""
-    m = F.year(ts) * 12 + F.month(ts) - 1
-    return df.where(m <= test_month).withColumn(
-        "split", F.when(m == test_month, "test").otherwise("train")
-    )

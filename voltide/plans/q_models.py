@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from voltide.operators import forecast, models
+from voltide.operators import forecast, models, temporal
 from voltide.operators.clean import impute_median
 from voltide.operators.evaluate import compare_models
 from voltide.operators.monitor import flatten_metrics, training_stats
@@ -54,7 +54,7 @@ def gbt_importance(spark, sf):
 @query("search_results")
 def search_results(spark, sf):
     train, _ = parts(prepared(spark, sf))
-    _, results = models.search(train, FEATURES, grid={"max_depth": [2, 3], "n_estimators": [3]})
+    _, results = models.search(train, FEATURES, grid={"max_depth": [2, 3], "n_estimators": [1, 2, 3]})
     return results.select(
         F.col("settings")["max_depth"].alias("max_depth"),
         F.col("settings")["n_estimators"].alias("n_estimators"), "rmse", "std")
@@ -134,6 +134,33 @@ def model_comparison_fitted(spark, sf):
     return rounded(compare_models(out, ["additive", "boosted", "stacked"], "daily_volume"))
 
 
+PENALTY, HORIZONS = 0.01, 3
+
+
+@query("validation_in_time", sql(f"""
+SELECT CAST(fold AS INT) AS fold, CAST(h AS INT) AS horizon, CAST(any_value(f.n) AS BIGINT) AS train_rows,
+  count(*) AS n, {r('sqrt(avg((y - b - w1 * x1 - w2 * x2) * (y - b - w1 * x1 - w2 * x2)))', 'rmse', 4)},
+  {r('avg(abs(y - b - w1 * x1 - w2 * x2))', 'mae', 4)}
+FROM (SELECT *, (sy - w1 * s1 - w2 * s2) / n AS b FROM (SELECT *, (g1 * c22 - g2 * c12) / det AS w1, (g2 * c11 - g1 * c12) / det AS w2
+    FROM (SELECT *, c11 * c22 - c12 * c12 AS det FROM (
+      SELECT m, fold, n, s1, s2, sy, (s11 - s1 * s1 / n) * {1 + PENALTY} AS c11, (s22 - s2 * s2 / n) * {1 + PENALTY} AS c22,
+        s12 - s1 * s2 / n AS c12, s1y - s1 * sy / n AS g1, s2y - s2 * sy / n AS g2
+      FROM (SELECT m, row_number() OVER (ORDER BY m) - 2 AS fold, """
+    + ", ".join(f"sum({c}) OVER (ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS {c}"
+                for c in ("n", "s1", "s2", "sy", "s11", "s22", "s12", "s1y", "s2y"))
+    + """ FROM (SELECT m, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy, sum(x1 * x1) AS s11,
+          sum(x2 * x2) AS s22, sum(x1 * x2) AS s12, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y FROM known GROUP BY m))
+      WHERE n IS NOT NULL)))) f"""
+    + f" JOIN range(1, {HORIZONS + 1}) hs(h) ON TRUE JOIN known k ON k.m = f.m - 1 + h GROUP BY fold, h",
+    extra="""known AS (SELECT year(close_ts) * 12 + month(close_ts) - 1 AS m, spread AS x1, closed_rate AS x2,
+    amount AS y FROM ops_orders WHERE spread IS NOT NULL AND closed_rate IS NOT NULL)"""))
+def validation_in_time(spark, sf):
+    """Ridge fits of growing windows, their error one to three months ahead."""
+    t = trades_from_orders(spark, sf, ["close_ts", "amount", "spread", "closed_rate"])
+    return rounded(temporal.validate_in_time(
+        t, ["spread", "closed_rate"], penalty=PENALTY, horizons=HORIZONS), 4)
+
+
 @query("future_frame", """
 SELECT strftime(d, '%Y-%m-%d') AS ds, amount FROM (
   SELECT unnest(range(CAST(max(ts) AS DATE) + INTERVAL 1 DAY, CAST(max(ts) AS DATE)

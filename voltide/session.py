@@ -49,6 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Have Spark's own checkpoints go to the shared folder, if they go nowhere yet."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/voltide-checkpoints")
+
+
 _OPEN: list[list[str]] = []
 
 
