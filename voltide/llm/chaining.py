@@ -479,20 +479,17 @@ def drop_passages(docs: DataFrame, **settings) -> DataFrame:
     ranges = materialize(
         found.groupBy("doc_id", "text_key").agg(F.collect_list("r").alias("ranges")), "ranges"
     )
-    ranges = ranges.select(
-        F.col("doc_id").alias("cut_id_"), F.col("text_key").alias("cut_key_"), F.col("ranges").alias("cut_ranges_")
-    )
-    listed = _filter_of(ranges.select(F.col("cut_id_").alias("id")).distinct())
+    listed = _filter_of(ranges.select(F.col("doc_id").alias("id")).distinct())
     compared = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-    marked = docs.withColumn("cut_maybe_", F.when(compared, _named_in(listed, spark)).otherwise(False))
-    plain = marked.where("NOT cut_maybe_").drop("cut_maybe_")
-    joined = marked.where("cut_maybe_").drop("cut_maybe_").join(
-        ranges, (F.col("doc_id") == F.col("cut_id_")) & (F.xxhash64("text") == F.col("cut_key_")), "left"
-    )
-    whole = joined.where("cut_ranges_ IS NULL").select(*docs.columns)
-    cut = joined.where("cut_ranges_ IS NOT NULL").withColumn("text", _without("text", "cut_ranges_")).where(
-        "text <> ''"
+    # the row travels in one column, so none of its names meets one of these
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    marked = rows.withColumn("maybe", F.when(compared, _named_in(listed, spark)).otherwise(False))
+    joined = marked.where("maybe").withColumn("text_key", F.xxhash64("text")).join(
+        ranges, ["doc_id", "text_key"], "left"
     )
+    cut = joined.where("ranges IS NOT NULL").withColumn("text", _without("text", "ranges")).where("text <> ''")
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return plain.unionByName(whole).unionByName(cut.select(*docs.columns))
+        row = row.withField("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    kept = marked.where("NOT maybe").select("row").unionByName(joined.where("ranges IS NULL").select("row"))
+    return kept.unionByName(cut.select(row.alias("row"))).select("row.*")

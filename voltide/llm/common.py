@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "text_or_empty", "words_of", "shuffle_parts"]
+__all__ = ["materialize", "scratch_path", "table", "text_or_empty", "words_of",
+           "as_text", "with_type", "shuffle_parts"]
 
 #: Characters that separate words: [\x20\x09-\x0D]. ``bytes.split()`` uses the same set.
 SPACES = " \t\n\x0b\x0c\r"
@@ -28,9 +27,15 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def as_text(column: str):
+    """An id for Python workers: pandas turns whole numbers beside a null into doubles."""
+    return F.col(column).cast("string").alias(column)
+
 
+def with_type(df: DataFrame, column: str, kind: str) -> DataFrame:
+    """The id as it was."""
+    return df if kind == "string" else df.withColumn(column, F.col(column).cast(kind))
 
-def log10_of(x: float) -> float:
-    return math.log10(x)
+
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

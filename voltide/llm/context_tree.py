@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.common import materialize, shuffle_parts
+from voltide.llm.common import as_text, materialize, shuffle_parts, with_type
 
 DEPTH = 5
 BLOCK = 8_000_000
@@ -42,6 +42,7 @@ FOLDS, HELD_OUT = 7, 2
 #: Context bytes that name a range; the levels above them are the bounded top.
 TOP = 2
 END = 0
+#: Positions of a block that are sorted at once.
 SLICE = 4_000_000
 #: Different words of a range, about.
 RANGE = 1_000_000
@@ -185,7 +186,8 @@ def log_chances(runs: np.ndarray, counts: np.ndarray, top: Top, depth: int = DEP
 
 # -- blocks -----------------------------------------------------------------
 
-END_WORD = xxhash.xxh64_intdigest(b"\0end")
+#: No word holds a space.
+END_WORD = xxhash.xxh64_intdigest(b" end")
 WORDS, RUNS, TOKENS = 0, 1, 2
 
 
@@ -255,7 +257,6 @@ def _counted(texts: list[bytes], held, kind: int, depth: int) -> tuple[np.ndarra
 
 
 def _blocks(docs: DataFrame, block: int) -> DataFrame:
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, no = TaskContext.get().partitionId(), 0
@@ -270,7 +271,7 @@ def _blocks(docs: DataFrame, block: int) -> DataFrame:
 
         for frame in frames:
             for doc_id, out, text in zip(frame["doc_id"], frame["held"], frame["text"]):
-                ids.append(None if pd.isna(doc_id) else doc_id)
+                ids.append(doc_id)
                 held.append(bool(out))
                 texts.append(text.encode().lower())
                 size += len(texts[-1])
@@ -281,7 +282,7 @@ def _blocks(docs: DataFrame, block: int) -> DataFrame:
             yield made()
 
     rows = docs.select(
-        "doc_id",
+        as_text("doc_id"),
         F.coalesce(
             F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False)
         ).alias("held"),
@@ -289,7 +290,7 @@ def _blocks(docs: DataFrame, block: int) -> DataFrame:
     )
     return rows.mapInPandas(
         gather,
-        f"block long, doc_ids array<{id_type}>, held array<boolean>, lens array<int>, size long, payload binary",
+        "block long, doc_ids array<string>, held array<boolean>, lens array<int>, size long, payload binary",
     )
 
 
@@ -298,7 +299,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block: int = BLOCK) ->
     bits_per_byte`` of every document; a hash of the id says which are held out.
 
     ``base_score``: words by their counts with one added; ``score``: the text's bytes
-    by the context tree, A-Z in lower case. Both are log10 probabilities.
+    by the context tree, A-Z in lower case. Both are log10 probabilities. The logarithm
+    of a byte's chance has the 24 bits of a float, their sum those of a double.
     """
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -417,8 +419,9 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block: int = BLOCK) ->
             "bits_per_byte": -total * math.log2(10) / (np.array(row["lens"]) + 1),
         })
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
+    scored = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
         score,
-        f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long,"
+        "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long,"
         " base_score double, score double, bits_per_byte double",
     )
+    return with_type(scored, "doc_id", id_type)

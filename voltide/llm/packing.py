@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.llm.bpe import ByteBpe, batches, loaded
-from voltide.llm.common import materialize, text_or_empty
+from voltide.llm.common import as_text, materialize, text_or_empty, with_type
 
 CAPACITY = 1024
 END_ID = 2
@@ -39,9 +39,9 @@ def pieces(
     ``doc_id, piece, start, length, ids_crc32, part, rank``, and ``ids`` if wanted.
     ``rank`` counts pieces of one length within the ``part`` that made them.
     """
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part int, rank long"
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(as_text("doc_id"), text_or_empty().alias("text"))
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe, seen = loaded(ByteBpe, path), Counter()
@@ -69,7 +69,8 @@ def pieces(
                     made["ids"] = kept
                 yield made
 
-    return rows.mapInPandas(cut, schema + (", ids array<int>" if ids else ""))
+    made = rows.mapInPandas(cut, schema + (", ids array<int>" if ids else ""))
+    return with_type(made, "doc_id", id_type)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.common import materialize, shuffle_parts, text_or_empty, words_of
+from voltide.llm.common import as_text, materialize, shuffle_parts, text_or_empty, with_type, words_of
 from voltide.llm.components import components, forest
 
 SHINGLE = 4
@@ -117,9 +117,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, width: int = 1) -> Dat
                 "fp": [f.astype("<u8").tobytes() for f in fps],
             })
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(
-        of, f"doc_id {id_type}, node long, fp binary"
+    found = docs.select(as_text("doc_id"), text_or_empty().alias("text")).mapInPandas(
+        of, "doc_id string, node long, fp binary"
     )
+    return with_type(found, "doc_id", id_type)
 
 
 def references(count: int = PIVOTS, width: int = 1) -> np.ndarray:
@@ -313,14 +314,14 @@ def linked(
 
 
 def _classes(found: DataFrame, ties: DataFrame) -> DataFrame:
-    """``node, component_id`` for stored fingerprints and the ties between them."""
+    """``node, component_id, group`` for stored fingerprints and the ties between them."""
     nodes = found.groupBy("node").agg(F.min("doc_id").alias("first_id"))
     roots = components(ties).withColumnRenamed("node", "tied")
     rooted = nodes.join(roots, F.col("node") == F.col("tied"), "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(smallest, "root").select("node", "component_id")
+    return rooted.join(smallest, "root").select("node", "component_id", F.col("root").alias("group"))
 
 
 def _nodes(found: DataFrame) -> DataFrame:
@@ -345,20 +346,27 @@ def _set_of(base: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def set_fingerprints(docs: DataFrame, shingle: int, width: int) -> DataFrame:
-    """``doc_id, node, fp``: ``node`` names the set of shingles."""
+    """``doc_id, text_hash, node, fp``: ``node`` names the set of shingles."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             bases = [shingles(t, shingle) for t in frame["text"]]
             yield pd.DataFrame({
-                "doc_id": frame["doc_id"], "node": np.array([_set_of(b)[1] for b in bases], np.int64),
+                "doc_id": frame["doc_id"], "text_hash": frame["text_hash"],
+                "node": np.array([_set_of(b)[1] for b in bases], np.int64),
                 "fp": [fold(b, width).astype("<u8").tobytes() for b in bases],
             })
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(
-        of, f"doc_id {id_type}, node long, fp binary"
+    found = docs.select(as_text("doc_id"), text_or_empty().alias("text"), text_hash().alias("text_hash")).mapInPandas(
+        of, "doc_id string, text_hash long, node long, fp binary"
     )
+    return with_type(found, "doc_id", id_type)
+
+
+def text_hash():
+    """Tells the texts of rows with one id apart."""
+    return F.xxhash64(text_or_empty())
 
 
 def similar(nodes: np.ndarray, sets: list[np.ndarray], least: float = SIMILAR) -> np.ndarray:
@@ -405,7 +413,7 @@ def verified(
     compared in pairs of chunks, each pair in its own task.
     """
     roots = materialize(components(ties), "proposed")
-    tied = found.join(roots, "node").select(F.col("doc_id").alias("tied_")).distinct()
+    tied = found.join(roots, "node").select("doc_id").distinct()
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -415,7 +423,7 @@ def verified(
                 "set": [x.astype("<u8").tobytes() for x, _ in made],
             })
 
-    texts = docs.join(tied, F.col("doc_id") == F.col("tied_"), "left_semi").select(text_or_empty().alias("text"))
+    texts = docs.select("doc_id", text_or_empty().alias("text")).join(tied, "doc_id", "left_semi").select("text")
     sets = texts.mapInPandas(of, "node long, size long, set binary").dropDuplicates(["node"])
     sets = materialize(sets.join(roots, "node"), "shingle-sets")
     chunks = sets.groupBy("root").agg(F.expr(f"cast(ceil(2.0D * sum(size) / {most}) as int)").alias("chunks"))
@@ -444,13 +452,19 @@ def drop_near_duplicates(
     """The row with the smallest id of each group of similar documents, columns as they came.
 
     Fingerprints propose pairs; those count whose sets of shingles have a Jaccard
-    similarity of ``least`` or more. Of rows that share that id one stays. Rows
-    without an id stay.
+    similarity of ``least`` or more. Rows that share an id count as documents of
+    their own: of equal ones one stays. Rows without an id stay.
     """
     named = docs.where("doc_id IS NOT NULL")
     found = materialize(set_fingerprints(named, shingle, width), "fingerprints")
     proposed = linked(_nodes(found), band_keys(draws, drawn, width), bits, width, group)
     ties = materialize(verified(named, found, proposed, shingle, least, most), "ties")
-    keep = _classes(found, ties).select(F.col("component_id").alias("keep_")).distinct()
-    kept = named.join(keep, F.col("doc_id") == F.col("keep_"), "left_semi").dropDuplicates(["doc_id"])
+    # of the rows with a group's smallest id, those of one of its texts; of equal rows one
+    keep = (
+        found.join(_classes(found, ties), "node").where("doc_id = component_id")
+        .groupBy("doc_id", "group").agg(F.min("text_hash").alias("text_hash"))
+        .select("doc_id", "text_hash").distinct()
+    )
+    held = named.select("doc_id", text_hash().alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = held.join(keep, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
     return kept.unionByName(docs.where("doc_id IS NULL"))

@@ -7,7 +7,8 @@ lists, the document ids and the ends of the documents, in Elias-Fano form: about
 through sampled counts, without a table of 64-bit offsets. Blocks are written by
 Spark as binary rows of Parquet, so a lost task leaves no part of a file.
 
-Cases: a null text counts as empty, so its document is its end id alone. Null ids
+Cases: a null text counts as empty, so its document is its end id alone. Ids are whole
+numbers; text that is none fails the job. Null ids
 come first and are kept as null. Rows with one id stand side by side, in the
 order of their ids' bytes. Other columns are ignored. An empty table gives an
 empty folder, read as an empty table.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.llm.bpe import WordBpe, batches, loaded
-from voltide.llm.common import shuffle_parts, text_or_empty
+from voltide.llm.common import as_text, shuffle_parts, text_or_empty
 
 END_ID = 2
 MAGIC = b"TOKB"
@@ -152,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
     parts = shuffle_parts(spark)
     # ranges of ids: their bounds are a number for each task
     cuts = rows.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts)
-    bounds = np.array(sorted(set(cuts)), np.int64)
+    bounds = np.array(sorted({min(max(int(c), -(2**63)), 2**63 - 1) for c in cuts}), np.int64)
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(WordBpe, path)
@@ -160,10 +161,10 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
             texts, names = frame["text"].tolist(), frame["doc_id"]
             known = names.notna().to_numpy()
             bucket = np.full(len(names), -1, np.int32)
-            bucket[known] = np.searchsorted(bounds, names[known].astype(np.int64), side="right")
+            bucket[known] = np.searchsorted(bounds, names[known].map(int).to_numpy(np.int64), side="right")
             for a, b in batches(texts):
                 yield pd.DataFrame({
-                    "bucket": bucket[a:b], "doc_id": names.iloc[a:b].astype("Int64"),
+                    "bucket": bucket[a:b], "doc_id": names.iloc[a:b],
                     "ids": [
                         np.append(ids, end_id).astype(bpe.dtype).tobytes()
                         for ids in bpe.ids_of(texts[a:b])
@@ -190,16 +191,16 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
                     names, held, size = [], [], 0
                 if b != bucket:
                     bucket, block, before = b, 0, 0
-                names.append(None if pd.isna(doc_id) else int(doc_id))
+                names.append(None if doc_id is None else int(doc_id))
                 held.append(ids)
                 size += len(ids) // (4 if wide else 2)
         if held:
             yield made()
 
     (
-        rows.mapInPandas(encode, "bucket int, doc_id long, ids binary")
+        rows.select(as_text("doc_id"), "text").mapInPandas(encode, "bucket int, doc_id string, ids binary")
         .repartition(parts, "bucket")
-        .sortWithinPartitions("bucket", "doc_id", "ids")
+        .sortWithinPartitions("bucket", F.col("doc_id").cast("long"), "ids")
         .mapInPandas(blocks, FOLDER)
         .write.parquet(folder)
     )

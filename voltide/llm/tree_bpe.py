@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltide.llm.bpe import ByteBpe, batches, loaded
-from voltide.llm.common import shuffle_parts, text_or_empty
+from voltide.llm.common import as_text, shuffle_parts, text_or_empty, with_type
 
 #: Characters of a part; longer texts are dealt over tasks.
 PART = 65536
@@ -46,9 +46,9 @@ def _finish_digest(bpe: ByteBpe, ids: np.ndarray) -> tuple:
 def _over_texts(docs: DataFrame, path: str, finish: Finish, schema: str, part: int) -> DataFrame:
     """One row per document: ``finish`` of its ids; ``schema`` names its columns."""
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    out_schema = f"doc_id {id_type}, {schema}"
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(as_text("doc_id"), text_or_empty().alias("text"))
+    out_schema = f"doc_id string, {schema}"
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(ByteBpe, path)
@@ -72,7 +72,7 @@ def _over_texts(docs: DataFrame, path: str, finish: Finish, schema: str, part: i
                     "doc_id": [doc_id] * len(parts), "digest": digest, "copies": copies,
                     "no": range(len(parts)), "run": [r for r, _ in parts],
                     "part": [p for _, p in parts],
-                }).astype({"doc_id": frame["doc_id"].dtype})
+                })
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(ByteBpe, path)
@@ -102,18 +102,18 @@ def _over_texts(docs: DataFrame, path: str, finish: Finish, schema: str, part: i
         .agg(F.count("*").alias("copies"))
         .withColumn("digest", F.sha2("text", 256))
     )
-    key = f"doc_id {id_type}, digest string, copies long, no int, run int"
+    key = "doc_id string, digest string, copies long, no int, run int"
     parts = keyed.mapInPandas(cut, key + ", part string").repartition(
         shuffle_parts(docs.sparkSession), "doc_id", "digest", "no"
     )
     joined = (
         parts.mapInPandas(encode, key + ", ids binary")
         .groupBy("doc_id", "digest")
-        .applyInPandas(join, f"doc_id {id_type}, copies long, {schema}")
+        .applyInPandas(join, f"doc_id string, copies long, {schema}")
         .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
         .drop("copies", "copy")
     )
-    return short.unionByName(joined)
+    return with_type(short.unionByName(joined), "doc_id", id_type)
 
 
 def encode_documents(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
@@ -133,7 +133,8 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
             ]
             yield frame[["doc_id", "text"]]
 
-    return encoded.select("doc_id", "ids").mapInPandas(decode, f"doc_id {id_type}, text string")
+    decoded = encoded.select(as_text("doc_id"), "ids").mapInPandas(decode, "doc_id string, text string")
+    return with_type(decoded, "doc_id", id_type)
 
 
 def digest_documents(docs: DataFrame, path: str, part: int = PART) -> DataFrame:

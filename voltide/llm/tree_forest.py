@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.common import materialize, shuffle_parts
+from voltide.llm.common import as_text, materialize, shuffle_parts, with_type
 from voltide.llm.components import components, forest
 
 LEAST_COSINE = 0.93
@@ -114,29 +115,35 @@ def grow_forest(
     return out
 
 
-def _unit(data: bytes) -> np.ndarray:
-    x = np.frombuffer(data, "<f4").astype(np.float64)
+def _unit(data: bytes, kind: str = "<f4") -> np.ndarray:
+    x = np.frombuffer(data, kind).astype(np.float64)
+    x = x / np.abs(x).max()  # squares stay in range
     return x / np.sqrt(x @ x)
 
 
-def _sound(vector) -> np.ndarray | None:
+def _kind(vectors: DataFrame) -> str:
+    """How components are stored: in the width they come in."""
+    return "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+
+
+def _sound(vector, kind: str = "<f4") -> np.ndarray | None:
     if vector is None or any(v is None for v in vector):
         return None
     x = np.asarray(vector, np.float64)
     if not len(x) or not np.isfinite(x).all() or not x.any():
         return None
-    return np.asarray(vector, "<f4")
+    return np.asarray(vector, kind)
 
 
 def _read(vectors: DataFrame) -> DataFrame:
     """``vec_id, cls, vec``: class of a label and vector; null where nothing can link."""
-    id_type = vectors.schema["vec_id"].dataType.simpleString()
+    id_type, kind = vectors.schema["vec_id"].dataType.simpleString(), _kind(vectors)
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             cls, vecs = [], []
             for label, vector in zip(frame["label"], frame["embedding"]):
-                x = None if label is None or pd.isna(label) else _sound(vector)
+                x = None if label is None or pd.isna(label) else _sound(vector, kind)
                 vecs.append(None if x is None else x.tobytes())
                 cls.append(
                     None if x is None
@@ -146,12 +153,13 @@ def _read(vectors: DataFrame) -> DataFrame:
                 "vec_id": frame["vec_id"].to_numpy(), "label": frame["label"], "cls": cls, "vec": vecs,
             })
 
-    return vectors.select("vec_id", F.col("label").cast("string").alias("label"), "embedding").mapInPandas(
-        read, f"vec_id {id_type}, label string, cls binary, vec binary"
-    ).withColumn("node", F.xxhash64("label", "cls"))
+    read_rows = vectors.select(as_text("vec_id"), F.col("label").cast("string").alias("label"), "embedding").mapInPandas(
+        read, "vec_id string, label string, cls binary, vec binary"
+    )
+    return with_type(read_rows, "vec_id", id_type).withColumn("node", F.xxhash64("label", "cls"))
 
 
-def _route(classes: DataFrame, least: float, trees: int, leaf: int, sample: int) -> DataFrame:
+def _route(classes: DataFrame, least: float, trees: int, leaf: int, sample: int, kind: str) -> DataFrame:
     """``node, space, many, vec, leaves`` for every class."""
     spread = classes.groupBy("space").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
     total, largest = spread[0] or 0, spread[1] or 0
@@ -159,8 +167,10 @@ def _route(classes: DataFrame, least: float, trees: int, leaf: int, sample: int)
     drawn = [
         r["vec"] for r in classes.orderBy("node").select("vec").limit(sample).collect()
     ]
-    dimension = max((len(d) for d in drawn), default=4) // 4
-    units = np.array([_unit(d) for d in drawn if len(d) == 4 * dimension]).reshape(-1, dimension)
+    # the length that most have; a vector of another one is rare and goes to a leaf of its own length
+    size = max(Counter(map(len, drawn)).items(), key=lambda c: (c[1], c[0]))[0] if drawn else 8
+    dimension = size // np.dtype(kind).itemsize
+    units = np.array([_unit(d, kind) for d in drawn if len(d) == size]).reshape(-1, dimension)
     margin = margin_of(dimension, least, OVERLAP)
     # a label with ``largest`` classes has this share of itself in the sample's leaves
     share = len(units) / max(largest, 1)
@@ -175,10 +185,10 @@ def _route(classes: DataFrame, least: float, trees: int, leaf: int, sample: int)
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             lists: list[list[int]] = [[] for _ in range(len(frame))]
-            same = np.array([len(v) == 4 * dimension for v in frame["vec"]], bool)
+            same = np.array([len(v) == size for v in frame["vec"]], bool)
             if same.any():
                 where = np.flatnonzero(same)
-                x = np.array([_unit(v) for v in frame["vec"][same]])
+                x = np.array([_unit(v, kind) for v in frame["vec"][same]])
                 for no, tree in enumerate(held.value):
                     for row, found in zip(*tree.leaves(x, margin)):
                         lists[where[row]].append((no << 32) + int(found))
@@ -210,27 +220,27 @@ def _compare(left: dict, right: dict | None, leaf: int, least: float):
             yield p[first], q[first]
 
 
-def _packed(frame: pd.DataFrame) -> dict:
+def _packed(frame: pd.DataFrame, kind: str) -> dict:
     width = max(map(len, frame["leaves"]))
     leaves = np.full((len(frame), width), -9, np.int64)
     for i, found in enumerate(frame["leaves"]):
         leaves[i, : len(found)] = found
     return {
-        "x": np.array([_unit(v) for v in frame["vec"]]), "leaves": leaves,
+        "x": np.array([_unit(v, kind) for v in frame["vec"]]), "leaves": leaves,
         "node": frame["node"].to_numpy(), "many": frame["many"].to_numpy(),
     }
 
 
-def _links_of(group: pd.DataFrame, least: float) -> pd.DataFrame:
+def _links_of(group: pd.DataFrame, least: float, kind: str) -> pd.DataFrame:
     """For one leaf (or two chunks of it): links of each class and ties between them."""
     leaf = int(group["leaf"].iloc[0])
     if group["one"].iloc[0] == group["two"].iloc[0]:
-        parts = [_packed(group), None]
+        parts = [_packed(group, kind), None]
     else:
         mine = group["mine"] == group["one"]
         if mine.all() or not mine.any():
             return pd.DataFrame({"node": [], "links": [], "tie": []})
-        parts = [_packed(group[mine]), _packed(group[~mine])]
+        parts = [_packed(group[mine], kind), _packed(group[~mine], kind)]
     second = parts[0] if parts[1] is None else parts[1]
     counts = [np.zeros(len(parts[0]["node"]), np.int64), np.zeros(len(second["node"]), np.int64)]
     ties = []
@@ -255,6 +265,7 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row."""
     spark = vectors.sparkSession
+    kind = _kind(vectors)
     rows = materialize(_read(vectors), "vectors")
     classes = (
         rows.where("vec IS NOT NULL").groupBy("node")
@@ -265,7 +276,7 @@ def near_vectors(
         .withColumn("space", F.concat_ws(":", F.length("vec").cast("string"), "label"))
     )
     classes = materialize(classes, "classes")
-    routed = materialize(_route(classes, least, trees, leaf, sample), "routed")
+    routed = materialize(_route(classes, least, trees, leaf, sample, kind), "routed")
     placed = routed.withColumn("leaf", F.explode("leaves"))
     large = (
         placed.groupBy("space", "leaf").agg(F.count("*").alias("n")).where(f"n > {group}")
@@ -289,10 +300,10 @@ def near_vectors(
             new = (held[keys] != held[keys].shift()).any(axis=1).to_numpy()
             starts = np.flatnonzero(new)
             for a, b in zip(starts, starts[1:]):
-                yield _links_of(held.iloc[a:b], least)
+                yield _links_of(held.iloc[a:b], least, kind)
             held = held.iloc[starts[-1] :] if len(starts) else None
         if held is not None and len(held):
-            yield _links_of(held, least)
+            yield _links_of(held, least, kind)
 
     found = materialize(
         dealt.drop("chunks", "other").repartition(shuffle_parts(spark), *keys)
