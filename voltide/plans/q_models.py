@@ -1,9 +1,11 @@
 """Queries: boosted trees, stacking, scoring, forecasts. Models have no SQL."""
 
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
+from voltide.functions.errors import normal_quantile
 from voltide.operators import forecast, models, temporal
 from voltide.operators.clean import impute_median
 from voltide.operators.evaluate import compare_models
@@ -179,10 +181,46 @@ def client_trend(spark, sf):
     return rounded(forecast.client_trend(trades_from_events(spark, sf)), intercept=2)
 
 
-@query("forecast_client")
+def _client_sql(ridge: float = 1.0, periods: int = 7) -> str:
+    """Sums of products per client, then the normal equations by elimination, column by column."""
+    turn = "datediff('day', DATE '2000-01-01', {d})"
+    angle = f"{turn} * {2 * math.pi / 7!r}"
+    terms = ["1.0", f"{turn} / 365.25", f"sin({angle})", f"cos({angle})", f"sin(2 * {angle})", f"cos(2 * {angle})"]
+    p = len(terms)
+    names = [f"m{i}_{j}" for i in range(p) for j in range(p + 1)]
+    daily = ", ".join(f"{t.format(d='day')} AS t{i}" for i, t in enumerate(terms))
+    first = ", ".join(
+        [f"sum(t{i} * t{j}) + {(1e-9 if not i else ridge) if i == j else 0.0} AS m{i}_{j}" for i in range(p) for j in range(p)]
+        + [f"sum(t{i} * y) AS m{i}_{p}" for i in range(p)])
+    raw = ", ".join(f"sum(t{i} * t{j}) AS g{i}_{j}" for i in range(p) for j in range(i, p))
+    step = f"SELECT client_id, sum(y * y) AS yy, count(*) AS days, max(day) AS last_day, {raw}, {first} FROM daily GROUP BY 1"
+    keep = "client_id, yy, days, last_day, " + ", ".join(f"g{i}_{j}" for i in range(p) for j in range(i, p))
+    right = ", ".join(f"m{i}_{p} AS r{i}" for i in range(p))
+    step, keep = f"SELECT *, {right} FROM ({step})", keep + ", " + ", ".join(f"r{i}" for i in range(p))
+    for k in range(p):
+        new = ", ".join(
+            f"{n} / m{k}_{k} AS {n}" if n.startswith(f"m{k}_")
+            else f"{n} - m{n[1]}_{k} * m{k}_{n[3:]} / m{k}_{k} AS {n}" for n in names)
+        step = f"SELECT {keep}, {new} FROM ({step})"
+    w = [f"m{i}_{p}" for i in range(p)]
+    fit = " + ".join(f"{w[i]} * r{i}" for i in range(p))
+    square = " + ".join(f"{1 if i == j else 2} * {w[i]} * {w[j]} * g{min(i, j)}_{max(i, j)}" for i in range(p) for j in range(i, p))
+    std = f"sqrt(greatest(yy - 2 * ({fit}) + {square}, 0) / greatest(days - 1, 1))"
+    yhat = " + ".join(f"{w[i]} * {t.format(d='ds')}" for i, t in enumerate(terms))
+    half = f"{normal_quantile(0.975)!r} * s"
+    return sql(f"""
+SELECT client_id, strftime(ds, '%Y-%m-%d') AS ds, {r('yhat', 'yhat', 4)}, {r(f'yhat - {half}', 'yhat_lower', 4)},
+  {r(f'yhat + {half}', 'yhat_upper', 4)}, CAST(0.95 AS DOUBLE) AS confidence
+FROM (SELECT client_id, ds, {yhat} AS yhat, s FROM (
+  SELECT *, {std} AS s, last_day + CAST(unnest(range(1, {periods + 1})) AS INTEGER) AS ds FROM ({step})))""",
+        extra=f"daily AS (SELECT client_id, day, y, {daily} FROM (SELECT client_id, CAST(close_ts AS DATE) AS day, "
+              "sum(amount) AS y FROM ops_events WHERE client_id IS NOT NULL GROUP BY ALL))")
+
+
+@query("forecast_client", _client_sql())
 def forecast_client(spark, sf):
     t = forecast.forecast_clients(trades_from_events(spark, sf), periods=7)
-    return rounded(t.withColumn("ds", text_day("ds")))
+    return rounded(t.withColumn("ds", text_day("ds")), 4)
 
 
 @query("production_run")

@@ -1,6 +1,7 @@
 """All registered queries: importing a module registers its queries."""
 
 from voltide.plans import (  # noqa: F401
+    q_cells,
     q_clean,
     q_evaluate,
     q_features,
