@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voltide.operators import forecast, models, temporal
+from voltide.operators import forecast, joint, models, temporal
 from voltide.operators.monitor import training_stats
 from voltide.operators.split import id_bucket
 from voltide.plans.production import evaluate_against, production_run, train_chain
@@ -228,3 +228,75 @@ def test_late_rows_update_their_day(spark, tmp_path):
     table = streams.read_latest(spark, out, ("client_id", "day_start"))
     got = {r["day_start"].day: r["daily_volume"] for r in table.collect()}
     assert got == {1: 7.0, 2: 7.0}
+
+
+def seasonal(spark, slopes=((0.0, 1.0), (0.5, -3.0)), days=600, noise=0.01, seed=1):
+    """Daily values: a trend whose slope changes at given shares of the time, times a week."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for d in range(days):
+        t = d / (days - 1)
+        level = 10 + sum(s * max(t - at, 0) for at, s in slopes)
+        day = dt.datetime(2022, 1, 1) + dt.timedelta(days=d)
+        rows.append((day, float(level * (1 + 0.2 * np.sin(2 * np.pi * d / 7)) + noise * rng.normal()), float(d % 5)))
+    return spark.createDataFrame(rows, "ds timestamp, y double, x double")
+
+
+WEEK = {"weekly": (7.0, 2)}
+
+
+def test_slope_changes_are_found_and_no_others(spark):
+    df = seasonal(spark, ((0.0, 2.0), (0.35, -9.0)), noise=0.1)
+    model = joint.JointForecaster.fit(df, regressors=("x",), changepoints=19, seasons=WEEK, changepoint_prior=8e-4)
+    changes = {round(k, 3): model.trend[f"_knot_{i}"] for i, k in enumerate(model.knots)}
+    assert sum(w == 0 for w in changes.values()) >= 10
+    assert sum(w for k, w in changes.items() if abs(k - 0.35) < 0.08) == pytest.approx(-9.0, rel=0.15)
+    assert sum(abs(w) for k, w in changes.items() if abs(k - 0.35) >= 0.08) < 0.5
+    fit = model.predict(df).selectExpr("sqrt(avg(pow(y - yhat, 2)))").first()[0]
+    assert fit < 0.13
+    assert max(abs(r["gradient"]) for r in model.certificate(df).collect()) < 1e-9
+
+
+def test_joint_fit_is_no_worse_than_trend_first(spark):
+    df = seasonal(spark, ((0.0, 30.0),), days=45)
+    errors = [m.predict(df).selectExpr("avg(pow(y - yhat, 2))").first()[0] for m in (
+        joint.JointForecaster.fit(df, seasons=WEEK), forecast.Forecaster.fit(df, seasons=WEEK))]
+    assert errors[0] < errors[1]
+
+
+def test_bounds_widen_with_the_horizon(spark):
+    df = seasonal(spark)
+    model = joint.JointForecaster.fit(df, seasons=WEEK)
+    width = "yhat_upper - yhat_lower"
+    inside = model.predict(df).selectExpr(f"min({width})", f"max({width})").first()
+    assert inside[0] == pytest.approx(inside[1])
+    ahead = forecast.forecast_future(model, df, 365).where("part = 'future'").orderBy("ds")
+    widths = [r[0] for r in ahead.selectExpr(width).collect()]
+    assert widths[0] < widths[100] < widths[364] and widths[0] == pytest.approx(inside[0], rel=0.01)
+
+
+def test_lasso_meets_its_conditions():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(80, 12))
+    x[:, 5] = 0
+    y = x @ np.where(np.arange(12) % 4 == 0, 3.0, 0.0) + rng.normal(size=80)
+    gram, right = x.T @ x, x.T @ y
+    penalty = np.array([0.0, *[25.0] * 11])
+    w = joint.lasso(gram, right, penalty)
+    assert joint.lasso(gram, right, penalty * 1e6)[1:].tolist() == [0.0] * 11
+    pull = right - gram @ w
+    for k in range(12):
+        if w[k]:
+            assert pull[k] == pytest.approx(penalty[k] * np.sign(w[k]), abs=1e-7)
+        else:
+            assert abs(pull[k]) <= penalty[k] + 1e-7
+    assert (w == 0).any()
+
+
+def test_joint_fit_of_odd_rows(spark):
+    with pytest.raises(ValueError, match="no rows"):
+        joint.JointForecaster.fit(seasonal(spark).limit(0), seasons=WEEK)
+    rows = [(None, 1.0), (dt.datetime(2022, 1, 1), None), *[(dt.datetime(2022, 1, 1), 5.0)] * 4]
+    df = spark.createDataFrame(rows, "ds timestamp, y double")
+    model = joint.JointForecaster.fit(df, seasons=WEEK)
+    assert model.predict(df.where("y is not null and ds is not null")).first()["yhat"] == pytest.approx(5.0)

@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from voltide.operators import forecast, models
+from voltide.operators import forecast, joint, models
 from voltide.operators.split import hash_split, temporal_split
 from voltide.plans.catalog import query, rounded, text_time
 from voltide.plans.oracle import r, sql
@@ -163,3 +163,31 @@ def forecast_rows(spark, sf):
 
     rows = forecast.forecast_input(load_trades(trades_from_orders(spark, sf)))
     return rounded(rows.withColumn("ds", F.date_format("ds", "yyyy-MM-dd")))
+
+
+_TERMS = ["_holiday", *[f"_{name}_{f}_{k}" for name, (_, order) in joint.SEASONS.items()
+                        for k in range(1, order + 1) for f in ("sin", "cos")],
+          *[f"_x_{c}" for c in ("client_mean_amount", "amount_ma_5")]]
+
+
+@query("forecast_certificate", sql(
+    f"SELECT unnest({_TERMS!r}) AS name, 0.0::DOUBLE AS gradient FROM (SELECT max(amount) FROM ops_orders)"))
+def forecast_certificate(spark, sf):
+    """The gradient of the joint forecaster's objective at its weights, from all rows: zero."""
+    from voltide.plans.cleaning import load_trades
+
+    t = load_trades(trades_from_orders(spark, sf))
+    rows = materialize(forecast.forecast_input(t, ["client_mean_amount", "amount_ma_5"]), "rows")
+    model = joint.JointForecaster.fit(rows, regressors=["client_mean_amount", "amount_ma_5"])
+    return model.certificate(rows).select("name", (F.round("gradient", 6) + F.lit(0.0)).alias("gradient"))
+
+
+@query("forecast_joint")
+def forecast_joint(spark, sf):
+    """Daily volume of all trades and 30 days ahead, trend and seasons fitted together."""
+    daily = trades_from_orders(spark, sf, ["close_ts", "amount"]).groupBy(
+        F.to_date("close_ts").cast("timestamp").alias("ds")).agg(F.sum("amount").alias("y"))
+    daily = materialize(daily, "daily")
+    model = joint.JointForecaster.fit(daily, seasons={k: joint.SEASONS[k] for k in ("yearly", "weekly")})
+    out = forecast.forecast_future(model, daily, 30)
+    return rounded(out.select("ds", "part", "yhat", "yhat_lower", "yhat_upper"))
