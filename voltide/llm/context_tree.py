@@ -43,7 +43,7 @@ FOLDS, HELD_OUT = 7, 2
 TOP = 2
 END = 0
 #: Positions of a block that are sorted at once.
-SLICE = 4_000_000
+SLICE = 1_000_000
 #: Different words of a range, about.
 RANGE = 1_000_000
 
