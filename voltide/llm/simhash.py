@@ -55,7 +55,7 @@ DRAWS, DRAWN = 48, 14
 #: Fingerprints only propose: a tie counts if the sets of shingles are so similar.
 SIMILAR = 0.8
 #: Shingles of the documents that one task compares exactly.
-MOST_SHINGLES = 2_000_000
+MOST_SHINGLES = 600_000
 
 Keys = Callable[[np.ndarray], np.ndarray]
 
