@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import tiktoken
@@ -46,18 +47,32 @@ class ByteBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         spec["truncation"] = spec["padding"] = None
-        self.whole = Tokenizer.from_str(json.dumps(spec))
-        bare = dict(spec, pre_tokenizer=None, normalizer=None, added_tokens=[], post_processor=None)
-        self.bare = Tokenizer.from_str(json.dumps(bare))
+        self.path = path
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.special_id = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("|".join(f"({re.escape(s)})" for s in self.special) or r"(?!)")
-        size = self.whole.get_vocab_size(with_added_tokens=True)
-        tokens = [self.whole.id_to_token(i) or "" for i in range(size)]
+        token_of = {i: t for t, i in spec["model"]["vocab"].items()} | {i: t for t, i in self.special_id.items()}
         #: Bytes of a token: one letter stands for one byte.
-        self.letters = tokens
+        self.letters = [token_of.get(i, "") for i in range(max(token_of) + 1)]
         self.quick = self._compiled(spec)
 
+    # each of the library's encoders takes some 100 MB of a worker: made where one is needed
+
+    def _spec(self) -> dict:
+        with open(self.path, encoding="utf-8") as f:
+            return dict(json.load(f), truncation=None, padding=None)
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The vocabulary as it stands."""
+        return Tokenizer.from_str(json.dumps(self._spec()))
+
+    @cached_property
+    def bare(self) -> Tokenizer:
+        """Merges alone, for a word in byte letters."""
+        spec = dict(self._spec(), pre_tokenizer=None, normalizer=None, added_tokens=[], post_processor=None)
+        return Tokenizer.from_str(json.dumps(spec))
+
     def _compiled(self, spec: dict):
         """The same vocabulary in a faster encoder, if ids follow the order of merges."""
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
