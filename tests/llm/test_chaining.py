@@ -99,6 +99,41 @@ def test_passages_of_repeated_units(spark):
         assert len(got[k] & whole) >= 0.98 * len(whole) and len(got[k] - whole) <= 10, k
 
 
+def test_passages_of_lines_in_irregular_order(spark):
+    """Every seed of the passage stands at many places of the source, and only one of them goes on as here."""
+    rng = random.Random(8)
+    lines = [words(12, 70_000 + k) for k in range(3)]
+    order = [rng.randrange(3) for _ in range(300)]
+    other = [rng.randrange(3) for _ in range(40)]
+    source = [w for k in order for w in lines[k]]
+    copy = [w for k in order[170:200] for w in lines[k]]
+    rows = [
+        (1, f"{prose(90, 71_000)} {' '.join(source)}"),
+        (2, f"{prose(70, 72_000)} {' '.join(copy)} {prose(80, 73_000)}"),
+        (3, f"{prose(70, 74_000)} {' '.join(lines[other[0]][:9])} {prose(80, 75_000)}"),
+    ]
+    found = chaining.passages(docs(spark, rows)).collect()
+    assert {r["doc_id"] for r in found} == {2}
+    assert max(r["end"] - r["start"] for r in found) >= len(copy)
+    got = {w for r in found for w in range(r["start"], r["end"])}
+    assert set(range(70, 70 + len(copy))) <= got and len(got) <= len(copy) + 10
+    for r in found:
+        assert r["source_id"] == 1 and r["n_same"] >= 0.8 * (r["end"] - r["start"])
+
+
+def test_whole_comparison_in_blocks():
+    rng = random.Random(9)
+    lines = [words(9, 76_000 + k) for k in range(2)]
+    texts = [" ".join(w for _ in range(60) for w in [*lines[rng.randrange(2)], str(rng.random())]) for _ in range(2)]
+    texts[1] += " " + " ".join(texts[0].split()[100:180])
+
+    def covered(**limit):
+        return {w for s, e, *_ in chaining.compared(texts[0], texts[1], **limit) for w in range(s, e)}
+
+    assert covered(chained=50) >= set(range(100, 180))
+    assert covered() >= set(range(100, 180))
+
+
 def test_empty_tables(spark):
     assert chaining.passages(docs(spark, [])).collect() == []
     assert chaining.passages(docs(spark, [(1, prose(80, 1)), (2, prose(80, 2))])).collect() == []

@@ -8,7 +8,8 @@ document with one source are chained in order, with a cost for gaps, through a
 Fenwick tree of best scores. Chains are then aligned word by word: seeds are
 extended at both ends and the gaps between them are aligned, which finds passages
 with small changes inside. A single match is aligned too, for a passage with many changes
-may have no other.
+may have no other. A document and a source in which a seed has many pairs of places (a
+repeated unit) are compared as a whole, at every shift of one along the other.
 
 A passage counts if it, with passages that touch it, has ``LEAST_WORDS`` words or
 more and ``LEAST_SAME`` of its words stand in the source too.
@@ -51,8 +52,10 @@ GAIN, GAP_COST = 8.0, 0.25
 AROUND = 96
 #: An extension ends where it has lost so much from its best: a changed word loses 3.
 MOST_LOST = 15
-#: A seed's places here and there are all paired up to so many pairs; beyond, runs are aligned.
+#: Pairs of one seed's places that are sent on; texts with a seed of more are compared place by place.
 MOST_PAIRS = 64
+#: Matches that are chained at once where two texts are compared place by place.
+CHAINED = 200_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -76,46 +79,9 @@ def seeds_of(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, n
     return hashes[at].view(np.int64), at
 
 
-def _runs(places: np.ndarray) -> list[np.ndarray]:
-    """Places cut into runs of one step."""
-    out, at = [], 0
-    steps = np.diff(places)
-    while at < len(places):
-        end = at + 1
-        if end < len(places):
-            other = np.flatnonzero(steps[at:] != steps[at])
-            end = at + int(other[0]) + 1 if len(other) else len(places)
-        out.append(places[at:end])
-        at = end
-    return out
-
-
 def pairs_of(here: np.ndarray, there: np.ndarray) -> np.ndarray:
-    """Matches of a seed that stands at several places here or there.
-
-    Many places are those of a repeated unit. Each run of one step here is then laid
-    along the longest run of that step there, again and again while it is longer, and
-    along its end; without one, the n-th place here meets the n-th there, from both ends.
-    """
-    if len(here) * len(there) <= MOST_PAIRS:
-        return np.stack([np.repeat(here, len(there)), np.tile(there, len(here))], axis=1)
-    longest: dict[int, np.ndarray] = {}
-    for run in _runs(there):
-        step = int(run[1] - run[0]) if len(run) > 1 else 0
-        if len(run) > len(longest.get(step, ())):
-            longest[step] = run
-    n = min(len(here), len(there))
-    out = [
-        np.stack([here, np.full(len(here), there[0])], axis=1),
-        np.stack([here[:n], there[:n]], axis=1), np.stack([here[-n:], there[-n:]], axis=1),
-    ]
-    for run in _runs(here):
-        other = longest.get(int(run[1] - run[0])) if len(run) > 1 else None
-        if other is not None:
-            n = min(len(run), len(other))
-            out.append(np.stack([run, other[np.arange(len(run)) % len(other)]], axis=1))
-            out.append(np.stack([run[-n:], other[-n:]], axis=1))
-    return np.concatenate(out)
+    """All matches of a seed that stands at several places here or there."""
+    return np.stack([np.repeat(here, len(there)), np.tile(there, len(here))], axis=1)
 
 
 def chain(matches: np.ndarray, gain: float = GAIN, cost: float = GAP_COST) -> list[np.ndarray]:
@@ -288,6 +254,68 @@ def _codes(words: list[bytes]) -> np.ndarray:
     return np.array([zlib.crc32(w) for w in words], np.uint32)
 
 
+def _equal_runs(mine: np.ndarray, theirs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each word, the end of the longest run of ``least`` or more equal words that starts there, and its
+    place there. Every shift of one text along the other is looked at."""
+    far, place = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64)
+    for shift in range(least - len(mine), len(theirs) - least + 1):
+        low, high = max(0, -shift), min(len(mine), len(theirs) - shift)
+        other = np.flatnonzero(mine[low:high] != theirs[low + shift : high + shift])
+        edges = np.r_[-1, other, high - low]
+        at = np.flatnonzero(np.diff(edges) > least)
+        starts, ends = edges[at] + 1 + low, edges[at + 1] + low
+        better = ends > far[starts]
+        far[starts[better]], place[starts[better]] = ends[better], starts[better] + shift
+    return far, place
+
+
+def compared(
+    mine_text: str, theirs_text: str, k: int = K, window: int = WINDOW,
+    least: int = LEAST_WORDS, share: float = LEAST_SAME, chained: int = CHAINED,
+) -> list[tuple]:
+    """Spans ``(start, end, source start, source end, equal words)`` of two texts, from all pairs of places.
+
+    Runs of equal words come from a comparison at every shift; the fewest that cover all words
+    in one are kept. The matches of seeds that are not deep inside those words are chained and
+    aligned, all of them, ``chained`` or so at a time.
+    """
+    mine, theirs = _codes(words_of(mine_text)), _codes(words_of(theirs_text))
+    far, place = _equal_runs(mine, theirs, least)
+    spans: dict[tuple[int, int], tuple] = {}
+    known = np.zeros(len(mine), bool)
+    best, reached = -1, 0
+    for start in [*np.flatnonzero(far).tolist(), None]:
+        # the run that reaches farthest of those that start within or right behind the last
+        if best >= 0 and (start is None or start > reached):
+            end = int(far[best])
+            spans[best, end] = (best, end, int(place[best]), int(place[best]) + end - best, end - best)
+            known[best:end] = True
+            reached, best = end, -1
+        if start is not None and far[start] > reached and (best < 0 or far[start] > far[best]):
+            best = start
+    hashes, at = seeds_of(mine_text, k, window)
+    other, there = seeds_of(theirs_text, k, window)
+    order = np.argsort(other, kind="stable")
+    other, there = other[order], there[order]
+    low, high = np.searchsorted(other, hashes), np.searchsorted(other, hashes, "right")
+    # a seed whose neighbourhood is known adds nothing
+    total = np.r_[0, np.cumsum(~known)]
+    around = LEAST_PART + k
+    open_words = total[np.minimum(at + around, len(mine))] - total[np.maximum(at - LEAST_PART, 0)]
+    wanted = np.flatnonzero((open_words > 0) & (high > low))
+    counts = np.cumsum((high - low)[wanted])
+    for block in np.split(wanted, np.flatnonzero(np.diff(counts // chained)) + 1):
+        if not len(block):
+            continue
+        matches = np.concatenate([pairs_of(at[i : i + 1], there[low[i] : high[i]]) for i in block])
+        for whole in chain(matches):
+            for part in parts_of(whole, k=k):
+                span = align(mine, theirs, part, k, least, share)
+                if span and span[1] - span[0] >= LEAST_PART and span[4] >= share * (span[1] - span[0]):
+                    spans.setdefault(span[:2], span)
+    return list(spans.values())
+
+
 def _named_in(filter_blocks, spark) -> Column:
     """A test whether an id may be among those of a filter of bounded size."""
     held = spark.sparkContext.broadcast(filter_blocks)
@@ -333,12 +361,23 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
             for d, s, packed, repeated in zip(frame["doc"], frame["source"], frame["matches"], frame["repeated"]):
                 packed = np.asarray(packed, np.int64)
                 found = [np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)]
+                many = False
                 for r in repeated:
                     here, there = (
                         np.frombuffer(x, "<i4").astype(np.int64) if x is not None else np.array([at], np.int64)
                         for x, at in ((r["places"], r["at"]), (r["theirs"], r["there"]))
                     )
+                    if len(here) * len(there) > MOST_PAIRS:
+                        many = True
+                        break
                     found.append(pairs_of(here, there))
+                if many:  # an empty path: the whole texts are compared
+                    doc.append(d)
+                    source.append(s)
+                    path.append(b"")
+                    begin.append(0)
+                    size.append(2**31 - 1)
+                    continue
                 sure: list[tuple[int, int]] = []
                 for whole in chain(np.concatenate(found)):
                     for part in parts_of(whole, k=k):
@@ -424,6 +463,9 @@ def passages(
                 mine = _codes(words_of(text))
                 spans, single = [], []
                 for c in found:
+                    if not c["path"]:
+                        spans += [(*x, c["source"]) for x in compared(text, c["passage"], k, window, least, share)]
+                        continue
                     path = np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64) - [0, c["begin"]]
                     span = align(mine, _codes(words_of(c["passage"])), path, k, least, share)
                     if span:
