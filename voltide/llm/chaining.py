@@ -313,7 +313,12 @@ def compared(
                 span = align(mine, theirs, part, k, least, share)
                 if span and span[1] - span[0] >= LEAST_PART and span[4] >= share * (span[1] - span[0]):
                     spans.setdefault(span[:2], span)
-    return list(spans.values())
+    out, reached = [], 0
+    for span in sorted(spans.values(), key=lambda x: (x[0], -x[1])):
+        if span[1] > reached:  # else it lies within another
+            out.append(span)
+            reached = span[1]
+    return out
 
 
 def _named_in(filter_blocks, spark) -> Column:
