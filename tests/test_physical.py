@@ -64,3 +64,30 @@ def test_no_cross_joins(spark, sf):
     for name in ("iqr_filter", "winsorize", "standard_scale", "error_by_quintile", "drift_report"):
         text = plan(QUERIES[name](spark, sf))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_folds_are_stored(spark):
+    """Fits read the fold many times; its digest is made once."""
+    from voltide.operators.models import with_folds
+
+    df = spark.range(50).selectExpr("id AS op_id", "id * 1.0D AS amount")
+    rows = with_folds(df, ["amount"], 5, "folds")
+    assert "md5" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.where("fold BETWEEN 0 AND 4").count() == 50
+
+
+def test_scaler_takes_few_columns_a_pass(spark, monkeypatch):
+    from voltide.operators import scale
+
+    seen, plain = [], scale.collect_stats
+
+    def counted(df, columns, wanted):
+        seen.append(len(df.columns))
+        return plain(df, columns, wanted)
+
+    monkeypatch.setattr(scale, "collect_stats", counted)
+    names = [f"c{i}" for i in range(2 * scale.AT_ONCE + 1)]
+    df = spark.range(10).selectExpr(*[f"CAST(id * {i} AS DOUBLE) AS {c}" for i, c in enumerate(names)])
+    fitted = scale.StandardScale.fit(df, names)
+    assert max(seen) <= scale.AT_ONCE and sum(seen) == len(names)
+    assert [fitted.parameters[c][0] for c in names] == [4.5 * i for i in range(len(names))]

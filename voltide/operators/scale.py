@@ -12,6 +12,9 @@ from voltide.operators.clean import clip, null_if_not_finite
 from voltide.operators.quantiles import quantiles
 from voltide.operators.stats import collect_stats, iqr_fences
 
+#: Columns whose statistics are taken in one pass.
+AT_ONCE = 8
+
 
 @dataclass(frozen=True)
 class StandardScale:
@@ -21,7 +24,12 @@ class StandardScale:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> StandardScale:
-        stats = collect_stats(null_if_not_finite(df.select(*columns)), columns, ["mean", "std_pop"])
+        # a few columns a pass, which reads no others: the code Spark makes for many at once is
+        # too long for the JVM to compile, and is interpreted
+        stats = {}
+        for at in range(0, len(columns), AT_ONCE):
+            some = list(columns[at : at + AT_ONCE])
+            stats |= collect_stats(null_if_not_finite(df.select(*some)), some, ["mean", "std_pop"])
         return cls({c: (stats[c]["mean"], stats[c]["std_pop"]) for c in columns})
 
     def transform(self, df: DataFrame) -> DataFrame:
