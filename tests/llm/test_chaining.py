@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from tests.llm.helpers import docs, prose, words
 from voltide.llm import chaining
@@ -158,3 +159,57 @@ def test_chain_has_the_best_score():
         score = 8.0 * len(first) - 0.25 * np.abs(np.diff(first, axis=0)).sum()
         assert abs(score - plain_best(matches.tolist(), 8.0, 0.25)) < 1e-9
         assert sum(map(len, paths)) == len(np.unique(matches, axis=0))
+
+
+def test_hashes_of_slices():
+    rng = np.random.default_rng(12)
+    text = rng.integers(33, 127, 3000).astype(np.uint8)
+    starts = rng.integers(0, 2000, 400)
+    ends = starts + rng.integers(0, 900, 400) % np.resize([7, 33, 70, 900], 400)
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    got = chaining.hashes_of(padded, starts, ends).tolist()
+    assert got == [xxhash.xxh64_intdigest(text[s:e].tobytes()) for s, e in zip(starts, ends)]
+
+
+def test_seeds_of_several_texts_are_those_of_each():
+    texts = ["", "a b", "a b c d e f", prose(9, 1), prose(300, 2), "x " * 40, " \t\n", prose(12, 3)]
+    hashes, places, counts = chaining.seeds_of_all(texts)
+    ends = np.cumsum(counts)
+    for text, low, high in zip(texts, ends - counts, ends):
+        words_here = text.encode().lower().split()
+        runs = [xxhash.xxh64_intdigest(b" ".join(words_here[i : i + 6])) for i in range(len(words_here) - 5)]
+        windows = [runs[i : i + 6] for i in range(max(len(runs) - 5, 1))] if runs else []
+        want = sorted({i + w.index(min(w)) for i, w in enumerate(windows)})
+        assert places[low:high].tolist() == want
+        assert hashes[low:high].view(np.uint64).tolist() == [runs[i] for i in want]
+
+
+def test_longest_runs_and_their_first_places():
+    rng = np.random.default_rng(13)
+    for size, least in ((1, 5), (2, 6), (3, 4), (40, 2)):
+        for _ in range(20):
+            mine, theirs = (rng.integers(0, size, rng.integers(0, 60)).astype(np.uint32) for _ in range(2))
+            far, place = chaining._equal_runs(mine, theirs, least)
+            for i in range(len(mine)):
+                lengths = []
+                for j in range(len(theirs)):
+                    n = 0
+                    while i + n < len(mine) and j + n < len(theirs) and mine[i + n] == theirs[j + n]:
+                        n += 1
+                    lengths.append(n)
+                best = max(lengths, default=0)
+                assert far[i] == (i + best if best >= least else 0)
+                if far[i]:
+                    assert place(i) == lengths.index(best)
+
+
+def test_chains_aligned_at_once_are_as_one_by_one():
+    rng = np.random.default_rng(14)
+    mine = rng.integers(0, 3, 400).astype(np.uint32)
+    theirs = np.where(rng.random(400) < 0.1, 99, mine).astype(np.uint32)
+    places = [(i, j) for i in range(0, 395, 9) for j in range(395) if (mine[i : i + 6] == theirs[j : j + 6]).all()]
+    paths = [part for whole in chaining.chain(np.array(places)) for part in chaining.parts_of(whole)]
+    matches, heads = chaining._all_parts(np.array(places))
+    assert [p.tolist() for p in np.split(matches, heads[1:])] == [p.tolist() for p in paths]
+    assert len(paths) > 20
+    assert chaining.align_all(mine, theirs, matches, heads) == [chaining.align(mine, theirs, p) for p in paths]

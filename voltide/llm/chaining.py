@@ -25,8 +25,11 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain as chain_items
 
 import numpy as np
 import pandas as pd
@@ -57,26 +60,95 @@ MOST_PAIRS = 64
 #: Matches that are chained at once where two texts are compared place by place.
 CHAINED = 200_000
 
+#: Characters of the texts whose seeds are made at once, and chains aligned at once.
+AT_ONCE, ALIGNED = 400_000, 1_000
+
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+    )
+)  # the primes of XXH64
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 (seed 0) of slices of bytes, all at once; ``data`` has 8 bytes more than the slices reach."""
+    eight = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (len(data) - 7,), (1,))
+    size = ends - starts
+    stripes = size >> 5
+    h = np.full(len(starts), _P5)
+    long = np.flatnonzero(stripes)
+    if len(long):
+        at, left = starts[long], stripes[long]
+        lanes = [np.full(len(long), np.uint64(v)) for v in ((int(_P1) + int(_P2)) % 2**64, int(_P2), 0, 2**64 - int(_P1))]
+        for turn in range(int(left.max())):
+            go = np.flatnonzero(left > turn) if turn else slice(None)
+            for n, lane in enumerate(lanes):
+                lane[go] = _rotated(lane[go] + eight[at[go] + (32 * turn + 8 * n)] * _P2, 31) * _P1
+        some = _rotated(lanes[0], 1) + _rotated(lanes[1], 7) + _rotated(lanes[2], 12) + _rotated(lanes[3], 18)
+        for lane in lanes:
+            some = (some ^ (_rotated(lane * _P2, 31) * _P1)) * _P1 + _P4
+        h[long] = some
+    h += size.astype(np.uint64)
+    at = starts + (stripes << 5)
+    rest = size & 31
+    for n in range(3):
+        go = np.flatnonzero(rest >= 8 * (n + 1))
+        h[go] = _rotated(h[go] ^ (_rotated(eight[at[go] + 8 * n] * _P2, 31) * _P1), 27) * _P1 + _P4
+    at += rest & 24
+    go = np.flatnonzero(rest & 4)
+    h[go] = _rotated(h[go] ^ ((eight[at[go]] & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+    at += rest & 4
+    for n in range(3):
+        go = np.flatnonzero((rest & 3) > n)
+        h[go] = _rotated(h[go] ^ (data[at[go] + n].astype(np.uint64) * _P5), 11) * _P1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def seeds_of_all(texts: list[str], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and word positions of the seeds of several texts, and the number of each text's seeds."""
+    joined = [b" ".join(words_of(t)) for t in texts]
+    data = np.frombuffer(b" ".join([*joined, b" " * 8]), np.uint8)
+    lengths = np.array([len(j) for j in joined], np.int64)
+    ends = np.cumsum(lengths + 1)[lengths > 0] - 1  # of texts that have words
+    begins = ends - lengths[lengths > 0]
+    spaces = np.flatnonzero(data == 32)
+    edge = np.searchsorted(spaces, ends)  # the space behind a text's last word
+    first = np.searchsorted(spaces, begins)
+    n = np.maximum(edge - first + 2 - k, 0)  # runs of k words of each
+    text = np.repeat(np.arange(len(n)), n)
+    offset = np.cumsum(n) - n
+    place = np.arange(len(text)) - offset[text]
+    word = place + first[text]
+    starts = np.where(place > 0, spaces[word - 1] + 1, begins[text])
+    hashes = hashes_of(data, starts, spaces[word + k - 1])
+    # the least of every window, the first of equal ones; a text with fewer runs is one window
+    total = len(hashes)
+    reach = np.minimum(np.arange(total) + window, (offset + n)[text])
+    whole = (place == 0) | (reach - np.arange(total) == window)
+    least, at = hashes.copy(), np.arange(total)
+    for j in range(1, min(window, total)):
+        other = hashes[j:]
+        less = np.flatnonzero((other < least[: total - j]) & (reach[: total - j] > np.arange(j, total)))
+        least[less], at[less] = other[less], less + j
+    at = at[whole]
+    at = at[np.concatenate([at[:1] >= 0, at[1:] != at[:-1]])]
+    counts = np.zeros(len(texts), np.int64)
+    counts[lengths > 0] = np.bincount(text[at], minlength=len(n))
+    return hashes[at].view(np.int64), place[at], counts
+
+
 def seeds_of(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and word positions of the seeds of a text."""
-    words = words_of(text)
-    if len(words) < k:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    joined = b" ".join(words)
-    ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
-    starts = [0, *(e + 1 for e in ends[:-k])]
-    hash_of = xxhash.xxh64_intdigest
-    hashes = np.array([hash_of(joined[s:e]) for s, e in zip(starts, ends[k - 1 :])], np.uint64)
-    if len(hashes) <= window:
-        at = np.array([int(hashes.argmin())])
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-        at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    return hashes[at].view(np.int64), at
+    return seeds_of_all([text], k, window)[:2]
 
 
 def pairs_of(here: np.ndarray, there: np.ndarray) -> np.ndarray:
@@ -84,56 +156,84 @@ def pairs_of(here: np.ndarray, there: np.ndarray) -> np.ndarray:
     return np.stack([np.repeat(here, len(there)), np.tile(there, len(here))], axis=1)
 
 
-def chain(matches: np.ndarray, gain: float = GAIN, cost: float = GAP_COST) -> list[np.ndarray]:
-    """Best chains of matches ``(place here, place there)``, each used once.
-
-    Score of a chain: ``gain`` a match less ``cost`` for each word skipped on either
-    side. The best predecessor with smaller places is the best value over a prefix
-    of places there, kept in a Fenwick tree while places here are swept.
-    """
-    matches = np.unique(matches, axis=0)
-    places, rank = np.unique(matches[:, 1], return_inverse=True)
-    here, there, rank = matches[:, 0].tolist(), matches[:, 1].tolist(), rank.tolist()
-    size = len(places)
-    best, who = [-math.inf] * (size + 1), [-1] * (size + 1)
-    score, before = [0.0] * len(matches), [-1] * len(matches)
-    at = 0
-    while at < len(matches):
-        end = at
-        while end < len(matches) and here[end] == here[at]:
-            end += 1
-        for i in range(at, end):
-            value, found, r = -math.inf, -1, rank[i]  # ranks below r + 1: places before
-            while r > 0:
-                if best[r] > value:
-                    value, found = best[r], who[r]
-                r -= r & -r
-            score[i] = gain
-            if value - cost * (here[i] + there[i]) > 0:
-                score[i] += value - cost * (here[i] + there[i])
-                before[i] = found
-        for i in range(at, end):
-            value, r = score[i] + cost * (here[i] + there[i]), rank[i] + 1
-            while r <= size:
-                if value > best[r]:
-                    best[r], who[r] = value, i
-                r += r & -r
-        at = end
-    used = [False] * len(matches)
+@lru_cache(maxsize=24)
+def _nodes(size: int) -> tuple[list[tuple], list[tuple]]:
+    """For each rank, the nodes of a Fenwick tree that a query of the ranks before it reads and an update writes."""
+    read, write = [()], [()] * (size + 1)
+    for r in range(1, size + 1):
+        read.append((r, *read[r & (r - 1)]))
+    for r in range(size, 0, -1):
+        up = r + (r & -r)
+        write[r] = (r, *write[up]) if up <= size else (r,)
+    return read[:size], write[1:]
+
+
+def _linked(here: list[int], there: list[int], gain: float, cost: float) -> list[list[int]]:
+    """Chains of matches in ascending order without repeats, as indices, the best first."""
+    n = len(here)
+    score, before = [gain] * n, [-1] * n
+    if all(a < b for a, b in zip(here, here[1:])) and all(a < b for a, b in zip(there, there[1:])):
+        # each match is a better end than any before it
+        for i in range(1, n):
+            more = score[i - 1] - cost * (here[i] - here[i - 1] + there[i] - there[i - 1])
+            if more > 0:
+                score[i] += more
+                before[i] = i - 1
+    else:
+        rank_of = {q: r for r, q in enumerate(sorted(set(there)))}
+        read, write = _nodes(1 << (len(rank_of) - 1).bit_length())
+        best, who = [-math.inf] * (len(write) + 1), [-1] * (len(write) + 1)
+        at = 0
+        while at < n:
+            end, p = at + 1, here[at]
+            while end < n and here[end] == p:
+                end += 1
+            waiting = []
+            for i in range(at, end):
+                r = rank_of[there[i]]
+                value, found = -math.inf, -1
+                for node in read[r]:  # of places before
+                    if best[node] > value:
+                        value, found = best[node], who[node]
+                passed = cost * (p + there[i])
+                if value > passed:
+                    score[i] += value - passed
+                    before[i] = found
+                waiting.append((i, score[i] + passed, write[r]))
+            for i, value, nodes in waiting:
+                for node in nodes:
+                    if value > best[node]:
+                        best[node], who[node] = value, i
+            at = end
+    used = [False] * n
     out = []
-    for i in sorted(range(len(matches)), key=lambda i: -score[i]):
+    for i in sorted(range(n), key=[-x for x in score].__getitem__):
         path = []
         while i >= 0 and not used[i]:
             used[i] = True
             path.append(i)
             i = before[i]
         if path:
-            out.append(matches[path[::-1]])
+            out.append(path[::-1])
     return out
 
 
+def chain(matches: np.ndarray, gain: float = GAIN, cost: float = GAP_COST) -> list[np.ndarray]:
+    """Best chains of matches ``(place here, place there)``, each used once.
+
+    Score of a chain: ``gain`` a match less ``cost`` for each word skipped on either
+    side. The best predecessor with smaller places is the best value over a prefix
+    of places there, kept in a Fenwick tree while places here are swept.
+    """
+    packed = np.unique((matches[:, 0] << 32) | matches[:, 1])
+    matches = np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)
+    return [matches[path] for path in _linked(matches[:, 0].tolist(), matches[:, 1].tolist(), gain, cost)]
+
+
 def parts_of(path: np.ndarray, most_gap: int = MOST_GAP, k: int = K) -> list[np.ndarray]:
     """A chain cut where more than ``most_gap`` words stand between two matches."""
+    if len(path) == 1:
+        return [path]
     far = np.flatnonzero((np.diff(path, axis=0) > most_gap + k).any(axis=1)) + 1
     return np.split(path, far)
 
@@ -142,33 +242,63 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence of two short lists."""
     if len(a) == len(b) and (a == b).all():
         return len(a)
-    row = [0] * (len(b) + 1)
-    for x in a.tolist():
-        last = 0
-        for j, y in enumerate(b.tolist(), 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
-def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """How far two lists agree from their start, past single changes: words, of them equal."""
-    n = min(len(a), len(b))
-    same = a[:n] == b[:n]
-    total = np.cumsum(np.where(same, 1, -3))
-    fallen = np.flatnonzero(np.maximum.accumulate(np.r_[0, total])[1:] - total > MOST_LOST)
-    total = total[: fallen[0]] if len(fallen) else total
-    if not len(total) or total.max() <= 0:
-        return 0, 0
-    far = int(total.argmax()) + 1
-    return far, int(same[:far].sum())
-
-
-def _ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths at which two lists may stop agreeing, each after two equal words, and the equal words up to there."""
-    n = min(len(a), len(b), AROUND)
-    same = a[:n] == b[:n]
-    at = np.r_[0, np.flatnonzero(same[1:] & same[:-1]) + 2]
-    return at, np.r_[0, np.cumsum(same)][at]
+    # a bit for each place of a list: unset where the length goes up
+    places: dict[int, int] = {}
+    for i, x in enumerate(a.tolist()):
+        places[x] = places.get(x, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b.tolist():
+        hit = row & places.get(y, 0)
+        if hit:
+            row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
+def _all_parts(matches: np.ndarray, k: int = K, most_gap: int = MOST_GAP) -> tuple[np.ndarray, np.ndarray]:
+    """The matches in the order of their chains, and where :func:`parts_of` would begin a part."""
+    packed = np.unique((matches[:, 0] << 32) | matches[:, 1])
+    here, there = packed >> 32, packed & 0xFFFFFFFF
+    paths = _linked(here.tolist(), there.tolist(), GAIN, GAP_COST)
+    order = np.fromiter(chain_items.from_iterable(paths), np.int64, len(packed))
+    path = np.stack([here[order], there[order]], axis=1)
+    begins = np.zeros(len(order), bool)
+    begins[np.cumsum([0, *map(len, paths[:-1])])] = True
+    begins[1:] |= (np.diff(path, axis=0) > most_gap + k).any(axis=1)
+    return path, np.flatnonzero(begins)
+
+
+def _equal(
+    a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, n: np.ndarray, step: int, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the words that follow two places, in direction ``step``, are equal, and whether both have them."""
+    far = np.arange(width) * step
+    there = np.arange(width) < n[:, None]
+    one = a[np.clip(at_a[:, None] + far, 0, len(a) - 1)]
+    return (one == b[np.clip(at_b[:, None] + far, 0, len(b) - 1)]) & there, there
+
+
+def _extend(
+    a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, n: np.ndarray, step: int, width: int = 32
+) -> tuple[np.ndarray, np.ndarray]:
+    """How far two lists agree from each pair of places, past single changes, over ``n`` words: words, of them equal."""
+    far, same = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+    left = np.arange(len(n))
+    while len(left):
+        equal, there = _equal(a, b, at_a[left], at_b[left], n[left], step, width)
+        total = np.cumsum(np.where(equal, 1, np.where(there, -3, -4 - MOST_LOST)), axis=1, dtype=np.int64)
+        fallen = np.maximum(np.maximum.accumulate(total, axis=1), 0) - total > MOST_LOST
+        ended = fallen.any(axis=1) | (n[left] <= width)
+        before = ~np.logical_or.accumulate(fallen, axis=1)
+        gained = np.where(before, total, 0)
+        best = gained.argmax(axis=1)
+        most = np.maximum(gained[np.arange(len(left)), best], 0)
+        words = np.where(most > 0, best + 1, 0)
+        far[left[ended]] = words[ended]
+        same[left[ended]] = ((most + 3 * words) // 4)[ended]
+        left = left[~ended]
+        width *= 4
+    return far, same
 
 
 def _longest(left: tuple, right: tuple, size: int, same: int, share: float) -> tuple[int, int, int, int]:
@@ -180,6 +310,88 @@ def _longest(left: tuple, right: tuple, size: int, same: int, share: float) -> t
     return int(left[0][i]), int(left[1][i]), int(right[0][j]), int(right[1][j])
 
 
+def _stops(equal: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each row the lengths at which two lists may stop agreeing, each after two equal words, and the equal
+    words up to there."""
+    row, at = np.nonzero(equal[:, 1:] & equal[:, :-1])
+    zero = np.arange(len(equal))
+    cuts = np.searchsorted(row, zero)
+    at = np.insert(at + 2, cuts, 0)
+    count = np.where(at > 0, np.cumsum(equal, axis=1)[np.insert(row, cuts, zero), at - 1], 0)
+    edges = [*(cuts + zero).tolist(), len(at)]
+    return [(at[i:j], count[i:j]) for i, j in zip(edges, edges[1:])]
+
+
+def align_all(
+    mine: np.ndarray, theirs: np.ndarray, matches: np.ndarray, heads: np.ndarray, k: int = K,
+    least: int = LEAST_WORDS, share: float = LEAST_SAME, within: np.ndarray | None = None,
+) -> list[tuple[int, int, int, int, int] | None]:
+    """:func:`align` of many chains, one behind the other in ``matches``, each from one of ``heads`` on.
+
+    ``within`` has a row for each chain: the texts it is of, as start and end in ``mine`` and in ``theirs``.
+    """
+    if within is None:
+        within = np.tile([0, len(mine), 0, len(theirs)], (len(heads), 1))
+    out: list = []
+    edges = np.concatenate([heads, [len(matches)]])
+    for low in range(0, len(heads), ALIGNED):
+        some = edges[low : low + ALIGNED + 1]
+        out += _align_some(
+            mine, theirs, matches[some[0] : some[-1]], some - some[0], k, least, share, within[low : low + ALIGNED]
+        )
+    return out
+
+
+def _align_some(mine, theirs, matches, edges, k, least, share, within) -> list:
+    heads, count, parts = edges[:-1], np.diff(edges), len(edges) - 1
+    p, q = matches.T
+    low_p, high_p, low_q, high_q = within.T
+    part = np.repeat(np.arange(parts), count)
+    fits = (q >= low_q[part]) & (p + k <= high_p[part]) & (q + k <= high_q[part])
+    for j in range(k):
+        at = np.flatnonzero(fits)
+        fits[at] = mine[p[at] + j] == theirs[q[at] + j]
+    good = np.logical_and.reduceat(fits, heads)
+    # equal words from a match to the next
+    step_p, step_q = np.diff(p), np.diff(q)
+    inner = (part[1:] == part[:-1]) & good[part[1:]]
+    near = (step_p == step_q) & (step_p <= k)
+    more = np.where(near, step_p, k - np.maximum(0, k - np.minimum(step_p, step_q)))
+    for i in np.flatnonzero(inner & (step_p > k) & (step_q > k)).tolist():
+        more[i] += _common(mine[p[i] + k : p[i + 1]], theirs[q[i] + k : q[i + 1]])
+    same = k + np.bincount(part[1:], np.where(inner, more, 0), parts).astype(np.int64)
+
+    rows = np.flatnonzero(good)
+    out: list = [None] * parts
+    if not len(rows):
+        return out
+    ends = (heads + count - 1)[rows]
+    p1, q1, p2, q2 = p[heads[rows]], q[heads[rows]], p[ends] + k, q[ends] + k
+    same, size = same[rows], p2 - p1
+    n_left = np.minimum(p1 - low_p[rows], q1 - low_q[rows])
+    n_right = np.minimum(high_p[rows] - p2, high_q[rows] - q2)
+    left, left_same = _extend(mine, theirs, p1 - 1, q1 - 1, n_left, -1)
+    right, right_same = _extend(mine, theirs, p2, q2, n_right, 1)
+    words = left + size + right
+    short = np.flatnonzero((words < least) | (same + left_same + right_same < share * words))
+    if len(short):
+        around = [
+            _equal(mine, theirs, x[short], y[short], n[short], step, AROUND)[0]
+            for x, y, n, step in ((p1 - 1, q1 - 1, n_left, -1), (p2, q2, n_right, 1))
+        ]
+        before, after = _stops(around[0]), _stops(around[1])
+        for row, one, two in zip(short.tolist(), before, after):
+            if same[row] + one[1][-1] + two[1][-1] < share * least:
+                continue
+            far = _longest(one, two, int(size[row]), int(same[row]), share)
+            if far[0] + size[row] + far[2] >= least:
+                left[row], left_same[row], right[row], right_same[row] = far
+    found = np.stack([p1 - left, p2 + right, q1 - left, q2 + right, same + left_same + right_same], axis=1)
+    for row, span in zip(rows.tolist(), found.tolist()):
+        out[row] = tuple(span)
+    return out
+
+
 def align(
     mine: np.ndarray, theirs: np.ndarray, path: np.ndarray, k: int = K,
     least: int = LEAST_WORDS, share: float = LEAST_SAME,
@@ -190,31 +402,7 @@ def align(
     ``share`` of its words allows. None if a match of the chain does not stand in
     these texts.
     """
-    first, last = path[0], path[-1]
-    for p, q in path:
-        if q < 0 or p + k > len(mine) or q + k > len(theirs) or (mine[p : p + k] != theirs[q : q + k]).any():
-            return None
-    same = k
-    for (p, q), (p2, q2) in zip(path, path[1:]):
-        if p2 - p == q2 - q and p2 - p <= k:
-            same += p2 - p
-        else:
-            overlap = max(0, k - min(p2 - p, q2 - q))
-            same += k - overlap + _common(mine[p + k : p2], theirs[q + k : q2])
-    left, left_same = _extend(mine[: first[0]][::-1], theirs[: first[1]][::-1])
-    right, right_same = _extend(mine[last[0] + k :], theirs[last[1] + k :])
-    size = int(last[0] + k - first[0])
-    if left + size + right < least or same + left_same + right_same < share * (left + size + right):
-        before = _ends(mine[: first[0]][::-1], theirs[: first[1]][::-1])
-        after = _ends(mine[last[0] + k :], theirs[last[1] + k :])
-        if same + before[1][-1] + after[1][-1] >= share * least:
-            far = _longest(before, after, size, same, share)
-            if far[0] + size + far[2] >= least:
-                left, left_same, right, right_same = far
-    return (
-        int(first[0] - left), int(last[0] + k + right), int(first[1] - left),
-        int(last[1] + k + right), int(same + left_same + right_same),
-    )
+    return align_all(mine, theirs, path, np.zeros(1, np.int64), k, least, share)[0]
 
 
 def accepted(spans: list[tuple], least: int, share: float) -> list[tuple]:
@@ -251,24 +439,54 @@ def _adding(single: list[tuple], known: list[tuple]) -> list[tuple]:
 
 
 def _codes(words: list[bytes]) -> np.ndarray:
-    return np.array([zlib.crc32(w) for w in words], np.uint32)
-
-
-def _equal_runs(mine: np.ndarray, theirs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each word, the end of the longest run of ``least`` or more equal words that starts there, and its
-    place there. Every shift of one text along the other is looked at."""
-    far, place = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64)
-    for shift in range(least - len(mine), len(theirs) - least + 1):
-        low, high = max(0, -shift), min(len(mine), len(theirs) - shift)
-        other = np.flatnonzero(mine[low:high] != theirs[low + shift : high + shift])
-        edges = np.r_[-1, other, high - low]
-        at = np.flatnonzero(np.diff(edges) > least)
-        starts, ends = edges[at] + 1 + low, edges[at + 1] + low
-        better = ends > far[starts]
-        far[starts[better]], place[starts[better]] = ends[better], starts[better] + shift
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+
+
+def _equal_runs(mine: np.ndarray, theirs: np.ndarray, least: int) -> tuple[np.ndarray, Callable[[int], int]]:
+    """For each word, the end of the longest run of ``least`` or more words from there that stands in the other
+    text too, else 0; and a function that gives its first place there.
+
+    Runs of 1, 2, 4 ... words are ranked, each from the ranks of its halves; a word's longest run is shared with
+    one of the two places of the other text that are next to it in the order of all that follows.
+    """
+    far, n = np.zeros(len(mine), np.int64), len(mine) + 1
+    both = np.concatenate([mine, [2**32], theirs, [2**32 + 1]]).astype(np.int64)
+    ranks = [np.unique(both, return_inverse=True)[1]]
+    while ranks[-1].max() + 1 < len(both):
+        half = 1 << (len(ranks) - 1)
+        if 2 * half <= least and not np.isin(ranks[-1][: n - 1], ranks[-1][n:-1]).any():
+            return far, lambda i: 0
+        rest = np.concatenate([ranks[-1][half:] + 1, np.zeros(min(half, len(both)), np.int64)])[: len(both)]
+        ranks.append(np.unique(ranks[-1] * (len(both) + 1) + rest, return_inverse=True)[1])
+    order = np.argsort(ranks[-1])
+    turn, theirs_at = np.arange(len(both)), np.where(order >= n, np.arange(len(both)), -1)
+    last = np.maximum.accumulate(theirs_at)
+    following = np.minimum.accumulate(np.where(theirs_at < 0, len(both), theirs_at)[::-1])[::-1]
+    here = order < n - 1
+    for near in (last, following):
+        pairs = turn[here & (near >= 0) & (near < len(both))]
+        i, j = order[pairs], order[near[pairs]]
+        start = i.copy()
+        for level in range(len(ranks) - 1, -1, -1):
+            go = (ranks[level][i] == ranks[level][j]).astype(np.int64) << level
+            i, j = i + go, j + go
+        far[start] = np.maximum(far[start], i)
+    far[far - np.arange(len(mine)) < least] = 0
+
+    def place(i: int) -> int:
+        level = (int(far[i]) - i).bit_length() - 1
+        other = int(far[i]) - i - (1 << level)
+        starts = np.flatnonzero(ranks[level][n : len(both) - other] == ranks[level][i]) + n
+        return int(starts[(ranks[level][starts + other] == ranks[level][i + other]).argmax()]) - n
+
     return far, place
 
 
+@lru_cache(maxsize=16)
+def _codes_and_seeds(text: str, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _codes(words_of(text)), *seeds_of(text, k, window)
+
+
 def compared(
     mine_text: str, theirs_text: str, k: int = K, window: int = WINDOW,
     least: int = LEAST_WORDS, share: float = LEAST_SAME, chained: int = CHAINED,
@@ -279,7 +497,7 @@ def compared(
     in one are kept. The matches of seeds that are not deep inside those words are chained and
     aligned, all of them, ``chained`` or so at a time.
     """
-    mine, theirs = _codes(words_of(mine_text)), _codes(words_of(theirs_text))
+    (mine, hashes, at), (theirs, other, there) = (_codes_and_seeds(t, k, window) for t in (mine_text, theirs_text))
     far, place = _equal_runs(mine, theirs, least)
     spans: dict[tuple[int, int], tuple] = {}
     known = np.zeros(len(mine), bool)
@@ -288,13 +506,11 @@ def compared(
         # the run that reaches farthest of those that start within or right behind the last
         if best >= 0 and (start is None or start > reached):
             end = int(far[best])
-            spans[best, end] = (best, end, int(place[best]), int(place[best]) + end - best, end - best)
+            spans[best, end] = (best, end, place(best), place(best) + end - best, end - best)
             known[best:end] = True
             reached, best = end, -1
         if start is not None and far[start] > reached and (best < 0 or far[start] > far[best]):
             best = start
-    hashes, at = seeds_of(mine_text, k, window)
-    other, there = seeds_of(theirs_text, k, window)
     order = np.argsort(other, kind="stable")
     other, there = other[order], there[order]
     low, high = np.searchsorted(other, hashes), np.searchsorted(other, hashes, "right")
@@ -307,12 +523,12 @@ def compared(
     for block in np.split(wanted, np.flatnonzero(np.diff(counts // chained)) + 1):
         if not len(block):
             continue
-        matches = np.concatenate([pairs_of(at[i : i + 1], there[low[i] : high[i]]) for i in block])
-        for whole in chain(matches):
-            for part in parts_of(whole, k=k):
-                span = align(mine, theirs, part, k, least, share)
-                if span and span[1] - span[0] >= LEAST_PART and span[4] >= share * (span[1] - span[0]):
-                    spans.setdefault(span[:2], span)
+        n = (high - low)[block]
+        turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        matches = np.stack([np.repeat(at[block], n), there[np.repeat(low[block], n) + turn]], axis=1)
+        for span in align_all(mine, theirs, *_all_parts(matches, k), k, least, share):
+            if span and span[1] - span[0] >= LEAST_PART and span[4] >= share * (span[1] - span[0]):
+                spans.setdefault(span[:2], span)
     out, reached = [], 0
     for span in sorted(spans.values(), key=lambda x: (x[0], -x[1])):
         if span[1] > reached:  # else it lies within another
@@ -321,6 +537,13 @@ def compared(
     return out
 
 
+def _batches(frame: pd.DataFrame) -> list[pd.DataFrame]:
+    """The rows in order, some ``AT_ONCE`` characters at a time."""
+    turn = (frame["text"].str.len().cumsum() // AT_ONCE).to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(frame)]
+    return [frame.iloc[i:j] for i, j in zip(edges, edges[1:]) if i < j]
+
+
 def _named_in(filter_blocks, spark) -> Column:
     """A test whether an id may be among those of a filter of bounded size."""
     held = spark.sparkContext.broadcast(filter_blocks)
@@ -343,27 +566,35 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
 
     def seed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [seeds_of(t, k, window) for t in frame["text"]]
-            once, n, more = [], [], []
-            for h, p in found:
-                own, at, count = np.unique(h, return_index=True, return_counts=True)
-                rest: list = [None] * len(own)
-                for i in np.flatnonzero(count > 1):
-                    rest[i] = p[h == own[i]].astype("<i4").tobytes()
-                once.append((own, p[at]))
-                n.append(len(own))
-                more += rest
-            yield pd.DataFrame({
-                "h": np.concatenate([h for h, _ in once]) if once else [],
-                "doc": np.repeat(frame["doc_id"].to_numpy(), n),
-                "at": np.concatenate([p for _, p in once]).astype(np.int32) if once else [],
-                "places": pd.Series(more, dtype=object),
-            })
+            for some in _batches(frame):
+                h, at, n = seeds_of_all(some["text"].tolist(), k, window)
+                row = np.repeat(np.arange(len(some)), n)
+                order = np.lexsort((h, row))  # a seed's places in a row of the table come together, in order
+                h, at, row = h[order], at[order], row[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+                first = np.flatnonzero(new)
+                count = np.diff(np.append(first, len(h)))
+                places = np.full(len(first), None, object)
+                packed = at.astype("<i4")
+                for i in np.flatnonzero(count > 1).tolist():
+                    places[i] = packed[first[i] : first[i] + count[i]].tobytes()
+                yield pd.DataFrame({
+                    "h": h[first], "doc": some["doc_id"].to_numpy()[row[first]], "at": packed[first], "places": places,
+                })
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             doc, source, path, begin, size = [], [], [], [], []
             for d, s, packed, repeated in zip(frame["doc"], frame["source"], frame["matches"], frame["repeated"]):
+                if len(packed) == 1 and not len(repeated):
+                    at, there = int(packed[0]) >> 32, int(packed[0]) & 0xFFFFFFFF
+                    doc.append(d)
+                    source.append(s)
+                    path.append(struct.pack("<ii", at, there))
+                    begin.append(max(0, there - AROUND))
+                    size.append(there + k + AROUND - begin[-1])
+                    continue
                 packed = np.asarray(packed, np.int64)
                 found = [np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1)]
                 many = False
@@ -384,39 +615,47 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
                     size.append(2**31 - 1)
                     continue
                 sure: list[tuple[int, int]] = []
-                for whole in chain(np.concatenate(found)):
-                    for part in parts_of(whole, k=k):
-                        start, end = int(part[0, 0]), int(part[-1, 0]) + k
-                        # a better chain has these words as an exact passage already
-                        if any(a <= start and end <= b for a, b in sure):
-                            continue
-                        step = np.diff(part, axis=0)
-                        if end - start >= LEAST_WORDS and (step[:, 0] == step[:, 1]).all() and step.max() <= k:
-                            sure.append((start, end))
-                        # a part of one match too: aligning it tells whether it is a passage
-                        doc.append(d)
-                        source.append(s)
-                        path.append(part.astype("<i4").tobytes())
-                        begin.append(max(0, int(part[0, 1]) - AROUND))
-                        size.append(int(part[-1, 1]) + k + AROUND - begin[-1])
+                all_matches, heads = _all_parts(np.concatenate(found), k)
+                step = np.diff(all_matches, axis=0)
+                loose = np.r_[0, np.cumsum((step[:, 0] != step[:, 1]) | (step[:, 0] > k))]
+                ends = np.r_[heads[1:], len(all_matches)] - 1
+                exact = loose[ends] == loose[heads]
+                wide = all_matches.astype("<i4")
+                for low, high, (start, begin_there), (end, end_there), plain in zip(
+                    heads.tolist(), ends.tolist(), all_matches[heads].tolist(), all_matches[ends].tolist(),
+                    exact.tolist(),
+                ):
+                    end += k
+                    # a better chain has these words as an exact passage already
+                    if any(a <= start and end <= b for a, b in sure):
+                        continue
+                    if plain and end - start >= LEAST_WORDS:
+                        sure.append((start, end))
+                    # a part of one match too: aligning it tells whether it is a passage
+                    doc.append(d)
+                    source.append(s)
+                    path.append(wide[low : high + 1].tobytes())
+                    begin.append(max(0, begin_there - AROUND))
+                    size.append(end_there + k + AROUND - begin[-1])
             yield pd.DataFrame({"doc": doc, "source": source, "path": path, "begin": begin, "size": size})
 
     seeds = materialize(
         named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int, places binary"), "seeds"
     )
     # stored, so that the join reads plain shuffles on both sides and hot seeds are split
-    first = materialize(
-        seeds.groupBy("h")
-        .agg(F.min(F.struct("doc", "at", "places")).alias("first"), F.max("doc").alias("other"))
-        .where("first.doc <> other")
-        .select(
-            "h", F.col("first.doc").alias("source"), F.col("first.at").alias("there"),
-            F.col("first.places").alias("theirs"),
-        ),
-        "first-seeds",
+    shared = materialize(
+        seeds.groupBy("h").agg(F.min("doc").alias("source"), F.max("doc").alias("other"))
+        .where("source <> other").select("h", "source"),
+        "shared-seeds",
+    )
+    # few seeds are shared, so the hash tables are of those and the others are not sorted
+    found = materialize(seeds.join(shared.hint("shuffle_hash"), "h"), "found-seeds")
+    first = (
+        found.where("doc = source").groupBy("h").agg(F.min(F.struct("at", "places")).alias("first"))
+        .select("h", F.col("first.at").alias("there"), F.col("first.places").alias("theirs"))
     )
     several = F.col("places").isNotNull() | F.col("theirs").isNotNull()
-    matches = seeds.join(first, "h").where("doc <> source").select(
+    matches = found.where("doc <> source").join(materialize(first, "first-seeds"), "h").select(
         "doc", "source",
         F.when(
             ~several, F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long"))
@@ -465,19 +704,30 @@ def passages(
         for frame in frames:
             rows = []
             for doc_id, text, key, found in zip(frame["doc_id"], frame["text"], frame["text_key"], frame["chains"]):
-                mine = _codes(words_of(text))
-                spans, single = [], []
+                spans, single, paths, parts = [], [], [], []
                 for c in found:
                     if not c["path"]:
                         spans += [(*x, c["source"]) for x in compared(text, c["passage"], k, window, least, share)]
                         continue
-                    path = np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64) - [0, c["begin"]]
-                    span = align(mine, _codes(words_of(c["passage"])), path, k, least, share)
-                    if span:
-                        s, e, s2, e2, same = span
-                        (spans if len(path) > 1 else single).append(
-                            (s, e, s2 + c["begin"], e2 + c["begin"], same, c["source"])
-                        )
+                    paths.append(np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64))
+                    parts.append(c)
+                if parts:
+                    mine, passages = _codes(words_of(text)), [words_of(c["passage"]) for c in parts]
+                    # the passages stand one behind the other, each chain is moved to its own
+                    count, ends = np.array([len(p) for p in paths]), np.cumsum([len(p) for p in passages])
+                    starts = ends - [len(p) for p in passages]
+                    moved = starts - [c["begin"] for c in parts]
+                    matches = np.concatenate(paths)
+                    matches[:, 1] += np.repeat(moved, count)
+                    within = np.stack([np.zeros_like(ends), np.full_like(ends, len(mine)), starts, ends], axis=1)
+                    aligned_all = align_all(
+                        mine, _codes([w for p in passages for w in p]), matches, np.cumsum(count) - count, k, least,
+                        share, within,
+                    )
+                    for c, path, span, back in zip(parts, paths, aligned_all, moved.tolist()):
+                        if span:
+                            s, e, s2, e2, same = span
+                            (spans if len(path) > 1 else single).append((s, e, s2 - back, e2 - back, same, c["source"]))
                 single = [x for x in single if x[4] >= share * (x[1] - x[0])]
                 kept = accepted([*spans, *_adding(single, accepted(spans, least, share))], least, share)
                 if kept:
