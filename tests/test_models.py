@@ -167,6 +167,48 @@ def test_forecaster_follows_trend_and_week(spark):
     assert inside > 0.9
 
 
+def with_regressor(spark, n=300):
+    rng = np.random.default_rng(8)
+    days = [dt.datetime(2022, 11, 1) + dt.timedelta(hours=31 * i) for i in range(n)]
+    rows = [(d, 200 + 0.4 * i + 9 * float(x), float(x)) for i, (d, x) in enumerate(zip(days, rng.normal(size=n)))]
+    return spark.createDataFrame(rows, "ds timestamp, y double, x double")
+
+
+def test_ridge_of_sums_is_that_of_spark_ml(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    df = with_regressor(spark).withColumns({"t": F.unix_seconds("ds") / 1e9, "same": F.lit(3.0)})
+    names = ["x", "t", "same"]
+    got = forecast._ridge(df, lambda f: (f[names].to_numpy(), f["y"].to_numpy()), names, 0.01, {"x": 2.0})
+    scaled = df.withColumn("x", F.col("x") * 2 * np.sqrt(300 * 0.01))
+    ready = VectorAssembler(inputCols=names[:2], outputCol="features").transform(scaled)
+    want = LinearRegression(labelCol="y", regParam=0.01, standardization=False).fit(ready)
+    assert got["same"] == 0 and got["intercept"] == pytest.approx(want.intercept)
+    assert got["t"] == pytest.approx(want.coefficients[1])
+    assert got["x"] == pytest.approx(want.coefficients[0] * 2 * np.sqrt(300 * 0.01))
+    with pytest.raises(ValueError):
+        forecast.Forecaster.fit(df.withColumn("ds", F.when(F.col("x") < 0, F.col("ds"))))
+
+
+def test_forecasts_of_batches_are_those_of_columns(spark):
+    df = with_regressor(spark)
+    model = forecast.Forecaster.fit(df, regressors=("x",), changepoint_prior=0.05)
+    odd = df.withColumn("x", F.when(F.col("x") > 1, None).when(F.col("x") < -1, float("nan")).otherwise(F.col("x")))
+    odd = odd.unionByName(odd.limit(1).withColumn("ds", F.lit(None).cast("timestamp")))
+    base = model.trend_value()
+    want = base * (1 + forecast._dot(model.rest_columns(), model.rest))
+    rows = model.predict(model.with_holiday(odd).withColumns({"base": base, "want": want})).collect()
+    assert {"null", "nan", "number"} == {
+        "null" if r["want"] is None else "nan" if np.isnan(r["want"]) else "number" for r in rows}
+    for r in rows:
+        for one, two in (("trend", "base"), ("yhat", "want")):
+            assert (r[one] is None) == (r[two] is None)
+            assert r[one] is None or r[one] == pytest.approx(r[two], rel=1e-9, nan_ok=True)
+    off = [r["y"] - r["yhat"] for r in model.predict(df).collect()]
+    assert model.residual_std == pytest.approx(np.std(off, ddof=1))
+
+
 def test_future_frame_keeps_last_values(spark):
     df = spark.createDataFrame(
         [(dt.datetime(2024, 1, 1), 1.0), (dt.datetime(2024, 1, 2), 2.0), (dt.datetime(2024, 1, 3), None)],

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +41,9 @@ def fourier(ts: str, period: float, order: int, name: str) -> dict[str, Column]:
 class Forecaster:
     """Linear trend with changepoints, times one plus seasons and regressors.
 
-    The trend is fitted first, then the relative rest; both are ridge
-    regressions, and predicting is plain column arithmetic.
+    The trend is fitted first, then the relative rest; both are ridge regressions on sums
+    of products that tasks make of Arrow batches, as generated code of so many waves is too
+    long for the JVM to compile. Forecasts are made of batches too.
     """
 
     start: float
@@ -98,21 +97,61 @@ class Forecaster:
         step = changepoint_range / (changepoints + 1)
         knots = tuple(step * (k + 1) for k in range(changepoints))
         shape = cls(lo, length, knots, tuple(regressors), {}, {}, 0.0, seasons)
-        trend = _ridge(rows.withColumns(shape.trend_columns()), shape.trend_columns(), "y", ridge,
-                       scales(shape.trend_columns()))
+        facts = materialize(rows.select(*shape.facts(), "y"), "facts")
+        names = list(shape.trend_columns())
+        trend = _ridge(facts, lambda f: (shape.trend_terms(f), f["y"].to_numpy()), names, ridge, scales(names))
         shape = cls(lo, length, knots, tuple(regressors), trend, {}, 0.0, seasons)
-        base = shape.trend_value()
-        relative = shape.with_holiday(rows).withColumn(
-            "_rel", F.try_divide(F.col("y"), base) - 1
-        )
-        columns = shape.rest_columns()
-        rest = _ridge(
-            relative.withColumns(columns).where("_rel is not null"), columns, "_rel", ridge,
-            scales(columns),
-        )
+
+        def relative(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+            base = shape.trend_of(frame)
+            known = base != 0
+            return shape.rest_terms(frame[known]), frame["y"].to_numpy()[known] / base[known] - 1
+
+        names = list(shape.rest_columns())
+        rest = _ridge(facts, relative, names, ridge, scales(names))
         model = cls(lo, length, knots, tuple(regressors), trend, rest, 0.0, seasons)
-        std = model.predict(rows).agg(F.stddev_samp(F.col("y") - F.col("yhat"))).first()[0]
-        return cls(lo, length, knots, tuple(regressors), trend, rest, std or 0.0, seasons)
+
+        def left(frame: pd.DataFrame) -> np.ndarray:
+            off = frame["y"].to_numpy() - model.values_of(frame)[1]
+            return np.stack([np.ones(len(off)), off], axis=1)
+
+        (n, total), (_, square) = sums_of(facts, left, 2)[0]
+        std = math.sqrt(max(square - total * total / n, 0.0) / (n - 1)) if n > 1 else 0.0
+        return cls(lo, length, knots, tuple(regressors), trend, rest, std, seasons)
+
+    def facts(self) -> list[Column]:
+        """What the terms are made of: seconds, holiday and regressors."""
+        known = [F.col(c).cast("double").alias(f"_r{i}") for i, c in enumerate(self.regressors)]
+        return [seconds("ds").alias("_s"), is_us_holiday("ds").cast("double").alias("_h"), *known]
+
+    def trend_terms(self, facts: pd.DataFrame) -> np.ndarray:
+        """The values of ``trend_columns`` for a batch of facts."""
+        t = (facts["_s"].to_numpy() - self.start) / self.length
+        return np.stack([t, *[np.maximum(t - k, 0.0) for k in self.knots]], axis=1)
+
+    def rest_terms(self, facts: pd.DataFrame) -> np.ndarray:
+        """The values of ``rest_columns`` for a batch of facts."""
+        at = facts["_s"].to_numpy()
+        waves = [
+            wave(at * (2 * math.pi / (period * DAY)) * k)
+            for period, order in self.seasons.values() for k in range(1, order + 1) for wave in (np.sin, np.cos)
+        ]
+        known = [facts[f"_r{i}"].to_numpy() for i in range(len(self.regressors))]
+        return np.stack([facts["_h"].to_numpy(), *waves, *known], axis=1)
+
+    def trend_of(self, facts: pd.DataFrame) -> np.ndarray:
+        weights = [self.trend[c] for c in ("_t", *[f"_knot_{i}" for i in range(len(self.knots))])]
+        return self.trend["intercept"] + self.trend_terms(facts) @ np.array(weights)
+
+    def values_of(self, facts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Trend and forecast for a batch of facts."""
+        trend = self.trend_of(facts)
+        waves = [
+            f"_{name}_{wave}_{k}"
+            for name, (_, order) in self.seasons.items() for k in range(1, order + 1) for wave in ("sin", "cos")
+        ]
+        weights = [self.rest[c] for c in ("_holiday", *waves, *[f"_x_{c}" for c in self.regressors])]
+        return trend, trend * (1 + self.rest["intercept"] + self.rest_terms(facts) @ np.array(weights))
 
     def trend_columns(self) -> dict[str, Column]:
         t = (seconds("ds") - F.lit(self.start)) / F.lit(self.length)
@@ -136,11 +175,24 @@ class Forecaster:
         return df.withColumn("_is_holiday", is_us_holiday("ds").cast("int"))
 
     def predict(self, df: DataFrame, interval: float = INTERVAL) -> DataFrame:
-        names = df.columns
-        trend = self.trend_value()
-        yhat = trend * (1 + _dot(self.rest_columns(), self.rest))
+        names, facts = df.columns, self.facts()
+
+        @F.pandas_udf("trend double, yhat double")
+        def values(*known: pd.Series) -> pd.DataFrame:
+            frame = pd.concat([k.astype(float) for k in known], axis=1)
+            frame.columns = ["_s", "_h", *[f"_r{i}" for i in range(len(known) - 2)]]
+            return pd.DataFrame(dict(zip(("trend", "yhat"), self.values_of(frame))))
+
         half = F.lit(normal_quantile(0.5 + interval / 2) * self.residual_std)
-        out = self.with_holiday(df).withColumns({"trend": trend, "yhat": yhat})
+        # Arrow batches do not tell null from NaN
+        dated = F.col("ds").isNotNull()
+        whole = dated
+        for c in self.regressors:
+            whole = whole & F.col(c).isNotNull()
+        out = df.withColumn("_found", values(*facts)).withColumns({
+            "trend": F.when(dated, F.coalesce("_found.trend", F.lit(math.nan))),
+            "yhat": F.when(whole, F.coalesce("_found.yhat", F.lit(math.nan))),
+        })
         return out.select(
             *names,
             "trend",
@@ -158,38 +210,74 @@ def _dot(columns: dict[str, Column], weights: dict[str, float]) -> Column:
     return total
 
 
+def sums_of(
+    df: DataFrame, build: Callable[[pd.DataFrame], np.ndarray], width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The sums over all rows of products of all pairs of the ``width`` columns that ``build`` makes of a
+    batch, and each column's range. One number per pair comes to the driver."""
+
+    def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width, width))
+        low, high = np.full(width, np.inf), np.full(width, -np.inf)
+        for frame in frames:
+            if len(frame):
+                x = build(frame)
+                total += x.T @ x
+                low = np.minimum(low, x.min(axis=0, initial=np.inf))
+                high = np.maximum(high, x.max(axis=0, initial=-np.inf))
+        at, v = np.arange(width * width), total.ravel()
+        # Arrow batches do not tell null from NaN, and a sum passes over nulls
+        yield pd.DataFrame(
+            {"at": at, "v": v, "bad": ~np.isfinite(v), "low": low[at // width], "high": high[at // width]}
+        )
+
+    parts = df.mapInPandas(added, "at int, v double, bad boolean, low double, high double")
+    found = parts.groupBy("at").agg(
+        F.sum("v").alias("v"), F.max("bad").alias("bad"), (F.max("high") - F.min("low")).alias("span")
+    )
+    sums, span = np.zeros(width * width), np.zeros(width)
+    for r in found.collect():
+        sums[r["at"]] = math.nan if r["bad"] else r["v"]
+        span[r["at"] // width] = math.nan if r["span"] is None else r["span"]
+    return sums.reshape(width, width), span
+
+
 def _ridge(
-    df: DataFrame, columns: dict[str, Column], label: str, ridge: float,
-    scales: dict[str, float] | None = None,
+    df: DataFrame, build: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]], columns: Sequence[str],
+    ridge: float, scales: dict[str, float] | None = None,
 ) -> dict:
-    """Ridge weights; a column with a scale s is penalised by 1 / (rows * s * s).
+    """Ridge weights of the columns and for the label that ``build`` makes of a batch, from one pass.
 
-    That is the common penalty for the column times s * sqrt(rows * ridge).
+    The penalty is ``ridge`` over the label's deviation, as in ``spark.ml``; a column with a scale s is
+    penalised by 1 / (rows * s * s). That is the common penalty for the column times s * sqrt(rows * ridge).
     """
-    if scales:
-        rows = max(df.count(), 1)
-        factor = {c: s * math.sqrt(rows * ridge) for c, s in scales.items()}
-        df = df.withColumns({c: F.col(c) * F.lit(f) for c, f in factor.items()})
-        found = _ridge(df, columns, label, ridge)
-        return {c: w * factor.get(c, 1.0) for c, w in found.items()}
-    # a column that (nearly) never changes makes the normal equations singular: no weight
-    ranges = df.agg(*[F.max(c) - F.min(c) for c in columns]).first()
-    names = [c for c, span in zip(columns, ranges) if span and span > 1e-8]
+
+    def with_one(frame: pd.DataFrame) -> np.ndarray:
+        x, label = build(frame)
+        return np.concatenate([np.ones((len(label), 1)), x, label[:, None]], axis=1)
+
+    sums, span = sums_of(df, with_one, len(columns) + 2)
+    if not np.isfinite(sums).all():
+        raise ValueError("a time, label or regressor is missing or not finite")
+    rows = sums[0, 0]
     weights = dict.fromkeys(columns, 0.0)
-    if not names:
-        return {"intercept": float(df.agg(F.avg(label)).first()[0] or 0.0), **weights}
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(
-        df.select(label, *names)
-    )
-    model = LinearRegression(
-        featuresCol="features", labelCol=label, regParam=ridge, elasticNetParam=0.0,
-        standardization=False,
-    ).fit(ready)
-    return {
-        "intercept": float(model.intercept),
-        **weights,
-        **{n: float(w) for n, w in zip(names, model.coefficients)},
-    }
+    if not rows:
+        return {"intercept": 0.0, **weights}
+    scales = scales or {}
+    factor = np.array([scales[c] * math.sqrt(rows * ridge) if c in scales else 1.0 for c in columns])
+    mean = sums[0, 1:] / rows
+    around = sums[1:, 1:] / rows - np.outer(mean, mean)
+    # a column that (nearly) never changes makes the normal equations singular: no weight
+    used = np.flatnonzero((span[1:-1] * factor > 1e-8) & (np.diag(around)[:-1] > 0))
+    spread = math.sqrt(max(around[-1, -1], 0.0))
+    if not len(used) or not spread:
+        return {"intercept": float(mean[-1]), **weights}
+    size = np.sqrt(np.diag(around)[used])
+    gram = around[np.ix_(used, used)] / np.outer(size, size)
+    gram += np.diag(ridge / spread / (factor[used] * size) ** 2)
+    found = np.linalg.solve(gram, around[used, -1] / size) / size
+    weights |= {columns[i]: float(w) for i, w in zip(used, found)}
+    return {"intercept": float(mean[-1] - mean[:-1][used] @ found), **weights}
 
 
 def forecast_input(df: DataFrame, regressors: Sequence[str] = REGRESSORS) -> DataFrame:
