@@ -1,12 +1,14 @@
 """Repeated passages: planted ones, clean ones, and chains against a plain search."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 import xxhash
 
 from tests.llm.helpers import docs, prose, words
+from voltide import session
 from voltide.llm import chaining
 
 
@@ -213,3 +215,68 @@ def test_chains_aligned_at_once_are_as_one_by_one():
     assert [p.tolist() for p in np.split(matches, heads[1:])] == [p.tolist() for p in paths]
     assert len(paths) > 20
     assert chaining.align_all(mine, theirs, matches, heads) == [chaining.align(mine, theirs, p) for p in paths]
+
+
+def test_lists_chained_together_are_as_one_by_one():
+    rng = np.random.default_rng(15)
+    for _ in range(60):
+        lists = []
+        for _ in range(rng.integers(1, 9)):
+            matches = rng.integers(0, rng.integers(2, 80), (rng.integers(1, 200), 2))
+            lists.append(np.unique(matches, axis=0))
+        size = np.array([len(x) for x in lists])
+        order, owner = chaining._linked_all(np.concatenate(lists), size)
+        begin = 0
+        for matches, (path, heads) in zip(lists, chaining._parts_of_all(lists)):
+            here = slice(begin, begin + len(matches))
+            plain = chaining._linked(*matches.T.tolist(), chaining.GAIN, chaining.GAP_COST)
+            got = np.split(order[here] - begin, np.flatnonzero(np.diff(owner[here])) + 1)
+            assert [x.tolist() for x in got] == plain
+            want = chaining._all_parts(matches)
+            assert path.tolist() == want[0].tolist() and heads.tolist() == want[1].tolist()
+            begin += len(matches)
+
+
+def test_pairs_aligned_together_are_as_one_by_one():
+    rng = random.Random(16)
+    lines = [words(9, 77_000 + k) for k in range(4)]
+    texts = [" ".join(w for _ in range(40) for w in [*lines[rng.randrange(4)], str(rng.random())]) for _ in range(6)]
+    seeds = chaining._seeds_by_text(texts, chaining.K, chaining.WINDOW)
+    pairs = [(a, b) for a in texts for b in texts if a != b]
+    aligner = chaining._Aligner(chaining.K, chaining.LEAST_WORDS, chaining.LEAST_SAME)
+    later = [chaining._compare(seeds[a], seeds[b], aligner) for a, b in pairs]
+    aligner.flush()
+    got = [finish() for finish in later]
+    assert got == [chaining.compared(a, b) for a, b in pairs] and sum(map(len, got)) > 20
+
+
+def test_places_of_words():
+    for text in ("", " ", "a", " a\tbc\n", "\u00a0x \U0001f600y\x0b\x1fz\x85 \r", prose(50, 1)):
+        want = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        assert list(zip(*chaining._places(text))) == want
+
+
+def test_longest_extension_is_that_of_all_pairs_of_lengths():
+    rng = np.random.default_rng(17)
+    left, right = (rng.random((80, 24)) < rng.random((80, 1)) for _ in range(2))
+    size = rng.integers(6, 40, 80)
+    sides = chaining._stops(left), chaining._stops(right)
+    got = chaining._longest(*sides, size, size, 0.8)
+    for row in range(80):
+        best = (0, 0, 0, 0)
+        for i in [0, *(n for n in range(2, 25) if left[row, n - 2 : n].all())]:
+            for j in [0, *(n for n in range(2, 25) if right[row, n - 2 : n].all())]:
+                same = left[row, :i].sum(), right[row, :j].sum()
+                if size[row] + sum(same) >= 0.8 * (size[row] + i + j) and i + j > best[0] + best[2]:
+                    best = (i, same[0], j, same[1])
+        assert got[row].tolist() == list(best)
+
+
+def test_only_the_chains_stay_in_the_shared_folder(spark):
+    """The seeds, as large as the texts, are deleted before these are sent to be aligned."""
+    folder = session.shared_folder(spark) + "/voltide"
+    before = set(session.folder_names(spark, folder))
+    found = chaining.passages(docs(spark, [(k, prose(80, 1)) for k in range(3)]))
+    left = set(session.folder_names(spark, folder)) - before
+    assert [name.rpartition("-")[0] for name in left] == ["chains"]
+    assert sorted(r["doc_id"] for r in found.collect()) == [1, 2]

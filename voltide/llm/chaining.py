@@ -24,7 +24,6 @@ own text. Repeats within a document do not count. Other columns are kept by
 from __future__ import annotations
 
 import math
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -38,8 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from voltide.llm.common import materialize, words_of
+from voltide.llm.common import materialize, scratch_path, words_of
 from voltide.llm.url_filter import build_filter, maybe_listed
+from voltide.session import job
 
 K = 6
 WINDOW = 6
@@ -60,8 +60,10 @@ MOST_PAIRS = 64
 #: Matches that are chained at once where two texts are compared place by place.
 CHAINED = 200_000
 
-#: Characters of the texts whose seeds are made at once, and chains aligned at once.
-AT_ONCE, ALIGNED = 400_000, 1_000
+#: Characters of the texts whose seeds are made at once, and of those that are aligned together.
+SEEDED, AT_ONCE = 100_000, 400_000
+#: Chains aligned at once, and pairs of lengths compared at once.
+ALIGNED, LENGTHS = 1_000, 100_000
 
 _P1, _P2, _P3, _P4, _P5 = (
     np.uint64(p) for p in (
@@ -69,9 +71,6 @@ _P1, _P2, _P3, _P4, _P5 = (
     )
 )  # the primes of XXH64
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SPACE_RUN = r"[\x20\x09-\x0D]+"
-
 
 def _rotated(x: np.ndarray, by: int) -> np.ndarray:
     return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
@@ -268,14 +267,104 @@ def _all_parts(matches: np.ndarray, k: int = K, most_gap: int = MOST_GAP) -> tup
     return path, np.flatnonzero(begins)
 
 
+def _linked_all(
+    matches: np.ndarray, size: np.ndarray, gain: float = GAIN, cost: float = GAP_COST
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_linked` of several lists of matches at once, ``size`` of them one behind the other.
+
+    The n-th places here of all lists are taken together, each list with a Fenwick tree of its own.
+    Returns the matches in the order of their chains, as indices, and a number for each one's chain.
+    """
+    of = np.repeat(np.arange(len(size)), size)
+    here, there = matches.T
+    places, place = np.unique((of << 32) | there, return_inverse=True)
+    first = np.searchsorted(places, np.arange(len(size)) << 32)
+    kinds = np.diff(first, append=len(places))
+    nodes = np.array([1 << (x - 1).bit_length() for x in kinds.tolist()])
+    base = np.cumsum(nodes + 1) - (nodes + 1)
+    last = int(base[-1] + nodes[-1]) + 1  # stands for the nodes past the end of a tree
+    best, who = np.full(last + 1, -np.inf), np.full(last + 1, -1)
+    best[last] = np.inf
+    new = np.ones(len(of), bool)
+    new[1:] = (here[1:] != here[:-1]) | (of[1:] != of[:-1])
+    group = np.cumsum(new)
+    step = group - group[np.cumsum(size) - size][of]
+    order = np.argsort(step, kind="stable")
+    edges = np.cumsum([0, *np.bincount(step)]).tolist()
+    # the nodes that a query of the places before one reads and an update of it writes
+    levels = int(nodes.max()).bit_length()
+    read, write = np.empty((2, len(places), levels), np.int64)
+    ahead = np.arange(len(places)) - np.repeat(first, kinds)
+    up, start, end = ahead + 1, np.repeat(base, kinds), np.repeat(nodes, kinds)
+    for level in range(levels):
+        read[:, level] = start + ahead
+        write[:, level] = np.where(up <= end, start + up, last)
+        ahead &= ahead - 1
+        up += up & -up
+    place, passed = place[order], cost * (here + there)[order]
+    score, before = np.full(len(of), gain), np.full(len(of), -1)
+    for low, high in zip(edges, edges[1:]):
+        at_once, skipped = place[low:high], passed[low:high]
+        some = read[at_once]
+        values = best[some]
+        turn, at = np.arange(high - low), values.argmax(axis=1)
+        more = values[turn, at] - skipped
+        linked = more > 0
+        items = order[low:high]
+        before[items[linked]] = who[some[turn, at]][linked]
+        now = gain + np.where(linked, more, 0)
+        score[items] = now
+        # the last that is written stays: the first match with the best score
+        some, now = write[at_once[::-1]], (now + skipped)[::-1, None]
+        row, at = np.nonzero(now > best[some])
+        some, now = some[row, at], now[row, 0]
+        np.maximum.at(best, some, now)
+        won = now == best[some]
+        who[some[won]] = items[::-1][row[won]]
+    # a match goes to the best of the chains that lead through it
+    chain_of = np.empty(len(of), np.int64)
+    chain_of[np.lexsort((-score, of))] = np.arange(len(of))
+    owner, back = chain_of.tolist(), before.tolist()
+    for i in range(len(owner) - 1, -1, -1):
+        j = back[i]
+        if j >= 0 and owner[i] < owner[j]:
+            owner[j] = owner[i]
+    owner = np.array(owner)
+    order = np.argsort(owner, kind="stable")
+    return order, owner[order]
+
+
+def _parts_of_all(lists: list[np.ndarray], k: int = K, most_gap: int = MOST_GAP) -> list[tuple[np.ndarray, np.ndarray]]:
+    """:func:`_all_parts` of several lists of matches, each in ascending order without repeats."""
+    out: list = [None] * len(lists)
+    together = []
+    for n, matches in enumerate(lists):
+        steps = np.count_nonzero(np.diff(matches[:, 0])) + 1
+        # few matches of each of many places are quicker one by one
+        if steps == len(matches) or (steps > 256 and len(matches) < 16 * steps):
+            out[n] = _all_parts(matches, k, most_gap)
+        else:
+            together.append(n)
+    if together:
+        matches, size = np.concatenate([lists[n] for n in together]), np.array([len(lists[n]) for n in together])
+        order, owner = _linked_all(matches, size)
+        path = matches[order]
+        begins = np.ones(len(path), bool)
+        begins[1:] = (np.diff(owner) != 0) | (np.diff(path, axis=0) > most_gap + k).any(axis=1)
+        edges = np.cumsum([0, *size]).tolist()
+        for n, low, high in zip(together, edges, edges[1:]):
+            out[n] = path[low:high], np.flatnonzero(begins[low:high])
+    return out
+
+
 def _equal(
     a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, n: np.ndarray, step: int, width: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Whether the words that follow two places, in direction ``step``, are equal, and whether both have them."""
     far = np.arange(width) * step
     there = np.arange(width) < n[:, None]
-    one = a[np.clip(at_a[:, None] + far, 0, len(a) - 1)]
-    return (one == b[np.clip(at_b[:, None] + far, 0, len(b) - 1)]) & there, there
+    equal = a.take(at_a[:, None] + far, mode="clip") == b.take(at_b[:, None] + far, mode="clip")
+    return equal & there, there
 
 
 def _extend(
@@ -286,7 +375,8 @@ def _extend(
     left = np.arange(len(n))
     while len(left):
         equal, there = _equal(a, b, at_a[left], at_b[left], n[left], step, width)
-        total = np.cumsum(np.where(equal, 1, np.where(there, -3, -4 - MOST_LOST)), axis=1, dtype=np.int64)
+        step_gain = np.where(equal, np.int32(1), np.where(there, np.int32(-3), np.int32(-4 - MOST_LOST)))
+        total = np.cumsum(step_gain, axis=1, dtype=np.int32)
         fallen = np.maximum(np.maximum.accumulate(total, axis=1), 0) - total > MOST_LOST
         ended = fallen.any(axis=1) | (n[left] <= width)
         before = ~np.logical_or.accumulate(fallen, axis=1)
@@ -301,25 +391,39 @@ def _extend(
     return far, same
 
 
-def _longest(left: tuple, right: tuple, size: int, same: int, share: float) -> tuple[int, int, int, int]:
-    """The longest extension to both sides with which ``share`` of all words is equal:
-    words to the left and equal ones of them, words to the right and equal ones."""
-    words = left[0][:, None] + right[0][None, :] + size
-    equal = left[1][:, None] + right[1][None, :] + same
-    i, j = np.unravel_index(np.where(equal >= share * words, words, 0).argmax(), words.shape)
-    return int(left[0][i]), int(left[1][i]), int(right[0][j]), int(right[1][j])
-
-
-def _stops(equal: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each row the lengths at which two lists may stop agreeing, each after two equal words, and the equal
-    words up to there."""
+def _stops(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row the lengths at which two lists may stop agreeing, each after two equal words, the equal
+    words up to there, and how many lengths a row has; others are 0."""
     row, at = np.nonzero(equal[:, 1:] & equal[:, :-1])
-    zero = np.arange(len(equal))
-    cuts = np.searchsorted(row, zero)
-    at = np.insert(at + 2, cuts, 0)
-    count = np.where(at > 0, np.cumsum(equal, axis=1)[np.insert(row, cuts, zero), at - 1], 0)
-    edges = [*(cuts + zero).tolist(), len(at)]
-    return [(at[i:j], count[i:j]) for i, j in zip(edges, edges[1:])]
+    n = np.bincount(row, minlength=len(equal))
+    turn = np.arange(len(row)) - (np.cumsum(n) - n)[row] + 1
+    words = np.zeros((len(equal), n.max(initial=0) + 1), np.int32)
+    same = np.zeros_like(words)
+    words[row, turn] = at + 2
+    same[row, turn] = np.cumsum(equal, axis=1, dtype=np.int32)[row, at + 1]
+    return words, same, n + 1
+
+
+def _longest(
+    left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], size: np.ndarray, same: np.ndarray, share: float
+) -> np.ndarray:
+    """For each row the longest extension to both sides with which ``share`` of all words is equal:
+    words to the left and equal ones of them, words to the right and equal ones."""
+    out = np.zeros((len(size), 4), np.int64)
+    (one, one_same, n_one), (two, two_same, n_two) = left, right
+    # rows with about as many lengths are compared together
+    kind = np.frexp(n_one)[1] * 64 + np.frexp(n_two)[1]
+    for some in np.unique(kind).tolist():
+        rows = np.flatnonzero(kind == some)
+        x, y = int(n_one[rows].max()), int(n_two[rows].max())
+        for low in range(0, len(rows), max(1, LENGTHS // (x * y))):
+            at = rows[low : low + max(1, LENGTHS // (x * y))]
+            words = one[at, :x, None] + two[at, None, :y] + size[at][:, None, None]
+            equal = one_same[at, :x, None] + two_same[at, None, :y] + same[at][:, None, None]
+            best = np.where(equal >= share * words, words, 0).reshape(len(at), -1).argmax(axis=1)
+            i, j = best // y, best % y
+            out[at] = np.stack([one[at, i], one_same[at, i], two[at, j], two_same[at, j]], axis=1)
+    return out
 
 
 def align_all(
@@ -332,17 +436,27 @@ def align_all(
     """
     if within is None:
         within = np.tile([0, len(mine), 0, len(theirs)], (len(heads), 1))
-    out: list = []
+    found, good = _spans(mine, theirs, matches, heads, k, least, share, within)
+    return [tuple(span) if ok else None for span, ok in zip(found.tolist(), good.tolist())]
+
+
+def _spans(
+    mine: np.ndarray, theirs: np.ndarray, matches: np.ndarray, heads: np.ndarray, k: int, least: int, share: float,
+    within: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of :func:`align_all` as an array, and which of them are not None."""
+    found, good = np.zeros((len(heads), 5), np.int64), np.zeros(len(heads), bool)
     edges = np.concatenate([heads, [len(matches)]])
     for low in range(0, len(heads), ALIGNED):
         some = edges[low : low + ALIGNED + 1]
-        out += _align_some(
+        rows, spans = _align_some(
             mine, theirs, matches[some[0] : some[-1]], some - some[0], k, least, share, within[low : low + ALIGNED]
         )
-    return out
+        found[low + rows], good[low + rows] = spans, True
+    return found, good
 
 
-def _align_some(mine, theirs, matches, edges, k, least, share, within) -> list:
+def _align_some(mine, theirs, matches, edges, k, least, share, within) -> tuple[np.ndarray, np.ndarray]:
     heads, count, parts = edges[:-1], np.diff(edges), len(edges) - 1
     p, q = matches.T
     low_p, high_p, low_q, high_q = within.T
@@ -362,9 +476,8 @@ def _align_some(mine, theirs, matches, edges, k, least, share, within) -> list:
     same = k + np.bincount(part[1:], np.where(inner, more, 0), parts).astype(np.int64)
 
     rows = np.flatnonzero(good)
-    out: list = [None] * parts
     if not len(rows):
-        return out
+        return rows, np.zeros((0, 5), np.int64)
     ends = (heads + count - 1)[rows]
     p1, q1, p2, q2 = p[heads[rows]], q[heads[rows]], p[ends] + k, q[ends] + k
     same, size = same[rows], p2 - p1
@@ -375,21 +488,72 @@ def _align_some(mine, theirs, matches, edges, k, least, share, within) -> list:
     words = left + size + right
     short = np.flatnonzero((words < least) | (same + left_same + right_same < share * words))
     if len(short):
-        around = [
-            _equal(mine, theirs, x[short], y[short], n[short], step, AROUND)[0]
-            for x, y, n, step in ((p1 - 1, q1 - 1, n_left, -1), (p2, q2, n_right, 1))
-        ]
+        sides = ((p1 - 1, q1 - 1, n_left, -1), (p2, q2, n_right, 1))
+        around = [_equal(mine, theirs, x[short], y[short], n[short], step, AROUND)[0] for x, y, n, step in sides]
+        # all equal words about some chains are too few
+        enough = same[short] + around[0].sum(axis=1) + around[1].sum(axis=1) >= share * least
+        short, around = short[enough], [x[enough] for x in around]
         before, after = _stops(around[0]), _stops(around[1])
-        for row, one, two in zip(short.tolist(), before, after):
-            if same[row] + one[1][-1] + two[1][-1] < share * least:
-                continue
-            far = _longest(one, two, int(size[row]), int(same[row]), share)
-            if far[0] + size[row] + far[2] >= least:
-                left[row], left_same[row], right[row], right_same[row] = far
-    found = np.stack([p1 - left, p2 + right, q1 - left, q2 + right, same + left_same + right_same], axis=1)
-    for row, span in zip(rows.tolist(), found.tolist()):
-        out[row] = tuple(span)
-    return out
+        chosen = same[short] + before[1].max(axis=1) + after[1].max(axis=1) >= share * least
+        short = short[chosen]
+        before, after = ([x[chosen] for x in side] for side in (before, after))
+        far = _longest(before, after, size[short], same[short], share)
+        enough = far[:, 0] + size[short] + far[:, 2] >= least
+        short = short[enough]
+        left[short], left_same[short], right[short], right_same[short] = far[enough].T
+    return rows, np.stack([p1 - left, p2 + right, q1 - left, q2 + right, same + left_same + right_same], axis=1)
+
+
+class _Aligner:
+    """Aligns the chains of many pairs of texts at once: those that wait, as soon as they have ``most`` matches."""
+
+    def __init__(self, k: int, least: int, share: float, most: int = CHAINED):
+        self.settings, self.share, self.most = (k, least, share), share, most
+        self.waiting: list[tuple] = []
+        self.matches = 0
+
+    def add(
+        self, mine: np.ndarray, theirs: np.ndarray, matches: np.ndarray, heads: np.ndarray | None, take: Callable
+    ) -> None:
+        """``take`` gets the spans that may count, in the order of their chains; matches without heads are chained."""
+        self.waiting.append((mine, theirs, matches, heads, take))
+        self.matches += len(matches)
+        if self.matches >= self.most:
+            self.flush()
+
+    def flush(self) -> None:
+        waiting, self.waiting, self.matches = self.waiting, [], 0
+        if not waiting:
+            return
+        chained = iter(_parts_of_all([w[2] for w in waiting if w[3] is None], self.settings[0]))
+        waiting = [w if w[3] is not None else (*w[:2], *next(chained), w[4]) for w in waiting]
+        texts: list[np.ndarray] = []
+        moved_p, size_p, end = [], [], 0
+        for mine, *_ in waiting:  # a text that several chains in a row are of comes once
+            if not texts or texts[-1] is not mine:
+                texts.append(mine)
+                end += len(mine)
+            moved_p.append(end - len(mine))
+            size_p.append(len(mine))
+        size_q = [len(w[1]) for w in waiting]
+        moved = np.stack([moved_p, np.cumsum(size_q) - size_q], axis=1)
+        chains = [len(w[3]) for w in waiting]
+        count = np.array([len(w[2]) for w in waiting])
+        matches = np.concatenate([w[2] for w in waiting]) + np.repeat(moved, count, axis=0)
+        heads = np.concatenate([w[3] for w in waiting]) + np.repeat(np.cumsum(count) - count, chains)
+        within = np.stack([moved[:, 0], moved[:, 0] + size_p, moved[:, 1], moved[:, 1] + size_q], axis=1)
+        found, good = _spans(
+            np.concatenate(texts), np.concatenate([w[1] for w in waiting]), matches, heads, *self.settings,
+            np.repeat(within, chains, axis=0),
+        )
+        words = found[:, 1] - found[:, 0]
+        good &= (words >= LEAST_PART) & (found[:, 4] >= self.share * words)
+        found -= np.repeat(np.pad(np.repeat(moved, 2, axis=1), ((0, 0), (0, 1))), chains, axis=0)
+        edges = np.cumsum([0, *chains]).tolist()
+        for (*_, take), low, high in zip(waiting, edges, edges[1:]):
+            rows = np.flatnonzero(good[low:high])
+            if len(rows):
+                take(list(map(tuple, found[low + rows].tolist())))
 
 
 def align(
@@ -439,7 +603,7 @@ def _adding(single: list[tuple], known: list[tuple]) -> list[tuple]:
 
 
 def _codes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    return np.fromiter(map(zlib.crc32, words), "<u4", len(words))
 
 
 def _equal_runs(mine: np.ndarray, theirs: np.ndarray, least: int) -> tuple[np.ndarray, Callable[[int], int]]:
@@ -482,9 +646,25 @@ def _equal_runs(mine: np.ndarray, theirs: np.ndarray, least: int) -> tuple[np.nd
     return far, place
 
 
-@lru_cache(maxsize=16)
-def _codes_and_seeds(text: str, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _codes(words_of(text)), *seeds_of(text, k, window)
+def _places(text: str) -> tuple[list[int], list[int]]:
+    """Where the words of a text start and end, in code points."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    inside = np.zeros(len(points) + 2, np.int8)
+    inside[1:-1] = (points != 32) & ((points < 9) | (points > 13))
+    step = np.diff(inside)
+    return np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()
+
+
+def _seeds_by_text(texts: list[str], k: int, window: int) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The codes of the words, and the hashes and places of the seeds, of each text."""
+    kinds = list(dict.fromkeys(texts))
+    if not kinds:
+        return {}
+    hashes, at, count = seeds_of_all(kinds, k, window)
+    cuts = np.cumsum(count)[:-1]
+    return {
+        t: (_codes(words_of(t)), h, p) for t, h, p in zip(kinds, np.split(hashes, cuts), np.split(at, cuts))
+    }
 
 
 def compared(
@@ -497,10 +677,35 @@ def compared(
     in one are kept. The matches of seeds that are not deep inside those words are chained and
     aligned, all of them, ``chained`` or so at a time.
     """
-    (mine, hashes, at), (theirs, other, there) = (_codes_and_seeds(t, k, window) for t in (mine_text, theirs_text))
+    aligner = _Aligner(k, least, share, chained)
+    seeds = _seeds_by_text([mine_text, theirs_text], k, window)
+    finish = _compare(seeds[mine_text], seeds[theirs_text], aligner, chained)
+    aligner.flush()
+    return finish()
+
+
+def _compare(
+    mine_seeds: tuple[np.ndarray, ...], their_seeds: tuple[np.ndarray, ...], aligner: _Aligner, chained: int = CHAINED
+) -> Callable[[], list[tuple]]:
+    """Gives all chains of two texts to the aligner; returns what :func:`compared` returns once it has aligned them."""
+    (mine, hashes, at), (theirs, other, there) = mine_seeds, their_seeds
+    least = aligner.settings[1]
     far, place = _equal_runs(mine, theirs, least)
     spans: dict[tuple[int, int], tuple] = {}
     known = np.zeros(len(mine), bool)
+
+    def take(found: list[tuple]) -> None:
+        for span in found:
+            spans.setdefault(span[:2], span)
+
+    def widest() -> list[tuple]:
+        out, reached = [], 0
+        for span in sorted(spans.values(), key=lambda x: (x[0], -x[1])):
+            if span[1] > reached:  # else it lies within another
+                out.append(span)
+                reached = span[1]
+        return out
+
     best, reached = -1, 0
     for start in [*np.flatnonzero(far).tolist(), None]:
         # the run that reaches farthest of those that start within or right behind the last
@@ -516,7 +721,7 @@ def compared(
     low, high = np.searchsorted(other, hashes), np.searchsorted(other, hashes, "right")
     # a seed whose neighbourhood is known adds nothing
     total = np.r_[0, np.cumsum(~known)]
-    around = LEAST_PART + k
+    around = LEAST_PART + aligner.settings[0]
     open_words = total[np.minimum(at + around, len(mine))] - total[np.maximum(at - LEAST_PART, 0)]
     wanted = np.flatnonzero((open_words > 0) & (high > low))
     counts = np.cumsum((high - low)[wanted])
@@ -526,20 +731,13 @@ def compared(
         n = (high - low)[block]
         turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         matches = np.stack([np.repeat(at[block], n), there[np.repeat(low[block], n) + turn]], axis=1)
-        for span in align_all(mine, theirs, *_all_parts(matches, k), k, least, share):
-            if span and span[1] - span[0] >= LEAST_PART and span[4] >= share * (span[1] - span[0]):
-                spans.setdefault(span[:2], span)
-    out, reached = [], 0
-    for span in sorted(spans.values(), key=lambda x: (x[0], -x[1])):
-        if span[1] > reached:  # else it lies within another
-            out.append(span)
-            reached = span[1]
-    return out
+        aligner.add(mine, theirs, matches, None, take)
+    return widest
 
 
-def _batches(frame: pd.DataFrame) -> list[pd.DataFrame]:
-    """The rows in order, some ``AT_ONCE`` characters at a time."""
-    turn = (frame["text"].str.len().cumsum() // AT_ONCE).to_numpy()
+def _batches(frame: pd.DataFrame, chars: int = AT_ONCE) -> list[pd.DataFrame]:
+    """The rows in order, some ``chars`` characters at a time."""
+    turn = (frame["text"].str.len().cumsum() // chars).to_numpy()
     edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(frame)]
     return [frame.iloc[i:j] for i, j in zip(edges, edges[1:]) if i < j]
 
@@ -566,7 +764,7 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
 
     def seed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for some in _batches(frame):
+            for some in _batches(frame, SEEDED):
                 h, at, n = seeds_of_all(some["text"].tolist(), k, window)
                 row = np.repeat(np.arange(len(some)), n)
                 order = np.lexsort((h, row))  # a seed's places in a row of the table come together, in order
@@ -639,35 +837,39 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
                     size.append(end_there + k + AROUND - begin[-1])
             yield pd.DataFrame({"doc": doc, "source": source, "path": path, "begin": begin, "size": size})
 
-    seeds = materialize(
-        named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int, places binary"), "seeds"
-    )
-    # stored, so that the join reads plain shuffles on both sides and hot seeds are split
-    shared = materialize(
-        seeds.groupBy("h").agg(F.min("doc").alias("source"), F.max("doc").alias("other"))
-        .where("source <> other").select("h", "source"),
-        "shared-seeds",
-    )
-    # few seeds are shared, so the hash tables are of those and the others are not sorted
-    found = materialize(seeds.join(shared.hint("shuffle_hash"), "h"), "found-seeds")
-    first = (
-        found.where("doc = source").groupBy("h").agg(F.min(F.struct("at", "places")).alias("first"))
-        .select("h", F.col("first.at").alias("there"), F.col("first.places").alias("theirs"))
-    )
-    several = F.col("places").isNotNull() | F.col("theirs").isNotNull()
-    matches = found.where("doc <> source").join(materialize(first, "first-seeds"), "h").select(
-        "doc", "source",
-        F.when(
-            ~several, F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long"))
-        ).alias("m"),
-        F.when(several, F.struct("at", "places", "there", "theirs")).alias("r"),
-    )
-    # a document's matches are at most its seeds
-    paired = matches.groupBy("doc", "source").agg(
-        F.collect_list("m").alias("matches"), F.collect_list("r").alias("repeated")
-    )
-    schema = "doc long, source long, path binary, begin int, size int"
-    return materialize(paired.mapInPandas(link, schema), "chains")
+    spark = named.sparkSession
+    path = scratch_path(spark, "chains")
+    with job(spark):  # the seeds go once the chains are stored
+        seeds = materialize(
+            named.select("doc_id", "text").mapInPandas(seed, "h long, doc long, at int, places binary"), "seeds"
+        )
+        # stored, so that the join reads plain shuffles on both sides and hot seeds are split
+        shared = materialize(
+            seeds.groupBy("h").agg(F.min("doc").alias("source"), F.max("doc").alias("other"))
+            .where("source <> other").select("h", "source"),
+            "shared-seeds",
+        )
+        # few seeds are shared, so the hash tables are of those and the others are not sorted
+        found = materialize(seeds.join(shared.hint("shuffle_hash"), "h"), "found-seeds")
+        first = (
+            found.where("doc = source").groupBy("h").agg(F.min(F.struct("at", "places")).alias("first"))
+            .select("h", F.col("first.at").alias("there"), F.col("first.places").alias("theirs"))
+        )
+        several = F.col("places").isNotNull() | F.col("theirs").isNotNull()
+        matches = found.where("doc <> source").join(materialize(first, "first-seeds"), "h").select(
+            "doc", "source",
+            F.when(
+                ~several, F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("there").cast("long"))
+            ).alias("m"),
+            F.when(several, F.struct("at", "places", "there", "theirs")).alias("r"),
+        )
+        # a document's matches are at most its seeds
+        paired = matches.groupBy("doc", "source").agg(
+            F.collect_list("m").alias("matches"), F.collect_list("r").alias("repeated")
+        )
+        schema = "doc long, source long, path binary, begin int, size int"
+        paired.mapInPandas(link, schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def passages(
@@ -687,53 +889,60 @@ def passages(
     sources = _filter_of(chains.select(F.col("source").alias("id")).distinct())
     owners = _filter_of(chains.select(F.col("doc").alias("id")).distinct())
 
+    @F.pandas_udf("binary")
+    def codes(texts: pd.Series) -> pd.Series:
+        return pd.Series([_codes(words_of(t)).tobytes() for t in texts], dtype=object)
+
     texts_of_sources = named.where(_named_in(sources, spark)).select(
-        F.col("doc_id").alias("source"), F.filter(F.split("text", SPACE_RUN), lambda w: w != "").alias("words")
+        F.col("doc_id").alias("source"), "text", codes("text").alias("codes")
     )
-    # only the passage goes on, not the whole text of the source for each of its chains
+    # only the passage goes on, not the whole source for each of its chains, unless all of it is compared
+    whole = F.length("path") == 0
     sliced = chains.join(texts_of_sources, "source").select(
-        "doc", "source", "path", "begin",
-        F.array_join(F.slice("words", F.col("begin") + 1, F.col("size")), " ").alias("passage"),
+        "doc", "source", "path", "begin", F.when(whole, F.col("text")).alias("whole"),
+        F.when(~whole, F.substr("codes", F.col("begin") * 4 + 1, F.col("size") * 4)).alias("passage"),
     )
     # a document's chains are at most its seeds
     gathered = sliced.groupBy("doc").agg(
-        F.collect_list(F.struct("source", "path", "begin", "passage")).alias("chains")
+        F.collect_list(F.struct("source", "path", "begin", "whole", "passage")).alias("chains")
     )
 
     def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for doc_id, text, key, found in zip(frame["doc_id"], frame["text"], frame["text_key"], frame["chains"]):
-                spans, single, paths, parts = [], [], [], []
+        for some in chain_items.from_iterable(map(_batches, frames)):
+            rows, docs_here = [], []
+            aligner = _Aligner(k, least, share)
+            seeds = _seeds_by_text(
+                [t for text, found in zip(some["text"], some["chains"]) for c in found if not c["path"]
+                 for t in (text, c["whole"])], k, window,
+            )
+            for text, found in zip(some["text"], some["chains"]):
+                spans, single, wholes = [], [], []
+                docs_here.append((spans, single, wholes))
+                mine = None
                 for c in found:
                     if not c["path"]:
-                        spans += [(*x, c["source"]) for x in compared(text, c["passage"], k, window, least, share)]
+                        wholes.append((c["source"], _compare(seeds[text], seeds[c["whole"]], aligner)))
                         continue
-                    paths.append(np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64))
-                    parts.append(c)
-                if parts:
-                    mine, passages = _codes(words_of(text)), [words_of(c["passage"]) for c in parts]
-                    # the passages stand one behind the other, each chain is moved to its own
-                    count, ends = np.array([len(p) for p in paths]), np.cumsum([len(p) for p in passages])
-                    starts = ends - [len(p) for p in passages]
-                    moved = starts - [c["begin"] for c in parts]
-                    matches = np.concatenate(paths)
-                    matches[:, 1] += np.repeat(moved, count)
-                    within = np.stack([np.zeros_like(ends), np.full_like(ends, len(mine)), starts, ends], axis=1)
-                    aligned_all = align_all(
-                        mine, _codes([w for p in passages for w in p]), matches, np.cumsum(count) - count, k, least,
-                        share, within,
-                    )
-                    for c, path, span, back in zip(parts, paths, aligned_all, moved.tolist()):
-                        if span:
-                            s, e, s2, e2, same = span
-                            (spans if len(path) > 1 else single).append((s, e, s2 - back, e2 - back, same, c["source"]))
-                single = [x for x in single if x[4] >= share * (x[1] - x[0])]
+                    if mine is None:
+                        mine = _codes(words_of(text))
+                    path = np.frombuffer(c["path"], "<i4").reshape(-1, 2).astype(np.int64)
+                    path[:, 1] -= c["begin"]
+
+                    def take(found, to=spans if len(path) > 1 else single, back=c["begin"], source=c["source"]):
+                        to += [(s, e, s2 + back, e2 + back, same, source) for s, e, s2, e2, same in found]
+
+                    aligner.add(mine, np.frombuffer(c["passage"], "<u4"), path, np.zeros(1, np.int64), take)
+            aligner.flush()
+            for doc_id, text, key, (spans, single, wholes) in zip(
+                some["doc_id"], some["text"], some["text_key"], docs_here
+            ):
+                for source, finish in wholes:
+                    spans += [(*x, source) for x in finish()]
                 kept = accepted([*spans, *_adding(single, accepted(spans, least, share))], least, share)
                 if kept:
-                    edges = [m.span() for m in _WORD.finditer(text)]
+                    starts, ends = _places(text)
                     rows += [
-                        (doc_id, s, e, edges[s][0], edges[e - 1][1], source, s2, e2, same, key)
+                        (doc_id, s, e, starts[s], ends[e - 1], source, s2, e2, same, key)
                         for s, e, s2, e2, same, source in kept
                     ]
             yield pd.DataFrame(rows, columns=[
