@@ -371,24 +371,32 @@ def _extend(
     a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, n: np.ndarray, step: int, width: int = 32
 ) -> tuple[np.ndarray, np.ndarray]:
     """How far two lists agree from each pair of places, past single changes, over ``n`` words: words, of them equal."""
-    far, same = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+    total, most, far, done = np.zeros((4, len(n)), np.int64)  # at the last word, at the best one, and these words
     left = np.arange(len(n))
     while len(left):
-        equal, there = _equal(a, b, at_a[left], at_b[left], n[left], step, width)
-        step_gain = np.where(equal, np.int32(1), np.where(there, np.int32(-3), np.int32(-4 - MOST_LOST)))
-        total = np.cumsum(step_gain, axis=1, dtype=np.int32)
-        fallen = np.maximum(np.maximum.accumulate(total, axis=1), 0) - total > MOST_LOST
-        ended = fallen.any(axis=1) | (n[left] <= width)
-        before = ~np.logical_or.accumulate(fallen, axis=1)
-        gained = np.where(before, total, 0)
+        ahead = done[left] * step
+        equal, there = _equal(a, b, at_a[left] + ahead, at_b[left] + ahead, n[left] - done[left], step, width)
+        done[left] += width
+        # nothing but equal words: the last one is the best
+        plain = equal.all(axis=1)
+        rows = left[plain]
+        total[rows] += width
+        more = rows[total[rows] > most[rows]]
+        most[more], far[more] = total[more], done[more]
+        rest, equal, there = left[~plain], equal[~plain], there[~plain]
+        gain = np.where(equal, np.int32(1), np.where(there, np.int32(-3), np.int32(-4 - MOST_LOST)))
+        now = np.cumsum(gain, axis=1, dtype=np.int32) + total[rest][:, None]
+        fallen = np.maximum(np.maximum.accumulate(now, axis=1), most[rest][:, None]) - now > MOST_LOST
+        gained = np.where(np.logical_or.accumulate(fallen, axis=1), 0, now)
         best = gained.argmax(axis=1)
-        most = np.maximum(gained[np.arange(len(left)), best], 0)
-        words = np.where(most > 0, best + 1, 0)
-        far[left[ended]] = words[ended]
-        same[left[ended]] = ((most + 3 * words) // 4)[ended]
-        left = left[~ended]
-        width *= 4
-    return far, same
+        gained = gained[np.arange(len(rest)), best]
+        more = gained > most[rest]
+        most[rest[more]], far[rest[more]] = gained[more], (done[rest] - width + best + 1)[more]
+        total[rest] = now[:, -1]
+        left = np.concatenate([rows, rest[~fallen.any(axis=1)]])
+        left = left[n[left] > done[left]]
+        width = min(4 * width, 256)
+    return far, (most + 3 * far) // 4
 
 
 def _stops(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
