@@ -280,3 +280,20 @@ def test_only_the_chains_stay_in_the_shared_folder(spark):
     left = set(session.folder_names(spark, folder)) - before
     assert [name.rpartition("-")[0] for name in left] == ["chains"]
     assert sorted(r["doc_id"] for r in found.collect()) == [1, 2]
+
+
+def test_extensions_past_many_words():
+    rng = np.random.default_rng(18)
+    mine = rng.integers(0, 30, 1500).astype(np.uint32)
+    theirs = np.where(rng.random(1500) < 0.02, 99, mine).astype(np.uint32)
+    at = rng.integers(0, 1500, 40)
+    for step, n in ((1, 1500 - at), (-1, at + 1)):
+        far, same = chaining._extend(mine, theirs, at, at, n, step)
+        for start, words, equal, most in zip(at, far, same, n):
+            total, best = 0, (0, 0, 0)
+            for i, hit in enumerate((mine == theirs)[start::step][:most]):
+                total += 1 if hit else -3
+                best = max(best, (total, -i - 1, (total + 3 * (i + 1)) // 4))
+                if best[0] - total > chaining.MOST_LOST:
+                    break
+            assert (words, equal) == (-best[1], best[2])

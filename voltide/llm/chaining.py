@@ -626,7 +626,9 @@ def _equal_runs(mine: np.ndarray, theirs: np.ndarray, least: int) -> tuple[np.nd
     ranks = [np.unique(both, return_inverse=True)[1]]
     while ranks[-1].max() + 1 < len(both):
         half = 1 << (len(ranks) - 1)
-        if 2 * half <= least and not np.isin(ranks[-1][: n - 1], ranks[-1][n:-1]).any():
+        known = np.zeros(len(both), bool)
+        known[ranks[-1][n:-1]] = True
+        if 2 * half <= least and not known[ranks[-1][: n - 1]].any():
             return far, lambda i: 0
         rest = np.concatenate([ranks[-1][half:] + 1, np.zeros(min(half, len(both)), np.int64)])[: len(both)]
         ranks.append(np.unique(ranks[-1] * (len(both) + 1) + rest, return_inverse=True)[1])
@@ -772,8 +774,9 @@ def _chains(named: DataFrame, k: int, window: int) -> DataFrame:
 
     def seed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for some in _batches(frame, SEEDED):
-                h, at, n = seeds_of_all(some["text"].tolist(), k, window)
+            for some in _batches(frame):
+                parts = (seeds_of_all(x["text"].tolist(), k, window) for x in _batches(some, SEEDED))
+                h, at, n = map(np.concatenate, zip(*parts))
                 row = np.repeat(np.arange(len(some)), n)
                 order = np.lexsort((h, row))  # a seed's places in a row of the table come together, in order
                 h, at, row = h[order], at[order], row[order]
