@@ -297,3 +297,13 @@ def test_extensions_past_many_words():
                 if best[0] - total > chaining.MOST_LOST:
                     break
             assert (words, equal) == (-best[1], best[2])
+
+
+def test_passages_are_cut_once(spark):
+    """A filter on the texts that are left does not cut them a second time, in workers of its own."""
+    passage = " ".join(words(60, 4321))
+    rows = [(1, prose(80, 1) + " " + passage), (2, prose(80, 2) + " " + passage), (3, passage), (4, None)]
+    left = chaining.drop_passages(docs(spark, rows))
+    assert left._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [_without(") == 1
+    got = {r["doc_id"]: r["text"] for r in left.collect()}
+    assert got == {1: rows[0][1], 2: prose(80, 2), 4: None}

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from tests.llm.helpers import by_id, docs, prose, words
+from voltide.llm import components as parts
 from voltide.llm import simhash
 from voltide.llm.components import components
 from voltide.llm.queries import QUERIES
@@ -133,3 +134,37 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = spark.createDataFrame(pd.DataFrame(pairs, columns=["a", "b"]))
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     assert got == {k: 1 for k in range(1, 41)} | {k: 1000 for k in range(1000, 1100)}
+
+
+def test_rounds_of_components_store_few_files(spark, monkeypatch):
+    """A round stores a file for each task at once, not for each part of a shuffle."""
+    files, stored = [], parts.materialize
+
+    def counted(df, label):
+        made = stored(df, label)
+        files.append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(parts, "materialize", counted)
+    held = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    pairs = pd.DataFrame([(10 * k + i, 10 * k + i + 1) for k in range(300) for i in range(5)], columns=["a", "b"])
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = components(spark.createDataFrame(pairs))
+        got = {r["node"]: r["root"] for r in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {10 * k + i: 10 * k for k in range(300) for i in range(6)}
+    most = spark.sparkContext.defaultParallelism
+    assert len(files) > 2 and max(files[1:]) <= most < 97
+    assert found.rdd.getNumPartitions() <= 2 * most
+
+
+def test_parts_grow_with_the_links(spark):
+    rows, most = spark.range(0, 1000, 1, 90), spark.sparkContext.defaultParallelism
+    assert parts._in_files(rows, 10).rdd.getNumPartitions() == most
+    assert parts._in_files(rows, (most + 3) * parts.LINKS).rdd.getNumPartitions() == most + 3
+    assert parts._in_files(rows, 10**9).rdd.getNumPartitions() == 90

@@ -171,3 +171,18 @@ def test_elias_fano():
 def test_empty_table(spark, tmp_path, name):
     docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert QUERIES[name](spark, str(tmp_path)).collect() == []
+
+
+def test_the_plan_of_packing_starts_no_python_workers(spark, monkeypatch):
+    made, create = [], type(spark).createDataFrame
+    rows = docs(spark, [(1, "one two"), (2, "three"), (3, None)])
+
+    def kept(self, *args, **named):
+        made.append(create(self, *args, **named))
+        return made[-1]
+
+    monkeypatch.setattr(type(spark), "createDataFrame", kept)
+    packing.pack_documents(rows, BYTE, 16).collect()
+    assert [d.columns[0] for d in made] == ["length"]
+    assert "PythonRDD" not in made[0]._jdf.queryExecution().toRdd().toDebugString()
+    assert packing.pack_documents(rows.where("doc_id = 9"), BYTE, 16).collect() == []

@@ -982,6 +982,10 @@ def _without(text: pd.Series, ranges: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+# else a filter on its result is pushed below it, and texts are cut twice, in two workers a task
+_without = _without.asNondeterministic()
+
+
 def drop_passages(docs: DataFrame, **settings) -> DataFrame:
     """The documents without passages that one with a smaller id has, columns as they came.
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from voltide.llm.common import materialize
 
+#: Links that a task writes, where there are enough for all tasks that run at once.
+LINKS = 100_000
+
 
 def forest(pairs: np.ndarray) -> np.ndarray:
     """One link from each node but one of each connected part to its smallest node."""
@@ -60,19 +63,25 @@ def _mark(edges: DataFrame) -> tuple:
     )
 
 
+def _in_files(rows: DataFrame, count: int) -> DataFrame:
+    """About ``count`` rows in no more parts than they need: each stored part is a file of its own."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-count // LINKS)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that links reach, for every node of a link.
 
     ``edges`` has long columns ``a`` and ``b``. Work of a round is a few joins
     and sums over the edges; a node of many links is split like any hot join
-    key. The number of rounds grows with the logarithm of the longest path.
+    key. The number of rounds grows with the logarithm of the longest path. What a round
+    stores has few files, however many parts a shuffle has.
     """
     now = materialize(_downward(edges), "links")
     mark = _mark(now)
     while True:
-        now = materialize(_downward(_small_star(_downward(_large_star(now)))), "links")
+        now = materialize(_in_files(_downward(_small_star(_downward(_large_star(now)))), mark[0]), "links")
         before, mark = mark, _mark(now)
         if mark == before:
             break
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    roots = _in_files(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct(), mark[0])
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

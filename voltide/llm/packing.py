@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -145,10 +146,10 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     # at most one row per length up to the capacity
     histogram = made.groupBy("length").agg(F.count("*").alias("n")).collect()
-    slots = spark.createDataFrame(
-        plan({r["length"]: r["n"] for r in histogram}, capacity),
-        "length long, low long, high long, each long, sequence long, place long",
-    )
+    names = ["length", "low", "high", "each", "sequence", "place"]
+    found = np.array(plan({r["length"]: r["n"] for r in histogram}, capacity), np.int64).reshape(-1, len(names))
+    # from Arrow, as rows of Python objects would start more Python workers on every executor
+    slots = spark.createDataFrame(pa.table(dict(zip(names, found.T.copy()))))
     ranked = made.join(shift, ["length", "part"]).withColumn("of_all", F.col("rank") + F.col("shift"))
     # slots: a few per length, so their number is bound by the capacity
     return (

@@ -28,6 +28,7 @@ from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -349,16 +350,19 @@ def set_fingerprints(docs: DataFrame, shingle: int, width: int) -> DataFrame:
     """``doc_id, text_hash, node, fp``: ``node`` names the set of shingles."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            bases = [shingles(t, shingle) for t in frame["text"]]
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"], "text_hash": frame["text_hash"],
-                "node": np.array([_set_of(b)[1] for b in bases], np.int64),
-                "fp": [fold(b, width).astype("<u8").tobytes() for b in bases],
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, fps = [], []
+            for text in batch["text"]:  # one text and its shingles are held at a time
+                base = shingles(text.as_py(), shingle)
+                nodes.append(int(_set_of(base)[1]))
+                fps.append(fold(base, width).astype("<u8").tobytes())
+            yield pa.record_batch({
+                "doc_id": batch["doc_id"], "text_hash": batch["text_hash"],
+                "node": pa.array(nodes, pa.int64()), "fp": pa.array(fps, pa.binary()),
             })
 
-    found = docs.select(as_text("doc_id"), text_or_empty().alias("text"), text_hash().alias("text_hash")).mapInPandas(
+    found = docs.select(as_text("doc_id"), text_or_empty().alias("text"), text_hash().alias("text_hash")).mapInArrow(
         of, "doc_id string, text_hash long, node long, fp binary"
     )
     return with_type(found, "doc_id", id_type)
@@ -417,11 +421,12 @@ def verified(
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            made = [_set_of(shingles(t, shingle)) for t in frame["text"]]
-            yield pd.DataFrame({
-                "node": np.array([n for _, n in made], np.int64), "size": [len(x) for x, _ in made],
-                "set": [x.astype("<u8").tobytes() for x, _ in made],
-            })
+            for at in range(0, len(frame), 500):
+                made = [_set_of(shingles(t, shingle)) for t in frame["text"].iloc[at : at + 500]]
+                yield pd.DataFrame({
+                    "node": np.array([n for _, n in made], np.int64), "size": [len(x) for x, _ in made],
+                    "set": [x.astype("<u8").tobytes() for x, _ in made],
+                })
 
     texts = docs.select("doc_id", text_or_empty().alias("text")).join(tied, "doc_id", "left_semi").select("text")
     sets = texts.mapInPandas(of, "node long, size long, set binary").dropDuplicates(["node"])
@@ -458,7 +463,7 @@ def drop_near_duplicates(
     named = docs.where("doc_id IS NOT NULL")
     found = materialize(set_fingerprints(named, shingle, width), "fingerprints")
     proposed = linked(_nodes(found), band_keys(draws, drawn, width), bits, width, group)
-    ties = materialize(verified(named, found, proposed, shingle, least, most), "ties")
+    ties = verified(named, found, proposed, shingle, least, most)
     # of the rows with a group's smallest id, those of one of its texts; of equal rows one
     keep = (
         found.join(_classes(found, ties), "node").where("doc_id = component_id")
