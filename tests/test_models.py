@@ -10,6 +10,7 @@ from voltide.operators import forecast, joint, models, temporal
 from voltide.operators.monitor import training_stats
 from voltide.operators.split import id_bucket
 from voltide.plans.production import evaluate_against, production_run, train_chain
+from voltide.plans.queries import QUERIES
 from voltide.sources.files import read_metric_records
 from voltide.streaming import streams
 
@@ -47,6 +48,28 @@ def test_stacking_scores_every_row(lines):
     assert error < 8
 
 
+def test_stacking_query_fits_the_whole_bases(spark, sf, monkeypatch):
+    """Both bases with all their trees, on each of three folds and on all rows."""
+    asked, fit = [], models.fit
+
+    def short(df, features, settings, label, output):
+        asked.append(tuple(sorted(settings.items())))
+        return fit(df, features, {**settings, "n_estimators": 1, "max_depth": 1}, label, output)
+
+    monkeypatch.setattr(models, "fit", short)
+    assert QUERIES["stacking_predict"](spark, sf).count() > 0
+    assert sorted(asked) == sorted(4 * [tuple(sorted(b.items())) for b in models.STACKED_BASES])
+
+
+def test_stacking_in_many_tasks(lines, monkeypatch):
+    """Fits one after the other on many tasks are those that run at once on one."""
+    bases = [{"n_estimators": 2, "max_depth": 2}, {"n_estimators": 1, "max_depth": 1}]
+    one = models.stack(lines, ["a", "b"], bases=bases)
+    monkeypatch.setattr(models, "STACK_ROWS", 10)
+    many = models.stack(lines.repartition(8), ["a", "b"], bases=bases)
+    assert np.allclose([*one.weights, one.intercept], [*many.weights, many.intercept], rtol=1e-6)
+
+
 def test_search_lists_every_setting(lines):
     model, results = models.search(lines, ["a", "b"], grid={"max_depth": [1, 3], "n_estimators": [3]})
     rows = results.collect()
