@@ -66,6 +66,56 @@ def test_runs_are_counted_over_the_whole_host(spark):
         assert got == want, shard
 
 
+def marked_host():
+    """A host whose articles share a notice; nine copies and a near copy of one article among them."""
+    notice = "Sign up for our daily letter and never miss a story of this site again"
+    menu = "Home News Sport Weather Travel Money Culture Future Video About us"
+    own = [[" ".join(f"p{k}x{j}w{i}" for i in range(15)) for j in range(6)] for k in range(8)]
+    page = lambda blocks, more: f"<div>{menu}</div><article>{''.join(f'<p>{b}</p>' for b in blocks)}</article><p>{more}</p>"
+    pages = [page([*o[:3], notice, *o[3:]], f"see also {k}") for k, o in enumerate(own)]
+    texts = ["\n\n".join(o) for o in own]
+    copied = [" ".join(f"c{j}w{i}" for i in range(30)) for j in range(12)]
+    pages += [page(copied, f"advert number {k}") for k in range(9)]
+    near = [*copied[:11], "another end " + copied[11]]
+    pages += [page(near, "advert"), page([*near, "a new last line"], "advert")]
+    texts += ["\n\n".join(copied)] * 9 + ["\n\n".join(near), "\n\n".join([*near, "a new last line"])]
+    return pages, texts
+
+
+def test_repeated_runs_inside_marked_articles_go():
+    """What different articles share goes, copies of an article stay."""
+    pages, texts = marked_host()
+    assert page_text.texts_of(pages) == texts
+    # two articles that quote the same are not enough
+    quote = " ".join(f"quoted{i}" for i in range(20))
+    two = [f"<article><p>{quote}</p><p>own words of number {k} and some more of them</p></article>" for k in range(2)]
+    assert all(t.startswith(quote) for t in page_text.texts_of(two))
+
+
+def test_marked_articles_over_shards(spark, monkeypatch):
+    """Neither shards nor what arrays leave out show in the result."""
+    pages, texts = marked_host()
+    # 46 different pages: the bar is five; some arrays have one page of a notice and leave it out
+    for k in range(35):
+        own = " ".join(f"z{k}w{i}" for i in range(120))
+        five = [j for j in range(7) if k % 7 == j]
+        four = [j for j in range(7) if k % 7 == (j + 1) % 7 and k < 28]
+        notes = [" ".join(f"{w}x{j}x{i}" for i in range(12)) for w, js in (("five", five), ("four", four)) for j in js]
+        pages.append(f"<article><p>{own}</p>{''.join(f'<p>{n}</p>' for n in notes)}</article>")
+        texts.append("\n\n".join([own, *[n for n in notes if n.startswith("four")]]))
+    assert page_text.texts_of(pages) == texts
+    rows = [(k, f"http://h/{k}", p) for k, p in enumerate(pages)]
+    rows += [(100 + k, f"http://g/{k}", p) for k, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    again, counts = [], page_text._counts
+    monkeypatch.setattr(page_text, "_counts", lambda *a: again.append(a[-1]) or counts(*a))
+    for shard in (7, 30, 256):
+        again.clear()
+        got = {r["page_id"]: r["text"] for r in page_text.extract_text(df, shard=shard).collect()}
+        assert got == dict(enumerate(texts)) | {100 + k: t for k, t in enumerate(texts)}, shard
+        assert len(again) == 1 + (shard == 30)
+
+
 def test_copies_of_an_article_stay():
     pages = ["<article><p>" + "same words again and again here now then</p></article>"] * 5
     assert len(set(page_text.texts_of(pages))) == 1
