@@ -71,6 +71,35 @@ def test_sample_is_bounded_and_recall_holds(spark):
     assert found >= 0.99 * sum(v[0] for v in want.values())
 
 
+def test_few_copies_of_a_vector_are_sent(spark, monkeypatch):
+    """A label that one task does not hold is sent tree by tree, and nothing is lost or counted twice."""
+    x = clusters(seed=7, groups=400, each=10, noise=0.2)
+    u = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    want = (u @ u.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+    sent, frame = [], type(df)
+    deal = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: sent.append(self.count()) or deal(self, *a))
+    got = result(tree_forest.near_vectors(df, leaf=100, group=1000))
+    found = np.array([got[k][0] for k in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.998 * want.sum() > 0
+    assert len(sent) == tree_forest.CELL_TREES and len(x) <= max(sent) <= 3 * len(x)
+
+
+@pytest.mark.parametrize("leaf", [2048, 50])
+def test_dense_clusters_are_compared_in_full(leaf):
+    """Where the overlap makes a split a loss, no pair is lost."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal(64) / 8 + 0.05 * rng.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for least in (0.84, 0.87):
+        margin = tree_forest.margin_of(64, least, tree_forest.OVERLAP)
+        pairs = [np.stack(p, axis=1) for p in tree_forest._pairs(x, least, leaf, margin, tree_forest.TREES)]
+        pairs = np.sort(np.concatenate(pairs), axis=1)
+        want = np.argwhere(np.triu(x @ x.T >= least, 1))
+        assert len(np.unique(pairs, axis=0)) == len(pairs) and len(pairs) >= 0.998 * len(want) > 0
+
+
 def test_null_ids_and_empty_table(spark):
     rows = [(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1)]
     got = tree_forest.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()

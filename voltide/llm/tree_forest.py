@@ -3,13 +3,19 @@
 Each tree splits vectors by random directions again and again; a vector close to
 the threshold goes to both sides, so a near pair is parted only if it lies wide
 across it. Pairs are compared within leaves, by cosine in double precision, and
-the links found are joined into components. The thresholds are medians of a sample
-of at most ``SAMPLE`` vectors; every vector is sent through the trees.
+the links found are joined into components.
 
-Equal vectors of a label are one class with a count, and a leaf gives each class
+Trees have two parts. A label of more than ``GROUP`` classes is first split into cells that
+one task holds, by thresholds that are medians of a sample of about ``SAMPLE`` vectors; vectors
+are sent to the cells of one such tree, compared, and the files of that shuffle are freed before
+the next tree. Within a cell a forest of ``TREES`` trees is grown from all its vectors, where
+a copy is a number only, down to leaves of ``LEAF`` vectors or to where a split costs more pairs
+than it saves, so a dense cluster is compared in full. Every vector goes through all trees.
+
+Equal vectors of a label are one class with a count, and a cell gives each class
 the number of its links there and at most one tie, never a list of pairs. A pair
-that shares several leaves is counted in the first of them. Leaves above ``GROUP``
-classes are compared in pairs of chunks, each in its own task.
+that shares several cells is counted in the first of them, and there in the first leaf. Cells
+above ``GROUP`` classes are compared in pairs of chunks, each in its own task.
 
 Cases: a null vector, an all-zero one, one with null or non-finite components, and
 any vector with a null label links with nothing: no links, its own component, kept.
@@ -22,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,25 +36,36 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.common import as_text, materialize, shuffle_parts, with_type
+from voltide.llm.common import as_text, freed_shuffles, materialize, shuffle_parts, with_type
 from voltide.llm.components import components, forest
 
 LEAST_COSINE = 0.93
-TREES = 6
-#: Vectors of a label that a leaf should hold at most, as the sample foretells.
-LEAF = 1024
-#: Bound of the sample that fits the thresholds.
+#: Trees within a cell, and trees of cells.
+TREES, CELL_TREES = 4, 3
+#: Vectors that a leaf should hold at most.
+LEAF = 2048
+#: About so many sampled vectors fit the thresholds between cells.
 SAMPLE = 16_384
 #: Sampled vectors below which a node is not split.
 FEW = 32
 #: Half width of the overlap, in units of the largest distance of a linked pair
 #: over the square root of the dimension (the spread of its projection).
-OVERLAP = 1.0
-#: Classes of a leaf that one task compares.
-GROUP = 6_000
+OVERLAP = 0.5
+#: Classes of a label that one task compares, and the share of them that a cell aims at.
+GROUP, FILLED = 100_000, 0.7
+#: A split must leave at most this share of the pairs; so many directions are tried.
+PAIRS_LEFT, TRIES = 0.9, 3
 ROWS = 512
 
 
+def _halves(along: np.ndarray, margin: float) -> tuple[float, np.ndarray, np.ndarray] | None:
+    """Median and who goes to either side, or None where the overlap makes the split a loss."""
+    middle = float(np.median(along))
+    low, high = along <= middle + margin, along >= middle - margin
+    one, two = np.count_nonzero(low), np.count_nonzero(high)
+    return None if one * one + two * two > PAIRS_LEFT * len(along) ** 2 else (middle, low, high)
+
+
 @dataclass
 class Tree:
     """Node k has children ``left[k]`` and ``right[k]``; a leaf has -1."""
@@ -70,16 +86,14 @@ class Tree:
         node = self.add()
         if len(sample) <= small or depth >= 40:
             return node
-        direction = rng.standard_normal(sample.shape[1])
-        direction /= np.linalg.norm(direction)
-        along = sample @ direction
-        middle = float(np.median(along))
-        low, high = along <= middle + margin, along >= middle - margin
-        if low.all() or high.all():
-            return node  # the overlap holds everything
-        self.direction[node], self.threshold[node] = direction, middle
-        self.left[node] = self.grow(sample[low], small, margin, rng, depth + 1)
-        self.right[node] = self.grow(sample[high], small, margin, rng, depth + 1)
+        for _ in range(TRIES):
+            direction = rng.standard_normal(sample.shape[1])
+            direction /= np.linalg.norm(direction)
+            if split := _halves(sample @ direction, margin):
+                self.direction[node], (self.threshold[node], low, high) = direction, split
+                self.left[node] = self.grow(sample[low], small, margin, rng, depth + 1)
+                self.right[node] = self.grow(sample[high], small, margin, rng, depth + 1)
+                break
         return node
 
     def leaves(self, vectors: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
@@ -102,23 +116,51 @@ def margin_of(dimension: int, least: float, overlap: float) -> float:
     return overlap * math.sqrt(max(0.0, 2 - 2 * least)) / math.sqrt(dimension)
 
 
-def grow_forest(
-    sample: np.ndarray, share: float, margin: float, trees: int = TREES, leaf: int = LEAF, seed: int = 1
-) -> list[Tree]:
-    """Trees for unit vectors; a sampled vector stands for ``1 / share`` of a label's."""
-    small = max(FEW, int(leaf * share))
+def grow_cells(sample: np.ndarray, small: int, margin: float, trees: int = CELL_TREES, seed: int = 1) -> list[Tree]:
+    """Trees for unit vectors, with at most about ``small`` sampled ones in a cell."""
     out = []
     for no in range(trees):
         tree = Tree()
-        tree.grow(sample, small, margin, np.random.default_rng(seed * 1000 + no))
+        tree.grow(sample, max(FEW, small), margin, np.random.default_rng(seed * 1000 + no))
         out.append(tree)
     return out
 
 
-def _unit(data: bytes, kind: str = "<f4") -> np.ndarray:
-    x = np.frombuffer(data, kind).astype(np.float64)
-    x = x / np.abs(x).max()  # squares stay in range
-    return x / np.sqrt(x @ x)
+def forest_leaves(
+    x: np.ndarray, leaf: int, margin: float, trees: int = TREES, seed: int = 2
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """The rows in each leaf of a forest over the unit vectors ``x``, and the first leaf of each
+    row in each tree; nodes of a level share a direction."""
+    out: list[np.ndarray] = []
+    first = np.zeros((len(x), trees if len(x) > leaf else 1), np.int32)
+    for no in range(first.shape[1]):
+        begun = len(out)
+        rng = np.random.default_rng(seed * 1000 + no)
+        along: list[np.ndarray] = []
+        todo = [(np.arange(len(x)), 0, 0)]
+        while todo:
+            at, level, failed = todo.pop()
+            if len(at) <= leaf or failed == TRIES:
+                out.append(at)
+                continue
+            while len(along) <= level:
+                direction = rng.standard_normal(x.shape[1])
+                along.append(x @ (direction / np.linalg.norm(direction)).astype(x.dtype))
+            split = _halves(along[level][at], margin)
+            if split:
+                todo += [(at[split[1]], level + 1, 0), (at[split[2]], level + 1, 0)]
+            else:
+                todo.append((at, level + 1, failed + 1))
+        for k in range(len(out) - 1, begun - 1, -1):
+            first[out[k], no] = k
+    return out, first
+
+
+def _units(data: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors of stored ones of one length."""
+    x = np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares stay in range
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
 def _kind(vectors: DataFrame) -> str:
@@ -126,13 +168,18 @@ def _kind(vectors: DataFrame) -> str:
     return "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
 
 
-def _sound(vector, kind: str = "<f4") -> np.ndarray | None:
-    if vector is None or any(v is None for v in vector):
-        return None
-    x = np.asarray(vector, np.float64)
-    if not len(x) or not np.isfinite(x).all() or not x.any():
-        return None
-    return np.asarray(vector, kind)
+def _stored(vectors: list, kind: str) -> list[bytes | None]:
+    """Vectors as bytes; None for those that link with nothing."""
+    out: list[bytes | None] = [None] * len(vectors)
+    lengths: dict[int, list[int]] = {}
+    for i, v in enumerate(vectors):
+        if v is not None and len(v):
+            lengths.setdefault(len(v), []).append(i)
+    for at in lengths.values():
+        x = np.array([np.asarray(vectors[i], kind) for i in at])  # a null becomes NaN
+        for j in np.flatnonzero(np.isfinite(x).all(axis=1) & x.any(axis=1)):
+            out[at[j]] = x[j].tobytes()
+    return out
 
 
 def _read(vectors: DataFrame) -> DataFrame:
@@ -141,14 +188,12 @@ def _read(vectors: DataFrame) -> DataFrame:
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            cls, vecs = [], []
-            for label, vector in zip(frame["label"], frame["embedding"]):
-                x = None if label is None or pd.isna(label) else _sound(vector, kind)
-                vecs.append(None if x is None else x.tobytes())
-                cls.append(
-                    None if x is None
-                    else hashlib.blake2b(vecs[-1], digest_size=16, key=str(label).encode()[:64]).digest()
-                )
+            unnamed = frame["label"].isna()
+            vecs = _stored([None if no else v for no, v in zip(unnamed, frame["embedding"])], kind)
+            cls = [
+                None if v is None else hashlib.blake2b(v, digest_size=16, key=str(label).encode()[:64]).digest()
+                for label, v in zip(frame["label"], vecs)
+            ]
             yield pd.DataFrame({
                 "vec_id": frame["vec_id"].to_numpy(), "label": frame["label"], "cls": cls, "vec": vecs,
             })
@@ -159,158 +204,197 @@ def _read(vectors: DataFrame) -> DataFrame:
     return with_type(read_rows, "vec_id", id_type).withColumn("node", F.xxhash64("label", "cls"))
 
 
-def _route(classes: DataFrame, least: float, trees: int, leaf: int, sample: int, kind: str) -> DataFrame:
-    """``node, space, many, vec, leaves`` for every class."""
-    spread = classes.groupBy("space").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
-    total, largest = spread[0] or 0, spread[1] or 0
-    # the bounded sample: the classes of the smallest hashes
-    drawn = [
-        r["vec"] for r in classes.orderBy("node").select("vec").limit(sample).collect()
-    ]
-    # the length that most have; a vector of another one is rare and goes to a leaf of its own length
-    size = max(Counter(map(len, drawn)).items(), key=lambda c: (c[1], c[0]))[0] if drawn else 8
-    dimension = size // np.dtype(kind).itemsize
-    units = np.array([_unit(d, kind) for d in drawn if len(d) == size]).reshape(-1, dimension)
-    margin = margin_of(dimension, least, OVERLAP)
-    # a label with ``largest`` classes has this share of itself in the sample's leaves
-    share = len(units) / max(largest, 1)
-    grown = grow_forest(units, share, margin, trees, leaf) if total > leaf else [Tree() for _ in range(trees)]
-    for tree in grown:
-        if not tree.left:
-            tree.add()
-    if total <= leaf:
-        grown = grown[:1]
-    held = classes.sparkSession.sparkContext.broadcast(grown)  # bound by the sample
+def _cells(classes: DataFrame, spaces: dict[str, int], total: int, least: float, sample: int, group: int, kind: str):
+    """Trees of cells for each space of more than ``group`` classes; the driver holds the sample."""
+    low = -(2**63)
+    drawn = classes.where(F.col("space").isin(list(spaces))) if len(spaces) <= 1000 else classes
+    if total > sample:  # hashes are even
+        drawn = drawn.where(F.col("node") < F.lit(low + int(2**64 * (sample / total))))
+    found: dict[str, list[bytes]] = {}
+    for r in sorted(drawn.select("node", "space", "vec").collect()):
+        found.setdefault(r["space"], []).append(bytes(r["vec"]))
+    out = {}
+    for space, n in sorted(spaces.items()):
+        if space in found:
+            units = _units(found[space], kind)
+            margin = margin_of(units.shape[1], least, OVERLAP)
+            grown = grow_cells(units, int(FILLED * group * len(units) / n), margin)
+            # trees that cannot split would all compare the same
+            split = [tree for tree in grown if len(tree.left) > 1]
+            out[space] = (margin, split or grown[:1])
+    return out
+
+
+def _routed(classes: DataFrame, cells: dict, kind: str, trees: int) -> DataFrame:
+    """``node, space, many, vec, cells``: the cells of the first ``trees`` trees that a class reaches."""
+    held = classes.sparkSession.sparkContext.broadcast(cells)  # bound by the sample
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            lists: list[list[int]] = [[] for _ in range(len(frame))]
-            same = np.array([len(v) == size for v in frame["vec"]], bool)
-            if same.any():
-                where = np.flatnonzero(same)
-                x = np.array([_unit(v, kind) for v in frame["vec"][same]])
-                for no, tree in enumerate(held.value):
-                    for row, found in zip(*tree.leaves(x, margin)):
-                        lists[where[row]].append((no << 32) + int(found))
-            for i in np.flatnonzero(~same):
-                lists[i].append(-1)  # other lengths: one leaf
-            frame["leaves"] = [sorted(x) for x in lists]
+            lists = np.empty(len(frame), object)
+            lists[:] = [np.zeros(1, np.int64)] * len(frame)
+            for space, at in frame.groupby("space", sort=False).indices.items():
+                if space not in held.value:
+                    continue
+                margin, grown = held.value[space]
+                x = _units(frame["vec"].iloc[at].tolist(), kind)
+                reached = [tree.leaves(x, margin) for tree in grown[:trees]]
+                row = np.concatenate([rows for rows, _ in reached])
+                cell = np.concatenate([(no << 32) + leaves for no, (_, leaves) in enumerate(reached)])
+                order = np.lexsort((cell, row))
+                ends = np.cumsum(np.bincount(row, minlength=len(at)))
+                lists[at] = np.array([*np.split(cell[order], ends[:-1]), None], object)[:-1]
+            frame["cells"] = lists
             yield frame
 
     return classes.select("node", "space", "many", "vec").mapInPandas(
-        route, "node long, space string, many long, vec binary, leaves array<long>"
+        route, "node long, space string, many long, vec binary, cells array<long>"
     )
 
 
-def _compare(left: dict, right: dict | None, leaf: int, least: float):
-    """Links between two chunks (or within one) whose first common leaf is this one:
-    positions and number of links."""
-    second = left if right is None else right
-    for a in range(0, len(left["x"]), ROWS):
-        hits = left["x"][a : a + ROWS] @ second["x"].T >= least
-        i, j = np.nonzero(hits)
-        i += a
-        if right is None:
-            i, j = i[i < j], j[i < j]
-        for at in range(0, len(i), 20_000):
-            p, q = i[at : at + 20_000], j[at : at + 20_000]
-            one, two = left["leaves"][p], second["leaves"][q]
-            earlier = ((one[:, :, None] == two[:, None, :]) & (one < leaf)[:, :, None] & (one >= 0)[:, :, None])
-            first = ~earlier.any(axis=(1, 2))
-            yield p[first], q[first]
-
-
-def _packed(frame: pd.DataFrame, kind: str) -> dict:
-    width = max(map(len, frame["leaves"]))
-    leaves = np.full((len(frame), width), -9, np.int64)
-    for i, found in enumerate(frame["leaves"]):
-        leaves[i, : len(found)] = found
-    return {
-        "x": np.array([_unit(v, kind) for v in frame["vec"]]), "leaves": leaves,
-        "node": frame["node"].to_numpy(), "many": frame["many"].to_numpy(),
-    }
-
-
-def _links_of(group: pd.DataFrame, least: float, kind: str) -> pd.DataFrame:
-    """For one leaf (or two chunks of it): links of each class and ties between them."""
-    leaf = int(group["leaf"].iloc[0])
-    if group["one"].iloc[0] == group["two"].iloc[0]:
-        parts = [_packed(group, kind), None]
-    else:
-        mine = group["mine"] == group["one"]
-        if mine.all() or not mine.any():
-            return pd.DataFrame({"node": [], "links": [], "tie": []})
-        parts = [_packed(group[mine], kind), _packed(group[~mine], kind)]
-    second = parts[0] if parts[1] is None else parts[1]
-    counts = [np.zeros(len(parts[0]["node"]), np.int64), np.zeros(len(second["node"]), np.int64)]
-    ties = []
-    for p, q in _compare(*parts, leaf, least):
-        np.add.at(counts[0], p, second["many"][q])
-        np.add.at(counts[1], q, parts[0]["many"][p])
+def _pairs(x: np.ndarray, least: float, leaf: int, margin: float, trees: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of ``x`` that link, each pair once: in the first leaf that has both."""
+    single = x.astype(np.float32)
+    doubt = 1.2e-7 * (x.shape[1] + 8)  # what single precision may be off by
+    leaves, first = forest_leaves(single, leaf, margin, trees)
+    bits = np.zeros((len(x), -(-len(leaves) // 64)), np.uint64)
+    for no, at in enumerate(leaves):
+        part = single[at]
+        for a in range(0, len(at), ROWS):
+            cosines = (part[a : a + ROWS] @ part[a:].T).ravel()
+            found = np.flatnonzero(cosines >= least - doubt)
+            i, j = np.divmod(found, len(at) - a)
+            found, i, j = (v[i < j] for v in (found, i, j))
+            for b in range(0, len(found), 20_000):
+                p, q, value = at[i[b : b + 20_000] + a], at[j[b : b + 20_000] + a], cosines[found[b : b + 20_000]]
+                # most pairs that were seen share the first leaf of a tree
+                for column in first.T if no else ():
+                    one = column[p]
+                    new = (one != column[q]) | (one >= no)
+                    p, q, value = p[new], q[new], value[new]
+                if no:
+                    new = ~(bits[p, : no // 64 + 1] & bits[q, : no // 64 + 1]).any(axis=1)
+                    p, q, value = p[new], q[new], value[new]
+                close = np.flatnonzero(value < least + doubt)
+                keep = np.ones(len(p), bool)
+                keep[close] = np.einsum("ij,ij->i", x[p[close]], x[q[close]]) >= least
+                yield p[keep], q[keep]
+        bits[at, no // 64] |= np.uint64(1 << no % 64)
+
+
+def _links_of(group: pd.DataFrame, least: float, leaf: int, trees: int, kind: str) -> pd.DataFrame:
+    """For one cell (or two chunks of it): links of each class and ties between them."""
+    cell, across = int(group["cell"].iloc[0]), group["one"].iloc[0] != group["two"].iloc[0]
+    x = _units(group["vec"].tolist(), kind)
+    node, many, mine = (group[c].to_numpy() for c in ("node", "many", "mine"))
+    row = np.repeat(np.arange(len(group)), [len(c) for c in group["cells"]])
+    before = np.concatenate(group["cells"].tolist())
+    row, before = row[before < cell], before[before < cell]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    earlier = np.full((len(group), place.max(initial=-1) + 1), -1, np.int64)
+    earlier[row, place] = before
+    links, ties = np.zeros(len(group), np.int64), []
+    for p, q in _pairs(x, least, leaf, margin_of(x.shape[1], least, OVERLAP), trees):
+        if across:
+            p, q = p[mine[p] != mine[q]], q[mine[p] != mine[q]]
+        if earlier.shape[1]:
+            one, two = earlier[p], earlier[q]
+            first = ~((one[:, :, None] == two[:, None, :]) & (one >= 0)[:, :, None]).any(axis=(1, 2))
+            p, q = p[first], q[first]
+        np.add.at(links, p, many[q])
+        np.add.at(links, q, many[p])
         if len(p):
-            ties.append(forest(np.stack([parts[0]["node"][p], second["node"][q]], axis=1)))
-    nodes = np.concatenate([parts[0]["node"], second["node"]])
-    links = np.concatenate(counts)
+            ties.append(forest(np.stack([node[p], node[q]], axis=1)))
     tied = forest(np.concatenate(ties)) if ties else np.zeros((0, 2), np.int64)
     return pd.DataFrame({
-        "node": np.r_[nodes[links > 0], tied[:, 0]],
+        "node": np.r_[node[links > 0], tied[:, 0]],
         "links": np.r_[links[links > 0], np.zeros(len(tied), np.int64)],
         "tie": pd.array([None] * int((links > 0).sum()) + tied[:, 1].tolist(), "Int64"),
     })
 
 
-def near_vectors(
-    vectors: DataFrame, least: float = LEAST_COSINE, trees: int = TREES, leaf: int = LEAF,
-    sample: int = SAMPLE, group: int = GROUP,
-) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of every row."""
-    spark = vectors.sparkSession
-    kind = _kind(vectors)
-    rows = materialize(_read(vectors), "vectors")
-    classes = (
-        rows.where("vec IS NOT NULL").groupBy("node")
-        .agg(
-            F.first("vec").alias("vec"), F.first("label").alias("label"),
-            F.count("*").alias("many"), F.min("vec_id").alias("first_id"),
-        )
-        .withColumn("space", F.concat_ws(":", F.length("vec").cast("string"), "label"))
+def _large_cells(classes: DataFrame, cells: dict, group: int, kind: str) -> DataFrame | None:
+    """``space, cell, chunks`` of the cells that hold more than ``group`` classes, if any do."""
+    counts = (
+        _routed(classes, cells, kind, CELL_TREES).select("space", F.explode("cells").alias("cell"))
+        .groupBy("space", "cell").agg(F.count("*").alias("n")).where(f"n > {group}")
     )
-    classes = materialize(classes, "classes")
-    routed = materialize(_route(classes, least, trees, leaf, sample, kind), "routed")
-    placed = routed.withColumn("leaf", F.explode("leaves"))
-    large = (
-        placed.groupBy("space", "leaf").agg(F.count("*").alias("n")).where(f"n > {group}")
-        .select("space", "leaf", F.expr(f"cast(ceil(2.0D * n / {group}) as int)").alias("chunks"))
+    large = materialize(
+        counts.select("space", "cell", F.expr(f"cast(ceil(2.0D * n / {group}) as int)").alias("chunks")), "large-cells"
     )
-    if large.isEmpty():
+    return None if large.isEmpty() else large
+
+
+def _links_by(
+    classes: DataFrame, cells: dict, large: DataFrame | None, no: int, least: float, trees: int, leaf: int, kind: str
+) -> DataFrame:
+    """``node, links, tie``: what the cells of tree ``no`` find and those of earlier trees do not."""
+    routed = _routed(classes, cells, kind, no + 1)
+    placed = routed.withColumn("cell", F.explode(F.expr(f"filter(cells, c -> shiftright(c, 32) = {no})")))
+    if large is None:
         dealt = placed.select("*", *[F.lit(0).alias(c) for c in ("mine", "one", "two")])
     else:
         dealt = (
-            placed.join(large, ["space", "leaf"], "left")
+            placed.join(large, ["space", "cell"], "left")
             .withColumn("mine", F.expr("coalesce(cast(pmod(node, chunks) as int), 0)"))
             .withColumn("other", F.explode(F.expr("sequence(0, coalesce(chunks, 1) - 1)")))
             .withColumns({"one": F.least("mine", "other"), "two": F.greatest("mine", "other")})
+            .drop("chunks", "other")
         )
-    keys = ["space", "leaf", "one", "two"]
+    keys = ["space", "cell", "one", "two"]
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            new = (held[keys] != held[keys].shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(new)
+        held: list[pd.DataFrame] = []
+        for frame in filter(len, frames):
+            new = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy()
+            new[0] = not held or (frame[keys].iloc[0] != held[0][keys].iloc[0]).any()
+            starts = [*np.flatnonzero(new), len(frame)]
+            if starts[0]:
+                held.append(frame.iloc[: starts[0]])
             for a, b in zip(starts, starts[1:]):
-                yield _links_of(held.iloc[a:b], least, kind)
-            held = held.iloc[starts[-1] :] if len(starts) else None
-        if held is not None and len(held):
-            yield _links_of(held, least, kind)
-
-    found = materialize(
-        dealt.drop("chunks", "other").repartition(shuffle_parts(spark), *keys)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(compare, "node long, links long, tie long"),
-        "links",
+                if held:
+                    yield _links_of(pd.concat(held, ignore_index=True), least, leaf, trees, kind)
+                held = [frame.iloc[a:b]]
+        if held:
+            yield _links_of(pd.concat(held, ignore_index=True), least, leaf, trees, kind)
+
+    return (
+        dealt.repartition(shuffle_parts(classes.sparkSession), *keys).sortWithinPartitions(*keys)
+        .mapInPandas(compare, "node long, links long, tie long")
+    )
+
+
+def near_vectors(
+    vectors: DataFrame, least: float = LEAST_COSINE, trees: int = TREES, leaf: int = LEAF,
+    sample: int = SAMPLE, group: int = GROUP,
+) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` of every row."""
+    spark = vectors.sparkSession
+    kind = _kind(vectors)
+    # vectors are read twice rather than stored beside their classes
+    rows = materialize(_read(vectors).select("vec_id", F.expr("if(vec IS NULL, NULL, node)").alias("node")), "rows")
+    classes = (
+        _read(vectors).where("vec IS NOT NULL").groupBy("node")
+        .agg(
+            F.first("vec").alias("vec"), F.first("label").alias("label"),
+            F.count("*").alias("many"), F.min("vec_id").alias("first_id"),
+        )
+        .withColumn("space", F.concat_ws(":", F.length("vec").cast("string"), "label")).drop("label")
     )
+    with freed_shuffles(spark):
+        classes = materialize(classes, "classes")
+        sizes = materialize(classes.groupBy("space").agg(F.count("*").alias("n")), "spaces")
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        spaces = {r["space"]: r["n"] for r in sizes.where(f"n > {group}").collect()}
+        cells = _cells(classes, spaces, total, least, sample, group, kind) if spaces else {}
+        large = _large_cells(classes, cells, group, kind) if spaces else None
+        found = materialize(_links_by(classes, cells, large, 0, least, trees, leaf, kind), "links")
+        if cells:
+            split = spark.createDataFrame([(space,) for space in cells], "space string")
+            again = classes.join(F.broadcast(split), "space", "left_semi")  # a row for ``group`` classes at most
+            for no in range(1, CELL_TREES):
+                more = _links_by(again, cells, large, no, least, trees, leaf, kind)
+                found = found.unionByName(materialize(more, "links"))
     ties = found.where("tie IS NOT NULL").select(F.col("node").alias("a"), F.col("tie").alias("b"))
     roots = components(ties).select(F.col("node").alias("tied"), "root")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -325,10 +409,10 @@ def near_vectors(
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     answer = rooted.join(smallest, "root").select("node", "n_links", "component_id")
-    linkable = rows.where("vec IS NOT NULL").select("vec_id", "node").join(answer, "node").select(
+    linkable = rows.where("node IS NOT NULL").join(answer, "node").select(
         "vec_id", "n_links", "component_id"
     )
-    alone = rows.where("vec IS NULL").select(
+    alone = rows.where("node IS NULL").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return linkable.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
