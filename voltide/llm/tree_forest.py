@@ -204,9 +204,13 @@ def _read(vectors: DataFrame) -> DataFrame:
     return with_type(read_rows, "vec_id", id_type).withColumn("node", F.xxhash64("label", "cls"))
 
 
-def _cells(classes: DataFrame, spaces: dict[str, int], total: int, least: float, sample: int, group: int, kind: str):
-    """Trees of cells for each space of more than ``group`` classes; the driver holds the sample."""
-    low = -(2**63)
+def _cells(classes: DataFrame, least: float, sample: int, group: int, kind: str) -> dict[str, tuple[float, list[Tree]]]:
+    """Margin and trees of cells for each space of more than ``group`` classes; the driver holds the sample."""
+    sizes = materialize(classes.groupBy("space").agg(F.count("*").alias("n")), "spaces")
+    spaces = {r["space"]: r["n"] for r in sizes.where(f"n > {group}").collect()}
+    if not spaces:
+        return {}
+    total, low = sizes.agg(F.sum("n")).first()[0], -(2**63)
     drawn = classes.where(F.col("space").isin(list(spaces))) if len(spaces) <= 1000 else classes
     if total > sample:  # hashes are even
         drawn = drawn.where(F.col("node") < F.lit(low + int(2**64 * (sample / total))))
@@ -215,24 +219,31 @@ def _cells(classes: DataFrame, spaces: dict[str, int], total: int, least: float,
         found.setdefault(r["space"], []).append(bytes(r["vec"]))
     out = {}
     for space, n in sorted(spaces.items()):
+        whole = Tree()
+        whole.add()
+        out[space] = (0.0, [whole])
         if space in found:
             units = _units(found[space], kind)
             margin = margin_of(units.shape[1], least, OVERLAP)
             grown = grow_cells(units, int(FILLED * group * len(units) / n), margin)
             # trees that cannot split would all compare the same
-            split = [tree for tree in grown if len(tree.left) > 1]
-            out[space] = (margin, split or grown[:1])
+            out[space] = (margin, [tree for tree in grown if len(tree.left) > 1] or [whole])
     return out
 
 
-def _routed(classes: DataFrame, cells: dict, kind: str, trees: int) -> DataFrame:
-    """``node, space, many, vec, cells``: the cells of the first ``trees`` trees that a class reaches."""
+def _route(
+    classes: DataFrame, least: float, trees: int, group: int, sample: int, kind: str, cells: dict | None = None
+) -> DataFrame:
+    """``node, space, many, vec, leaves``: the cells that a class reaches in the first ``trees`` trees,
+    -1 where a space is not split. ``cells``: the trees, where they are known."""
+    if cells is None:
+        cells = _cells(classes, least, sample, group, kind)
     held = classes.sparkSession.sparkContext.broadcast(cells)  # bound by the sample
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             lists = np.empty(len(frame), object)
-            lists[:] = [np.zeros(1, np.int64)] * len(frame)
+            lists[:] = [np.full(1, -1)] * len(frame)
             for space, at in frame.groupby("space", sort=False).indices.items():
                 if space not in held.value:
                     continue
@@ -244,11 +255,11 @@ def _routed(classes: DataFrame, cells: dict, kind: str, trees: int) -> DataFrame
                 order = np.lexsort((cell, row))
                 ends = np.cumsum(np.bincount(row, minlength=len(at)))
                 lists[at] = np.array([*np.split(cell[order], ends[:-1]), None], object)[:-1]
-            frame["cells"] = lists
+            frame["leaves"] = lists
             yield frame
 
     return classes.select("node", "space", "many", "vec").mapInPandas(
-        route, "node long, space string, many long, vec binary, cells array<long>"
+        route, "node long, space string, many long, vec binary, leaves array<long>"
     )
 
 
@@ -287,8 +298,8 @@ def _links_of(group: pd.DataFrame, least: float, leaf: int, trees: int, kind: st
     cell, across = int(group["cell"].iloc[0]), group["one"].iloc[0] != group["two"].iloc[0]
     x = _units(group["vec"].tolist(), kind)
     node, many, mine = (group[c].to_numpy() for c in ("node", "many", "mine"))
-    row = np.repeat(np.arange(len(group)), [len(c) for c in group["cells"]])
-    before = np.concatenate(group["cells"].tolist())
+    row = np.repeat(np.arange(len(group)), [len(c) for c in group["leaves"]])
+    before = np.concatenate(group["leaves"].tolist())
     row, before = row[before < cell], before[before < cell]
     place = np.arange(len(row)) - np.searchsorted(row, row)
     earlier = np.full((len(group), place.max(initial=-1) + 1), -1, np.int64)
@@ -313,10 +324,10 @@ def _links_of(group: pd.DataFrame, least: float, leaf: int, trees: int, kind: st
     })
 
 
-def _large_cells(classes: DataFrame, cells: dict, group: int, kind: str) -> DataFrame | None:
+def _large_cells(routed: DataFrame, group: int) -> DataFrame | None:
     """``space, cell, chunks`` of the cells that hold more than ``group`` classes, if any do."""
     counts = (
-        _routed(classes, cells, kind, CELL_TREES).select("space", F.explode("cells").alias("cell"))
+        routed.select("space", F.explode("leaves").alias("cell"))
         .groupBy("space", "cell").agg(F.count("*").alias("n")).where(f"n > {group}")
     )
     large = materialize(
@@ -326,11 +337,10 @@ def _large_cells(classes: DataFrame, cells: dict, group: int, kind: str) -> Data
 
 
 def _links_by(
-    classes: DataFrame, cells: dict, large: DataFrame | None, no: int, least: float, trees: int, leaf: int, kind: str
+    routed: DataFrame, large: DataFrame | None, no: int, least: float, trees: int, leaf: int, kind: str
 ) -> DataFrame:
     """``node, links, tie``: what the cells of tree ``no`` find and those of earlier trees do not."""
-    routed = _routed(classes, cells, kind, no + 1)
-    placed = routed.withColumn("cell", F.explode(F.expr(f"filter(cells, c -> shiftright(c, 32) = {no})")))
+    placed = routed.withColumn("cell", F.explode(F.expr(f"filter(leaves, c -> greatest(shiftright(c, 32), 0) = {no})")))
     if large is None:
         dealt = placed.select("*", *[F.lit(0).alias(c) for c in ("mine", "one", "two")])
     else:
@@ -359,7 +369,7 @@ def _links_by(
             yield _links_of(pd.concat(held, ignore_index=True), least, leaf, trees, kind)
 
     return (
-        dealt.repartition(shuffle_parts(classes.sparkSession), *keys).sortWithinPartitions(*keys)
+        dealt.repartition(shuffle_parts(routed.sparkSession), *keys).sortWithinPartitions(*keys)
         .mapInPandas(compare, "node long, links long, tie long")
     )
 
@@ -383,17 +393,18 @@ def near_vectors(
     )
     with freed_shuffles(spark):
         classes = materialize(classes, "classes")
-        sizes = materialize(classes.groupBy("space").agg(F.count("*").alias("n")), "spaces")
-        total = sizes.agg(F.sum("n")).first()[0] or 0
-        spaces = {r["space"]: r["n"] for r in sizes.where(f"n > {group}").collect()}
-        cells = _cells(classes, spaces, total, least, sample, group, kind) if spaces else {}
-        large = _large_cells(classes, cells, group, kind) if spaces else None
-        found = materialize(_links_by(classes, cells, large, 0, least, trees, leaf, kind), "links")
+        cells = _cells(classes, least, sample, group, kind)
+
+        def routed(some: DataFrame, number: int) -> DataFrame:
+            return _route(some, least, number, group, sample, kind, cells)
+
+        large = _large_cells(routed(classes, CELL_TREES), group) if cells else None
+        found = materialize(_links_by(routed(classes, 1), large, 0, least, trees, leaf, kind), "links")
         if cells:
             split = spark.createDataFrame([(space,) for space in cells], "space string")
             again = classes.join(F.broadcast(split), "space", "left_semi")  # a row for ``group`` classes at most
             for no in range(1, CELL_TREES):
-                more = _links_by(again, cells, large, no, least, trees, leaf, kind)
+                more = _links_by(routed(again, no + 1), large, no, least, trees, leaf, kind)
                 found = found.unionByName(materialize(more, "links"))
     ties = found.where("tie IS NOT NULL").select(F.col("node").alias("a"), F.col("tie").alias("b"))
     roots = components(ties).select(F.col("node").alias("tied"), "root")
